@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _spark, decontaminate, language_id, mixing, ngram_join, quality, sharding, token_count, token_output
+from cohortwatch.llm import _spark, decontaminate, language_id, line_dedup, mixing, ngram_join, passage_dedup, quality, sharding, token_count, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,11 +44,19 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.aligned_blocks(_table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out(F.col("doc_id")).alias("held_out"))
     found = language_id.identify(docs.drop("lang"), language_id.learn(docs.where("not held_out")))
@@ -61,7 +69,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op1_quality_rules, op2_token_counts, op3_token_output, op4_sharding, op5_ngram_jaccard_join, op7_mixing, op9_language_id, op10_decontamination)
+    found = (op1_quality_rules, op2_token_counts, op3_token_output, op4_sharding, op5_ngram_jaccard_join, op6_passage_dedup, op7_mixing, op8_line_dedup, op9_language_id, op10_decontamination)
     return {f.__name__: f for f in found}
 
 
