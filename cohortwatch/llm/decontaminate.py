@@ -184,20 +184,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     digits and non-ASCII characters. Null texts and null items have no words and hit nothing; an
     empty benchmark hits nothing; items of equal text all count.
     """
-    if not 0 < k <= window:
-        raise ValueError("k must be between 1 and the window")
-    left = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    right = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item is not null")
-    words = right.agg(F.sum(F.size(F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)))).alias("n")).first()[0] or 0
-    if words > broadcast_words:
+    left = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    right = _items(benchmark, item_col, item_text_col)
+    shared = _shared(right, window, k, broadcast_words)
+    if shared is None:
         return _joined(left, right, window, k)
-    rows = right.select("item", "text").collect()  # at most ``broadcast_words`` words, counted above
-    texts = pa.array([r.text for r in rows], pa.string())
-    own: list[np.ndarray] = []
-    for chunk in _text.chunks(texts):
-        h, first = _words(chunk)
-        own += [h[first[d] : first[d + 1]] for d in range(chunk.n_docs)]
-    shared = docs.sparkSession.sparkContext.broadcast(([r.item for r in rows], own))
 
     def scan(batches):
         items = Items(*shared.value, window, k)
@@ -209,6 +200,49 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return left.mapInArrow(scan, RESULT)
 
 
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, k: int = K, parts: int = 20, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+    """The rows of ``docs`` of which less than one word in ``parts`` is hit, with all their columns, whatever their names."""
+    right = _items(benchmark, item_col, item_text_col)
+    shared = _shared(right, window, k, broadcast_words)
+    if shared is None:
+        row = _spark.free_name(docs, "contaminated_row")
+        kept = _spark.saved(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
+        found = _joined(kept.select(F.col(row).alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")), right, window, k)
+        bad = found.where((F.col("n_hit") > 0) & (parts * F.col("n_hit") >= F.col("n_words"))).select(F.col("doc_id").alias(row))
+        return kept.join(_spark.small(_spark.saved(bad, "decontaminate-bad")), row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = docs.columns
+
+    def scan(batches):
+        items = Items(*shared.value, window, k)
+        for batch in batches:
+            keep = []
+            for chunk in _text.chunks(batch.column(len(names))):
+                keep += [not (r[2] > 0 and parts * r[2] >= r[1]) for r in scan_chunk(chunk, [None] * chunk.n_docs, items)]
+            yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names).filter(pa.array(keep, pa.bool_()))
+
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text_col}`").cast("string").alias(_spark.free_name(docs, "whole_text")))
+    return rows.mapInArrow(scan, docs.schema)
+
+
+def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text")).where("item is not null")
+
+
+def _shared(items: DataFrame, window: int, k: int, broadcast_words: int):
+    """The items' word hashes as a broadcast, or None if they have more than ``broadcast_words`` words."""
+    if not 0 < k <= window:
+        raise ValueError("k must be between 1 and the window")
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))).alias("n")).first()[0] or 0
+    if words > broadcast_words:
+        return None
+    rows = items.where("text is not null").collect()  # within the bound just counted
+    own: list[np.ndarray] = []
+    for chunk in _text.chunks(pa.array([r.text for r in rows], pa.string())):
+        h, first = _words(chunk)
+        own += [h[first[d] : first[d + 1]] for d in range(chunk.n_docs)]
+    return items.sparkSession.sparkContext.broadcast(([r.item for r in rows], own))
+
+
 def _fingerprints(window: int, k: int):
     """Rows ``(key, length, row)``: kept grams (length 0), and for items below the window their own gram."""
 
@@ -235,7 +269,7 @@ def _joined(left: DataFrame, right: DataFrame, window: int, k: int) -> DataFrame
     """For a benchmark beyond the broadcast bound: join fingerprints, then extend on the pairs found."""
     left = _spark.saved(left.withColumn("row", F.monotonically_increasing_id()), "decontaminate-docs")
     right = _spark.saved(right.withColumn("row", F.monotonically_increasing_id()), "decontaminate-items")
-    size = F.size(F.regexp_extract_all("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)))
+    size = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     short = right.where(size.between(1, window - 1))
     lengths = [r.n for r in short.select(size.alias("n")).distinct().collect()]  # window - 1 values at most
     find, find_long = _fingerprints(window, k), _fingerprints(window, k)
@@ -271,7 +305,7 @@ def _joined(left: DataFrame, right: DataFrame, window: int, k: int) -> DataFrame
         F.expr("cast(array() as array<struct<first:int,last:int>>)"),
         lambda acc, x: F.when((F.size(acc) > 0) & (x["first"] <= F.element_at(acc, -1)["last"] + 1), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], x["last"]).alias("last"))))).otherwise(F.concat(acc, F.array(x))),
     )
-    sized = left.select("row", "doc_id", F.coalesce(size, F.lit(0)).cast("long").alias("n_words")).withColumn("n_words", F.greatest("n_words", F.lit(0).cast("long")))
+    sized = left.select("row", "doc_id", F.coalesce(size, F.lit(0)).cast("long").alias("n_words"))
     out = sized.join(runs.select("row", merged.alias("spans")), "row", "left").join(items, "row", "left")
     none = F.expr("cast(array() as array<struct<first:int,last:int>>)")
     spans = F.coalesce("spans", none)

@@ -119,3 +119,11 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
     taken = (p("want") > 0) & (F.col(spare["size"]) > 0) & (p("cut_cell").isNull() | (cell < p("cut_cell")) | ((cell == p("cut_cell")) & F.coalesce(here <= p("cut"), F.lit(False))) | F.coalesce(here == p("last"), F.lit(False)))
     out = rows.join(_spark.small(plan, n_sources), F.col(spare["s"]).eqNullSafe(F.col(s_name)))
     return out.select(*[F.col(f"`{c}`") for c in own], F.col(spare["size"]).alias("size"), p("source_size").alias("source_size"), p("target").alias("target"), (p("sure") + taken.cast("long")).alias("copies"))
+
+
+def mixed_rows(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as :func:`mix` takes it, with its columns, whatever their names."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(whole.alias("row"), F.col(f"`{source_col}`").alias("of"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("content"))
+    taken = mix(packed, "of", "id", text_col="content", **options).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
