@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _spark, decontaminate, language_id, line_dedup, mixing, ngram_join, passage_dedup, quality, sharding, token_count, token_output
+from cohortwatch.llm import _spark, decontaminate, language_id, line_dedup, mixing, ngram_join, oracles, passage_dedup, quality, sharding, token_count, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,4 +74,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": oracles.QUALITY, "op5_ngram_jaccard_join": oracles.NGRAM_JOIN, "op10_decontamination": oracles.DECONTAMINATION}
