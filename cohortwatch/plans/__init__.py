@@ -1,11 +1,198 @@
-"""Ready-made queries over the event tables."""
+"""Ready-made queries over the event tables, with their DuckDB counterparts.
+
+The point in time is always the newest event, never the wall clock.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortwatch.functions.templates import action_time
+from cohortwatch.operators import actions, checks, conditions, models, transforms
+from cohortwatch.plans.oracles import ORACLES
+from cohortwatch.sources import readers, schemas, writers
+
+DAY = timedelta(days=1)
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def _newest(events: DataFrame):
+    """The newest event's time: read from Parquet statistics or one column, one value."""
+    return events.agg(F.max("ts")).first()[0]
+
+
+def _as_messages(events: DataFrame, value: str = "props") -> DataFrame:
+    """The events as a topic's messages, the type as topic."""
+    return events.select(F.col("user_id").cast("string").cast("binary").alias("key"), F.col(value).cast("binary").alias("value"), F.col("event_type").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"), F.lit(0).alias("timestampType"))
+
+
+def _missing(events: DataFrame, window=DAY, as_of=None) -> DataFrame:
+    return checks.missing_participants(events, F.lit(as_of or _newest(events)), window)
+
+
+def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    context = actions.gather({"missing": transforms.participant_list(_missing(events))})
+    notify = actions.Action("notify_missing_data", "send_notification", "size(missing.participants_id) > 0", settings={"message": "Missing data detected for participants: {{ missing.participants_id }}"})
+    found = actions.report(context, notify, F.lit(_newest(events)))
+    return found.select("name", "type", F.col("metadata.message").alias("message"), F.size("data.missing.participants_id").alias("n_participants"))
+
+
+def missing_24h(spark, sf_dir):
+    return _missing(_events(spark, sf_dir))
+
+
+def missing_from_roster(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    roster = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").cast("long").alias("user_id"))
+    return checks.missing_participants(events, F.lit(_newest(events)), 3 * DAY, roster)
+
+
+def missing_fraction_3d(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    return checks.missing_fraction(events, F.lit(_newest(events)), 3 * DAY, DAY)
+
+
+def recent_literal(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    return transforms.recent(events, "ts", F.lit(_newest(events))).groupBy("user_id").agg(F.count("*").alias("n_events"))
+
+
+def spikes_200(spark, sf_dir):
+    return transforms.spikes_by_user(_events(spark, sf_dir), "value", 200)
+
+
+def spike_flags(spark, sf_dir):
+    return transforms.flag_spikes(_events(spark, sf_dir), "value", 200).select("event_id", "is_anomaly")
+
+
+def missing_backoff(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    now = _newest(events)
+    before = now - DAY
+    log = checks.alert_log(_missing(events.where(F.col("ts") <= F.lit(before)), DAY, before), "notify", F.lit(before))
+    return checks.without_recent_alerts(_missing(events), log, F.lit(now), 2 * DAY).select("user_id")
+
+
+def quality_metrics(spark, sf_dir):
+    return checks.quality_metrics(_events(spark, sf_dir), ["event_id", "value", "props"], {"value": (0, 200)}, ["event_id"])
+
+
+def json_props(spark, sf_dir):
+    messages = _as_messages(_events(spark, sf_dir))
+    good, _ = readers.split_corrupt(readers.decode(messages, schemas.struct(k=schemas.INT), keep=("topic", "offset")))
+    return good.select("offset", "topic", "k")
+
+
+def json_variant(spark, sf_dir):
+    messages = readers.decode_any(_as_messages(_events(spark, sf_dir)))
+    return messages.select("offset", F.try_variant_get("payload", "$.k", "bigint").alias("k"), F.try_variant_get("payload", "$.none", "string").alias("absent"))
+
+
+def schema_violations(spark, sf_dir):
+    messages = _as_messages(_events(spark, sf_dir))
+    parts = []
+    for name, kind in (("int", schemas.INT), ("boolean", schemas.BOOL)):
+        decoded = readers.decode(messages, schemas.struct(k=kind, device=schemas.TEXT))
+        parts.append(checks.schema_violations(decoded, ["device"]).withColumn("schema", F.lit(name)))
+    return readers.unite(parts)
+
+
+def rendered_alert(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    context = actions.gather({"high": transforms.participant_list(events.where("value > 300"))})
+    action = actions.Action("alert", settings={"message": "High values: {{ high.participants_id }}, first {{ high.participants_id.0 }}{{ high.none }}", "ids": "{{ high.participants_id }}"})
+    return actions.report(context, action, F.lit(_newest(events))).select(F.col("metadata.message").alias("message"), F.size("metadata.ids").cast("long").alias("n_ids"))
+
+
+def scheduled_times(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    now = events.agg(F.max("ts").alias("as_of"))
+    as_of = F.col("as_of")
+    plain = lambda c: c.cast("timestamp_ntz")
+    return now.select(*[plain(action_time(w, as_of)).alias(n) for n, w in (("soon", timedelta(minutes=5)), ("evening", "8:30pm"), ("at_once", "immediate"), ("unknown", "garbage"))])
+
+
+def gated_reports(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    context = actions.gather({"check": transforms.participant_list(_missing(events))})
+    both = [actions.Action("notify", "send_notification", ["size(check.participants_id) > 0", "check.participants_id <> array()"], settings={"n": "{{ check.participants_id.0 }}"}), actions.Action("quiet", "send_notification", "size(check.participants_id) = 0")]
+    return actions.report_messages(context, both, F.lit(_newest(events))).select("name", F.get_json_object("value", "$.type").alias("type"), F.get_json_object("value", "$.metadata.n").alias("first_id"))
+
+
+def gate_on_long_result(spark, sf_dir):
+    return conditions.holds_for_any(_events(spark, sf_dir), "value > 300")
+
+
+def alert_table(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    found = transforms.spikes_by_user(events, "value", 200)
+    rows = actions.alert_rows(found, "high_rate", "email", F.lit(_newest(events)), recipients=["team"], subject="Spikes of {{ user_id }}", body="{{ n_spikes }} above the limit", when=timedelta(minutes=5))
+    return rows.select("action", "method", "user_id", "subject", "body", F.col("due_at").cast("timestamp_ntz").alias("due_at"), F.col("alerted_at").cast("timestamp_ntz").alias("alerted_at"))
+
+
+def event_envelope(spark, sf_dir):
+    rows = _events(spark, sf_dir).select("event_id", F.col("user_id").cast("string").alias("user_id"), "event_type")
+    return writers.keyed_messages(rows).select("key", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), F.get_json_object("value", "$.event_type").alias("event_type"))
+
+
+def report_envelope(spark, sf_dir):
+    rows = _events(spark, sf_dir).select("event_id", "value", "event_type")
+    return writers.messages(rows.withColumn("goes_to", F.concat(F.lit("t-"), "event_type")), "goes_to").select("topic", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"))
+
+
+def message_text(spark, sf_dir):
+    return readers.shown(_as_messages(_events(spark, sf_dir)))
+
+
+def cap_per_group(spark, sf_dir):
+    return transforms.cap_per_group(_events(spark, sf_dir), 2, "user_id", ("ts", "event_id")).select("user_id", "event_id")
+
+
+def cleaned_events(spark, sf_dir):
+    return transforms.clean(_events(spark, sf_dir), ["event_id"], {"value": (0, 200)}).select("event_id", "value")
+
+
+def union_sources(spark, sf_dir):
+    events = _events(spark, sf_dir).select("event_id", "event_type", "value", "props")
+    return readers.unite([events.where("event_type = 'purchase'"), events.where("event_type <> 'purchase'").drop("props")])
+
+
+def parsed_times(spark, sf_dir):
+    text = _events(spark, sf_dir).select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
+    return transforms.parse_time(text).select("event_id", F.col("timestamp").cast("timestamp_ntz").alias("ts"))
+
+
+def score_threshold(spark, sf_dir):
+    events = _events(spark, sf_dir)
+    per_user = events.groupBy("user_id").agg(F.count("*").cast("double").alias("n"), F.avg("value").alias("mean"), F.max("value").alias("top"))
+    per_user = per_user.withColumn("label", (F.col("top") > 200).cast("double"))
+    model = models.train(per_user, ["n", "mean", "top"], "label", epochs=30)
+    return models.score(per_user, model).select("user_id", "score", "is_anomaly")
+
+
+def custom_check(spark, sf_dir):
+    def busy(rows: DataFrame, least: int) -> DataFrame:
+        return rows.groupBy("user_id").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+    return transforms.custom(_events(spark, sf_dir), busy, least=70)
+
+
+_QUERIES = (missing_report, missing_24h, missing_from_roster, missing_fraction_3d, recent_literal, spikes_200, spike_flags, missing_backoff, quality_metrics, json_props, json_variant, schema_violations, rendered_alert, scheduled_times, gated_reports, gate_on_long_result, alert_table, event_envelope, report_envelope, message_text, cap_per_group, cleaned_events, union_sources, parsed_times, score_threshold, custom_check)
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries by name."""
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL by name."""
+    return dict(ORACLES)
