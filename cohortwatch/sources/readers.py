@@ -112,6 +112,6 @@ def read_tables(spark: SparkSession, url: str, tables: Iterable[str], **properti
 
 
 def read_source(spark: SparkSession, kind: str, path: str | None = None, **options: str) -> DataFrame:
-    """A source by its type name, looked up by Spark; an unknown one is an AnalysisException."""
+    """A source by its type name, looked up by Spark; an unknown one is its DATA_SOURCE_NOT_FOUND error."""
     reader = spark.read.format(kind).options(**options)
     return reader.load(path) if path else reader.load()
