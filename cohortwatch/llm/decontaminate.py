@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from cohortwatch.llm import _spark, _text
 
 WINDOW, K = 13, 7
+#: A word, of which A-Z are then lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Benchmark words that may be sent to every task (8 bytes each, and as much for the index).
 BROADCAST_WORDS = 4_000_000
 
@@ -232,7 +234,7 @@ def _shared(items: DataFrame, window: int, k: int, broadcast_words: int):
     """The items' word hashes as a broadcast, or None if they have more than ``broadcast_words`` words."""
     if not 0 < k <= window:
         raise ValueError("k must be between 1 and the window")
-    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))).alias("n")).first()[0] or 0
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n")).first()[0] or 0
     if words > broadcast_words:
         return None
     rows = items.where("text is not null").collect()  # within the bound just counted
@@ -269,7 +271,7 @@ def _joined(left: DataFrame, right: DataFrame, window: int, k: int) -> DataFrame
     """For a benchmark beyond the broadcast bound: join fingerprints, then extend on the pairs found."""
     left = _spark.saved(left.withColumn("row", F.monotonically_increasing_id()), "decontaminate-docs")
     right = _spark.saved(right.withColumn("row", F.monotonically_increasing_id()), "decontaminate-items")
-    size = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+    size = F.regexp_count("text", F.lit(WORD))
     short = right.where(size.between(1, window - 1))
     lengths = [r.n for r in short.select(size.alias("n")).distinct().collect()]  # window - 1 values at most
     find, find_long = _fingerprints(window, k), _fingerprints(window, k)

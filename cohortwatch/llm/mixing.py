@@ -20,6 +20,8 @@ from cohortwatch.llm import _spark
 
 WEIGHTS = (3, 1, 2)
 CELL_ROWS = 2_000
+#: Documents behind a source's cut that may fill what it leaves open.
+FILLS = 2
 
 
 def word_count(text: Column) -> Column:
@@ -63,7 +65,7 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` appended, one row per row of ``docs``.
 
     ``copies`` is how often the mix takes the document whole. What the cut leaves of a source's
-    target goes to the one document behind the cut whose size comes nearest to it.
+    target goes to the document behind the cut whose size comes nearest to it, ``FILLS`` times at most.
     ``importance`` (positive; null counts as 1) scales the inclusion odds within a source. Null
     texts have size 0; an empty table gives an empty result; rows with the same id share its random
     number and are taken alike. A column of ``docs`` with the name of an appended one gives way.
@@ -99,12 +101,17 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
     cut = inside.groupBy("src").agg(F.max(F.when(F.col("upto") <= F.col("want"), at)).alias("cut"), F.max(F.when(F.col("upto") <= F.col("want"), F.col("upto"))).alias("got"), F.first("before").alias("before"), F.first("want").alias("want"), F.first("cut_cell").alias("cut_cell"))
     # All cells before the cut's are taken; the cut is a place in its own cell, or where that begins.
     cut = cut.select(F.col("src").alias("cut_src"), "cut_cell", "cut", (F.col("want") - F.coalesce("got", "before")).alias("gap"))
-    cut = _spark.saved(cut, "mix-cuts")
+    here = F.struct(F.col("rank").alias("rank"), F.col("key").alias("key"))
+    cut = _spark.saved(cut.withColumn("picks", F.array().cast(f"array<struct<rank:double,key:{dict(narrow.dtypes)['key']}>>")), "mix-cuts")
     before = (F.col("cell") < F.col("cut_cell")) | ((F.col("cell") == F.col("cut_cell")) & F.coalesce(at <= F.col("cut"), F.lit(False)))
-    behind = ranked.join(_spark.small(cut, n_sources), F.col("src").eqNullSafe(F.col("cut_src"))).where(~before)
-    off = F.abs(F.col("size") - F.col("gap"))
-    last = behind.where(off < F.col("gap")).groupBy("src").agg(F.min(F.struct(off, "rank", "key")).alias("m")).select(F.col("src").alias("last_src"), F.struct(F.col("m.rank").alias("rank"), F.col("m.key").alias("key")).alias("last"))
-    plan = goals.join(cut, F.col("s").eqNullSafe(F.col("cut_src")), "left").join(last, F.col("s").eqNullSafe(F.col("last_src")), "left").drop("cut_src", "last_src")
+    for _ in range(FILLS):
+        behind = ranked.join(_spark.small(cut, n_sources), F.col("src").eqNullSafe(F.col("cut_src"))).where(~before & ~F.array_contains("picks", here))
+        off = F.abs(F.col("size") - F.col("gap"))
+        pick = behind.where(off < F.col("gap")).groupBy("src").agg(F.min(F.struct(off, "rank", "key", "size")).alias("m")).select(F.col("src").alias("pick_src"), F.struct(F.col("m.rank").alias("rank"), F.col("m.key").alias("key")).alias("pick"), F.col("m.size").alias("pick_size"))
+        cut = cut.join(pick, F.col("cut_src").eqNullSafe(F.col("pick_src")), "left")
+        cut = cut.select("cut_src", "cut_cell", "cut", (F.col("gap") - F.coalesce("pick_size", F.lit(0))).alias("gap"), F.when(F.col("pick").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array("pick"))).alias("picks"))
+        cut = _spark.saved(cut, "mix-cuts")
+    plan = goals.join(cut, F.col("s").eqNullSafe(F.col("cut_src")), "left").drop("cut_src")
     plan = _spark.saved(plan, "mix-plan")
 
     spare = {n: _spark.free_name(docs, "mix_" + n) for n in ("s", "key", "size", "u", "imp")}
@@ -116,7 +123,7 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
     rank = odds / (1 + odds)
     cell = F.least(F.floor(rank * cells), F.lit(cells - 1)).cast("int")
     here = F.struct(rank.alias("rank"), F.col(spare["key"]).alias("key"))
-    taken = (p("want") > 0) & (F.col(spare["size"]) > 0) & (p("cut_cell").isNull() | (cell < p("cut_cell")) | ((cell == p("cut_cell")) & F.coalesce(here <= p("cut"), F.lit(False))) | F.coalesce(here == p("last"), F.lit(False)))
+    taken = (p("want") > 0) & (F.col(spare["size"]) > 0) & (p("cut_cell").isNull() | (cell < p("cut_cell")) | ((cell == p("cut_cell")) & F.coalesce(here <= p("cut"), F.lit(False))) | F.coalesce(F.array_contains(p("picks"), here), F.lit(False)))
     out = rows.join(_spark.small(plan, n_sources), F.col(spare["s"]).eqNullSafe(F.col(s_name)))
     return out.select(*[F.col(f"`{c}`") for c in own], F.col(spare["size"]).alias("size"), p("source_size").alias("source_size"), p("target").alias("target"), (p("sure") + taken.cast("long")).alias("copies"))
 
