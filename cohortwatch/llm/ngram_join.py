@@ -4,8 +4,11 @@ A document's set is its distinct word n-grams. All sets are put in one global or
 first: a hashed table of document frequencies over the whole corpus, of fixed size, gives each
 n-gram a rank level, and (level, hash) is its place. Two sets of similarity ``t`` or more have a
 common element within their first ``n - ceil(t n) + 1`` elements, so only those prefixes are
-shuffled; prefix elements of a single set drop out. Candidates pass a length filter, a positional
-filter and a suffix filter before their overlap is counted, once per pair.
+shuffled; prefix elements of a single set drop out (a Bloom filter of fixed size stops most of them
+before the shuffle). Candidates pass a length filter and a positional filter, then a filter on
+histograms of the sets over hash ranges, whose least sums bound the overlap from above; only sets in
+pairs that are left are gathered. Before the overlap is counted, once per pair, a suffix filter
+splits the sorted sets in halves.
 
 Equal sets are one vertex. In the list of a prefix element not all pairs are made: first every
 member is compared with one pivot, and components are formed. Members of one component need no
@@ -25,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _spark, _text
+from cohortwatch.llm import _bloom, _spark, _text
 
 WORDS, PERCENT = 5, 80
 #: Counters of the document-frequency table, kept and moved in cells.
-COUNTERS, CELL = 1 << 18, 1 << 10
+COUNTER_BITS, CELL = 22, 1 << 12
+COUNTERS = 1 << COUNTER_BITS
 #: Open pairs for each list entry up to which all of them are compared; until then pivots go on.
 OPEN_PAIRS, PIVOT_ROUNDS = 4, 6
 
@@ -63,13 +67,36 @@ def _set_ids(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _counter(grams: np.ndarray) -> np.ndarray:
-    return (_text.mix(grams) >> np.uint64(64 - 18)).astype(np.int64)
+    return (_text.mix(grams) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _histograms(grams: np.ndarray, first: np.ndarray) -> pa.Array:
+    """For each set the number of its elements in equal hash ranges, about three a range, as bytes."""
+    out = []
+    for a, b in zip(first.tolist(), first[1:].tolist()):
+        bits = max(0, ((b - a) // 3).bit_length() - 1)
+        out.append(np.minimum(np.bincount((grams[a:b] >> np.uint64(58 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes())
+    return pa.array(out, pa.binary())
+
+
+def overlap_bound(x: np.ndarray, y: np.ndarray) -> int:
+    """No two sets with these histograms have more elements in common."""
+    x, y = x.astype(np.int64), y.astype(np.int64)
+    while len(x) > len(y):
+        x = x[::2] + x[1::2]
+    while len(y) > len(x):
+        y = y[::2] + y[1::2]
+    return int(np.minimum(x, y).sum())
+
+
+_SUMMARY = ["doc_id", "row_hash", "n", "sid", "histogram", "cell", "counts"]
 
 
 def _cells(counts: np.ndarray) -> pa.RecordBatch:
-    at = [k for k in range(COUNTERS // CELL) if counts[k * CELL : (k + 1) * CELL].any()]
+    at = np.flatnonzero(counts.reshape(-1, CELL).any(1))
     packed = [zlib.compress(counts[k * CELL : (k + 1) * CELL].tobytes(), 1) for k in at]
-    return pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64())] * 4 + [pa.array(at, pa.int32()), pa.array(packed, pa.binary())], ["doc_id", "text_hash", "n", "sid", "cell", "counts"])
+    none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+    return pa.RecordBatch.from_arrays([*none, pa.array(at, pa.int32()), pa.array(packed, pa.binary())], _SUMMARY)
 
 
 def _summary(words: int):
@@ -77,9 +104,9 @@ def _summary(words: int):
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for at, grams, first in _sets(batch.column("text"), words):
-                counts += np.bincount(_counter(grams), minlength=COUNTERS)
+                np.add.at(counts, _counter(grams), 1)
                 n = len(first) - 1
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, n), batch.column("text_hash").slice(at, n), pa.array(np.diff(first)), pa.array(_set_ids(grams, first)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["doc_id", "text_hash", "n", "sid", "cell", "counts"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, n), batch.column("row_hash").slice(at, n), pa.array(np.diff(first)), pa.array(_set_ids(grams, first)), _histograms(grams, first), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], _SUMMARY)
         yield _cells(counts)
 
     return run
@@ -97,21 +124,21 @@ def _levels(cells: DataFrame) -> np.ndarray:
     """A rank level from 0 (rare) to 63 for each counter; what comes to the driver is the table, of fixed size."""
     schema = "cell int, counts binary"
     summed = cells.select("cell", "counts").mapInArrow(_add_cells, schema).repartition(16, "cell").mapInArrow(_add_cells, schema)
-    counts = np.zeros(COUNTERS)
+    counts = np.zeros(COUNTERS, np.int64)
     for r in summed.collect():
         counts[r.cell * CELL : (r.cell + 1) * CELL] = np.frombuffer(zlib.decompress(r.counts), np.int64)
     usual = max(1.0, float(np.median(counts)))
-    return np.clip(np.floor(4 * np.log2(np.maximum(counts, 1) / usual)), 0, 63).astype(np.uint64)
+    return np.clip(np.floor(4 * np.log2(np.maximum(counts, 1) / usual)), 0, 63).astype(np.uint8)
 
 
 def _ranked(grams: np.ndarray, first: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """The sets' elements as numbers in the global order, each set sorted."""
-    keys = (levels[_counter(grams)] << np.uint64(58)) | grams
+    keys = (levels[_counter(grams)].astype(np.uint64) << np.uint64(58)) | grams
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     return keys[np.lexsort((keys, doc))]
 
 
-def _prefixes(words: int, percent: int, shared):
+def _prefixes(words: int, percent: int, shared, bloom=None):
     def run(batches):
         levels = shared.value
         for batch in batches:
@@ -119,14 +146,21 @@ def _prefixes(words: int, percent: int, shared):
                 keys, ids, n = _ranked(grams, first, levels), _set_ids(grams, first), np.diff(first)
                 length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
                 pos = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[np.repeat(first[:-1], length) + pos].view(np.int64)), pa.array(np.repeat(ids, length)), pa.array((np.repeat(n, length) << 32) | pos)], ["token", "sid", "npos"])
+                out = [keys[np.repeat(first[:-1], length) + pos].view(np.int64), np.repeat(ids, length), (np.repeat(n, length) << 32) | pos]
+                if bloom is not None:
+                    keep = _bloom.may_hold(bloom.value, out[0])
+                    out = [x[keep] for x in out]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["token", "sid", "npos"])
 
     return run
 
 
-def _whole_sets(words: int, shared):
+def _whole_sets(words: int, shared, wanted):
+    """``(sid, keys)`` of the rows whose hash is wanted, and of few others."""
+
     def run(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(_bloom.may_hold(wanted.value, batch.column("row_hash").to_numpy(zero_copy_only=False))))
             for _, grams, first in _sets(batch.column("text"), words):
                 keys = _ranked(grams, first, shared.value)
                 yield pa.RecordBatch.from_arrays([pa.array(_set_ids(grams, first)), pa.array([keys[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())], ["sid", "keys"])
@@ -134,6 +168,19 @@ def _whole_sets(words: int, shared):
     return run
 
 
+def _screen(percent: int):
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("a_histogram"), batch.column("b_histogram")
+            keep = np.zeros(batch.num_rows, bool)
+            for k in range(batch.num_rows):
+                x, y = np.frombuffer(a[k].as_buffer(), np.uint8), np.frombuffer(b[k].as_buffer(), np.uint8)
+                keep[k] = (100 + percent) * overlap_bound(x, y) >= percent * (int(x.sum()) + int(y.sum()))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
 def suffix_allows(x: np.ndarray, y: np.ndarray, needed: int, depth: int = 2) -> bool:
     """Whether two sorted sets can have ``needed`` common elements, by splitting both at an element of one."""
     if min(len(x), len(y)) < needed:
@@ -180,10 +227,16 @@ def _filtered(pairs: DataFrame, percent: int, first_common: bool) -> DataFrame:
     return one.where((100 * F.least(n["a"], n["b"]) >= percent * F.greatest(n["a"], n["b"])) & (shared + rest >= needed)).select("a", "b")
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _compare(pairs: DataFrame, rows: DataFrame, reps: DataFrame, shared, words: int, percent: int) -> DataFrame:
+    """``(a, b, linked)`` of the pairs that the histograms leave."""
+    left, right = reps.select(F.col("sid").alias("a"), F.col("histogram").alias("a_histogram")), reps.select(F.col("sid").alias("b"), F.col("histogram").alias("b_histogram"))
+    screened = _spark.saved(pairs.join(left, "a").join(right, "b").select("a", "b", "a_histogram", "b_histogram").mapInArrow(_screen(percent), "a long, b long"), "join-screened")
+    ids = screened.select(F.col("a").alias("sid")).unionAll(screened.select("b")).distinct()
+    wanted = _bloom.build(ids.join(reps, "sid"), "row_hash")
+    sets = _spark.saved(rows.select("row_hash", "text").mapInArrow(_whole_sets(words, shared, wanted), "sid long, keys binary"), "join-sets")
     left, right = sets.select(F.col("sid").alias("a"), F.col("keys").alias("a_keys")), sets.select(F.col("sid").alias("b"), F.col("keys").alias("b_keys"))
-    checked = pairs.join(left, "a").join(right, "b").select("a", "b", "a_keys", "b_keys").mapInArrow(_verify(percent), "a long, b long, linked boolean")
-    return _spark.saved(checked, "join-checked")
+    checked = screened.join(left, "a").join(right, "b").select("a", "b", "a_keys", "b_keys").mapInArrow(_verify(percent), "a long, b long, linked boolean")
+    return _spark.saved(checked.distinct(), "join-checked")
 
 
 def _ordered(a: str, b: str) -> list:
@@ -192,23 +245,22 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.when(flip, F.col("b_at")).otherwise(F.col("a_at")).alias("a_npos"), F.when(flip, F.col("a_at")).otherwise(F.col("b_at")).alias("b_npos")]
 
 
-def _links(docs: DataFrame, info: DataFrame, levels, words: int, percent: int) -> DataFrame | None:
+def _links(rows: DataFrame, info: DataFrame, levels, words: int, percent: int) -> DataFrame | None:
     """``(sid, component)`` of every set that is linked with a different one."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)  # COUNTERS numbers
-    entries = lambda: docs.select("text").mapInArrow(_prefixes(words, percent, shared), "token long, sid long, npos long")
-    often = entries().groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token")
-    lists = _spark.saved(entries().join(often, "token").select("token", "sid", "npos").distinct(), "join-lists")
+    shared = rows.sparkSession.sparkContext.broadcast(levels)  # COUNTERS numbers
+    schema = "token long, sid long, npos long"
+    often = rows.select("text").mapInArrow(_prefixes(words, percent, shared), schema).groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token")
+    often = _spark.saved(often, "join-tokens")
+    bloom = _bloom.build(often, "token")
+    lists = _spark.saved(rows.select("text").mapInArrow(_prefixes(words, percent, shared, bloom), schema).join(often, "token").select("token", "sid", "npos").distinct(), "join-lists")
     n_entries = lists.count()
     if n_entries == 0:
         return None
-    wanted = lists.select("sid").distinct().join(info.groupBy("sid").agg(F.min("text_hash").alias("text_hash")), "sid").select("text_hash")
-    wanted = _spark.saved(wanted, "join-wanted")
-    texts = docs.join(_spark.small(wanted), "text_hash", "left_semi").select("text")
-    sets = _spark.saved(texts.mapInArrow(_whole_sets(words, shared), "sid long, keys binary").groupBy("sid").agg(F.first("keys").alias("keys")), "join-sets")
+    reps = _spark.saved(info.groupBy("sid").agg(F.min("row_hash").alias("row_hash"), F.first("histogram").alias("histogram")), "join-sets-known")
 
     pivot = lists.groupBy("token").agg(F.min(F.struct("sid", "npos")).alias("p")).select("token", F.col("p.sid").alias("y"), F.col("p.npos").alias("b_at"))
     found = lists.select("token", F.col("sid").alias("x"), F.col("npos").alias("a_at")).join(pivot, "token").where("x <> y").select(*_ordered("x", "y"))
-    checked = _compare(_filtered(found, percent, False), sets, percent)
+    checked = _compare(_filtered(found, percent, False), rows, reps, shared, words, percent)
     for turn in range(PIVOT_ROUNDS + 1):
         label = _spark.saved(_spark.components(checked.where("linked").select("a", "b")), "join-labels")
         labelled = lists.join(label.withColumnRenamed("id", "sid"), "sid", "left").select("token", "sid", "npos", F.coalesce("component", "sid").alias("label"))
@@ -227,7 +279,7 @@ def _links(docs: DataFrame, info: DataFrame, levels, words: int, percent: int) -
             found = minor.select("token", F.col("sid").alias("x"), F.col("npos").alias("a_at"), "label").join(whole, "token").where("label <> other")
             found = _filtered(found.select(*_ordered("x", "y")), percent, True)
             last = True
-        more = _compare(found.join(checked.select("a", "b"), ["a", "b"], "left_anti"), sets, percent)
+        more = _compare(found.join(checked.select("a", "b"), ["a", "b"], "left_anti"), rows, reps, shared, words, percent)
         checked = _spark.saved(checked.unionByName(more), "join-checked")
         if last:
             return _spark.components(checked.where("linked").select("a", "b"))
@@ -245,9 +297,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``docs`` are ignored.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    summary = _spark.saved(rows.mapInArrow(_summary(words), "doc_id long, text_hash long, n long, sid long, cell int, counts binary"), "join-summary")
-    info = summary.where("counts is null").select("doc_id", "text_hash", "n", "sid")
+    rows = rows.withColumn("row_hash", F.xxhash64("doc_id", "text"))
+    summary = _spark.saved(rows.mapInArrow(_summary(words), "doc_id long, row_hash long, n long, sid long, histogram binary, cell int, counts binary"), "join-summary")
+    info = summary.where("counts is null").select("doc_id", "row_hash", "n", "sid", "histogram")
     label = _links(rows, info.where("n > 0"), _levels(summary.where("counts is not null")), words, percent)
     own = info.withColumn("component", F.col("sid")) if label is None else info.join(label.withColumnRenamed("id", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     own = own.select("doc_id", "n", "component")
