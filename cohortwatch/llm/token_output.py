@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from cohortwatch.llm import _text
 
 BLOCK_IDS = 1 << 18
-#: Distinct words whose ids a Python worker remembers.
-KNOWN_WORDS = 300_000
+#: Distinct words whose ids a Python worker remembers, and the places of its hash table.
+KNOWN_WORDS, PLACES = 1_500_000, 1 << 22
+#: Words that are looked up at once; fewer than are remembered.
+SLICE = 1 << 20
 
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _BYTES = _LENGTHS.sum(1).astype(np.int64)
@@ -63,6 +65,7 @@ class Encoder:
 
     The library encodes each distinct word between ASCII white space once; that is exact where the
     file's pre-tokenizer drops white space, which is looked up, and else texts are encoded whole.
+    Words are told apart by a 64-bit hash.
     """
 
     def __init__(self, path: str):
@@ -84,20 +87,37 @@ class Encoder:
         return bool(drops and local and plain and not config.get("post_processor"))
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.offsets, self.used = np.zeros(1 << 16, np.uint32), np.zeros(KNOWN_WORDS + 2, np.int64), 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        for w, e in zip(words, self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)):
-            ids, k = e.ids, len(self.known)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-            if k + 1 >= len(self.offsets):
-                self.offsets = np.concatenate([self.offsets, np.zeros(len(self.offsets), np.int64)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.known[w] = k
-            self.offsets[k + 1] = self.used
+        self.places, self.index, self.n = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.int32), 0
+        self.flat, self.offsets = np.zeros(1 << 16, np.uint32), np.zeros(KNOWN_WORDS + 2, np.int64)
+
+    def _find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each word hash (not 0) its place in the table, or the free one it would get, and whether it is there."""
+        place = (words >> np.uint64(42)).astype(np.int64)
+        held = self.places[place]
+        off = np.flatnonzero((held != words) & (held != 0))
+        while len(off):
+            place[off] = (place[off] + 1) & (PLACES - 1)
+            held[off] = self.places[place[off]]
+            off = off[(held[off] != words[off]) & (held[off] != 0)]
+        return place, held != 0
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Encode words that are new and different."""
+        ids = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        used, size = int(self.offsets[self.n]), np.fromiter(map(len, ids), np.int64, len(ids))
+        while used + size.sum() > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[used : used + size.sum()] = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
+        self.offsets[self.n + 1 : self.n + 1 + len(ids)] = used + np.cumsum(size)
+        number = np.arange(self.n, self.n + len(ids), dtype=np.int32)
+        self.n += len(ids)
+        while len(hashes):  # of words that want the same free place one gets it, the others look on
+            place, _ = self._find(hashes)
+            _, first = np.unique(place, return_index=True)
+            self.places[place[first]], self.index[place[first]] = hashes[first], number[first]
+            rest = np.ones(len(hashes), bool)
+            rest[first] = False
+            hashes, number = hashes[rest], number[rest]
 
     def encode(self, texts) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each chunk of a string column its ids and where each document's begin (and the last end)."""
@@ -111,17 +131,27 @@ class Encoder:
         starts, ends, first = chunk.spans(_text.NOT_SPACE)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(chunk.n_docs + 1, np.int64)
-        _, at, inverse = np.unique(chunk.hashes(starts, ends, _text.AS_IS), return_index=True, return_inverse=True)
-        data = chunk.data.tobytes()
-        words = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self._forget()
-        self._learn([w for w in words if w not in self.known])
-        index = np.array([self.known[w] for w in words])[inverse]
+        hashes = chunk.hashes(starts, ends, _text.AS_IS) | np.uint64(1)
+        parts = [self._words(chunk, hashes[k : k + SLICE], starts[k : k + SLICE], ends[k : k + SLICE]) for k in range(0, len(hashes), SLICE)]
+        to = np.cumsum(np.concatenate([n for _, n in parts]))
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([[0], to])[first]
+
+    def _words(self, chunk: _text.Chunk, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words in a row, and how many each has."""
+        place, there = self._find(hashes)
+        if not there.all():
+            if self.n + np.count_nonzero(~there) > KNOWN_WORDS:
+                self._forget()
+                there[:] = False
+            new = np.flatnonzero(~there)
+            distinct, at = np.unique(hashes[new], return_index=True)
+            at = new[at]
+            self._learn(distinct, [chunk.data[a:b].tobytes().decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            place, _ = self._find(hashes)
+        index = self.index[place].astype(np.int64)
         size = self.offsets[index + 1] - self.offsets[index]
         to = np.cumsum(size)
-        ids = self.flat[np.arange(to[-1]) + np.repeat(self.offsets[index] - (to - size), size)]
-        return ids, np.concatenate([[0], to])[first]
+        return self.flat[np.arange(to[-1]) + np.repeat(self.offsets[index] - (to - size), size)], size
 
 
 _encoders: dict[str, Encoder] = {}
