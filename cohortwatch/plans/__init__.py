@@ -5,6 +5,8 @@ The point in time is always the newest event, never the wall clock.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -15,6 +17,7 @@ from cohortwatch.functions.templates import action_time
 from cohortwatch.operators import actions, checks, conditions, models, transforms
 from cohortwatch.plans.oracles import ORACLES
 from cohortwatch.sources import readers, schemas, writers
+from cohortwatch.streaming import monitor
 
 DAY = timedelta(days=1)
 
@@ -178,6 +181,50 @@ def score_threshold(spark, sf_dir):
     return models.score(per_user, model).select("user_id", "score", "is_anomaly")
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``), or a temporary one where there is none."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='cohortwatch-')}"
+    return f"{base.rstrip('/')}/cohortwatch/{name}-{uuid.uuid4().hex}"
+
+
+def saved_result(spark, sf_dir):
+    base = _folder(spark, "results")
+    writers.save_result(_missing(_events(spark, sf_dir)), base, "Sample_Missing_Data", "missing_24h")
+    return writers.load_result(spark, base, "sample_missing_data", "missing_24h")
+
+
+def csv_sources(spark, sf_dir):
+    base = _folder(spark, "csv")
+    events = _events(spark, sf_dir).select("event_id", "event_type", "value")
+    events.where("event_type = 'purchase'").write.csv(f"{base}/a", header=True)
+    events.where("event_type <> 'purchase'").select("event_type", "event_id").write.csv(f"{base}/b", header=True)
+    return readers.read_csv(spark, [f"{base}/a", f"{base}/b"], schemas.struct(event_id=schemas.LongType(), event_type=schemas.TEXT, value=schemas.DOUBLE))
+
+
+def streaming_missing(spark, sf_dir):
+    """The missing-data check as a stream over the whole table, run until all is read."""
+    schema = _events(spark, sf_dir).schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parq*")
+    base, before = _folder(spark, "silence"), spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", monitor.STATE_STORE)
+    try:
+        found = monitor.silent_participants(stream.withColumn("ts", F.col("ts").cast("timestamp")), DAY)
+        monitor.pull(found, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return spark.read.schema("user_id long, last_seen timestamp").parquet(f"{base}/out").select("user_id")
+
+
+def streaming_repeats(spark, sf_dir):
+    """Events that come twice, once each: a stream of two copies of the table."""
+    events = _events(spark, sf_dir)
+    base = _folder(spark, "repeats")
+    events.unionAll(events).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{base}/in").schema).parquet(f"{base}/in")
+    monitor.pull(monitor.without_repeats(stream, ["event_id"], "1 day").select("event_id", "value"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def custom_check(spark, sf_dir):
     def busy(rows: DataFrame, least: int) -> DataFrame:
         return rows.groupBy("user_id").agg(F.count("*").alias("n")).where(F.col("n") >= least)
@@ -185,7 +232,7 @@ def custom_check(spark, sf_dir):
     return transforms.custom(_events(spark, sf_dir), busy, least=70)
 
 
-_QUERIES = (missing_report, missing_24h, missing_from_roster, missing_fraction_3d, recent_literal, spikes_200, spike_flags, missing_backoff, quality_metrics, json_props, json_variant, schema_violations, rendered_alert, scheduled_times, gated_reports, gate_on_long_result, alert_table, event_envelope, report_envelope, message_text, cap_per_group, cleaned_events, union_sources, parsed_times, score_threshold, custom_check)
+_QUERIES = (missing_report, missing_24h, missing_from_roster, missing_fraction_3d, recent_literal, spikes_200, spike_flags, missing_backoff, quality_metrics, json_props, json_variant, schema_violations, rendered_alert, scheduled_times, gated_reports, gate_on_long_result, alert_table, event_envelope, report_envelope, message_text, cap_per_group, cleaned_events, union_sources, parsed_times, score_threshold, saved_result, csv_sources, streaming_missing, streaming_repeats, custom_check)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

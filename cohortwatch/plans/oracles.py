@@ -35,5 +35,9 @@ UNION ALL SELECT event_type, 'corrupt', count(*), 'boolean' FROM events GROUP BY
     "cleaned_events": "SELECT event_id, any_value(value) AS value FROM events WHERE event_id IS NOT NULL AND value BETWEEN 0 AND 200 GROUP BY event_id",
     "union_sources": "SELECT event_id, event_type, value, CASE WHEN event_type = 'purchase' THEN props END AS props FROM events WHERE event_type IS NOT NULL",
     "parsed_times": "SELECT event_id, ts FROM events",
+    "saved_result": _SILENT,
+    "csv_sources": "SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value END AS value FROM events WHERE event_type IS NOT NULL",
+    "streaming_missing": f"SELECT user_id FROM ({_SILENT}) AS s",
+    "streaming_repeats": "SELECT event_id, value FROM events",
     "custom_check": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) >= 70",
 }
