@@ -5,7 +5,7 @@ first: a hashed table of document frequencies over the whole corpus, of fixed si
 n-gram a rank level, and (level, hash) is its place. Two sets of similarity ``t`` or more have a
 common element within their first ``n - ceil(t n) + 1`` elements, so only those prefixes are
 shuffled; prefix elements of a single set drop out (a Bloom filter of fixed size stops most of them
-before the shuffle). Candidates pass a length filter and a positional filter, then a filter on
+before the shuffle). Candidates pass a length filter and a positional filter in the join, then a filter on
 histograms of the sets over hash ranges, whose least sums bound the overlap from above; only sets in
 pairs that are left are gathered. Before the overlap is counted, once per pair, a suffix filter
 splits the sorted sets in halves.
@@ -34,8 +34,8 @@ WORDS, PERCENT = 5, 80
 #: Counters of the document-frequency table, kept and moved in cells.
 COUNTER_BITS, CELL = 22, 1 << 12
 COUNTERS = 1 << COUNTER_BITS
-#: Open pairs for each list entry up to which all of them are compared; until then pivots go on.
-OPEN_PAIRS, PIVOT_ROUNDS = 4, 6
+#: Open pairs, in all or for each list entry, up to which all of them are compared; until then pivots go on.
+ALL_PAIRS, OPEN_PAIRS, PIVOT_ROUNDS = 5_000_000, 20, 2
 
 
 def _sets(texts, n: int):
@@ -212,25 +212,25 @@ def _verify(percent: int):
     return run
 
 
-def _filtered(pairs: DataFrame, percent: int, first_common: bool) -> DataFrame:
-    """Length and positional filters on ``(a, b, a_npos, b_npos)`` rows; one row a pair stays.
+def _may_link(a: str, b: str, percent: int):
+    """Length and positional filter for two entries of one list.
 
-    With ``first_common`` every common prefix element of a pair is among its rows, so before the
-    least positions nothing is shared; else as much as the smaller position may be.
+    If the list's element is the first that the sets share, nothing before it is common, so the
+    overlap is at most what either set has from there on. A linked pair passes in the list of its first
+    common element; its entries in other lists may fail.
     """
-    one = pairs.groupBy("a", "b").agg(F.min("a_npos").alias("a_npos"), F.min("b_npos").alias("b_npos"))
-    n = {x: F.shiftright(f"{x}_npos", 32) for x in "ab"}
-    pos = {x: F.col(f"{x}_npos").bitwiseAND((1 << 32) - 1) for x in "ab"}
-    needed = F.ceil(percent * (n["a"] + n["b"]) / F.lit(100 + percent))
-    rest = F.least(n["a"] - pos["a"], n["b"] - pos["b"])
-    shared = F.lit(0) if first_common else F.least(pos["a"], pos["b"])
-    return one.where((100 * F.least(n["a"], n["b"]) >= percent * F.greatest(n["a"], n["b"])) & (shared + rest >= needed)).select("a", "b")
+    n = [F.shiftright(c, 32) for c in (a, b)]
+    pos = [F.col(c).bitwiseAND((1 << 32) - 1) for c in (a, b)]
+    needed = F.ceil(percent * (n[0] + n[1]) / F.lit(100 + percent))
+    return (100 * F.least(*n) >= percent * F.greatest(*n)) & (F.least(n[0] - pos[0], n[1] - pos[1]) >= needed)
 
 
 def _compare(pairs: DataFrame, rows: DataFrame, reps: DataFrame, shared, words: int, percent: int) -> DataFrame:
     """``(a, b, linked)`` of the pairs that the histograms leave."""
     left, right = reps.select(F.col("sid").alias("a"), F.col("histogram").alias("a_histogram")), reps.select(F.col("sid").alias("b"), F.col("histogram").alias("b_histogram"))
     screened = _spark.saved(pairs.join(left, "a").join(right, "b").select("a", "b", "a_histogram", "b_histogram").mapInArrow(_screen(percent), "a long, b long"), "join-screened")
+    if screened.isEmpty():
+        return screened.withColumn("linked", F.lit(True))
     ids = screened.select(F.col("a").alias("sid")).unionAll(screened.select("b")).distinct()
     wanted = _bloom.build(ids.join(reps, "sid"), "row_hash")
     sets = _spark.saved(rows.select("row_hash", "text").mapInArrow(_whole_sets(words, shared, wanted), "sid long, keys binary"), "join-sets")
@@ -239,12 +239,6 @@ def _compare(pairs: DataFrame, rows: DataFrame, reps: DataFrame, shared, words:
     return _spark.saved(checked.distinct(), "join-checked")
 
 
-def _ordered(a: str, b: str) -> list:
-    """``a`` and ``b`` with their places, the smaller first."""
-    flip = F.col(a) > F.col(b)
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.when(flip, F.col("b_at")).otherwise(F.col("a_at")).alias("a_npos"), F.when(flip, F.col("a_at")).otherwise(F.col("b_at")).alias("b_npos")]
-
-
 def _links(rows: DataFrame, info: DataFrame, levels, words: int, percent: int) -> DataFrame | None:
     """``(sid, component)`` of every set that is linked with a different one."""
     shared = rows.sparkSession.sparkContext.broadcast(levels)  # COUNTERS numbers
@@ -258,28 +252,28 @@ def _links(rows: DataFrame, info: DataFrame, levels, words: int, percent: int) -
         return None
     reps = _spark.saved(info.groupBy("sid").agg(F.min("row_hash").alias("row_hash"), F.first("histogram").alias("histogram")), "join-sets-known")
 
-    pivot = lists.groupBy("token").agg(F.min(F.struct("sid", "npos")).alias("p")).select("token", F.col("p.sid").alias("y"), F.col("p.npos").alias("b_at"))
-    found = lists.select("token", F.col("sid").alias("x"), F.col("npos").alias("a_at")).join(pivot, "token").where("x <> y").select(*_ordered("x", "y"))
-    checked = _compare(_filtered(found, percent, False), rows, reps, shared, words, percent)
+    one_each = lambda found: found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # The pivot is the member with the fewest rarer elements for its size: the least altered of copies.
+    share = F.col("npos").bitwiseAND((1 << 32) - 1) / F.shiftright("npos", 32)
+    pivot = lists.groupBy("token").agg(F.min(F.struct(share.alias("share"), "sid", "npos")).alias("p")).select("token", F.col("p.sid").alias("y"), F.col("p.npos").alias("y_at"))
+    members = lists.select("token", F.col("sid").alias("x"), F.col("npos").alias("x_at"))
+    found = members.join(pivot, "token").where((F.col("x") != F.col("y")) & _may_link("x_at", "y_at", percent))
+    checked = _compare(one_each(found), rows, reps, shared, words, percent)
     for turn in range(PIVOT_ROUNDS + 1):
         label = _spark.saved(_spark.components(checked.where("linked").select("a", "b")), "join-labels")
         labelled = lists.join(label.withColumnRenamed("id", "sid"), "sid", "left").select("token", "sid", "npos", F.coalesce("component", "sid").alias("label"))
         classes = labelled.groupBy("token", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "npos")).alias("p"))
         mixed = classes.groupBy("token").agg(F.count("*").alias("k"), F.sum("n").alias("m"), F.max(F.struct("n", "label", "p")).alias("top")).where("k > 1")
-        mixed = _spark.saved(mixed.select("token", "m", F.col("top.n").alias("top_n"), F.col("top.label").alias("top"), F.col("top.p.sid").alias("y"), F.col("top.p.npos").alias("b_at")), "join-mixed")
+        mixed = _spark.saved(mixed.select("token", "m", F.col("top.n").alias("top_n"), F.col("top.label").alias("top"), F.col("top.p.sid").alias("y"), F.col("top.p.npos").alias("y_at")), "join-mixed")
         still_open = mixed.agg(F.sum(F.expr("m * (m - top_n)"))).first()[0] or 0
         if not still_open:
             return label
-        minor = labelled.join(mixed, "token").where("label <> top")
-        if still_open > max(200_000, OPEN_PAIRS * n_entries) and turn < PIVOT_ROUNDS:
-            found = _filtered(minor.select("token", F.col("sid").alias("x"), F.col("npos").alias("a_at"), "y", "b_at").select(*_ordered("x", "y")), percent, False)
-            last = False
-        else:
-            whole = labelled.join(mixed.select("token"), "token", "left_semi").select("token", F.col("sid").alias("y"), F.col("npos").alias("b_at"), F.col("label").alias("other"))
-            found = minor.select("token", F.col("sid").alias("x"), F.col("npos").alias("a_at"), "label").join(whole, "token").where("label <> other")
-            found = _filtered(found.select(*_ordered("x", "y")), percent, True)
-            last = True
-        more = _compare(found.join(checked.select("a", "b"), ["a", "b"], "left_anti"), rows, reps, shared, words, percent)
+        minor = labelled.join(mixed, "token").where("label <> top").select("token", F.col("sid").alias("x"), F.col("npos").alias("x_at"), "label", "y", "y_at")
+        last = still_open <= max(ALL_PAIRS, OPEN_PAIRS * n_entries) or turn == PIVOT_ROUNDS
+        if last:
+            whole = labelled.join(mixed.select("token"), "token", "left_semi").select("token", F.col("sid").alias("y"), F.col("npos").alias("y_at"), F.col("label").alias("other"))
+            minor = minor.drop("y", "y_at").join(whole, "token").where("label <> other")
+        more = _compare(one_each(minor.where(_may_link("x_at", "y_at", percent))).join(checked.select("a", "b"), ["a", "b"], "left_anti"), rows, reps, shared, words, percent)
         checked = _spark.saved(checked.unionByName(more), "join-checked")
         if last:
             return _spark.components(checked.where("linked").select("a", "b"))
