@@ -16,6 +16,7 @@ documents (their end id only). An empty table gives files without blocks.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 
 import numpy as np
@@ -24,13 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _text
+from cohortwatch.llm import _spark, _text
 
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
 #: Distinct words whose ids a Python worker remembers, and the places of its hash table.
 KNOWN_WORDS, PLACES = 1_500_000, 1 << 22
 #: Words that are looked up at once; fewer than are remembered.
 SLICE = 1 << 20
+#: New words that the library is given as one text.
+JOINED = 2000
 
 _LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 _BYTES = _LENGTHS.sum(1).astype(np.int64)
@@ -69,11 +72,16 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.by_word = self._splits_at_space(json.load(f))
+            config = json.load(f)
+        # Text between special tokens is encoded as if it stood alone, so one of them can part words.
+        marks = [t for t in config.get("added_tokens", []) if t["special"] and not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"])]
+        self.mark, self.mark_id = (marks[0]["content"], marks[0]["id"]) if marks else (None, None)
+        self.by_word = bool(marks) and self._splits_at_space(config)
         self._forget()
 
     @staticmethod
@@ -101,16 +109,33 @@ class Encoder:
             off = off[(held[off] != words[off]) & (held[off] != 0)]
         return place, held != 0
 
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has."""
+        ids, sizes = [], []
+        for k in range(0, len(words), JOINED):
+            own = words[k : k + JOINED]
+            joined = self.mark.join(own)
+            if joined.count(self.mark) == len(own) - 1:
+                found = np.array(self.library.encode(joined, add_special_tokens=False).ids, np.uint32)
+                at = np.flatnonzero(found == self.mark_id)
+                sizes.append(np.diff(np.concatenate([[-1], at, [len(found)]])) - 1)
+                ids.append(np.delete(found, at))
+            else:  # some word has the mark in it
+                each = [e.ids for e in self.library.encode_batch_fast(own, add_special_tokens=False)]
+                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+                ids.append(np.fromiter((i for x in each for i in x), np.uint32))
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Encode words that are new and different."""
-        ids = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        used, size = int(self.offsets[self.n]), np.fromiter(map(len, ids), np.int64, len(ids))
-        while used + size.sum() > len(self.flat):
+        ids, size = self._encode_words(words)
+        used = int(self.offsets[self.n])
+        while used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[used : used + size.sum()] = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
-        self.offsets[self.n + 1 : self.n + 1 + len(ids)] = used + np.cumsum(size)
-        number = np.arange(self.n, self.n + len(ids), dtype=np.int32)
-        self.n += len(ids)
+        self.flat[used : used + len(ids)] = ids
+        self.offsets[self.n + 1 : self.n + 1 + len(words)] = used + np.cumsum(size)
+        number = np.arange(self.n, self.n + len(words), dtype=np.int32)
+        self.n += len(words)
         while len(hashes):  # of words that want the same free place one gets it, the others look on
             place, _ = self._find(hashes)
             _, first = np.unique(place, return_index=True)
@@ -164,36 +189,41 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _frequencies(path: str, end_id: int):
-    def run(batches):
-        counts = np.zeros(1, np.int64)
-        for batch in batches:
-            for ids, first in encoder(path).encode(batch.column(0)):
-                new = np.bincount(ids, minlength=max(len(counts), end_id + 1))
-                new[end_id] += len(first) - 1
-                new[: len(counts)] += counts
-                counts = new
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["id", "n"])
+_BLOCK = "part int, block int, before long, doc_ids array<long>, counts array<int>, control binary, data binary"
+_NAMES = ["part", "block", "before", "doc_ids", "counts", "control", "data"]
 
-    return run
 
+def _block(part: int, block: int, before: int, docs: list, counts: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
+    """A block in the making: ranks of its own, which ``known`` translates."""
+    ids = np.concatenate(held)
+    known, index, n = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(known), np.uint32)
+    rank[order] = np.arange(len(known))
+    control, data = pack(rank[index])
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int32())), pa.array([control]), pa.array([data]), pa.array([known[order].tobytes()])], [*_NAMES, "known"])
+
+
+def _encoded(path: str, end_id: int):
+    """Blocks with ranks of their own, and at the end of a part a row (block -1) with its ids' counts."""
 
-def _blocks(path: str, end_id: int, ranks):
     def run(batches):
-        rank, part, block, before = ranks.value, TaskContext.get().partitionId(), 0, 0
+        part, block, before, size = TaskContext.get().partitionId(), 0, 0, 0
         held: list[np.ndarray] = []
         docs: list = []
         counts: list[int] = []
-        size = 0
+        end, total = np.array([end_id], np.uint32), np.zeros(1, np.int64)
         for batch in batches:
             at = 0
             for ids, first in encoder(path).encode(batch.column("text")):
-                coded, n = rank[ids], len(first) - 1
+                new = np.bincount(ids, minlength=max(len(total), end_id + 1))
+                new[end_id] += len(first) - 1
+                new[: len(total)] += total
+                total, n = new, len(first) - 1
                 own = batch.column("doc_id").slice(at, n).to_pylist()
                 at += n
                 for d in range(n):
-                    held += [coded[first[d] : first[d + 1]], rank[[end_id]]]
+                    held += [ids[first[d] : first[d + 1]], end]
                     docs.append(own[d])
                     counts.append(int(first[d + 1] - first[d]) + 1)
                     size += counts[-1]
@@ -202,30 +232,51 @@ def _blocks(path: str, end_id: int, ranks):
                         block, before, size, held, docs, counts = block + 1, before + size, 0, [], [], []
         if docs:
             yield _block(part, block, before, docs, counts, held)
+        known = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([known.tolist()], pa.list_(pa.int64())), pa.nulls(1, pa.list_(pa.int32())), pa.nulls(1, pa.binary()), pa.array([total[known].tobytes()]), pa.nulls(1, pa.binary())], [*_NAMES, "known"])
 
     return run
 
 
-_BLOCK = "part int, block int, before long, doc_ids array<long>, counts array<int>, control binary, data binary"
+def _counts(batches):
+    for batch in batches:
+        for ids, n in zip(batch.column("doc_ids"), batch.column("data")):
+            yield pa.RecordBatch.from_arrays([ids.values, pa.array(np.frombuffer(n.as_buffer(), np.int64))], ["id", "n"])
 
 
-def _block(part: int, block: int, before: int, docs: list, counts: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
-    control, data = pack(np.concatenate(held))
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int32())), pa.array([control]), pa.array([data])], ["part", "block", "before", "doc_ids", "counts", "control", "data"])
+def _ranked(ranks):
+    """The blocks with the common ranks."""
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                known = np.frombuffer(one.column("known")[0].as_buffer(), np.uint32)
+                n = sum(one.column("counts")[0].as_py())
+                own = unpack(one.column("control")[0].as_py(), one.column("data")[0].as_py(), n)
+                control, data = pack(ranks.value[known][own])
+                yield pa.RecordBatch.from_arrays([*(one.column(c) for c in _NAMES[:5]), pa.array([control]), pa.array([data])], _NAMES)
+
+    return run
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode the documents with the ``tokenizers`` file, end each with ``end_id``, and write the folder ``path``."""
+    """Encode the documents with the ``tokenizers`` file, end each with ``end_id``, and write the folder ``path``.
+
+    Texts are encoded once, into blocks that have ranks of their own and wait in the shared folder
+    until the common ranks are known.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    found = rows.select("text").mapInArrow(_frequencies(tokenizer, end_id), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # a row for each id of the vocabulary at most
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    encoded = _spark.saved(ordered.mapInArrow(_encoded(tokenizer, end_id), _BLOCK + ", known binary"), "ids-encoded")
+    found = encoded.where("block < 0").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # a row for each id of the vocabulary at most
     ids = np.array([r.id for r in sorted(found, key=lambda r: (-r.n, r.id))], np.int64)
     rank = np.zeros(int(ids.max(initial=0)) + 1, np.uint32)
     rank[ids] = np.arange(len(ids))
     spark.createDataFrame([(k, int(i)) for k, i in enumerate(ids)], "rank int, id long").coalesce(1).write.parquet(f"{path}/ranks")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    ordered.mapInArrow(_blocks(tokenizer, end_id, spark.sparkContext.broadcast(rank)), _BLOCK).write.parquet(f"{path}/blocks")
+    encoded.where("block >= 0").mapInArrow(_ranked(spark.sparkContext.broadcast(rank)), _BLOCK).write.parquet(f"{path}/blocks")
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
