@@ -239,9 +239,15 @@ def _encoded(path: str, end_id: int):
 
 
 def _counts(batches):
+    total = np.zeros(1, np.int64)
     for batch in batches:
         for ids, n in zip(batch.column("doc_ids"), batch.column("data")):
-            yield pa.RecordBatch.from_arrays([ids.values, pa.array(np.frombuffer(n.as_buffer(), np.int64))], ["id", "n"])
+            known = ids.values.to_numpy()
+            if known.max(initial=0) >= len(total):
+                total = np.concatenate([total, np.zeros(int(known.max()) + 1 - len(total), np.int64)])
+            total[known] += np.frombuffer(n.as_buffer(), np.int64)
+    found = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["id", "n"])
 
 
 def _ranked(ranks):
