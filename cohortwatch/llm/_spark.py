@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only if it is known to have no more rows than this.
 BROADCAST_ROWS = 200_000
+#: Rows of an Arrow batch while scratch tables are written.
+BATCH_ROWS = 500
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -22,10 +24,19 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: lineage ends at replicated files."""
+    """``df`` written as a table in the shared folder and read again: lineage ends at replicated files.
+
+    While it is written, Arrow batches hold ``BATCH_ROWS`` rows at most, as a row may be a long text or set.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/cohortwatch/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(key))
+    spark.conf.set(key, min(before, BATCH_ROWS) if before > 0 else BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -94,14 +94,14 @@ _SUMMARY = ["doc_id", "row_hash", "n", "sid", "histogram", "cell", "counts"]
 
 def _cells(counts: np.ndarray) -> pa.RecordBatch:
     at = np.flatnonzero(counts.reshape(-1, CELL).any(1))
-    packed = [zlib.compress(counts[k * CELL : (k + 1) * CELL].tobytes(), 1) for k in at]
+    packed = [zlib.compress(counts[k * CELL : (k + 1) * CELL].astype(np.int64).tobytes(), 1) for k in at]
     none = [pa.nulls(len(at), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())]
     return pa.RecordBatch.from_arrays([*none, pa.array(at, pa.int32()), pa.array(packed, pa.binary())], _SUMMARY)
 
 
 def _summary(words: int):
     def run(batches):
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int32)  # of one task
         for batch in batches:
             for at, grams, first in _sets(batch.column("text"), words):
                 np.add.at(counts, _counter(grams), 1)
