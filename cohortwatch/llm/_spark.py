@@ -40,6 +40,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches hold ``BATCH_ROWS`` rows at most, for results that are written later."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` marked for broadcast if its row count is within the bound, else as it is (shuffle join)."""
     rows = df.count() if rows is None else rows
