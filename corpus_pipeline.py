@@ -14,16 +14,19 @@ from cohortwatch.llm import _spark, decontaminate, mixing, ngram_join, quality,
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
+    _spark.small_batches(spark)
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents connected by Jaccard similarity of 0.8 or more the one with the least id stays."""
+    _spark.small_batches(spark)
     return ngram_join.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth of the words or more stand in passages of the benchmark go."""
+    _spark.small_batches(spark)
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
