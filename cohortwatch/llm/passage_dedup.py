@@ -8,17 +8,21 @@ about ``2 * reach`` words, however it is embedded. Line breaks play no part.
 Paragraphs get MinHash values of their word shingles, in bands; :func:`tune` finds the fewest values
 that bring pairs of the wanted similarity together with the wanted recall. Only band keys that
 occur in several documents are kept (a Bloom filter of fixed size stops most others before
-the shuffle); under a key each paragraph is paired with the first and the last of its paragraphs, never
-with all. Pairs are verified by exact Jaccard, then extended word by word in both documents;
+the shuffle); under a key each paragraph is first paired with the first and the last of its paragraphs.
+Pairs are verified by exact Jaccard, then extended word by word in both documents;
 pairs whose passage reaches ``min_words`` words link their paragraphs, and connected paragraphs are a
 cluster: the first of it stays, the others are removed.
+
+What the first round leaves open is then settled. Equal paragraphs in several clusters are linked by the
+hashes of all windows of ``min_words`` words around them, without pairs. Of similar but different
+paragraph contents in several clusters every pair is compared, with all the paragraphs of its two documents.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwatch.llm import _bloom, _spark, _text
@@ -81,6 +85,10 @@ class Paragraphs:
         order = np.lexsort((grams, owner))
         self.grams, owner = grams[order], owner[order]
         self.first = np.searchsorted(owner, np.arange(len(self.start) + 1))
+        self.first_word = first
+        offset = (np.arange(len(self.words)) - np.repeat(self.start, self.size)).astype(np.uint64)
+        mixed = _text.mix(self.words ^ _text.mix(offset + np.uint64(1)))
+        self.content = (np.add.reduceat(mixed, self.start) if len(self.start) else np.zeros(0, np.uint64)).view(np.int64)
         self.keys = np.zeros((len(self.start), bands), np.uint64)
         for b in range(bands) if len(self.start) else ():
             for r in range(rows):
@@ -100,7 +108,7 @@ def _band_keys(reach: int, n: int, bands: int, rows: int):
     return run
 
 
-_PARAGRAPH = "key long, doc_id long, place int, size int, grams binary"
+_PARAGRAPH = "key long, doc_id long, place int, size int, content long, grams binary"
 
 
 def _kept_keys(reach: int, n: int, bands: int, rows: int, bloom):
@@ -112,7 +120,51 @@ def _kept_keys(reach: int, n: int, bands: int, rows: int, bloom):
                 at = hit // bands
                 own = batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(p.doc[at]))
                 grams = [np.unique(p.grams[p.first[k] : p.first[k + 1]]).tobytes() for k in at]
-                yield pa.RecordBatch.from_arrays([pa.array(p.keys.reshape(-1)[hit].view(np.int64)), own, pa.array(p.place[at], pa.int32()), pa.array(p.size[at], pa.int32()), pa.array(grams, pa.binary())], ["key", "doc_id", "place", "size", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(p.keys.reshape(-1)[hit].view(np.int64)), own, pa.array(p.place[at], pa.int32()), pa.array(p.size[at], pa.int32()), pa.array(p.content[at]), pa.array(grams, pa.binary())], ["key", "doc_id", "place", "size", "content", "grams"])
+
+    return run
+
+
+def _windows(reach: int, n: int, min_words: int, open_contents, shared=None):
+    """The windows of ``min_words`` words that hold a paragraph whose content is open, each with the first of these."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk in _text.chunks(batch.column("text")):
+                p = Paragraphs(chunk, reach, n, 0, 0)
+                hit = np.flatnonzero(_bloom.may_hold(open_contents.value, p.content.view(np.uint64)))
+                long = hit[p.size[hit] >= min_words]
+                hit = hit[p.size[hit] < min_words]
+                grams, at = _text.ngrams(p.words, p.first_word, min_words)
+                count = min_words - p.size[hit] + 1
+                lead = np.repeat(hit, count)
+                begin = np.repeat(p.start[hit] + p.size[hit] - min_words, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                where = np.minimum(np.searchsorted(at, begin), max(0, len(at) - 1))
+                whole = (at[where] == begin) & (p.doc[lead] == np.searchsorted(p.first_word, begin, "right") - 1) if len(at) else np.zeros(len(begin), bool)
+                begin, index = np.unique(begin[whole], return_index=True)
+                lead, window = np.concatenate([lead[whole][index], long]), np.concatenate([grams[where[whole][index]], p.content[long].view(np.uint64)]).view(np.int64)
+                begin = np.concatenate([begin, p.start[long]])
+                length = np.concatenate([np.full(len(index), min_words), p.size[long]])
+                if shared is not None:
+                    keep = _bloom.may_hold(shared.value, window)
+                    lead, window, begin, length = lead[keep], window[keep], begin[keep], length[keep]
+                own = batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(p.doc[lead]))
+                begin = begin - p.first_word[p.doc[lead]]
+                yield pa.RecordBatch.from_arrays([pa.array(window), own, *(pa.array(x.astype(np.int64)) for x in (p.place[lead], begin, begin + length))], ["window", "doc_id", "place", "start", "end"])
+
+    return run
+
+
+def _similar_contents(percent: int):
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("grams"), batch.column("other_grams")
+            keep = np.zeros(batch.num_rows, bool)
+            for k in range(batch.num_rows):
+                x, y = np.frombuffer(a[k].as_buffer(), np.uint64), np.frombuffer(b[k].as_buffer(), np.uint64)
+                both = len(np.intersect1d(x, y, True))
+                keep[k] = 100 * both >= percent * (len(x) + len(y) - both)
+            yield batch.select(["content", "other_content"]).filter(pa.array(keep))
 
     return run
 
@@ -184,6 +236,74 @@ def _extend(min_words: int):
     return run
 
 
+_LINK = "doc_id long, place long, start long, end long, other long, other_place long, other_start long, other_end long"
+
+
+def _node(doc: str = "doc_id", place: str = "place") -> Column:
+    return F.xxhash64(F.col(doc), F.col(place).cast("long"))
+
+
+def _edges(found: DataFrame) -> DataFrame:
+    return found.select(_node().alias("a"), _node("other", "other_place").alias("b"))
+
+
+def _labelled(held: DataFrame, found: DataFrame) -> DataFrame:
+    """``(content, doc_id, place, size, label)`` of every paragraph; the label is its cluster so far."""
+    label = _spark.components(_edges(found)).withColumnRenamed("id", "node")
+    nodes = held.select("content", "doc_id", "place", "size").distinct().withColumn("node", _node())
+    return _spark.saved(nodes.join(label, "node", "left").select("content", "doc_id", "place", "size", F.coalesce("component", "node").alias("label")), "passage-labels")
+
+
+def _extended(rows: DataFrame, similar: DataFrame, ids: DataFrame, min_words: int) -> DataFrame:
+    """The links that the similar pairs make."""
+    by_doc = similar.groupBy("doc_id", "other").agg(F.collect_list(F.struct("place", "size", "other_place", "other_size")).alias("pairs"))  # paragraphs of two documents
+    ids = _spark.saved(ids, "passage-ids")
+    texts = rows.mapInArrow(_all_words(_bloom.build(ids, "doc_id")), "doc_id long, words binary")
+    texts = _spark.saved(texts.groupBy("doc_id").agg(F.max(F.struct(F.length("words").alias("n"), "words")).alias("w")).select("doc_id", "w.words"), "passage-words")
+    both = by_doc.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("other"), F.col("words").alias("other_words")), "other")
+    return _spark.saved(both.select("doc_id", "other", "pairs", "words", "other_words").mapInArrow(_extend(min_words), _LINK), "passage-links")
+
+
+def _exact_links(rows: DataFrame, nodes: DataFrame, reach: int, words: int, min_words: int) -> DataFrame:
+    """Equal paragraphs in several clusters, linked where a window of ``min_words`` words around them is equal.
+
+    Equality is transitive, so a window's holders are linked with the first of them and none is left out.
+    """
+    open_ = _spark.saved(nodes.groupBy("content").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("content"), "passage-open")
+    bloom = _bloom.build(open_, "content")
+    # Of rows that repeat an id only the one that counts.
+    one = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    several = rows.join(one, "doc_id").withColumn("n", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).groupBy("doc_id").agg(F.max_by("text", F.struct("n", F.xxhash64("text"))).alias("text"))
+    rows = rows.join(one, "doc_id", "left_anti").unionByName(several)
+    schema = "window long, doc_id long, place long, start long, end long"
+    counted = rows.mapInArrow(_windows(reach, words, min_words, bloom), schema).groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    shared = _spark.saved(counted.where("low < high").select("window"), "passage-windows")
+    at = _spark.saved(rows.mapInArrow(_windows(reach, words, min_words, bloom, _bloom.build(shared, "window")), schema).join(shared, "window"), "passage-window-places")
+    lead = at.groupBy("window").agg(F.min(F.struct("doc_id", "place", "start", "end")).alias("o"))
+    links = at.join(lead, "window").where(F.col("doc_id") != F.col("o.doc_id"))
+    return links.select("doc_id", "place", "start", "end", F.col("o.doc_id").alias("other"), F.col("o.place").alias("other_place"), F.col("o.start").alias("other_start"), F.col("o.end").alias("other_end"))
+
+
+def _near_links(rows: DataFrame, held: DataFrame, nodes: DataFrame, min_words: int, percent: int) -> DataFrame:
+    """Links between similar paragraphs of different contents in several clusters: every open pair is compared."""
+    sets = held.groupBy("content").agg(F.min("grams").alias("grams"))
+    entries = held.select("key", "content", F.length("grams").alias("n")).distinct()
+    other = entries.select("key", F.col("content").alias("other_content"), F.col("n").alias("other_n"))
+    near = (F.col("content") < F.col("other_content")) & (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
+    pairs = entries.join(other, "key").where(near).select("content", "other_content").distinct()
+    checked = pairs.join(sets, "content").join(sets.select(F.col("content").alias("other_content"), F.col("grams").alias("other_grams")), "other_content")
+    alike = _spark.saved(checked.select("content", "other_content", "grams", "other_grams").mapInArrow(_similar_contents(percent), "content long, other_content long"), "passage-alike")
+    across = nodes.select(*[F.col(c).alias(b) for c, b in (("content", "other_content"), ("doc_id", "other"), ("place", "other_place"), ("size", "other_size"), ("label", "other_label"))])
+    classes = nodes.groupBy("content").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    far = classes.select(F.col("content").alias("other_content"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
+    still = alike.join(classes, "content").join(far, "other_content").where(F.least("low", "other_low") < F.greatest("high", "other_high")).select("content", "other_content")
+    met = nodes.join(still, "content").join(across, "other_content").where("label <> other_label and doc_id <> other")
+    docs = _spark.saved(met.select(F.least("doc_id", "other").alias("doc_id"), F.greatest("doc_id", "other").alias("other")).distinct(), "passage-open-pairs")
+    both_ways = alike.unionAll(alike.select(F.col("other_content").alias("content"), F.col("content").alias("other_content"))).unionAll(nodes.select("content", F.col("content").alias("other_content")).distinct())
+    similar = docs.join(nodes, "doc_id").join(both_ways, "content").join(across, ["other", "other_content"]).select("doc_id", "place", "size", "other", "other_place", "other_size")
+    return _extended(rows, similar, docs.select("doc_id").unionAll(docs.select(F.col("other").alias("doc_id"))).distinct(), min_words)
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, words: int = WORDS, percent: int = PERCENT, reach: int = REACH, recall: float = RECALL) -> DataFrame:
     """Passages of ``min_words`` words or more that documents share, one row for each document and passage.
 
@@ -210,18 +330,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     checked = pairs.join(grams, ["doc_id", "place"]).join(grams.select(F.col("doc_id").alias("other"), F.col("place").alias("other_place"), F.col("grams").alias("other_grams")), ["other", "other_place"])
     similar = _spark.saved(checked.select("doc_id", "place", "size", "other", "other_place", "other_size", "grams", "other_grams").mapInArrow(_similar(percent), "doc_id long, place int, size int, other long, other_place int, other_size int"), "passage-similar")
 
-    by_doc = similar.groupBy("doc_id", "other").agg(F.collect_list(F.struct("place", "size", "other_place", "other_size")).alias("pairs"))  # paragraphs of two documents
-    ids = _spark.saved(similar.select("doc_id").unionAll(similar.select(F.col("other").alias("doc_id"))).distinct(), "passage-ids")
-    texts = rows.mapInArrow(_all_words(_bloom.build(ids, "doc_id")), "doc_id long, words binary")
-    texts = _spark.saved(texts.groupBy("doc_id").agg(F.max(F.struct(F.length("words").alias("n"), "words")).alias("w")).select("doc_id", "w.words"), "passage-words")
-    both = by_doc.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("other"), F.col("words").alias("other_words")), "other")
-    found = _spark.saved(both.select("doc_id", "other", "pairs", "words", "other_words").mapInArrow(_extend(min_words), "doc_id long, place long, start long, end long, other long, other_place long, other_start long, other_end long"), "passage-links")
-
-    node = F.xxhash64("doc_id", "place")
-    links = found.select(node.alias("a"), F.xxhash64("other", "other_place").alias("b"))
-    clusters = _spark.components(links)
+    ids = similar.select("doc_id").unionAll(similar.select(F.col("other").alias("doc_id"))).distinct()
+    found = _extended(rows, similar, ids, min_words)
+    found = _spark.saved(found.unionByName(_exact_links(rows, _labelled(held, found), reach, words, min_words)), "passage-links")
+    found = found.unionByName(_near_links(rows, held, _labelled(held, found), min_words, percent))
+    clusters = _spark.components(_edges(found))
     spans = found.select("doc_id", "place", "start", "end").unionAll(found.select(F.col("other").alias("doc_id"), F.col("other_place").alias("place"), F.col("other_start").alias("start"), F.col("other_end").alias("end")))
-    spans = spans.groupBy("doc_id", "place").agg(F.min("start").alias("start"), F.max("end").alias("end")).withColumn("id", node)
+    spans = spans.groupBy("doc_id", "place").agg(F.min("start").alias("start"), F.max("end").alias("end")).withColumn("id", _node())
     spans = _spark.saved(spans.join(clusters, "id").select("doc_id", "place", "start", "end", "component"), "passage-spans")
     lead = spans.groupBy("component").agg(F.min(F.struct("doc_id", "place")).alias("lead"))
     own = spans.join(lead, "component").withColumn("removed", F.struct("doc_id", "place") != F.col("lead"))
