@@ -9,7 +9,7 @@ itself.
 
 Each pair is aligned by patience diff: equal heads and tails are matched, then the lines that occur
 once in both are matched along their longest increasing run, and the gaps between are treated in
-the same way. Blocks of consecutive aligned lines with ``min_words`` words or more are deleted from
+the same way; a gap without such a line is split at the longest run of lines that both sides hold. Blocks of consecutive aligned lines with ``min_words`` words or more are deleted from
 the later document.
 
 Lines are compared as 64-bit hashes of their whole text; lines without a word are aligned but
@@ -31,6 +31,33 @@ from cohortwatch.llm import _bloom, _spark, _text
 MIN_WORDS = 5
 
 
+def longest_run(a: list[int], b: list[int]) -> tuple[int, int, int]:
+    """``(start in a, start in b, lines)`` of the longest common run, the first in a and then in b."""
+    number: dict = {}
+    code = np.array([number.setdefault(x, len(number)) for x in (*a, *b)], np.int64)
+    best, low, high = (0, 0, 0), 1, min(len(a), len(b))
+    ranks = {1: code}  # of the runs of each length that is a power of two
+
+    def ranked(n: int) -> np.ndarray:
+        if n not in ranks:
+            half = 1 << (n - 1).bit_length() - 1
+            x = ranked(half)
+            ranks[n] = np.unique(x[: len(code) - n + 1] * (len(code) + 2) + x[n - half : len(code) - half + 1], return_inverse=True)[1].astype(np.int64)
+        return ranks[n] if n & (n - 1) == 0 else ranks.pop(n)
+
+    while low <= high:
+        n = (low + high) // 2
+        x = ranked(n)
+        x, y = x[: len(a) - n + 1], x[len(a) : len(a) + len(b) - n + 1]
+        common = np.isin(x, y)
+        if common.any():
+            at = int(common.argmax())
+            best, low = (at, int((y == x[at]).argmax()), n), n + 1
+        else:
+            high = n - 1
+    return best
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     """Blocks ``(start in a, start in b, lines)`` of the patience alignment of two line sequences."""
     matched: list[tuple[int, int]] = []
@@ -53,6 +80,10 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
                 c[2 * side + 1] = p
         anchors = sorted((c[1], c[3]) for c in count.values() if c[0] == c[2] == 1)
         if not anchors:
+            if any(c[0] and c[2] for c in count.values()):
+                x, y, n = longest_run(a[i:j], b[k:m])
+                matched += [(i + x + r, k + y + r) for r in range(n)]
+                todo += [(i, i + x, k, k + y), (i + x + n, j, k + y + n, m)]
             continue
         tails: list[int] = []
         last: list[int] = []

@@ -2,7 +2,11 @@
 
 import random
 
-from cohortwatch.llm import passage_dedup
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cohortwatch.llm import line_dedup, passage_dedup
 
 
 def words(rng, n):
@@ -36,3 +40,16 @@ def test_open_pairs_of_similar_paragraphs_are_compared(spark):
                 if copies[a][i : i + 50] == copies[b][i : i + 50]:
                     held = {(d, 30 + i + k) for d in (a, b) for k in range(17, 33)}
                     assert held <= covered, (a, b, i)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 4), min_size=1, max_size=20), st.lists(st.integers(0, 4), min_size=1, max_size=20))
+def test_longest_run(a, b):
+    x, y, n = line_dedup.longest_run(a, b)
+    assert a[x : x + n] == b[y : y + n]
+    assert n == max(k for k in range(21) if any(a[p : p + k] == b[q : q + k] for p in range(len(a) - k + 1) for q in range(len(b) - k + 1)))
+
+
+def test_patience_aligns_repeated_lines():
+    for a, b in (([1, 7, 8, 9, 2, 7, 8, 9, 3], [4, 7, 8, 9, 5]), ([4, 7, 8, 9, 5], [1, 7, 8, 9, 2, 7, 8, 9, 3])):
+        assert [n for _, _, n in line_dedup.patience(a, b)] == [3]
