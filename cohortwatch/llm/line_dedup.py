@@ -1,11 +1,11 @@
 """Line dedup by pairwise alignment.
 
 Documents that overlap are found through shared line hashes: a line that several documents hold
-nominates, for each of them, the first document (least id) that holds it. A document's partners
-are taken rarest line first: a line is passed over only if a rarer line of the document already
-nominated the same partner. Lines of any frequency nominate, at one partner a document, so a line
-that a third of all documents share costs one pair for each of them and no group is paired with
-itself.
+nominates, for each of them, the first document (least id) that holds it. Lines of any frequency
+nominate, at one partner a document, so a line that a third of all documents share costs one pair
+for each of them. Lines of which the deleted blocks cover fewer copies than a document holds
+then nominate the next holders (those with more copies than are covered), 1, 2, 4, … at a time, until
+the copies are covered or no earlier holder is left.
 
 Each pair is aligned by patience diff: equal heads and tails are matched, then the lines that occur
 once in both are matched along their longest increasing run, and the gaps between are treated in
@@ -22,7 +22,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortwatch.llm import _bloom, _spark, _text
@@ -122,23 +122,52 @@ def _lines(chunk: _text.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return chunk.hashes(starts, ends, _text.AS_IS), np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts), first
 
 
+def _line_copies(h: np.ndarray, words: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The nominating lines: hash, document and line number."""
+    at = np.flatnonzero(words >= min_words)
+    return h[at], np.searchsorted(first, at, "right") - 1, at
+
+
+def _counted(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key once a document, with the number of its copies."""
+    order = np.lexsort((keys, doc))
+    keys, doc = keys[order], doc[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+    at = np.flatnonzero(new)
+    return keys[at], doc[at], np.diff(np.append(at, len(keys)))
+
+
 def _nominating(min_words: int, bloom=None):
-    """Rows ``(line, doc_id)``: each nominating line once a document."""
+    """Rows ``(line, doc_id, copies)``: each nominating line once a document."""
 
     def run(batches):
         for batch in batches:
             for chunk in _text.chunks(batch.column("text")):
-                h, words, first = _lines(chunk)
-                doc = np.repeat(np.arange(chunk.n_docs), np.diff(first))
-                keep = words >= min_words
+                keys, doc, _ = _line_copies(*_lines(chunk), min_words)
                 if bloom is not None:
-                    keep &= _bloom.may_hold(bloom.value, h)
-                h, doc = h[keep], doc[keep]
-                order = np.lexsort((h, doc))
-                h, doc = h[order], doc[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(doc[new]))], ["line", "doc_id"])
+                    keep = _bloom.may_hold(bloom.value, keys)
+                    keys, doc = keys[keep], doc[keep]
+                keys, doc, copies = _counted(keys, doc)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(doc)), pa.array(copies.astype(np.int32))], ["line", "doc_id", "copies"])
+
+    return run
+
+
+def _covered(min_words: int):
+    """Rows ``(line, doc_id, copies)``: how many copies of a nominating line stand in the document's blocks."""
+
+    def run(batches):
+        for batch in batches:
+            for doc, lines, words, starts, ends in zip(*(batch.column(c) for c in ("doc_id", "lines", "words", "starts", "ends"))):
+                h, count = np.frombuffer(lines.as_buffer(), np.uint64), np.frombuffer(words.as_buffer(), np.int32)
+                gone = np.zeros(len(h) + 1, np.int64)
+                np.add.at(gone, starts.values.to_numpy(), 1)
+                np.add.at(gone, ends.values.to_numpy() + 1, -1)
+                keys, _, at = _line_copies(h, count, np.array([0, len(h)]), min_words)
+                keys = keys[np.cumsum(gone)[at] > 0]
+                keys, _, copies = _counted(keys, np.zeros(len(keys), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), doc.as_py(), np.int64)), pa.array(copies.astype(np.int32))], ["line", "doc_id", "copies"])
 
     return run
 
@@ -174,6 +203,9 @@ def _align(min_words: int):
     return run
 
 
+_BLOCK = "doc_id long, kept_doc_id long, first_line long, last_line long, kept_first_line long, n_words long"
+
+
 def aligned_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The blocks to delete: ``doc_id``, ``kept_doc_id``, lines from 0, and the words of the block.
 
@@ -182,17 +214,46 @@ def aligned_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text; null and empty texts, and an empty table, give no rows. Other columns are ignored.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    schema = "line long, doc_id long"
-    counted = rows.mapInArrow(_nominating(min_words), schema).groupBy("line").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
-    shared = _spark.saved(counted.where("kept_doc_id < high").select("line", "kept_doc_id", "n"), "line-shared")
+    schema = "line long, doc_id long, copies int"
+    counted = rows.mapInArrow(_nominating(min_words), schema).groupBy("line").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("high"))
+    shared = _spark.saved(counted.where("kept_doc_id < high").select("line", "kept_doc_id"), "line-shared")
     bloom = _bloom.build(shared, "line")
-    held = rows.mapInArrow(_nominating(min_words, bloom), schema).join(shared, "line").where("doc_id > kept_doc_id")
-    pairs = _spark.saved(held.groupBy("doc_id", "kept_doc_id").agg(F.min("n").alias("rarest")).select("doc_id", "kept_doc_id", "rarest"), "line-pairs")
-    ids = _spark.saved(pairs.select("doc_id").unionAll(pairs.select(F.col("kept_doc_id").alias("doc_id"))).distinct(), "line-ids")
+    held = _spark.saved(rows.mapInArrow(_nominating(min_words, bloom), schema).join(shared, "line").groupBy("line", "doc_id").agg(F.max("copies").alias("copies"), F.first("kept_doc_id").alias("first")), "line-held")
+    ids = held.select("doc_id").distinct()
     sequences = _spark.saved(rows.mapInArrow(_sequences(_bloom.build(ids, "doc_id")), "doc_id long, lines binary, words binary").groupBy("doc_id").agg(F.min(F.struct("lines", "words")).alias("s")).select("doc_id", "s.lines", "s.words"), "line-sequences")
-    later = pairs.join(sequences, "doc_id")
-    both = later.join(sequences.select(F.col("doc_id").alias("kept_doc_id"), F.col("lines").alias("kept_lines")), "kept_doc_id")
-    return both.select("doc_id", "kept_doc_id", "lines", "words", "kept_lines").mapInArrow(_align(min_words), "doc_id long, kept_doc_id long, first_line long, last_line long, kept_first_line long, n_words long")
+    kept = sequences.select(F.col("doc_id").alias("kept_doc_id"), F.col("lines").alias("kept_lines"))
+
+    def align(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sequences, "doc_id").join(kept, "kept_doc_id").select("doc_id", "kept_doc_id", "lines", "words", "kept_lines")
+        return _spark.saved(both.mapInArrow(_align(min_words), _BLOCK), "line-blocks")
+
+    tried = _spark.saved(held.where("doc_id > first").select("doc_id", F.col("first").alias("kept_doc_id")).distinct(), "line-pairs")
+    blocks = align(tried)
+    open_, turn = None, 0
+    while True:
+        spans = blocks.groupBy("doc_id").agg(F.collect_list("first_line").alias("starts"), F.collect_list("last_line").alias("ends"))  # of one document
+        covered = sequences.join(spans, "doc_id").mapInArrow(_covered(min_words), schema).withColumnRenamed("copies", "covered")
+        before = held.where("doc_id > first").select("line", "doc_id", "copies") if open_ is None else open_.select("line", "doc_id", "copies", "upto")
+        left = before.join(covered, ["line", "doc_id"], "left").withColumn("covered", F.coalesce("covered", F.lit(0))).where("covered < copies")
+        if open_ is None:
+            left = _spark.saved(left, "line-open")
+            if left.isEmpty():
+                return blocks
+            # Places of an open line's holders, in the order of their ids.
+            places = held.join(left.select("line").distinct(), "line", "left_semi").withColumn("place", F.row_number().over(Window.partitionBy("line").orderBy("doc_id")))
+            places = _spark.saved(places.select("line", "doc_id", "copies", "place"), "line-places")
+            left = left.withColumn("upto", F.lit(1))
+        own = places.select("line", "doc_id", F.col("place").alias("own"))
+        open_ = _spark.saved(left.join(own, ["line", "doc_id"]).where("upto + 1 < own").select("line", "doc_id", "copies", "covered", "upto", "own"), "line-open")
+        if open_.isEmpty():
+            return blocks
+        step = 1 << min(turn, 20)
+        asked = open_.select("line", "doc_id", "covered", F.explode(F.sequence(F.col("upto") + 1, F.least(F.col("upto") + step, F.col("own") - 1))).alias("place"))
+        others = places.select("line", "place", F.col("doc_id").alias("kept_doc_id"), F.col("copies").alias("others"))
+        fresh = asked.join(others, ["line", "place"]).where("others > covered").select("doc_id", "kept_doc_id").distinct()
+        fresh = _spark.saved(fresh.join(tried, ["doc_id", "kept_doc_id"], "left_anti"), "line-pairs")
+        tried, blocks, turn = tried.unionByName(fresh), blocks.unionByName(align(fresh)), turn + 1
+        open_ = open_.withColumn("upto", F.col("upto") + step)
 
 
 def delete_blocks(docs: DataFrame, blocks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -53,3 +53,25 @@ def test_longest_run(a, b):
 def test_patience_aligns_repeated_lines():
     for a, b in (([1, 7, 8, 9, 2, 7, 8, 9, 3], [4, 7, 8, 9, 5]), ([4, 7, 8, 9, 5], [1, 7, 8, 9, 2, 7, 8, 9, 3])):
         assert [n for _, _, n in line_dedup.patience(a, b)] == [3]
+
+
+def test_lines_go_on_to_the_next_holder(spark):
+    line = lambda *k: ["five words of line number " + str(x) for x in k]
+    rows = [(1, line(30, 20, 12, 11, 10, 9, 8, 7)), (2, line(40, *range(7, 13))), (3, line(50, *range(7, 13), 51))]
+    got = line_dedup.aligned_blocks(spark.createDataFrame([(k, "\n".join(x)) for k, x in rows], "doc_id long, text string")).collect()
+    gone = {i for r in got if r.doc_id == 3 for i in range(r.first_line, r.last_line + 1)}
+    assert gone == set(range(1, 7))
+    assert {(r.doc_id, r.kept_doc_id) for r in got} == {(2, 1), (3, 1), (3, 2)}
+
+
+def test_lines_against_the_alignment_of_all_pairs(documents, texts):
+    got = [tuple(r) for r in line_dedup.aligned_blocks(documents).collect()]
+    lines = {k: (t or "").split("\n") for k, t in texts}
+    size = {x: len(x.split()) for own in lines.values() for x in own}
+    want = set()
+    for k, own in lines.items():
+        for h in lines:
+            if h < k and set(own) & set(lines[h]):
+                want |= {(k, h, p, p + n - 1, q, w) for p, q, n in line_dedup.patience(own, lines[h]) if (w := sum(size[x] for x in own[p : p + n])) >= line_dedup.MIN_WORDS}
+    deleted = lambda blocks: {(k, x) for k, _, p, q, _, _ in blocks for x in lines[k][p : q + 1] if size[x] >= line_dedup.MIN_WORDS}
+    assert set(got) <= want and len(set(got)) == len(got) and deleted(got) == deleted(want)
