@@ -3,7 +3,9 @@
 Documents that overlap are found through shared line hashes: a line that several documents hold
 nominates, for each of them, the first document (least id) that holds it. Lines of any frequency
 nominate, at one partner a document, so a line that a third of all documents share costs one pair
-for each of them. Lines of which the deleted blocks cover fewer copies than a document holds
+for each of them. A line of less than ``min_words`` words nominates together
+with the lines behind it, as many as hold ``min_words`` words: every block that is deleted
+holds such a run, and every common run is a block. Lines of which the deleted blocks cover fewer copies than a document holds
 then nominate the next holders (those with more copies than are covered), 1, 2, 4, … at a time, until
 the copies are covered or no earlier holder is left.
 
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cohortwatch.llm import _bloom, _spark, _text
 
-#: Words of a block that is deleted, and of a line that nominates a partner, at least.
+#: Words of a block that is deleted, and of the lines that nominate a partner together, at least.
 MIN_WORDS = 5
 
 
@@ -122,10 +124,22 @@ def _lines(chunk: _text.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return chunk.hashes(starts, ends, _text.AS_IS), np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts), first
 
 
-def _line_copies(h: np.ndarray, words: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The nominating lines: hash, document and line number."""
-    at = np.flatnonzero(words >= min_words)
-    return h[at], np.searchsorted(first, at, "right") - 1, at
+def _line_copies(h: np.ndarray, words: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The nominating runs: hash, document, first line and line behind the last.
+
+    From each line with a word the fewest lines that hold ``min_words`` words; a single line keeps its hash.
+    """
+    upto = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    at = np.flatnonzero(words > 0)
+    end = np.searchsorted(upto, upto[at] + min_words)
+    doc = np.searchsorted(first, at, "right") - 1
+    whole = end <= first[doc + 1]
+    at, end, doc = at[whole], end[whole], doc[whole]
+    power, inverse = _text._powers_to(len(h) + 1)
+    total = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * power[: len(h)], out=total[1:])
+    several = _text.mix((total[end] - total[at]) * inverse[at] + (end - at).astype(np.uint64))
+    return np.where(end - at == 1, h[at], several), doc, at, end
 
 
 def _counted(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,12 +153,12 @@ def _counted(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _nominating(min_words: int, bloom=None):
-    """Rows ``(line, doc_id, copies)``: each nominating line once a document."""
+    """Rows ``(line, doc_id, copies)``: each nominating run of lines once a document."""
 
     def run(batches):
         for batch in batches:
             for chunk in _text.chunks(batch.column("text")):
-                keys, doc, _ = _line_copies(*_lines(chunk), min_words)
+                keys, doc, _, _ = _line_copies(*_lines(chunk), min_words)
                 if bloom is not None:
                     keep = _bloom.may_hold(bloom.value, keys)
                     keys, doc = keys[keep], doc[keep]
@@ -155,7 +169,7 @@ def _nominating(min_words: int, bloom=None):
 
 
 def _covered(min_words: int):
-    """Rows ``(line, doc_id, copies)``: how many copies of a nominating line stand in the document's blocks."""
+    """Rows ``(line, doc_id, copies)``: how many copies of a nominating run stand in the document's blocks."""
 
     def run(batches):
         for batch in batches:
@@ -164,8 +178,9 @@ def _covered(min_words: int):
                 gone = np.zeros(len(h) + 1, np.int64)
                 np.add.at(gone, starts.values.to_numpy(), 1)
                 np.add.at(gone, ends.values.to_numpy() + 1, -1)
-                keys, _, at = _line_copies(h, count, np.array([0, len(h)]), min_words)
-                keys = keys[np.cumsum(gone)[at] > 0]
+                keys, _, at, end = _line_copies(h, count, np.array([0, len(h)]), min_words)
+                stays = np.concatenate([[0], np.cumsum(np.cumsum(gone[:-1]) == 0)])
+                keys = keys[stays[end] == stays[at]]
                 keys, _, copies = _counted(keys, np.zeros(len(keys), np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), doc.as_py(), np.int64)), pa.array(copies.astype(np.int32))], ["line", "doc_id", "copies"])
 

@@ -75,3 +75,10 @@ def test_lines_against_the_alignment_of_all_pairs(documents, texts):
                 want |= {(k, h, p, p + n - 1, q, w) for p, q, n in line_dedup.patience(own, lines[h]) if (w := sum(size[x] for x in own[p : p + n])) >= line_dedup.MIN_WORDS}
     deleted = lambda blocks: {(k, x) for k, _, p, q, _, _ in blocks for x in lines[k][p : q + 1] if size[x] >= line_dedup.MIN_WORDS}
     assert set(got) <= want and len(set(got)) == len(got) and deleted(got) == deleted(want)
+
+
+def test_blocks_of_short_lines(spark):
+    verse = [f"word{k} of a list" for k in range(30)]
+    rows = [(1, ["first own", *verse, "first end"]), (2, ["second own", *verse[:12], "", *verse[12:], "second end"]), (3, ["a b", "c", "d e", "x"]), (4, ["u v", "a b", "c", "d e"]), (5, ["u v", "own 5"])]
+    got = {tuple(r) for r in line_dedup.aligned_blocks(spark.createDataFrame([(k, "\n".join(x)) for k, x in rows], "doc_id long, text string")).collect()}
+    assert got == {(2, 1, 1, 12, 1, 48), (2, 1, 14, 31, 13, 72), (4, 3, 1, 3, 0, 5)}
