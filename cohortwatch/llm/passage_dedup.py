@@ -1,9 +1,10 @@
 """Substring dedup by MinHash banding of paragraphs.
 
 A text is cut into paragraphs where its own words say so: a word begins a paragraph if its hash is
-the least within ``reach`` words on either side. The cuts inside a passage are thus the same in
-whatever text it stands, so a passage of more than ``min_words`` words holds whole paragraphs of
-about ``2 * reach`` words, however it is embedded. Line breaks play no part.
+the least of a window of ``4 * reach + 1`` words (winnowing). A passage of two such windows has two cuts at
+least that hang on its own words only, and between these the cuts are the same in whatever text it stands,
+so a passage of ``min_words`` words or more holds a whole paragraph (of about ``2 * reach`` words),
+however it is embedded; ``reach`` is made smaller where ``min_words`` asks for it. Line breaks play no part.
 
 Paragraphs get MinHash values of their word shingles, in bands; :func:`tune` finds the fewest values
 that bring pairs of the wanted similarity together with the wanted recall. Only band keys that
@@ -48,20 +49,17 @@ def tune(similarity: float, recall: float = RECALL, background: float = 0.2, mos
 
 
 def cuts(words: np.ndarray, first: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Positions at which paragraphs begin: each text's start, and words whose hash is least within reach (ties: the last)."""
+    """Positions at which paragraphs begin: each text's start, and the least hash (ties: the last) of each window of ``4 * reach + 1`` words."""
     doc_start = first[:-1][np.diff(first) > 0]
-    n = len(words)
-    if not n:
-        return doc_start
-    padded = np.concatenate([np.zeros(reach, np.uint64), words, np.zeros(reach, np.uint64)])
-    least = np.ones(n, bool)
-    for j in range(2 * reach + 1):
-        other = padded[j : j + n]
-        least &= words <= other if j <= reach else words < other
-    least[:reach] = least[max(0, n - reach) :] = False
-    for d in doc_start:  # a reach that crosses a text's start has no minimum
-        least[max(0, d - reach) : d + reach] = False
+    size = 4 * reach + 1
+    least = np.zeros(len(words), bool)
     least[doc_start] = True
+    if len(words) >= size:
+        windows = np.lib.stride_tricks.sliding_window_view(words, size)
+        at = np.arange(len(windows)) + size - 1 - windows[:, ::-1].argmin(1)
+        begin = np.arange(len(windows))
+        inside = np.searchsorted(first, begin, "right") == np.searchsorted(first, begin + size - 1, "right")
+        least[at[inside]] = True
     return np.flatnonzero(least)
 
 
@@ -314,6 +312,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     document repeats is none of these. Documents without such a passage have no row.
     """
     bands, rows_ = tune(percent / 100, recall)
+    reach = min(reach, max(0, (min_words // 2 - 1) // 4))  # two windows in a passage
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id is not null and text is not null")
     keys = rows.mapInArrow(_band_keys(reach, words, bands, rows_), "key long, doc_id long").groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = _spark.saved(keys.where("low < high").select("key"), "passage-keys")

@@ -82,3 +82,17 @@ def test_blocks_of_short_lines(spark):
     rows = [(1, ["first own", *verse, "first end"]), (2, ["second own", *verse[:12], "", *verse[12:], "second end"]), (3, ["a b", "c", "d e", "x"]), (4, ["u v", "a b", "c", "d e"]), (5, ["u v", "own 5"])]
     got = {tuple(r) for r in line_dedup.aligned_blocks(spark.createDataFrame([(k, "\n".join(x)) for k, x in rows], "doc_id long, text string")).collect()}
     assert got == {(2, 1, 1, 12, 1, 48), (2, 1, 14, 31, 13, 72), (4, 3, 1, 3, 0, 5)}
+
+
+def test_every_passage_holds_a_whole_paragraph():
+    rng = np.random.default_rng(6)
+    for n in (50, 51, 60):
+        for vocabulary in (60, 2**62):
+            for _ in range(400):
+                run = rng.integers(0, vocabulary, n).astype(np.uint64)
+                found = []
+                for _ in range(2):
+                    a, b = rng.integers(0, vocabulary, 40).astype(np.uint64), rng.integers(0, vocabulary, 40).astype(np.uint64)
+                    cut = passage_dedup.cuts(np.concatenate([a, run, b]), np.array([0, n + 80])) - 40
+                    found.append({(p, q) for p, q in zip(cut, cut[1:]) if p >= 0 and q <= n})
+                assert found[0] & found[1]
