@@ -139,3 +139,28 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return total[first[1:]] - total[first[:-1]]
+
+
+def common(a: pa.Array, b: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair of sets (distinct values of ``kind``, as bytes): values in both, and the sizes' sum."""
+
+    def flat(x: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        _, off, data = x.buffers()
+        offsets = np.frombuffer(off, np.int64 if pa.types.is_large_binary(x.type) else np.int32)[x.offset : x.offset + len(x) + 1].astype(np.int64)
+        values = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(kind) if data is not None else np.zeros(0, kind)
+        return values, np.diff(offsets) // np.dtype(kind).itemsize
+
+    if not len(a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    (x, n), (y, m) = flat(a), flat(b)
+    pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
+    values = np.concatenate([x, y])
+    if np.dtype(kind).itemsize == 4:
+        both = pair.astype(np.uint64) << np.uint64(32) | values
+        both.sort()
+        again = (both[1:][both[1:] == both[:-1]] >> np.uint64(32)).astype(np.int64)
+    else:
+        order = np.lexsort((values, pair))
+        values, pair = values[order], pair[order]
+        again = pair[1:][(values[1:] == values[:-1]) & (pair[1:] == pair[:-1])]
+    return np.bincount(again, minlength=len(n)), n + m

@@ -1,22 +1,24 @@
 """Substring dedup by MinHash banding of paragraphs.
 
-A text is cut into paragraphs where its own words say so: a word begins a paragraph if its hash is
-the least of a window of ``4 * reach + 1`` words (winnowing). A passage of two such windows has two cuts at
-least that hang on its own words only, and between these the cuts are the same in whatever text it stands,
-so a passage of ``min_words`` words or more holds a whole paragraph (of about ``2 * reach`` words),
-however it is embedded; ``reach`` is made smaller where ``min_words`` asks for it. Line breaks play no part.
-
-Paragraphs get MinHash values of their word shingles, in bands; :func:`tune` finds the fewest values
-that bring pairs of the wanted similarity together with the wanted recall. Only band keys that
-occur in several documents are kept (a Bloom filter of fixed size stops most others before
-the shuffle); under a key each paragraph is first paired with the first and the last of its paragraphs.
-Pairs are verified by exact Jaccard, then extended word by word in both documents;
-pairs whose passage reaches ``min_words`` words link their paragraphs, and connected paragraphs are a
-cluster: the first of it stays, the others are removed.
-
-What the first round leaves open is then settled. Equal paragraphs in several clusters are linked by the
-hashes of all windows of ``min_words`` words around them, without pairs. Of similar but different
-paragraph contents in several clusters every pair is compared, with all the paragraphs of its two documents.
+**Paragraphs.** Lines are paragraphs; a line of more than ``2 * min_words`` words is also cut inside, at words
+whose 5-gram has the least hash of ``min_words`` words around; of the beginnings of short lines only
+those count whose 5-gram is the least of half that distance. From each beginning the fewest pieces that hold ``min_words`` words
+are a paragraph, so paragraphs of short lines overlap.
+
+**Banding.** A paragraph's MinHash values of word shingles make band keys; :func:`tune` finds the bands that
+meet the wanted recall with the fewest chance collisions. Only keys that different paragraph
+contents share are kept. Colliding contents, each once however many documents hold it, are joined:
+members of a key first with one pivot, then what is still open; a 256-bit map of the shingles rules out
+pairs inside the join, exact Jaccard decides. Connected contents are a cluster of which the first occurrence stays.
+
+**Passages across paragraphs.** A passage repeated word for word may begin and end anywhere. Its paragraphs of the
+second kind are runs of ``min_words - SLACK`` words, picked by winnowing (the least hash of ``SLACK + 1``
+consecutive ones), so every common run of ``min_words`` words has one; equal ones (Jaccard 1, the
+band of all shingles) are a cluster. Only runs that hold a shared fingerprint (winnowed again, a
+short gram) are shuffled. The words beside a run are compared with those of the cluster's first as far as the next ``SLACK`` words go.
+
+So every passage of ``min_words`` words that two documents share is found, and nothing of less than
+``min_words - SLACK`` words is. No pair of documents and no text is shuffled, and no cluster is gathered.
 """
 
 from __future__ import annotations
@@ -26,325 +28,321 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _bloom, _spark, _text
+from cohortwatch.llm import _bloom, _pivots, _spark, _text
 
-REACH, WORDS, PERCENT, MIN_WORDS, RECALL = 6, 5, 80, 50, 0.99
+WORDS, PERCENT, MIN_WORDS, RECALL = 5, 80, 50, 0.99
+#: Words by which an exact run may be shorter than a passage; they are compared on either side as 16-bit hashes.
+SLACK = 4
+#: MinHash values of a paragraph, at most.
+VALUES = 40
 
+_MOST = np.uint64(2**64 - 1)
 
-def tune(similarity: float, recall: float = RECALL, background: float = 0.2, most: int = 64) -> tuple[int, int]:
-    """Bands and rows a band: the fewest MinHash values that find pairs of ``similarity`` with ``recall``.
 
-    A band of ``r`` rows agrees with probability ``s ** r``; of plans with equally many values the one that
-    brings fewer pairs of similarity ``background`` together wins.
+def tune(similarity: float, recall: float = RECALL, background: float = 0.2, most: int = VALUES) -> tuple[int, int]:
+    """Bands and rows a band: of the plans that find pairs of ``similarity`` with ``recall``, the one with the fewest chance collisions.
+
+    A band of ``r`` rows agrees with probability ``s ** r``; chance collisions are those of similarity ``background``.
     """
     plans = []
     for r in range(1, most + 1):
         for b in range(1, most // r + 1):
             if 1 - (1 - similarity**r) ** b >= recall:
-                plans.append((b * r, 1 - (1 - background**r) ** b, b, r))
+                plans.append((1 - (1 - background**r) ** b, b * r, b, r))
                 break
     if not plans:
         raise ValueError(f"no plan of {most} values has that recall")
     return min(plans)[2:]
 
 
-def cuts(words: np.ndarray, first: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Positions at which paragraphs begin: each text's start, and the least hash (ties: the last) of each window of ``4 * reach + 1`` words."""
-    doc_start = first[:-1][np.diff(first) > 0]
-    size = 4 * reach + 1
-    least = np.zeros(len(words), bool)
-    least[doc_start] = True
-    if len(words) >= size:
-        windows = np.lib.stride_tricks.sliding_window_view(words, size)
-        at = np.arange(len(windows)) + size - 1 - windows[:, ::-1].argmin(1)
-        begin = np.arange(len(windows))
-        inside = np.searchsorted(first, begin, "right") == np.searchsorted(first, begin + size - 1, "right")
-        least[at[inside]] = True
-    return np.flatnonzero(least)
+def _slide(x: np.ndarray, n: int, least: bool) -> np.ndarray:
+    """The least (or greatest) of each ``n`` consecutive values."""
+    f = np.minimum if least else np.maximum
+    have = 1
+    while have < n:
+        step = min(have, n - have)
+        x, have = f(x[: len(x) - step], x[step:]), have + step
+    return x
+
+
+def _grams(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words, whatever text they stand in."""
+    power, inverse = _text._powers_to(len(words) + 1)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[: len(words)], out=total[1:])
+    count = max(0, len(words) - n + 1)
+    return _text.mix((total[n : n + count] - total[:count]) * inverse[:count] + np.uint64(n))
+
+
+def _inside(count: int, first: np.ndarray, n: int) -> np.ndarray:
+    """Which of the runs of ``n`` words lie in one text."""
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    return doc[:count] == doc[n - 1 : n - 1 + count]
+
+
+def winnow(grams: np.ndarray, inside: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the least hash of each ``n`` consecutive grams (all of equal ones)."""
+    if not len(grams):
+        return np.zeros(0, np.int64)
+    x, n = np.where(inside, grams, _MOST), min(n, len(grams))
+    edge = np.zeros(n - 1, np.uint64)
+    return np.flatnonzero(inside & (_slide(np.concatenate([edge, _slide(x, n, True), edge]), n, False) == x))
+
+
+def _local_least(x: np.ndarray, candidate: np.ndarray, reach: int) -> np.ndarray:
+    """Which candidates have the least hash of the candidates at most ``reach`` away; the last of equal ones."""
+    low = np.uint64((1 << 22) - 1)
+    x = np.where(candidate, (x & ~low) | (low - np.arange(len(x), dtype=np.uint64) % low), _MOST)
+    edge = np.full(reach, _MOST)
+    return candidate & (_slide(np.concatenate([edge, x, edge]), 2 * reach + 1, True) == x)
 
 
 class Paragraphs:
-    """The paragraphs of a chunk, with the sorted distinct shingles and the band keys of each."""
+    """A chunk's words, and its paragraphs: first word, word behind the last, text, shingles and where each paragraph's begin."""
 
-    def __init__(self, chunk: _text.Chunk, reach: int, n: int, bands: int, rows: int):
-        starts, ends, first = chunk.spans(_text.NOT_SPACE)
+    def __init__(self, chunk: _text.Chunk, min_words: int, n: int):
+        starts, ends, self.first = chunk.spans(_text.NOT_SPACE)
         self.words = chunk.hashes(starts, ends, _text.LOWER)
-        self.start = cuts(self.words, first, reach)
-        self.doc = np.searchsorted(first, self.start, "right") - 1
-        self.place = self.start - first[self.doc]
-        bound = np.append(self.start, len(self.words))
-        self.size = np.diff(bound)
-        grams, at = _text.ngrams(self.words, bound, n)
-        owner = np.searchsorted(self.start, at, "right") - 1
-        short = np.flatnonzero(self.size < n)
-        if len(short):
-            grams = np.concatenate([grams, np.array([_text.sequence_hash(self.words[bound[p] : bound[p + 1]]) for p in short], np.uint64)])
-            owner = np.concatenate([owner, short])
-        order = np.lexsort((grams, owner))
-        self.grams, owner = grams[order], owner[order]
-        self.first = np.searchsorted(owner, np.arange(len(self.start) + 1))
-        self.first_word = first
-        offset = (np.arange(len(self.words)) - np.repeat(self.start, self.size)).astype(np.uint64)
-        mixed = _text.mix(self.words ^ _text.mix(offset + np.uint64(1)))
-        self.content = (np.add.reduceat(mixed, self.start) if len(self.start) else np.zeros(0, np.uint64)).view(np.int64)
-        self.keys = np.zeros((len(self.start), bands), np.uint64)
+        count, first = len(self.words), self.first
+        self.grams = _grams(self.words, n)
+        rank = np.concatenate([self.grams, self.words[len(self.grams) :]]) if count else self.words
+        line_first = np.unique(np.concatenate([np.searchsorted(starts, chunk.lines()[0]), first]))  # each line's first word, blank lines none
+        line_words = np.diff(line_first)
+        long = np.repeat(line_words > 2 * min_words, line_words)
+        begin = np.zeros(count, bool)
+        begin[line_first[:-1]] = True
+        half = max(1, min_words // 2)
+        keep = np.zeros(count, bool)
+        keep[first[:-1][np.diff(first) > 0]] = True
+        whole = line_words >= half
+        keep[line_first[:-1][whole]] = True
+        after = line_first[1:][whole]
+        keep[after[after < count]] = True
+        if count:
+            keep |= _local_least(rank, begin, half) | (_local_least(rank, long, min_words) & long)
+        bound = np.append(np.flatnonzero(keep), count)
+        start = bound[:-1]
+        stop = bound[np.minimum(np.searchsorted(bound, start + min_words), len(bound) - 1)]
+        doc = np.searchsorted(first, start, "right") - 1
+        ok = (stop <= first[doc + 1]) & (stop - start >= min_words)
+        self.start, self.stop, self.doc = start[ok], stop[ok], doc[ok]
+        shingles = np.maximum(self.stop - self.start - n + 1, 0)
+        self.at = np.cumsum(shingles) - shingles
+        self.shingles = self.grams[np.repeat(self.start - self.at, shingles) + np.arange(shingles.sum())]
+        power, inverse = _text._powers_to(count + 1)
+        total = np.zeros(count + 1, np.uint64)
+        np.cumsum(self.words * power[:count], out=total[1:])
+        self.content = _text.mix((total[self.stop] - total[self.start]) * inverse[self.start] + (self.stop - self.start).astype(np.uint64))
+
+    def band_keys(self, bands: int, rows: int) -> np.ndarray:
+        keys = np.zeros((len(self.start), bands), np.uint64)
+        seeds = _text.mix(np.arange(1, 2 * bands * rows + 1, dtype=np.uint64)).reshape(-1, 2)
         for b in range(bands) if len(self.start) else ():
             for r in range(rows):
-                seed = _text.mix(np.array([b * rows + r + 1], np.uint64))
-                least = np.minimum.reduceat(_text.mix(self.grams ^ seed), self.first[:-1])
-                self.keys[:, b] = _text.mix(self.keys[:, b] + least + np.uint64(b))
+                flip, factor = seeds[b * rows + r]
+                keys[:, b] = _text.mix(keys[:, b] + np.minimum.reduceat((self.shingles ^ flip) * (factor | np.uint64(1)), self.at) + np.uint64(b + 1))
+        return keys
 
 
-def _band_keys(reach: int, n: int, bands: int, rows: int):
-    def run(batches):
-        for batch in batches:
-            for chunk in _text.chunks(batch.column("text")):
-                p = Paragraphs(chunk, reach, n, bands, rows)
-                own = batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(np.repeat(p.doc, bands)))
-                yield pa.RecordBatch.from_arrays([pa.array(p.keys.reshape(-1).view(np.int64)), own], ["key", "doc_id"])
+def _distinct(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((keys, doc))
+    keys, doc = keys[order], doc[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+    return doc[new], keys[new]
 
-    return run
 
+class Plan:
+    """The sizes that follow from an operator's parameters."""
 
-_PARAGRAPH = "key long, doc_id long, place int, size int, content long, grams binary"
+    def __init__(self, min_words: int, words: int, percent: int, recall: float):
+        self.min_words, self.words, self.percent = min_words, min(words, min_words), percent
+        self.bands, self.rows = tune(percent / 100, recall)
+        self.slack = min(SLACK, min_words - 1)
+        self.run = min_words - self.slack
+        self.print_ = (self.run + 1) // 2  # words of a fingerprint; each run holds one of any run + 1 - print_ consecutive ones
+        self.window = self.run + 1 - self.print_
 
+    def prints(self, p: Paragraphs) -> tuple[np.ndarray, np.ndarray]:
+        """Position and key of each fingerprint."""
+        grams = _grams(p.words, self.print_)
+        at = winnow(grams, _inside(len(grams), p.first, self.print_), self.window)
+        return at, _text.mix(grams[at] + np.uint64(0xF1))
 
-def _kept_keys(reach: int, n: int, bands: int, rows: int, bloom):
-    def run(batches):
-        for batch in batches:
-            for chunk in _text.chunks(batch.column("text")):
-                p = Paragraphs(chunk, reach, n, bands, rows)
-                hit = np.flatnonzero(_bloom.may_hold(bloom.value, p.keys.reshape(-1)))
-                at = hit // bands
-                own = batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(p.doc[at]))
-                grams = [np.unique(p.grams[p.first[k] : p.first[k + 1]]).tobytes() for k in at]
-                yield pa.RecordBatch.from_arrays([pa.array(p.keys.reshape(-1)[hit].view(np.int64)), own, pa.array(p.place[at], pa.int32()), pa.array(p.size[at], pa.int32()), pa.array(p.content[at]), pa.array(grams, pa.binary())], ["key", "doc_id", "place", "size", "content", "grams"])
 
-    return run
-
-
-def _windows(reach: int, n: int, min_words: int, open_contents, shared=None):
-    """The windows of ``min_words`` words that hold a paragraph whose content is open, each with the first of these."""
+def _keys(plan: Plan):
+    """Rows ``(key, value)``: band keys with their paragraph's content, fingerprints with their document."""
 
     def run(batches):
         for batch in batches:
+            row = batch.column("row").to_numpy(zero_copy_only=False)
             for chunk in _text.chunks(batch.column("text")):
-                p = Paragraphs(chunk, reach, n, 0, 0)
-                hit = np.flatnonzero(_bloom.may_hold(open_contents.value, p.content.view(np.uint64)))
-                long = hit[p.size[hit] >= min_words]
-                hit = hit[p.size[hit] < min_words]
-                grams, at = _text.ngrams(p.words, p.first_word, min_words)
-                count = min_words - p.size[hit] + 1
-                lead = np.repeat(hit, count)
-                begin = np.repeat(p.start[hit] + p.size[hit] - min_words, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                where = np.minimum(np.searchsorted(at, begin), max(0, len(at) - 1))
-                whole = (at[where] == begin) & (p.doc[lead] == np.searchsorted(p.first_word, begin, "right") - 1) if len(at) else np.zeros(len(begin), bool)
-                begin, index = np.unique(begin[whole], return_index=True)
-                lead, window = np.concatenate([lead[whole][index], long]), np.concatenate([grams[where[whole][index]], p.content[long].view(np.uint64)]).view(np.int64)
-                begin = np.concatenate([begin, p.start[long]])
-                length = np.concatenate([np.full(len(index), min_words), p.size[long]])
-                if shared is not None:
-                    keep = _bloom.may_hold(shared.value, window)
-                    lead, window, begin, length = lead[keep], window[keep], begin[keep], length[keep]
-                own = batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(p.doc[lead]))
-                begin = begin - p.first_word[p.doc[lead]]
-                yield pa.RecordBatch.from_arrays([pa.array(window), own, *(pa.array(x.astype(np.int64)) for x in (p.place[lead], begin, begin + length))], ["window", "doc_id", "place", "start", "end"])
+                p = Paragraphs(chunk, plan.min_words, plan.words)
+                at, prints = plan.prints(p)
+                doc, prints = _distinct(np.searchsorted(p.first, at, "right") - 1, prints)
+                keys = np.concatenate([p.band_keys(plan.bands, plan.rows).reshape(-1), prints])
+                values = np.concatenate([np.repeat(p.content, plan.bands).view(np.int64), row[chunk.first + doc]])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(values)], ["key", "value"])
 
     return run
 
 
-def _similar_contents(percent: int):
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column("grams"), batch.column("other_grams")
-            keep = np.zeros(batch.num_rows, bool)
-            for k in range(batch.num_rows):
-                x, y = np.frombuffer(a[k].as_buffer(), np.uint64), np.frombuffer(b[k].as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, True))
-                keep[k] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select(["content", "other_content"]).filter(pa.array(keep))
-
-    return run
-
+_PLACE = "key long, doc_id long, row long, start int, stop int, before long, behind long, bands array<long>, shingles binary, n int, map_0 long, map_1 long, map_2 long, map_3 long"
 
-def _similar(percent: int):
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column("grams"), batch.column("other_grams")
-            keep = np.zeros(batch.num_rows, bool)
-            for k in range(batch.num_rows):
-                x, y = np.frombuffer(a[k].as_buffer(), np.uint64), np.frombuffer(b[k].as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, True))
-                keep[k] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select(["doc_id", "place", "size", "other", "other_place", "other_size"]).filter(pa.array(keep))
 
-    return run
+def _beside(words: np.ndarray, first: np.ndarray, at: np.ndarray, doc: np.ndarray, step: int, slack: int) -> np.ndarray:
+    """16 bits of each of the next ``slack`` words from ``at`` on (or back); 0 where the text ends."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(slack):
+        p = at + step * k
+        there = (p >= first[doc]) & (p < first[doc + 1])
+        bits = (words[np.where(there, p, 0)] >> np.uint64(48)) | np.uint64(1)
+        out |= np.where(there, bits, np.uint64(0)) << np.uint64(16 * k)
+    return out.view(np.int64)
 
 
-def _all_words(wanted):
-    """The word hashes of the documents whose id is wanted, and of few others."""
+def _places(plan: Plan, bloom):
+    """The runs that hold a shared fingerprint, and the paragraphs that have a shared band key (with that)."""
 
     def run(batches):
         for batch in batches:
-            batch = batch.filter(pa.array(_bloom.may_hold(wanted.value, batch.column("doc_id").to_numpy(zero_copy_only=False))))
             for chunk in _text.chunks(batch.column("text")):
-                starts, ends, first = chunk.spans(_text.NOT_SPACE)
-                words = chunk.hashes(starts, ends, _text.LOWER)
-                own = batch.column("doc_id").slice(chunk.first, chunk.n_docs)
-                yield pa.RecordBatch.from_arrays([own, pa.array([words[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())], ["doc_id", "words"])
+                p = Paragraphs(chunk, plan.min_words, plan.words)
+                at, prints = plan.prints(p)
+                held = np.zeros(len(p.words) + 1, np.int64)
+                held[at[_bloom.may_hold(bloom.value, prints)] + 1] = 1
+                held = np.cumsum(held)  # shared fingerprints that begin before each word
+                grams = _grams(p.words, plan.run)
+                inside = _inside(len(grams), p.first, plan.run)
+                start = winnow(grams, inside, plan.slack + 1)
+                start = start[held[start + plan.run - plan.print_ + 1] > held[start]]
+                doc = np.searchsorted(p.first, start, "right") - 1
+                keys = p.band_keys(plan.bands, plan.rows)
+                hit = _bloom.may_hold(bloom.value, keys.reshape(-1)).reshape(keys.shape)
+                para = np.flatnonzero(hit.any(1))
+                maps = np.zeros((len(para), 4), np.uint64)
+                sets, sizes = [], np.zeros(len(para), np.int32)
+                end = np.append(p.at, len(p.shingles))
+                for k, x in enumerate(para):
+                    own = np.unique((p.shingles[end[x] : end[x + 1]] >> np.uint64(32)).astype(np.uint32))
+                    sets.append(own.tobytes())
+                    sizes[k] = len(own)
+                    np.bitwise_or.at(maps[k], own >> 6 & 3, np.uint64(1) << (own & 63).astype(np.uint64))
+                both = np.concatenate([doc, p.doc[para]])
+                base = p.first[both]
+                own = [batch.column(c).slice(chunk.first, chunk.n_docs).take(pa.array(both)) for c in ("doc_id", "row")]
+                none = pa.nulls(len(start), pa.int64())
+                pad = lambda x, kind: pa.concat_arrays([pa.nulls(len(start), kind), x])
+                beside = [pa.array(_beside(p.words, p.first, start + o, doc, s, plan.slack)) for o, s in ((-1, -1), (plan.run, 1))]
+                offsets = np.concatenate([[0], np.cumsum(hit[para].sum(1))]).astype(np.int32)
+                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[para][hit[para]].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([grams[start], p.content[para]]).view(np.int64)),
+                        *own,
+                        pa.array((np.concatenate([start, p.start[para]]) - base).astype(np.int32)),
+                        pa.array((np.concatenate([start + plan.run, p.stop[para]]) - base).astype(np.int32)),
+                        *(pa.concat_arrays([x, pa.nulls(len(para), pa.int64())]) for x in beside),
+                        pad(bands, bands.type),
+                        pad(pa.array(sets, pa.binary()), pa.binary()),
+                        pad(pa.array(sizes), pa.int32()),
+                        *(pa.concat_arrays([none, pa.array(np.ascontiguousarray(maps[:, k]).view(np.int64))]) for k in range(4)),
+                    ],
+                    [x.split()[0] for x in _PLACE.split(", ")],
+                )
 
     return run
 
 
-def passage(x: np.ndarray, y: np.ndarray, p: int, n: int, q: int, m: int) -> tuple[int, int, int, int]:
-    """Paragraphs ``x[p : p + n]`` and ``y[q : q + m]`` with the equal words before and behind: start and end in both."""
-    back = min(p, q)
-    other = np.flatnonzero(x[p - back : p] != y[q - back : q])
-    back = back if not len(other) else back - 1 - int(other[-1])
-    i, j = p + n, q + m
-    ahead = min(len(x) - i, len(y) - j)
-    other = np.flatnonzero(x[i : i + ahead] != y[j : j + ahead])
-    ahead = ahead if not len(other) else int(other[0])
-    return p - back, i + ahead, q - back, j + ahead
-
-
-def _extend(min_words: int):
-    names = ["doc_id", "place", "start", "end", "other", "other_place", "other_start", "other_end"]
-
+def _verify(percent: int):
     def run(batches):
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, other, pairs, words, other_words in zip(*(batch.column(c) for c in ("doc_id", "other", "pairs", "words", "other_words"))):
-                x, y = np.frombuffer(words.as_buffer(), np.uint64), np.frombuffer(other_words.as_buffer(), np.uint64)
-                spans: list[list] = []  # start, end, other's start and end, paragraphs
-                for r in sorted(pairs.as_py(), key=lambda r: (r["place"], r["other_place"])):
-                    if r["place"] + r["size"] > len(x) or r["other_place"] + r["other_size"] > len(y):
-                        continue  # a paragraph of another text with the same id
-                    a, b, c, d = passage(x, y, r["place"], r["size"], r["other_place"], r["other_size"])
-                    if spans and a <= spans[-1][1] and spans[-1][2] <= c <= spans[-1][3]:  # goes on where the last one is
-                        spans[-1][1], spans[-1][3] = max(b, spans[-1][1]), max(d, spans[-1][3])
-                        spans[-1][4].append((r["place"], r["other_place"]))
-                    else:
-                        spans.append([a, b, c, d, [(r["place"], r["other_place"])]])
-                for a, b, c, d, own in spans:
-                    if min(b - a, d - c) >= min_words:
-                        rows += [(doc.as_py(), p, a, b, other.as_py(), q, c, d) for p, q in own]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 8)], names)
+            both, sizes = _text.common(batch.column("a_set"), batch.column("b_set"), np.uint32)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(100 * both >= percent * (sizes - both))], ["a", "b", "linked"])
 
     return run
 
 
-_LINK = "doc_id long, place long, start long, end long, other long, other_place long, other_start long, other_end long"
-
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """Length filter, and the bound that maps give: shingles in places that the other's map lacks are not common."""
+    x, y = F.col(x), F.col(y)
+    lacks = lambda a, b: sum((F.bit_count(a[f"map_{k}"].bitwiseAND(F.bitwise_not(b[f"map_{k}"]))) for k in range(4)), F.lit(0))
+    bound = F.least(x["n"] - lacks(x, y), y["n"] - lacks(y, x))
+    return (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])) & ((100 + percent) * bound >= percent * (x["n"] + y["n"]))
 
-def _node(doc: str = "doc_id", place: str = "place") -> Column:
-    return F.xxhash64(F.col(doc), F.col(place).cast("long"))
 
+def _matching(a: str, b: str, slack: int) -> Column:
+    """How many of the words beside two equal runs agree, from the run outwards."""
+    slot = lambda c, k: F.shiftrightunsigned(c, 16 * k).bitwiseAND(0xFFFF)
+    out = F.lit(0)
+    for k in reversed(range(slack)):
+        out = F.when((slot(a, k) == slot(b, k)) & (slot(a, k) != 0), out + 1).otherwise(F.lit(0))
+    return out
 
-def _edges(found: DataFrame) -> DataFrame:
-    return found.select(_node().alias("a"), _node("other", "other_place").alias("b"))
 
+def similar_paragraphs(places: DataFrame, percent: int = PERCENT) -> DataFrame | None:
+    """``(content, label)`` of the paragraph contents that are linked with a different one; None if there is none."""
+    paragraphs = places.where("bands is not null")
+    at = F.struct("n", "map_0", "map_1", "map_2", "map_3")
+    contents = paragraphs.groupBy(F.col("key").alias("content")).agg(F.min_by(F.struct("shingles", "bands", "n", "map_0", "map_1", "map_2", "map_3"), F.struct("doc_id", "row", "start")).alias("p"))
+    contents = _spark.saved(contents.select("content", "p.*"), "passage-contents")
+    lists = contents.select(F.explode("bands").alias("token"), F.col("content").alias("id"), at.alias("at"))
+    often = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
+    lists = _spark.saved(lists.join(often, "token"), "passage-lists")
+    a, b = contents.select(F.col("content").alias("a"), F.col("shingles").alias("a_set")), contents.select(F.col("content").alias("b"), F.col("shingles").alias("b_set"))
 
-def _labelled(held: DataFrame, found: DataFrame) -> DataFrame:
-    """``(content, doc_id, place, size, label)`` of every paragraph; the label is its cluster so far."""
-    label = _spark.components(_edges(found)).withColumnRenamed("id", "node")
-    nodes = held.select("content", "doc_id", "place", "size").distinct().withColumn("node", _node())
-    return _spark.saved(nodes.join(label, "node", "left").select("content", "doc_id", "place", "size", F.coalesce("component", "node").alias("label")), "passage-labels")
+    def compare(pairs: DataFrame) -> DataFrame:
+        return pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(_verify(percent), "a long, b long, linked boolean")
 
+    label = _pivots.linked_components(lists, lambda x, y: _may_link(x, y, percent), compare, F.col("id"))
+    return None if label is None else label.select(F.col("id").alias("content"), F.col("component").alias("label"))
 
-def _extended(rows: DataFrame, similar: DataFrame, ids: DataFrame, min_words: int) -> DataFrame:
-    """The links that the similar pairs make."""
-    by_doc = similar.groupBy("doc_id", "other").agg(F.collect_list(F.struct("place", "size", "other_place", "other_size")).alias("pairs"))  # paragraphs of two documents
-    ids = _spark.saved(ids, "passage-ids")
-    texts = rows.mapInArrow(_all_words(_bloom.build(ids, "doc_id")), "doc_id long, words binary")
-    texts = _spark.saved(texts.groupBy("doc_id").agg(F.max(F.struct(F.length("words").alias("n"), "words")).alias("w")).select("doc_id", "w.words"), "passage-words")
-    both = by_doc.join(texts, "doc_id").join(texts.select(F.col("doc_id").alias("other"), F.col("words").alias("other_words")), "other")
-    return _spark.saved(both.select("doc_id", "other", "pairs", "words", "other_words").mapInArrow(_extend(min_words), _LINK), "passage-links")
 
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, words: int = WORDS, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
+    """Passages that documents share, one row for each document, passage and place where its first occurrence is kept.
 
-def _exact_links(rows: DataFrame, nodes: DataFrame, reach: int, words: int, min_words: int) -> DataFrame:
-    """Equal paragraphs in several clusters, linked where a window of ``min_words`` words around them is equal.
-
-    Equality is transitive, so a window's holders are linked with the first of them and none is left out.
-    """
-    open_ = _spark.saved(nodes.groupBy("content").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("content"), "passage-open")
-    bloom = _bloom.build(open_, "content")
-    # Of rows that repeat an id only the one that counts.
-    one = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    several = rows.join(one, "doc_id").withColumn("n", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).groupBy("doc_id").agg(F.max_by("text", F.struct("n", F.xxhash64("text"))).alias("text"))
-    rows = rows.join(one, "doc_id", "left_anti").unionByName(several)
-    schema = "window long, doc_id long, place long, start long, end long"
-    counted = rows.mapInArrow(_windows(reach, words, min_words, bloom), schema).groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = _spark.saved(counted.where("low < high").select("window"), "passage-windows")
-    at = _spark.saved(rows.mapInArrow(_windows(reach, words, min_words, bloom, _bloom.build(shared, "window")), schema).join(shared, "window"), "passage-window-places")
-    lead = at.groupBy("window").agg(F.min(F.struct("doc_id", "place", "start", "end")).alias("o"))
-    links = at.join(lead, "window").where(F.col("doc_id") != F.col("o.doc_id"))
-    return links.select("doc_id", "place", "start", "end", F.col("o.doc_id").alias("other"), F.col("o.place").alias("other_place"), F.col("o.start").alias("other_start"), F.col("o.end").alias("other_end"))
-
-
-def _near_links(rows: DataFrame, held: DataFrame, nodes: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """Links between similar paragraphs of different contents in several clusters: every open pair is compared."""
-    sets = held.groupBy("content").agg(F.min("grams").alias("grams"))
-    entries = held.select("key", "content", F.length("grams").alias("n")).distinct()
-    other = entries.select("key", F.col("content").alias("other_content"), F.col("n").alias("other_n"))
-    near = (F.col("content") < F.col("other_content")) & (100 * F.least("n", "other_n") >= percent * F.greatest("n", "other_n"))
-    pairs = entries.join(other, "key").where(near).select("content", "other_content").distinct()
-    checked = pairs.join(sets, "content").join(sets.select(F.col("content").alias("other_content"), F.col("grams").alias("other_grams")), "other_content")
-    alike = _spark.saved(checked.select("content", "other_content", "grams", "other_grams").mapInArrow(_similar_contents(percent), "content long, other_content long"), "passage-alike")
-    across = nodes.select(*[F.col(c).alias(b) for c, b in (("content", "other_content"), ("doc_id", "other"), ("place", "other_place"), ("size", "other_size"), ("label", "other_label"))])
-    classes = nodes.groupBy("content").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    far = classes.select(F.col("content").alias("other_content"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
-    still = alike.join(classes, "content").join(far, "other_content").where(F.least("low", "other_low") < F.greatest("high", "other_high")).select("content", "other_content")
-    met = nodes.join(still, "content").join(across, "other_content").where("label <> other_label and doc_id <> other")
-    docs = _spark.saved(met.select(F.least("doc_id", "other").alias("doc_id"), F.greatest("doc_id", "other").alias("other")).distinct(), "passage-open-pairs")
-    both_ways = alike.unionAll(alike.select(F.col("other_content").alias("content"), F.col("content").alias("other_content"))).unionAll(nodes.select("content", F.col("content").alias("other_content")).distinct())
-    similar = docs.join(nodes, "doc_id").join(both_ways, "content").join(across, ["other", "other_content"]).select("doc_id", "place", "size", "other", "other_place", "other_size")
-    return _extended(rows, similar, docs.select("doc_id").unionAll(docs.select(F.col("other").alias("doc_id"))).distinct(), min_words)
-
-
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, words: int = WORDS, percent: int = PERCENT, reach: int = REACH, recall: float = RECALL) -> DataFrame:
-    """Passages of ``min_words`` words or more that documents share, one row for each document and passage.
-
-    ``doc_id``, ``first_word`` and ``last_word`` (numbers from 0), ``n_words``, ``cluster_id`` (the same for all
-    occurrences), ``kept_doc_id`` (where the cluster's first stands) and ``removed`` (whether this one
-    goes). Words stand between ASCII white space and are lower-cased for A-Z. Rows with a null id or text take
-    no part; rows that repeat an id are one document, the one with the most words; a passage that one
-    document repeats is none of these. Documents without such a passage have no row.
+    ``doc_id``, ``row_hash`` (xxhash64 of id and text, which tells rows with one id apart), ``first_word`` and
+    ``last_word`` (numbers from 0), ``n_words``, ``kept_doc_id`` and ``kept_first_word`` (the class: where its first
+    occurrence stands) and ``removed`` (whether this one goes: all in other documents than that do). Words stand between ASCII white
+    space and are lower-cased for A-Z. Rows with a null id or text take no part; rows with equal id
+    and text are one document, other rows of one id are documents of their own; a passage that only one
+    document holds, however often, is none of these. Documents without such a passage have no row; an empty
+    table gives none. Other columns are ignored.
     """
-    bands, rows_ = tune(percent / 100, recall)
-    reach = min(reach, max(0, (min_words // 2 - 1) // 4))  # two windows in a passage
+    plan = Plan(min_words, words, percent, recall)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    keys = rows.mapInArrow(_band_keys(reach, words, bands, rows_), "key long, doc_id long").groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = _spark.saved(keys.where("low < high").select("key"), "passage-keys")
-    bloom = _bloom.build(shared, "key")
-    held = _spark.saved(rows.mapInArrow(_kept_keys(reach, words, bands, rows_, bloom), _PARAGRAPH).join(shared, "key"), "passage-paragraphs")
-
-    at = F.struct("doc_id", "place", "size")
-    ends = held.groupBy("key").agg(F.min(at).alias("low"), F.max(at).alias("high"))
-    sides = held.select("key", "doc_id", "place", "size").join(ends, "key").select("doc_id", "place", "size", F.explode(F.array("low", "high")).alias("e"))
-    pairs = sides.select("doc_id", "place", "size", F.col("e.doc_id").alias("other"), F.col("e.place").alias("other_place"), F.col("e.size").alias("other_size")).where("doc_id <> other")
-    swap = F.col("doc_id") < F.col("other")
-    pairs = pairs.select(*[F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("doc_id", "other"), ("place", "other_place"), ("size", "other_size"))], *[F.when(swap, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("doc_id", "other"), ("place", "other_place"), ("size", "other_size"))]).distinct()
-    grams = held.groupBy("doc_id", "place").agg(F.min("grams").alias("grams"))
-    checked = pairs.join(grams, ["doc_id", "place"]).join(grams.select(F.col("doc_id").alias("other"), F.col("place").alias("other_place"), F.col("grams").alias("other_grams")), ["other", "other_place"])
-    similar = _spark.saved(checked.select("doc_id", "place", "size", "other", "other_place", "other_size", "grams", "other_grams").mapInArrow(_similar(percent), "doc_id long, place int, size int, other long, other_place int, other_size int"), "passage-similar")
-
-    ids = similar.select("doc_id").unionAll(similar.select(F.col("other").alias("doc_id"))).distinct()
-    found = _extended(rows, similar, ids, min_words)
-    found = _spark.saved(found.unionByName(_exact_links(rows, _labelled(held, found), reach, words, min_words)), "passage-links")
-    found = found.unionByName(_near_links(rows, held, _labelled(held, found), min_words, percent))
-    clusters = _spark.components(_edges(found))
-    spans = found.select("doc_id", "place", "start", "end").unionAll(found.select(F.col("other").alias("doc_id"), F.col("other_place").alias("place"), F.col("other_start").alias("start"), F.col("other_end").alias("end")))
-    spans = spans.groupBy("doc_id", "place").agg(F.min("start").alias("start"), F.max("end").alias("end")).withColumn("id", _node())
-    spans = _spark.saved(spans.join(clusters, "id").select("doc_id", "place", "start", "end", "component"), "passage-spans")
-    lead = spans.groupBy("component").agg(F.min(F.struct("doc_id", "place")).alias("lead"))
-    own = spans.join(lead, "component").withColumn("removed", F.struct("doc_id", "place") != F.col("lead"))
-    # Neighbouring paragraphs of a document with one fate are one passage.
-    w = Window.partitionBy("doc_id", "removed").orderBy("start", "end", "place")
-    upto = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    run = own.withColumn("new", F.coalesce((F.col("start") > upto).cast("int"), F.lit(1))).withColumn("run", F.sum("new").over(w))
-    out = run.groupBy("doc_id", "removed", "run").agg(F.min("start").alias("first_word"), (F.max("end") - 1).alias("last_word"), F.min("component").alias("cluster_id"), F.min(F.col("lead.doc_id")).alias("kept_doc_id"))
-    return out.select("doc_id", "first_word", "last_word", (F.col("last_word") - F.col("first_word") + 1).alias("n_words"), "cluster_id", "kept_doc_id", "removed")
+    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+    shared = rows.mapInArrow(_keys(plan), "key long, value long").groupBy("key").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    shared = _spark.saved(shared.where("low < high").select("key"), "passage-keys")
+    places = _spark.saved(rows.mapInArrow(_places(plan, _bloom.build(shared, "key")), _PLACE), "passage-places")
+
+    # Equal runs: the first holder is kept.
+    at, text = F.struct("doc_id", "row", "start"), F.struct("doc_id", "row")
+    elsewhere = lambda lead: text != F.struct(f"{lead}.doc_id", f"{lead}.row")
+    runs = places.where("bands is null")
+    lead = runs.groupBy("key").agg(F.min(F.struct("doc_id", "row", "start", "before", "behind")).alias("lead"), F.max(text).alias("last"), F.count("*").alias("n"))
+    lead = _spark.saved(lead.where(F.col("last") != F.struct("lead.doc_id", "lead.row")).select("key", "lead", "n"), "passage-leads")
+    found = _spark.looked_up(runs.select("key", "doc_id", "row", "start", "stop", "before", "behind"), lead, "key", runs.count())
+    back, ahead = _matching("before", "lead.before", plan.slack), _matching("behind", "lead.behind", plan.slack)
+    spans = found.select("doc_id", "row", (F.col("start") - back).alias("start"), (F.col("stop") + ahead).alias("stop"), F.col("lead.doc_id").alias("kept_doc_id"), (F.col("lead.start") - back).alias("kept_start"), elsewhere("lead").alias("removed"))
+
+    label = similar_paragraphs(places, percent)
+    if label is not None:
+        paragraphs = places.where("bands is not null").select(F.col("key").alias("content"), "doc_id", "row", "start", "stop")
+        known = paragraphs.groupBy("content").agg(F.min(at).alias("lead"), F.max(text).alias("last"), F.count("*").alias("rows")).join(label, "content")
+        known = _spark.saved(known, "passage-labels")
+        first = known.groupBy("label").agg(F.min("lead").alias("lead"), F.max("last").alias("last"), F.count("*").alias("n"))
+        first = first.where(F.col("last") != F.struct("lead.doc_id", "lead.row")).drop("last")
+        known = _spark.looked_up(known.drop("lead", "last"), first, "label", known.count()).select("content", "lead", F.col("rows").alias("n"))
+        near = _spark.looked_up(paragraphs, _spark.saved(known, "passage-clusters"), "content", paragraphs.count())
+        spans = spans.unionByName(near.select("doc_id", "row", "start", "stop", F.col("lead.doc_id").alias("kept_doc_id"), F.col("lead.start").alias("kept_start"), elsewhere("lead").alias("removed")))
+
+    # Overlapping and adjoining spans of one fate are one passage.
+    w = Window.partitionBy("doc_id", "row", "kept_doc_id", "removed").orderBy("start", "stop", "kept_start")
+    upto = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    joined = spans.withColumn("new", F.coalesce((F.col("start") > upto).cast("int"), F.lit(1))).withColumn("part", F.sum("new").over(w))
+    out = joined.groupBy("doc_id", "row", "kept_doc_id", "removed", "part").agg(F.min("start").alias("first_word"), (F.max("stop") - 1).alias("last_word"), F.min("kept_start").alias("kept_first_word"))
+    return out.select("doc_id", F.col("row").alias("row_hash"), "first_word", "last_word", (F.col("last_word") - F.col("first_word") + 1).alias("n_words"), "kept_doc_id", "kept_first_word", "removed")
 
 
 def delete_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,9 +350,10 @@ def delete_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id"
 
     A passage's words go with the white space behind them.
     """
-    gone = passages.where("removed").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first_word", "last_word"))).alias("spans"))  # of one document
+    gone = passages.where("removed").groupBy("row_hash").agg(F.sort_array(F.collect_set(F.struct("first_word", "last_word"))).alias("spans"))  # of one document
     name, at = _spark.free_name(docs, "cut_id"), _spark.free_name(docs, "cut_spans")
-    rows = docs.join(gone.select(F.col("doc_id").alias(name), F.col("spans").alias(at)), F.col(f"`{id_col}`").cast("long") == F.col(name), "left")
+    own = F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
+    rows = docs.join(gone.select(F.col("row_hash").alias(name), F.col("spans").alias(at)), own == F.col(name), "left")
     text = F.col(f"`{text_col}`")
     pieces = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
     kept = F.filter(F.transform(pieces, lambda x, k: F.struct(x.alias("x"), k.cast("long").alias("k"))), lambda s: ~F.exists(F.col(at), lambda g: (s["k"] >= g["first_word"]) & (s["k"] <= g["last_word"])))
