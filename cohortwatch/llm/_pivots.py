@@ -38,8 +38,11 @@ def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compa
     pivot = _spark.saved(pivot.select("token", F.col("p.id").alias("y"), F.col("p.at").alias("y_at"), "n"), "list-pivots")
     members = lists.select("token", F.col("id").alias("x"), F.col("at").alias("x_at"))
     found = _spark.looked_up(members, pivot, "token", entries).where((F.col("x") != F.col("y")) & may("x_at", "y_at"))
-    checked = _spark.saved(compare(_spark.saved(one_each(found), "list-pairs")), "list-checked")
+    pairs = _spark.saved(one_each(found), "list-pairs")
+    checked = _spark.saved(compare(pairs), "list-checked")
+    spark, labelled, mixed = lists.sparkSession, pivot, pairs
     for turn in range(PIVOT_ROUNDS + 1):
+        _spark.drop_scratch(spark, labelled, mixed)
         label = _spark.saved(_spark.components(checked.where("linked").select("a", "b")), "list-labels")
         labelled = _spark.saved(lists.join(label, "id", "left").select("token", "id", "at", F.coalesce("component", "id").alias("label")), "list-labelled")
         classes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "at")).alias("p"))
@@ -64,6 +67,7 @@ def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compa
         fresh = _spark.saved(one_each(found).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "list-pairs")
         checked = _spark.saved(checked.unionByName(compare(fresh)), "list-checked")
         if last:
+            _spark.drop_scratch(spark, labelled, mixed)
             return _spark.components(checked.where("linked").select("a", "b"))
     raise AssertionError
 

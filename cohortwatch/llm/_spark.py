@@ -51,7 +51,9 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
 
 
 def scratch_tables(spark: SparkSession) -> list[str]:
@@ -60,11 +62,10 @@ def scratch_tables(spark: SparkSession) -> list[str]:
 
 
 def drop_scratch(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete these scratch tables, or all of the session's: only when no result that reads them is still to be computed."""
+    """Delete these tables of :func:`saved`, or all of the session's: only when no result that reads them is still to be computed."""
     own = _written.get(spark.sparkContext.applicationId, [])
-    wanted = None if not tables else {f.rsplit("/", 1)[0].replace("file:///", "/").replace("file:/", "/") for t in tables for f in t.inputFiles()}
-    for path in list(own):
-        if wanted is None or path.replace("file://", "") in wanted or path in wanted:
+    for path in [t.scratch_path for t in tables] or list(own):
+        if path in own:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
             own.remove(path)
@@ -127,8 +128,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = looked_up(both.where("v > u"), low, "u", n).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = saved(large, "edges")
+        drop_scratch(e.sparkSession, e)
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         star = looked_up(large, low, "u", n).select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         e = saved(star.select("e.u", "e.v").where("u <> v").distinct(), "edges")
+        drop_scratch(e.sparkSession, large)
     ends = e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionAll(e.select(F.col("v").alias("id"), F.col("v").alias("component")))
     return ends.unionAll(loops.select("id", F.col("id").alias("component"))).groupBy("id").agg(F.min("component").alias("component"))

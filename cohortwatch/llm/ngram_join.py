@@ -10,11 +10,10 @@ histograms of the sets over hash ranges, whose least sums bound the overlap from
 pairs that are left are gathered. Before the overlap is counted, once per pair, a suffix filter
 splits the sorted sets in halves.
 
-Equal sets are one vertex. In the list of a prefix element not all pairs are made: first every
-member is compared with one pivot, and components are formed. Members of one component need no
-further comparison. Lists that still span several components get further pivots while their open
-pairs are many; then every open pair is compared. So the components are exact: a pair is left out
-only if its members are already connected.
+Equal sets are one vertex. In the list of a prefix element not all pairs are made: :mod:`_pivots` compares
+each member with a pivot and leaves out pairs that are connected by then. Where many pairs of long lists stay
+open, these lists are split by a second element: prefixes that are one longer have two elements in
+common if the sets are linked. So the components are exact.
 
 Element identity is a 58-bit hash, set identity a 64-bit hash.
 """
@@ -28,14 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _bloom, _spark, _text
+from cohortwatch.llm import _bloom, _pivots, _spark, _text
 
 WORDS, PERCENT = 5, 80
 #: Counters of the document-frequency table, kept and moved in cells.
 COUNTER_BITS, CELL = 22, 1 << 12
 COUNTERS = 1 << COUNTER_BITS
-#: Open pairs, in all or for each list entry, up to which all of them are compared; until then pivots go on.
-ALL_PAIRS, OPEN_PAIRS, PIVOT_ROUNDS = 5_000_000, 20, 2
 
 
 def _sets(texts, n: int):
@@ -139,12 +136,14 @@ def _ranked(grams: np.ndarray, first: np.ndarray, levels: np.ndarray) -> np.ndar
 
 
 def _prefixes(words: int, percent: int, shared, bloom=None):
+    """``(token, sid, npos)`` of the elements of each prefix and one more; ``npos`` holds the set's size and the place."""
+
     def run(batches):
         levels = shared.value
         for batch in batches:
             for _, grams, first in _sets(batch.column("text"), words):
                 keys, ids, n = _ranked(grams, first, levels), _set_ids(grams, first), np.diff(first)
-                length = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
+                length = np.where(n > 0, np.minimum(n, n - -(-percent * n // 100) + 2), 0)
                 pos = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
                 out = [keys[np.repeat(first[:-1], length) + pos].view(np.int64), np.repeat(ids, length), (np.repeat(n, length) << 32) | pos]
                 if bloom is not None:
@@ -199,15 +198,13 @@ def _verify(percent: int):
     def run(batches):
         for batch in batches:
             a, b = batch.column("a_keys"), batch.column("b_keys")
-            linked = np.zeros(batch.num_rows, bool)
+            may = np.zeros(batch.num_rows, bool)
             for k in range(batch.num_rows):
                 x, y = np.frombuffer(a[k].as_buffer(), np.uint64), np.frombuffer(b[k].as_buffer(), np.uint64)
-                needed = -(-percent * (len(x) + len(y)) // (100 + percent))
-                if suffix_allows(x, y, needed):
-                    both = np.concatenate([x, y])
-                    both.sort(kind="stable")
-                    linked[k] = np.count_nonzero(both[1:] == both[:-1]) >= needed
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
+                may[k] = suffix_allows(x, y, -(-percent * (len(x) + len(y)) // (100 + percent)))
+            batch = batch.filter(pa.array(may))
+            both, sizes = _text.common(batch.column("a_keys"), batch.column("b_keys"), np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(100 * both >= percent * (sizes - both))], ["a", "b", "linked"])
 
     return run
 
@@ -226,17 +223,19 @@ def _may_link(a: str, b: str, percent: int):
 
 
 def _compare(pairs: DataFrame, rows: DataFrame, reps: DataFrame, shared, words: int, percent: int) -> DataFrame:
-    """``(a, b, linked)`` of the pairs that the histograms leave."""
+    """``(a, b, linked)`` of the pairs that histograms and suffixes leave."""
     left, right = reps.select(F.col("sid").alias("a"), F.col("histogram").alias("a_histogram")), reps.select(F.col("sid").alias("b"), F.col("histogram").alias("b_histogram"))
     screened = _spark.saved(pairs.join(left, "a").join(right, "b").select("a", "b", "a_histogram", "b_histogram").mapInArrow(_screen(percent), "a long, b long"), "join-screened")
     if screened.isEmpty():
         return screened.withColumn("linked", F.lit(True))
     ids = screened.select(F.col("a").alias("sid")).unionAll(screened.select("b")).distinct()
-    wanted = _bloom.build(ids.join(reps, "sid"), "row_hash")
+    wanted = _bloom.build(_spark.saved(ids.join(reps, "sid").select("row_hash"), "join-wanted"), "row_hash")
     sets = _spark.saved(rows.select("row_hash", "text").mapInArrow(_whole_sets(words, shared, wanted), "sid long, keys binary"), "join-sets")
     left, right = sets.select(F.col("sid").alias("a"), F.col("keys").alias("a_keys")), sets.select(F.col("sid").alias("b"), F.col("keys").alias("b_keys"))
     checked = screened.join(left, "a").join(right, "b").select("a", "b", "a_keys", "b_keys").mapInArrow(_verify(percent), "a long, b long, linked boolean")
-    return _spark.saved(checked.distinct(), "join-checked")
+    checked = _spark.saved(checked.distinct(), "join-checked")
+    _spark.drop_scratch(rows.sparkSession, sets)
+    return checked
 
 
 def _links(rows: DataFrame, info: DataFrame, levels, words: int, percent: int) -> DataFrame | None:
@@ -246,38 +245,39 @@ def _links(rows: DataFrame, info: DataFrame, levels, words: int, percent: int) -
     often = rows.select("text").mapInArrow(_prefixes(words, percent, shared), schema).groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token")
     often = _spark.saved(often, "join-tokens")
     bloom = _bloom.build(often, "token")
-    lists = _spark.saved(rows.select("text").mapInArrow(_prefixes(words, percent, shared, bloom), schema).join(often, "token").select("token", "sid", "npos").distinct(), "join-lists")
-    n_entries = lists.count()
-    if n_entries == 0:
-        return None
-    reps = _spark.saved(info.groupBy("sid").agg(F.min("row_hash").alias("row_hash"), F.first("histogram").alias("histogram")), "join-sets-known")
+    longer = _spark.saved(rows.select("text").mapInArrow(_prefixes(words, percent, shared, bloom), schema).join(often, "token").select("token", F.col("sid").alias("id"), F.col("npos").alias("at")).distinct(), "join-lists")
+    n, pos = F.shiftright("at", 32), F.col("at").bitwiseAND((1 << 32) - 1)
+    lists = longer.where(pos <= n - F.ceil(percent * n / F.lit(100)))
+    reps = _spark.saved(info.groupBy("sid").agg(F.min_by(F.struct("row_hash", "histogram"), "row_hash").alias("r")).select("sid", "r.*"), "join-sets-known")
+
+    def split(entries: DataFrame) -> DataFrame:
+        second = longer.select(F.col("token").alias("second"), "id", F.col("at").alias("second_at"))
+        later = entries.join(second, "id").where(F.col("second_at") > F.col("at"))
+        return later.select(F.xxhash64("token", "second").alias("token"), "id", "at", "label")
 
-    one_each = lambda found: found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     # The pivot is the member with the fewest rarer elements for its size: the least altered of copies.
-    share = F.col("npos").bitwiseAND((1 << 32) - 1) / F.shiftright("npos", 32)
-    pivot = lists.groupBy("token").agg(F.min(F.struct(share.alias("share"), "sid", "npos")).alias("p")).select("token", F.col("p.sid").alias("y"), F.col("p.npos").alias("y_at"))
-    members = lists.select("token", F.col("sid").alias("x"), F.col("npos").alias("x_at"))
-    found = members.join(pivot, "token").where((F.col("x") != F.col("y")) & _may_link("x_at", "y_at", percent))
-    checked = _compare(one_each(found), rows, reps, shared, words, percent)
-    for turn in range(PIVOT_ROUNDS + 1):
-        label = _spark.saved(_spark.components(checked.where("linked").select("a", "b")), "join-labels")
-        labelled = lists.join(label.withColumnRenamed("id", "sid"), "sid", "left").select("token", "sid", "npos", F.coalesce("component", "sid").alias("label"))
-        classes = labelled.groupBy("token", "label").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("h"), "sid", "npos")).alias("p"))
-        mixed = classes.groupBy("token").agg(F.count("*").alias("k"), F.sum("n").alias("m"), F.max(F.struct("n", "label", "p")).alias("top")).where("k > 1")
-        mixed = _spark.saved(mixed.select("token", "m", F.col("top.n").alias("top_n"), F.col("top.label").alias("top"), F.col("top.p.sid").alias("y"), F.col("top.p.npos").alias("y_at")), "join-mixed")
-        still_open = mixed.agg(F.sum(F.expr("m * (m - top_n)"))).first()[0] or 0
-        if not still_open:
-            return label
-        minor = labelled.join(mixed, "token").where("label <> top").select("token", F.col("sid").alias("x"), F.col("npos").alias("x_at"), "label", "y", "y_at")
-        last = still_open <= max(ALL_PAIRS, OPEN_PAIRS * n_entries) or turn == PIVOT_ROUNDS
-        if last:
-            whole = labelled.join(mixed.select("token"), "token", "left_semi").select("token", F.col("sid").alias("y"), F.col("npos").alias("y_at"), F.col("label").alias("other"))
-            minor = minor.drop("y", "y_at").join(whole, "token").where("label <> other")
-        more = _compare(one_each(minor.where(_may_link("x_at", "y_at", percent))).join(checked.select("a", "b"), ["a", "b"], "left_anti"), rows, reps, shared, words, percent)
-        checked = _spark.saved(checked.unionByName(more), "join-checked")
-        if last:
-            return _spark.components(checked.where("linked").select("a", "b"))
-    raise AssertionError
+    found = _pivots.linked_components(lists, lambda x, y: _may_link(x, y, percent), lambda pairs: _compare(pairs, rows, reps, shared, words, percent), pos / n, split)
+    return None if found is None else found.withColumnRenamed("id", "sid")
+
+
+def _row_components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``row_hash`` and ``n`` of every row, and the first ``lead`` (id, hash) of its component where it has words."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = rows.withColumn("row_hash", F.xxhash64("doc_id", "text"))
+    summary = _spark.saved(rows.mapInArrow(_summary(words), "doc_id long, row_hash long, n long, sid long, histogram binary, cell int, counts binary"), "join-summary")
+    info = summary.where("counts is null").select("doc_id", "row_hash", "n", "sid", "histogram")
+    worded = info.where("n > 0")
+    label = _links(rows, worded, _levels(summary.where("counts is not null")), words, percent)
+    total = worded.count()
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash"))
+    sets = worded.groupBy("sid").agg(lead.alias("lead"), F.count("*").alias("rows"))
+    sets = sets.withColumn("component", F.col("sid")) if label is None else sets.join(label, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    sets = _spark.saved(sets, "join-sets-labelled")
+    first = _spark.saved(sets.groupBy("component").agg(F.min("lead").alias("lead"), F.count("*").alias("n")), "join-first")
+    sets = _spark.looked_up(sets.drop("lead"), first, "component", total).select("sid", F.col("rows").alias("n"), "lead")
+    found = _spark.looked_up(worded.select("sid", "doc_id", "row_hash", F.col("n").alias("size")), _spark.saved(sets, "join-leads"), "sid", total)
+    none = info.where("n = 0").select("doc_id", "row_hash", "n", F.lit(None).cast(found.schema["lead"].dataType).alias("lead"))
+    return found.select("doc_id", "row_hash", F.col("size").alias("n"), "lead").unionByName(none)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -290,26 +290,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id are vertices of their own; a component of null ids only has a null id. Other columns of
     ``docs`` are ignored.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = rows.withColumn("row_hash", F.xxhash64("doc_id", "text"))
-    summary = _spark.saved(rows.mapInArrow(_summary(words), "doc_id long, row_hash long, n long, sid long, histogram binary, cell int, counts binary"), "join-summary")
-    info = summary.where("counts is null").select("doc_id", "row_hash", "n", "sid", "histogram")
-    label = _links(rows, info.where("n > 0"), _levels(summary.where("counts is not null")), words, percent)
-    own = info.withColumn("component", F.col("sid")) if label is None else info.join(label.withColumnRenamed("id", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    own = own.select("doc_id", "n", "component")
-    least = own.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return own.where("n > 0").join(least, "component").select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id")).unionByName(own.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    found = _row_components(docs, id_col, text_col, words, percent)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("lead").isNull(), F.col("doc_id")).otherwise(F.col("lead.doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id; all its columns, whatever their names.
+    """The first row of each component, by id (null last) and then a hash of id and text; all columns of ``docs``, whatever their names.
 
-    Rows with a null id stay; of rows that repeat a kept id one stays.
+    Rows decide, not ids: rows that repeat an id with unrelated texts all stay. Of rows with equal id and
+    text one stays, whatever their other columns. Rows without words are nobody's copy and stay.
     """
-    found = _spark.saved(jaccard_components(docs, id_col, text_col, words, percent).where("doc_id is not null").select("doc_id", "component_id"), "join-components")
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    kept = found.where("doc_id = component_id")
-    n, ids = kept.agg(F.count("*"), F.count_distinct("doc_id")).first()
-    name = _spark.free_name(docs, "dropped_id")
-    rows = docs.join(_spark.small(gone.withColumnRenamed("doc_id", name)), F.col(f"`{id_col}`").cast("long") == F.col(name), "left_anti")
-    return rows if n == ids else rows.where(F.col(f"`{id_col}`").isNull()).unionByName(rows.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col]))
+    found = _spark.saved(_row_components(docs, id_col, text_col, words, percent), "join-components")
+    gone = found.where(F.col("lead").isNotNull() & (F.col("row_hash") != F.col("lead.row_hash"))).select("row_hash").distinct()
+    again = found.where("lead is not null").groupBy("row_hash").agg(F.count("*").alias("n")).where("n > 1").select("row_hash")
+    name, own = _spark.free_name(docs, "dropped_row"), _spark.free_name(docs, "own_row")
+    row = F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
+    keyed = docs.withColumn(own, row)
+    rows = keyed.join(_spark.small(gone.withColumnRenamed("row_hash", name)), F.col(own) == F.col(name), "left_anti")
+    again = _spark.saved(again.withColumnRenamed("row_hash", name), "join-again")
+    if again.isEmpty():
+        return rows.drop(own)
+    twice = _spark.small(again)
+    once = rows.join(twice, F.col(own) == F.col(name), "left_semi").dropDuplicates([own])
+    return rows.join(twice, F.col(own) == F.col(name), "left_anti").unionByName(once).drop(own)

@@ -1,9 +1,8 @@
 """Substring dedup by MinHash banding of paragraphs.
 
-**Paragraphs.** Lines are paragraphs; a line of more than ``2 * min_words`` words is also cut inside, at words
-whose 5-gram has the least hash of ``min_words`` words around; of the beginnings of short lines only
-those count whose 5-gram is the least of half that distance. From each beginning the fewest pieces that hold ``min_words`` words
-are a paragraph, so paragraphs of short lines overlap.
+**Paragraphs.** Lines of ``min_words`` words or more are paragraphs; one of more than twice as many is cut inside, at words
+whose 5-gram has the least hash of ``min_words`` words on either side. Shorter lines are paragraphs together: a new one begins at
+the line whose first 5-gram has the least hash of the beginnings as near as that. Pieces of fewer words are no passage.
 
 **Banding.** A paragraph's MinHash values of word shingles make band keys; :func:`tune` finds the bands that
 meet the wanted recall with the fewest chance collisions. Only keys that different paragraph
@@ -108,24 +107,17 @@ class Paragraphs:
         rank = np.concatenate([self.grams, self.words[len(self.grams) :]]) if count else self.words
         line_first = np.unique(np.concatenate([np.searchsorted(starts, chunk.lines()[0]), first]))  # each line's first word, blank lines none
         line_words = np.diff(line_first)
-        long = np.repeat(line_words > 2 * min_words, line_words)
         begin = np.zeros(count, bool)
         begin[line_first[:-1]] = True
-        half = max(1, min_words // 2)
-        keep = np.zeros(count, bool)
-        keep[first[:-1][np.diff(first) > 0]] = True
-        whole = line_words >= half
-        keep[line_first[:-1][whole]] = True
-        after = line_first[1:][whole]
-        keep[after[after < count]] = True
-        if count:
-            keep |= _local_least(rank, begin, half) | (_local_least(rank, long, min_words) & long)
-        bound = np.append(np.flatnonzero(keep), count)
-        start = bound[:-1]
-        stop = bound[np.minimum(np.searchsorted(bound, start + min_words), len(bound) - 1)]
-        doc = np.searchsorted(first, start, "right") - 1
-        ok = (stop <= first[doc + 1]) & (stop - start >= min_words)
-        self.start, self.stop, self.doc = start[ok], stop[ok], doc[ok]
+        long = np.repeat(line_words > 2 * min_words, line_words)
+        keep = np.append(_local_least(rank, begin, min_words) | (_local_least(rank, long, min_words) & long), True) if count else np.ones(1, bool)
+        keep[first] = True
+        whole = line_words >= min_words
+        keep[line_first[:-1][whole]] = keep[line_first[1:][whole]] = True
+        bound = np.flatnonzero(keep)
+        ok = np.diff(bound) >= min_words
+        self.start, self.stop = bound[:-1][ok], bound[1:][ok]
+        self.doc = np.searchsorted(first, self.start, "right") - 1
         shingles = np.maximum(self.stop - self.start - n + 1, 0)
         self.at = np.cumsum(shingles) - shingles
         self.shingles = self.grams[np.repeat(self.start - self.at, shingles) + np.arange(shingles.sum())]
@@ -284,14 +276,17 @@ def similar_paragraphs(places: DataFrame, percent: int = PERCENT) -> DataFrame |
     """``(content, label)`` of the paragraph contents that are linked with a different one; None if there is none."""
     paragraphs = places.where("bands is not null")
     at = F.struct("n", "map_0", "map_1", "map_2", "map_3")
-    contents = paragraphs.groupBy(F.col("key").alias("content")).agg(F.min_by(F.struct("shingles", "bands", "n", "map_0", "map_1", "map_2", "map_3"), F.struct("doc_id", "row", "start")).alias("p"))
-    contents = _spark.saved(contents.select("content", "p.*"), "passage-contents")
-    lists = contents.select(F.explode("bands").alias("token"), F.col("content").alias("id"), at.alias("at"))
+    contents = paragraphs.groupBy(F.col("key").alias("content")).agg(F.first(F.struct("bands", at.alias("at"))).alias("p"))
+    lists = contents.select(F.explode("p.bands").alias("token"), F.col("content").alias("id"), F.col("p.at").alias("at"))
+    lists = _spark.saved(lists, "passage-lists")
     often = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    lists = _spark.saved(lists.join(often, "token"), "passage-lists")
-    a, b = contents.select(F.col("content").alias("a"), F.col("shingles").alias("a_set")), contents.select(F.col("content").alias("b"), F.col("shingles").alias("b_set"))
+    every, lists = lists, _spark.saved(lists.join(often, "token"), "passage-lists")
+    _spark.drop_scratch(places.sparkSession, every)
 
     def compare(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("key")).unionAll(pairs.select("b")).distinct()
+        sets = _spark.saved(paragraphs.select("key", "shingles").join(ids, "key").groupBy("key").agg(F.first("shingles").alias("set")), "passage-sets")
+        a, b = (sets.select(F.col("key").alias(x), F.col("set").alias(f"{x}_set")) for x in "ab")
         return pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(_verify(percent), "a long, b long, linked boolean")
 
     label = _pivots.linked_components(lists, lambda x, y: _may_link(x, y, percent), compare, F.col("id"))
