@@ -22,13 +22,14 @@ ALL_PAIRS, OPEN_PAIRS, PIVOT_ROUNDS = 5_000_000, 20, 3
 BLOCK = 1000
 
 
-def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compare: Callable[[DataFrame], DataFrame], prefer: Column, split: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compare: Callable[[DataFrame], DataFrame], prefer: Column, split: Callable[[DataFrame], DataFrame] | None = None, once: Callable[[str, str], Column] | None = None) -> DataFrame | None:
     """``(id, component)`` of all ids with a link, or None if there is no list.
 
     ``lists`` is a saved table of distinct ``(token, id, at)``; ``may(x, y)`` says of two columns like ``at`` whether
     their ids may be linked, as far as this list tells; ``compare(pairs(a, b))`` gives ``(a, b, linked)``
     for at least those that are linked; ``prefer`` ranks pivots, smallest first. ``split`` turns the entries of long
-    lists ``(token, id, at, label)`` into shorter lists that hold every pair that may be linked.
+    lists ``(token, id, at, label)`` into shorter lists that hold every pair that may be linked; ``once`` says whether a pair
+    of several lists is to be made in this one (without ``split`` only).
     """
     entries = lists.count()
     if not entries:
@@ -63,7 +64,7 @@ def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compa
                 mixed = classes.groupBy("token").agg(F.count("*").alias("k"), F.sum("size").alias("n"), F.max(F.struct("size", "label")).alias("top")).where("k > 1").select("token", "n", F.col("top.label").alias("top"))
                 mixed = _spark.saved(mixed, "list-mixed")
                 entries = max(entries, whole.count())
-            found = _open_pairs(_spark.looked_up(whole, mixed.select("token", "n", "top"), "token", entries), may)
+            found = _open_pairs(_spark.looked_up(whole, mixed.select("token", "n", "top"), "token", entries), may if once is None else lambda x, y: may(x, y) & once(x, y))
         fresh = _spark.saved(one_each(found).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "list-pairs")
         checked = _spark.saved(checked.unionByName(compare(fresh)), "list-checked")
         if last:

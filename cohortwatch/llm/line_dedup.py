@@ -1,18 +1,19 @@
 """Line dedup by pairwise alignment.
 
-Documents that overlap are found through shared line hashes: a line that several documents hold
-nominates, for each of them, the first document (least id) that holds it. Lines of any frequency
-nominate, at one partner a document, so a line that a third of all documents share costs one pair
-for each of them. A line of less than ``min_words`` words nominates together
-with the lines behind it, as many as hold ``min_words`` words: every block that is deleted
-holds such a run, and every common run is a block. Lines of which the deleted blocks cover fewer copies than a document holds
-then nominate the next holders (those with more copies than are covered), 1, 2, 4, … at a time, until
-the copies are covered or no earlier holder is left.
+Documents that overlap are found through shared line hashes, rare ones first. A line of less than ``min_words``
+words counts together with the lines behind it, and with those before it, as many as hold ``min_words``
+words: every block that is deleted is made of such runs, and every common run is part of a block. A document's rarest shared
+run nominates its first holder (least id) as a partner; each run that this partner lacks nominates its own
+first holder. So every run that an earlier document holds is met in one pair at least, a run
+of any frequency makes one pair a document at most, and no list of holders is gathered.
 
 Each pair is aligned by patience diff: equal heads and tails are matched, then the lines that occur
 once in both are matched along their longest increasing run, and the gaps between are treated in
-the same way; a gap without such a line is split at the longest run of lines that both sides hold. Blocks of consecutive aligned lines with ``min_words`` words or more are deleted from
-the later document.
+the same way; a gap without such a line is split at the longest run of lines that both sides hold.
+Blocks of consecutive aligned lines with ``min_words`` words or more are deleted from the later
+document. Runs that an alignment in order leaves out though both hold them (moved or repeated ones) are blocks too. So
+what is deleted holds all that the alignments of all pairs would delete, and
+nothing that no earlier document holds.
 
 Lines are compared as 64-bit hashes of their whole text; lines without a word are aligned but
 nominate nothing.
@@ -24,13 +25,15 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortwatch.llm import _bloom, _spark, _text
 
 #: Words of a block that is deleted, and of the lines that nominate a partner together, at least.
 MIN_WORDS = 5
+#: Pairs with one kept document in one task.
+PAIRS = 1000
 
 
 def longest_run(a: list[int], b: list[int]) -> tuple[int, int, int]:
@@ -124,159 +127,151 @@ def _lines(chunk: _text.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return chunk.hashes(starts, ends, _text.AS_IS), np.searchsorted(word_starts, ends) - np.searchsorted(word_starts, starts), first
 
 
-def _line_copies(h: np.ndarray, words: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The nominating runs: hash, document, first line and line behind the last.
+def _runs(h: np.ndarray, words: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The nominating runs of lines: hash, first line and line behind the last.
 
-    From each line with a word the fewest lines that hold ``min_words`` words; a single line keeps its hash.
+    From each line with a word on, and up to it, the fewest lines that hold ``min_words`` words; a single line keeps its hash.
     """
     upto = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
     at = np.flatnonzero(words > 0)
-    end = np.searchsorted(upto, upto[at] + min_words)
     doc = np.searchsorted(first, at, "right") - 1
-    whole = end <= first[doc + 1]
-    at, end, doc = at[whole], end[whole], doc[whole]
+    behind = np.searchsorted(upto, upto[at] + min_words)
+    ahead = np.searchsorted(upto, upto[at + 1] - min_words, "right") - 1
+    start, end = np.concatenate([at, ahead]), np.concatenate([behind, at + 1])
+    inside = (start >= np.tile(first[doc], 2)) & (end <= np.tile(first[doc + 1], 2)) & (upto[np.minimum(end, len(words))] - upto[np.maximum(start, 0)] >= min_words)
+    start, end = start[inside], end[inside]
     power, inverse = _text._powers_to(len(h) + 1)
     total = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(h * power[: len(h)], out=total[1:])
-    several = _text.mix((total[end] - total[at]) * inverse[at] + (end - at).astype(np.uint64))
-    return np.where(end - at == 1, h[at], several), doc, at, end
-
-
-def _counted(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each key once a document, with the number of its copies."""
-    order = np.lexsort((keys, doc))
-    keys, doc = keys[order], doc[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
-    at = np.flatnonzero(new)
-    return keys[at], doc[at], np.diff(np.append(at, len(keys)))
+    several = _text.mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    return np.where(end - start == 1, h[start], several), start, end
 
 
 def _nominating(min_words: int, bloom=None):
-    """Rows ``(line, doc_id, copies)``: each nominating run of lines once a document."""
+    """Rows ``(line, doc_id, row)``: each nominating run once a document."""
 
     def run(batches):
         for batch in batches:
             for chunk in _text.chunks(batch.column("text")):
-                keys, doc, _, _ = _line_copies(*_lines(chunk), min_words)
+                h, words, first = _lines(chunk)
+                keys, start, _ = _runs(h, words, first, min_words)
                 if bloom is not None:
                     keep = _bloom.may_hold(bloom.value, keys)
-                    keys, doc = keys[keep], doc[keep]
-                keys, doc, copies = _counted(keys, doc)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("doc_id").slice(chunk.first, chunk.n_docs).take(pa.array(doc)), pa.array(copies.astype(np.int32))], ["line", "doc_id", "copies"])
-
-    return run
-
-
-def _covered(min_words: int):
-    """Rows ``(line, doc_id, copies)``: how many copies of a nominating run stand in the document's blocks."""
-
-    def run(batches):
-        for batch in batches:
-            for doc, lines, words, starts, ends in zip(*(batch.column(c) for c in ("doc_id", "lines", "words", "starts", "ends"))):
-                h, count = np.frombuffer(lines.as_buffer(), np.uint64), np.frombuffer(words.as_buffer(), np.int32)
-                gone = np.zeros(len(h) + 1, np.int64)
-                np.add.at(gone, starts.values.to_numpy(), 1)
-                np.add.at(gone, ends.values.to_numpy() + 1, -1)
-                keys, _, at, end = _line_copies(h, count, np.array([0, len(h)]), min_words)
-                stays = np.concatenate([[0], np.cumsum(np.cumsum(gone[:-1]) == 0)])
-                keys = keys[stays[end] == stays[at]]
-                keys, _, copies = _counted(keys, np.zeros(len(keys), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), doc.as_py(), np.int64)), pa.array(copies.astype(np.int32))], ["line", "doc_id", "copies"])
+                    keys, start = keys[keep], start[keep]
+                doc = np.searchsorted(first, start, "right") - 1
+                order = np.lexsort((keys, doc))
+                keys, doc = keys[order], doc[order]
+                new = np.ones(len(keys), bool)
+                new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+                own = [batch.column(c).slice(chunk.first, chunk.n_docs).take(pa.array(doc[new])) for c in ("doc_id", "row")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[new].view(np.int64)), *own], ["line", "doc_id", "row"])
 
     return run
 
 
 def _sequences(wanted):
-    """The lines of the documents whose id is wanted, and of few others."""
+    """The lines of the rows that are wanted, and of few others."""
 
     def run(batches):
         for batch in batches:
-            batch = batch.filter(pa.array(_bloom.may_hold(wanted.value, batch.column("doc_id").to_numpy(zero_copy_only=False))))
+            batch = batch.filter(pa.array(_bloom.may_hold(wanted.value, batch.column("row").to_numpy(zero_copy_only=False))))
             for chunk in _text.chunks(batch.column("text")):
                 h, words, first = _lines(chunk)
-                own = batch.column("doc_id").slice(chunk.first, chunk.n_docs)
-                yield pa.RecordBatch.from_arrays([own, pa.array([h[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()), pa.array([words[a:b].astype(np.int32).tobytes() for a, b in zip(first, first[1:])], pa.binary())], ["doc_id", "lines", "words"])
+                cut = list(zip(first.tolist(), first[1:].tolist()))
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(chunk.first, chunk.n_docs), pa.array([h[a:b].tobytes() for a, b in cut], pa.binary()), pa.array([words[a:b].astype(np.int32).tobytes() for a, b in cut], pa.binary())], ["row", "lines", "words"])
 
     return run
 
 
+def common_blocks(h: np.ndarray, words: np.ndarray, kept: np.ndarray, kept_words: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int]]:
+    """Blocks ``(start, start in the kept document, lines, words)`` of two line sequences: aligned ones, then moved or repeated ones."""
+    out = [(p, q, n, w) for p, q, n in patience(h.tolist(), kept.tolist()) if (w := int(words[p : p + n].sum())) >= min_words]
+    gone = np.zeros(len(h) + 1, np.int64)
+    for p, _, n, _ in out:
+        gone[p] += 1
+        gone[p + n] -= 1
+    stays = np.concatenate([[0], np.cumsum(np.cumsum(gone[:-1]) == 0)])
+    keys, start, end = _runs(h, words, np.array([0, len(h)]), min_words)
+    at = np.flatnonzero(stays[end] > stays[start])  # runs with a line that no block covers
+    known, known_start, _ = _runs(kept, kept_words, np.array([0, len(kept)]), min_words)
+    found, index = np.unique(known, return_index=True)
+    if not len(at) or not len(found):
+        return out
+    where = np.minimum(np.searchsorted(found, keys[at]), len(found) - 1)
+    at, where = at[found[where] == keys[at]], where[found[where] == keys[at]]
+    moved: list[list[int]] = []
+    for p, e, q in sorted(zip(start[at].tolist(), end[at].tolist(), known_start[index[where]].tolist())):
+        if moved and p <= moved[-1][1] and p - moved[-1][0] == q - moved[-1][2]:  # goes on in both
+            moved[-1][1] = max(e, moved[-1][1])
+        else:
+            moved.append([p, e, q])
+    return out + [(p, q, e - p, int(words[p:e].sum())) for p, e, q in moved]
+
+
 def _align(min_words: int):
-    names = ["doc_id", "kept_doc_id", "first_line", "last_line", "kept_first_line", "n_words"]
+    names = ["doc_id", "row", "kept_doc_id", "first_line", "last_line", "kept_first_line", "n_words"]
 
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
-            for doc, kept, lines, words, kept_lines in zip(*(batch.column(c) for c in ("doc_id", "kept_doc_id", "lines", "words", "kept_lines"))):
-                count = np.frombuffer(words.as_buffer(), np.int32)
-                for p, q, n in patience(np.frombuffer(lines.as_buffer(), np.int64).tolist(), np.frombuffer(kept_lines.as_buffer(), np.int64).tolist()):
-                    total = int(count[p : p + n].sum())
-                    if total >= min_words:
-                        rows.append((doc.as_py(), kept.as_py(), p, p + n - 1, q, total))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 6)], names)
+            for doc, row, keeps, *four in zip(*(batch.column(c) for c in ("doc_id", "row", "kept_doc_id", "lines", "words", "kept_lines", "kept_words"))):
+                h, words, kept, kept_words = (np.frombuffer(x.as_buffer(), t) for x, t in zip(four, (np.uint64, np.int32) * 2))
+                rows += [(doc.as_py(), row.as_py(), keeps.as_py(), p, p + n - 1, q, w) for p, q, n, w in common_blocks(h, words, kept, kept_words, min_words)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 7)], names)
 
     return run
 
 
-_BLOCK = "doc_id long, kept_doc_id long, first_line long, last_line long, kept_first_line long, n_words long"
+_BLOCK = "doc_id long, row_hash long, kept_doc_id long, first_line long, last_line long, kept_first_line long, n_words long"
+
+
+def partners(rows: DataFrame, min_words: int) -> DataFrame:
+    """``(doc_id, row, lead)`` of the pairs to align, ``lead`` being the kept document's ``(doc_id, row)``."""
+    schema = "line long, doc_id long, row long"
+    own = F.struct("doc_id", "row")
+    counted = rows.mapInArrow(_nominating(min_words), schema).groupBy("line").agg(F.min(own).alias("lead"), F.max(own).alias("last"), F.count("*").alias("n"))
+    shared = _spark.saved(counted.where("lead <> last").select("line", "lead", "n"), "line-shared")
+    held = _spark.saved(rows.mapInArrow(_nominating(min_words, _bloom.build(shared, "line")), schema).distinct(), "line-held")
+    later = _spark.looked_up(held, shared, "line", held.count()).where(own != F.col("lead"))
+    later = _spark.saved(later, "line-later")
+    rarest = later.groupBy("doc_id", "row").agg(F.min(F.struct("n", "lead")).alias("r")).select("doc_id", "row", F.col("r.lead").alias("lead"))
+    rarest = _spark.saved(rarest, "line-rarest")
+    partner = later.join(rarest.select("row", F.col("doc_id").alias("of"), F.col("lead.row").alias("partner")), "row").where("doc_id = of")
+    has = held.select(F.col("row").alias("partner"), "line").distinct()
+    rest = partner.join(has, ["partner", "line"], "left_anti").select("doc_id", "row", "lead")
+    return _spark.saved(rarest.unionByName(rest).distinct(), "line-pairs")
 
 
 def aligned_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """The blocks to delete: ``doc_id``, ``kept_doc_id``, lines from 0, and the words of the block.
+    """The blocks to delete: ``doc_id``, ``row_hash`` (of id and text), ``kept_doc_id``, lines from 0, and the words of the block.
 
-    One row for each aligned block of each pair; blocks of different partners may overlap. Rows with a
-    null id take no part; rows that repeat an id are one document, the one with the least
-    text; null and empty texts, and an empty table, give no rows. Other columns are ignored.
+    One row for each block of each pair; blocks of different partners may overlap. Rows with a
+    null id take no part; rows with equal id and text are one document, other rows of one id are documents of their
+    own, in the order of ``row_hash``; null and empty texts, and an empty table, give no rows. Other columns are ignored.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    schema = "line long, doc_id long, copies int"
-    counted = rows.mapInArrow(_nominating(min_words), schema).groupBy("line").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("high"))
-    shared = _spark.saved(counted.where("kept_doc_id < high").select("line", "kept_doc_id"), "line-shared")
-    bloom = _bloom.build(shared, "line")
-    held = _spark.saved(rows.mapInArrow(_nominating(min_words, bloom), schema).join(shared, "line").groupBy("line", "doc_id").agg(F.max("copies").alias("copies"), F.first("kept_doc_id").alias("first")), "line-held")
-    ids = held.select("doc_id").distinct()
-    sequences = _spark.saved(rows.mapInArrow(_sequences(_bloom.build(ids, "doc_id")), "doc_id long, lines binary, words binary").groupBy("doc_id").agg(F.min(F.struct("lines", "words")).alias("s")).select("doc_id", "s.lines", "s.words"), "line-sequences")
-    kept = sequences.select(F.col("doc_id").alias("kept_doc_id"), F.col("lines").alias("kept_lines"))
-
-    def align(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sequences, "doc_id").join(kept, "kept_doc_id").select("doc_id", "kept_doc_id", "lines", "words", "kept_lines")
-        return _spark.saved(both.mapInArrow(_align(min_words), _BLOCK), "line-blocks")
-
-    tried = _spark.saved(held.where("doc_id > first").select("doc_id", F.col("first").alias("kept_doc_id")).distinct(), "line-pairs")
-    blocks = align(tried)
-    open_, turn = None, 0
-    while True:
-        spans = blocks.groupBy("doc_id").agg(F.collect_list("first_line").alias("starts"), F.collect_list("last_line").alias("ends"))  # of one document
-        covered = sequences.join(spans, "doc_id").mapInArrow(_covered(min_words), schema).withColumnRenamed("copies", "covered")
-        before = held.where("doc_id > first").select("line", "doc_id", "copies") if open_ is None else open_.select("line", "doc_id", "copies", "upto")
-        left = before.join(covered, ["line", "doc_id"], "left").withColumn("covered", F.coalesce("covered", F.lit(0))).where("covered < copies")
-        if open_ is None:
-            left = _spark.saved(left, "line-open")
-            if left.isEmpty():
-                return blocks
-            # Places of an open line's holders, in the order of their ids.
-            places = held.join(left.select("line").distinct(), "line", "left_semi").withColumn("place", F.row_number().over(Window.partitionBy("line").orderBy("doc_id")))
-            places = _spark.saved(places.select("line", "doc_id", "copies", "place"), "line-places")
-            left = left.withColumn("upto", F.lit(1))
-        own = places.select("line", "doc_id", F.col("place").alias("own"))
-        open_ = _spark.saved(left.join(own, ["line", "doc_id"]).where("upto + 1 < own").select("line", "doc_id", "copies", "covered", "upto", "own"), "line-open")
-        if open_.isEmpty():
-            return blocks
-        step = 1 << min(turn, 20)
-        asked = open_.select("line", "doc_id", "covered", F.explode(F.sequence(F.col("upto") + 1, F.least(F.col("upto") + step, F.col("own") - 1))).alias("place"))
-        others = places.select("line", "place", F.col("doc_id").alias("kept_doc_id"), F.col("copies").alias("others"))
-        fresh = asked.join(others, ["line", "place"]).where("others > covered").select("doc_id", "kept_doc_id").distinct()
-        fresh = _spark.saved(fresh.join(tried, ["doc_id", "kept_doc_id"], "left_anti"), "line-pairs")
-        tried, blocks, turn = tried.unionByName(fresh), blocks.unionByName(align(fresh)), turn + 1
-        open_ = open_.withColumn("upto", F.col("upto") + step)
+    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
+    pairs = partners(rows, min_words)
+    ids = _spark.saved(pairs.select("row").unionAll(pairs.select(F.col("lead.row").alias("row"))).distinct(), "line-ids")
+    sequences = rows.select("row", "text").mapInArrow(_sequences(_bloom.build(ids, "row")), "row long, lines binary, words binary")
+    sequences = _spark.saved(sequences.groupBy("row").agg(F.first(F.struct("lines", "words")).alias("s")).select("row", "s.*"), "line-sequences")
+    # A kept document with many partners is dealt to as many tasks as it takes.
+    blocks = pairs.groupBy(F.col("lead.row").alias("kept")).agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / PAIRS).cast("int"))
+    blocks = _spark.saved(blocks, "line-blocks")
+    dealt = _spark.looked_up(pairs.select("doc_id", "row", F.col("lead.doc_id").alias("kept_doc_id"), F.col("lead.row").alias("kept")), blocks, "kept", pairs.count())
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int")).drop("n", "blocks")
+    kept = sequences.withColumnRenamed("row", "kept").join(blocks, "kept").select("kept", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("lines").alias("kept_lines"), F.col("words").alias("kept_words"))
+    both = dealt.join(sequences, "row").join(kept, ["kept", "block"]).select("doc_id", "row", "kept_doc_id", "lines", "words", "kept_lines", "kept_words")
+    return _spark.saved(both.mapInArrow(_align(min_words), _BLOCK.replace("row_hash", "row")).withColumnRenamed("row", "row_hash"), "line-found")
 
 
 def delete_blocks(docs: DataFrame, blocks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines of ``blocks`` cut out of the text; other columns and rows as they are."""
-    gone = blocks.select("doc_id", F.explode(F.sequence("first_line", "last_line")).alias("line")).groupBy("doc_id").agg(F.collect_set("line").alias("lines"))  # lines of one document
+    gone = blocks.select("row_hash", F.explode(F.sequence("first_line", "last_line")).alias("line")).groupBy("row_hash").agg(F.collect_set("line").alias("lines"))  # lines of one document
     name, at = _spark.free_name(docs, "cut_id"), _spark.free_name(docs, "cut_lines")
-    cut = gone.select(F.col("doc_id").alias(name), F.col("lines").alias(at))
+    cut = gone.select(F.col("row_hash").alias(name), F.col("lines").alias(at))
     text = F.col(f"`{text_col}`")
+    own = F.xxhash64(F.col(f"`{id_col}`").cast("long"), text.cast("string"))
     kept = F.filter(F.transform(F.split(text, "\n"), lambda x, k: F.struct(x.alias("x"), k.cast("long").alias("k"))), lambda s: ~F.array_contains(F.col(at), s["k"]))
     new = F.when(F.col(at).isNull(), text).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
-    return docs.join(cut, F.col(f"`{id_col}`").cast("long") == F.col(name), "left").select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return docs.join(cut, own == F.col(name), "left").select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

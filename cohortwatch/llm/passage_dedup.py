@@ -275,21 +275,22 @@ def _matching(a: str, b: str, slack: int) -> Column:
 def similar_paragraphs(places: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """``(content, label)`` of the paragraph contents that are linked with a different one; None if there is none."""
     paragraphs = places.where("bands is not null")
-    at = F.struct("n", "map_0", "map_1", "map_2", "map_3")
-    contents = paragraphs.groupBy(F.col("key").alias("content")).agg(F.first(F.struct("bands", at.alias("at"))).alias("p"))
-    lists = contents.select(F.explode("p.bands").alias("token"), F.col("content").alias("id"), F.col("p.at").alias("at"))
-    lists = _spark.saved(lists, "passage-lists")
+    at = F.struct("n", "map_0", "map_1", "map_2", "map_3", "bands")
+    contents = paragraphs.groupBy(F.col("key").alias("content")).agg(F.first(F.struct(at.alias("at"), "shingles")).alias("p"))  # map-side first
+    contents = _spark.saved(contents.select("content", "p.*"), "passage-contents")
+    lists = contents.select(F.explode("at.bands").alias("token"), F.col("content").alias("id"), "at")
     often = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    every, lists = lists, _spark.saved(lists.join(often, "token"), "passage-lists")
-    _spark.drop_scratch(places.sparkSession, every)
+    lists = _spark.saved(lists.join(often, "token"), "passage-lists")
 
     def compare(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("key")).unionAll(pairs.select("b")).distinct()
-        sets = _spark.saved(paragraphs.select("key", "shingles").join(ids, "key").groupBy("key").agg(F.first("shingles").alias("set")), "passage-sets")
-        a, b = (sets.select(F.col("key").alias(x), F.col("set").alias(f"{x}_set")) for x in "ab")
+        a, b = (contents.select(F.col("content").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
         return pairs.join(a, "a").join(b, "b").select("a", "b", "a_set", "b_set").mapInArrow(_verify(percent), "a long, b long, linked boolean")
 
-    label = _pivots.linked_components(lists, lambda x, y: _may_link(x, y, percent), compare, F.col("id"))
+    def once(x: str, y: str) -> Column:
+        """Whether this is the first band that the two share, for a pair needs to be made in one list only."""
+        return F.get(F.array_intersect(F.col(x)["bands"], F.col(y)["bands"]), F.lit(0)) == F.col("token")
+
+    label = _pivots.linked_components(lists, lambda x, y: _may_link(x, y, percent), compare, F.col("id"), once=once)
     return None if label is None else label.select(F.col("id").alias("content"), F.col("component").alias("label"))
 
 

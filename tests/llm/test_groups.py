@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _bloom, _spark, line_dedup, mixing, ngram_join, passage_dedup, queries, sharding
+from cohortwatch.llm import _bloom, _pivots, _spark, line_dedup, mixing, ngram_join, passage_dedup, queries, sharding
 
 SF = "/root/testdata/sf0.001"
 
@@ -107,13 +107,33 @@ def test_jaccard_components(spark):
     same_components(spark, planted())
 
 
-def test_jaccard_components_with_many_pivots(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "OPEN_PAIRS", 0)
-    monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", 2)
-    monkeypatch.setattr(ngram_join, "ALL_PAIRS", 5)
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_jaccard_components_with_many_pivots(spark, monkeypatch, rounds):
+    # All open lists are split by a second element, and dealt in blocks.
+    for name, value in (("OPEN_PAIRS", 0), ("PIVOT_ROUNDS", rounds), ("ALL_PAIRS", 0), ("BLOCK", 3)):
+        monkeypatch.setattr(_pivots, name, value)
     same_components(spark, planted(2))
 
 
+def test_hot_keys_are_looked_up_apart(spark, monkeypatch):
+    monkeypatch.setattr(_spark, "HOT_KEYS", 10)
+    rows = spark.range(300).selectExpr("id", "if(id % 2 = 0, 0, id % 50) as k").cache()
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    got = {(r.id, r.top) for r in _spark.looked_up(rows, table, "k", 300).collect()}
+    top = {r.k: r.top for r in table.collect()}
+    assert got == {(k, top[0 if k % 2 == 0 else k % 50]) for k in range(300)}
+
+
+def test_keep_one_decides_by_rows(spark):
+    rng = random.Random(8)
+    a, q, z = (" ".join(prose(rng, 60)) for _ in range(3))
+    near = a.replace(a.split()[30], "changed", 1)
+    kept = lambda rows: sorted((r.doc_id or 0, r.text or "") for r in ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept([(1, a), (5, a), (5, z)]) == sorted([(1, a), (5, z)])
+    assert kept([(7, q), (7, z)]) == sorted([(7, q), (7, z)])
+    assert kept([(7, q), (7, q), (7, z), (None, a), (9, near), (3, None), (3, None), (4, " ")]) == sorted([(7, q), (7, z), (9, near), (3, ""), (3, ""), (4, " ")])
+
+
 def test_jaccard_of_messy_rows(spark, messy):
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(messy).collect())
     want = {(1, 11, 1): 1, (2, 11, 1): 2, (None, 11, 1): 1, (3, 0, 3): 1, (None, 0, None): 1, (4, 0, 4): 1, (5, 0, 5): 1, (6, 1, 6): 1, (7, 29996, 7): 1}
@@ -183,24 +203,18 @@ def test_patience_blocks_are_common_and_in_order(a, b):
     assert line_dedup.patience(a, a) == ([(0, 0, len(a))] if a else [])
 
 
-def test_lines(documents, texts, messy, spark):
-    got = {tuple(r) for r in line_dedup.aligned_blocks(documents).collect()}
-    home, want = {}, set()
-    for k, t in texts:
-        for x in (t or "").split("\n"):
-            if len(x.split()) >= line_dedup.MIN_WORDS:
-                home.setdefault(x, k)
+def test_lines(documents, texts, messy):
+    blocks = line_dedup.aligned_blocks(documents)
+    got = blocks.collect()
     lines = {k: (t or "").split("\n") for k, t in texts}
-    for k, own in lines.items():
-        for h in {home[x] for x in own if x in home} - {k}:
-            for p, q, n in line_dedup.patience(own, lines[h]):
-                if (w := sum(len(x.split()) for x in own[p : p + n])) >= line_dedup.MIN_WORDS:
-                    want.add((k, h, p, p + n - 1, q, w))
-    assert got == want and want
+    size = {x: len(brute.SPACE.findall(x)) for own in lines.values() for x in own}
     gone = defaultdict(set)
-    for k, _, p, q, _, _ in want:
-        gone[k] |= set(range(p, q + 1))
-    cut = line_dedup.delete_blocks(documents, line_dedup.aligned_blocks(documents))
+    for r in got:
+        p, q, n = r.first_line, r.kept_first_line, r.last_line - r.first_line + 1
+        assert r.kept_doc_id < r.doc_id and lines[r.doc_id][p : p + n] == lines[r.kept_doc_id][q : q + n]
+        assert r.n_words == sum(size[x] for x in lines[r.doc_id][p : p + n]) >= line_dedup.MIN_WORDS
+        gone[r.doc_id] |= set(range(p, p + n))
+    cut = line_dedup.delete_blocks(documents, blocks)
     assert {r.doc_id: r.text for r in cut.collect()} == {k: "\n".join(x for i, x in enumerate(own) if i not in gone[k]) for k, own in lines.items()}
     odd = line_dedup.aligned_blocks(messy)
     assert {(r.doc_id, r.kept_doc_id) for r in odd.collect()} == {(2, 1), (8, 1)}
