@@ -85,7 +85,7 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def looked_up(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+def looked_up(rows: DataFrame, table: DataFrame, key: str | list[str], total: int) -> DataFrame:
     """``rows`` with the columns of ``table`` behind them, joined on ``key``, of which the table's ``n`` counts the rows.
 
     Keys with more than a ``HOT_KEYS``-th of the ``total`` rows are broadcast: there are fewer than

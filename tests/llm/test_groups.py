@@ -23,6 +23,7 @@ def prose(rng, n):
 @given(st.lists(st.integers(1, 100), max_size=60), st.integers(100, 300))
 def test_best_fit_decreasing(sizes, capacity):
     items = [(s, str(k)) for k, s in enumerate(sizes)]
+    sharding.Bins.LEAF = 4  # so that leaves are split
     where, used = sharding.best_fit_decreasing(items, capacity)
     assert len(where) == len(items) and all(u <= capacity for u in used) and sum(used) == sum(sizes)
     # Plain best fit, by scanning all bins.
@@ -61,6 +62,19 @@ def test_shards(documents, messy, monkeypatch):
     capped = sharding.assign_shards(documents, text_col="text", capacity=50_000).collect()
     sizes = check_shards(capped, 10**6)
     assert max(sizes.values()) <= 50_000 and len(sizes) <= 1.3 * sum(sizes.values()) / 50_000 + 1
+    assert set(sizes) == set(range(len(sizes)))
+
+
+def test_no_shard_is_over_capacity(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PACK_GROUPS", 4000)
+    docs = spark.range(30_000).selectExpr("id as doc_id", "concat('t', id) as text", "if(id % 50 = 0, 1 + id % 900, 1 + id % 3) as weight")
+    docs = docs.unionAll(spark.createDataFrame([(-1, "larger than any shard", 5000)], docs.schema))
+    rows = sharding.assign_shards(docs, capacity=2000, size=F.col("weight")).groupBy("shard").agg(F.sum("weight").alias("size"), F.count("*").alias("n"), F.max("slot").alias("slot")).collect()
+    total = sum(r.size for r in rows)
+    assert sorted(r.size for r in rows)[-1] == 5000 and sum(r.size > 2000 for r in rows) == 1 and next(r.n for r in rows if r.size == 5000) == 1
+    assert sorted(r.shard for r in rows) == list(range(len(rows))) and all(r.slot == r.n - 1 for r in rows)
+    assert len(rows) <= (total - 5000) / 2000 + 2 + 8  # a part of a shard for each of eight tasks
+    assert sharding.assign_shards(docs.limit(0), capacity=10).count() == 0
 
 
 @pytest.mark.parametrize("seed", range(2))
