@@ -126,6 +126,24 @@ def ngrams(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np
     return mix(total[whole]), np.flatnonzero(whole)
 
 
+_letters: list[np.ndarray] = []
+
+
+def letters() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point: whether it is a letter, and its lower case where that is one code point."""
+    if not _letters:
+        points = [chr(c) for c in range(0x110000)]
+        _letters.append(np.fromiter((c.isalpha() for c in points), bool, len(points)))
+        _letters.append(np.fromiter((ord(x) if len(x := c.lower()) == 1 else ord(c) for c in points), np.int64, len(points)))
+    return _letters[0], _letters[1]
+
+
+def code_points(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """All code points of a chunk, and each document's first one (and the end)."""
+    begins = np.cumsum(np.concatenate([[0], (chunk.data & 0xC0) != 0x80]))[chunk.offsets]
+    return np.frombuffer(chunk.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64), begins
+
+
 def sequence_hash(words: np.ndarray) -> np.uint64:
     """The hash of one word sequence: that of :func:`ngrams` for a window of its length."""
     total = np.zeros(1, np.uint64)

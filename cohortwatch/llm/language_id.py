@@ -5,10 +5,8 @@ letter trigram is bound as the product of its letters' vectors, permuted (rotate
 a text is the bundle (sum) of its trigrams' vectors, and so is a language of its texts. A document
 gets the language whose prototype has the greatest cosine with it.
 
-The dot product with a bundle is the sum of the dot products with its members, so a document's
-is added up from its trigrams' dot products with the prototypes, each computed once a worker; the
-document's own length is taken at its expected value, ``sqrt(D * sum(count ** 2))``, as different
-trigrams' vectors are nearly orthogonal; it is the same for all languages and only scales the score.
+A chunk's documents are bundled together: their trigram counts as a matrix times the trigrams' vectors, of
+which a worker keeps the last ``KEPT`` it met. The score is the cosine itself, cut off at 0.
 
 Letters are Unicode's, lower-cased; runs of anything else count as one space, which begins and ends
 every text. Null texts and texts without letters are ``und``. Nothing but text and label is learned
@@ -28,26 +26,13 @@ from cohortwatch.llm import _spark, _text
 DIMENSIONS = 2048
 #: Languages that may be learned; their prototypes go to every task.
 MAX_LANGUAGES = 5000
-#: Distinct trigrams that a task or worker holds at once.
-HELD = 200_000
-
-_tables: list[np.ndarray] = []
-
-
-def _letters() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point: whether it is a letter, and its lower case where that is one code point."""
-    if not _tables:
-        points = [chr(c) for c in range(0x110000)]
-        _tables.append(np.fromiter((c.isalpha() for c in points), bool, len(points)))
-        _tables.append(np.fromiter((ord(x) if len(x := c.lower()) == 1 else ord(c) for c in points), np.int64, len(points)))
-    return _tables[0], _tables[1]
-
+#: Distinct trigrams that a task holds at once while it learns, and vectors that one keeps while it predicts.
+HELD, KEPT = 200_000, 16_384
 
 def trigrams(chunk: _text.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Trigram codes of all texts, each one's document, and whether each document has a letter."""
-    is_letter, lower = _letters()
-    begins = np.cumsum(np.concatenate([[0], (chunk.data & 0xC0) != 0x80]))[chunk.offsets]
-    points = np.frombuffer(chunk.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
+    is_letter, lower = _text.letters()
+    points, begins = _text.code_points(chunk)
     letters = is_letter[points]
     codes = np.where(letters, lower[points], 0x20)
     doc = np.repeat(np.arange(chunk.n_docs), np.diff(begins))
@@ -137,24 +122,25 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", dimen
 
 
 class Classifier:
-    """Prototypes of unit length, and the trigrams' dot products with them as they are met."""
+    """Prototypes of unit length, and the vectors of trigrams as they are met."""
 
     def __init__(self, prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS):
         self.dimensions = dimensions
         self.names = [k for k, v in prototypes.items() if v.any()]
         self.matrix = np.array([prototypes[k] / np.linalg.norm(prototypes[k]) for k in self.names], np.float32).reshape(len(self.names), dimensions)
-        self.known, self.dots = np.zeros(0, np.int64), np.zeros((0, len(self.names)), np.float32)
+        self.known, self.held = np.zeros(0, np.int64), np.zeros((0, dimensions), np.int8)
 
-    def _dots(self, codes: np.ndarray) -> np.ndarray:
+    def _vectors(self, codes: np.ndarray) -> np.ndarray:
+        if len(codes) > KEPT // 2:
+            return vectors(codes, self.dimensions)
         new = np.setdiff1d(codes, self.known, True)
         if len(new):
-            if len(self.known) + len(new) > HELD:
-                self.known, self.dots, new = self.known[:0], self.dots[:0], codes
-            more = np.concatenate([vectors(new[k : k + 1024], self.dimensions).astype(np.float32) @ self.matrix.T for k in range(0, len(new), 1024)])
+            if len(self.known) + len(new) > KEPT:
+                self.known, self.held, new = self.known[:0], self.held[:0], codes
             known = np.concatenate([self.known, new])
             order = np.argsort(known)
-            self.known, self.dots = known[order], np.concatenate([self.dots, more])[order]
-        return self.dots[np.searchsorted(self.known, codes)]
+            self.known, self.held = known[order], np.concatenate([self.held, vectors(new, self.dimensions)])[order]
+        return self.held[np.searchsorted(self.known, codes)]
 
     def predict(self, chunk: _text.Chunk) -> tuple[list[str], np.ndarray]:
         """Language and score of each text of a chunk."""
@@ -162,16 +148,17 @@ class Classifier:
         if not self.names or not len(codes):
             return ["und"] * chunk.n_docs, np.zeros(chunk.n_docs)
         distinct, code = np.unique(codes, return_inverse=True)
-        cell, count = np.unique(doc * len(distinct) + code, return_counts=True)
-        doc, code = np.divmod(cell, len(distinct))
-        dots = self._dots(distinct)[code] * count[:, None]
-        first = np.searchsorted(doc, np.arange(chunk.n_docs + 1))
-        total = np.concatenate([np.zeros((1, dots.shape[1])), np.cumsum(dots, 0, np.float64)])
-        near = total[first[1:]] - total[first[:-1]]
-        squares = np.bincount(doc, count.astype(np.float64) ** 2, chunk.n_docs)
+        bundles = np.zeros((chunk.n_docs, self.dimensions), np.float32)
+        step = max(64, (1 << 22) // max(self.dimensions, chunk.n_docs))  # trigrams at a time: neither matrix is large
+        for k in range(0, len(distinct), step):
+            here = (code >= k) & (code < k + step)
+            width = min(step, len(distinct) - k)
+            counts = np.bincount(doc[here] * width + code[here] - k, minlength=chunk.n_docs * width).reshape(chunk.n_docs, width)
+            bundles += counts.astype(np.float32) @ self._vectors(distinct[k : k + width]).astype(np.float32)
+        near = bundles @ self.matrix.T
         best = near.argmax(1)
-        score = near[np.arange(chunk.n_docs), best] / np.sqrt(self.dimensions * np.maximum(squares, 1))
-        return [self.names[b] if h else "und" for b, h in zip(best, has)], np.where(has, np.clip(score, 0, 1), 0.0)
+        score = near[np.arange(chunk.n_docs), best] / np.maximum(np.linalg.norm(bundles, axis=1), 1e-9)
+        return [self.names[b] if h else "und" for b, h in zip(best, has)], np.where(has, np.clip(score, 0, 1), 0.0).astype(float)
 
 
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:

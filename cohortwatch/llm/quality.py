@@ -1,11 +1,13 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule reads a few measures of a text. On a bounded sample the cost of every rule's measures
-and the share of texts it rejects are estimated; the rules then run in order of rejections per
-cost, and a text that one rejects is not shown to the rules behind it. The order changes the
-work, never the verdict: a text is kept if no rule rejects it.
-
-Null and empty texts have no words, so the base rule rejects them. Repeated rows are judged
+Each rule reads a few measures of a text. On a sample of about ``SAMPLE_ROWS`` texts, drawn from all of the table by chance, the
+seconds of every measure are taken, and which rules reject which texts. Rules are then ordered: next
+comes the one with the most rejections per cost among the texts that those before it leave, and a measure that one
+of those has made costs nothing more. A text that a rule rejects is not shown to the rules behind it. The base
+rules (too short, repeats) are rated like the others. The order changes the work, never the verdict: a text is kept if no
+rule rejects it.
+
+Null and empty texts have no words, so a base rule rejects them. Repeated rows are judged
 alike. Columns of the input whose names clash with a result column give way in the result.
 """
 
@@ -23,14 +25,11 @@ from pyspark.sql.types import StructType
 
 from cohortwatch.llm import _spark, _text
 
-#: Texts on which cost and selectivity are estimated, at most.
+#: Texts on which cost and selectivity are estimated, about.
 SAMPLE_ROWS = 1000
 WINDOW = 5
 
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
-_LETTER = np.array([chr(b).isascii() and chr(b).isalpha() or b >= 0xC0 for b in range(256)])
-
-
 
 class View:
     """Some texts of a chunk with the measures that rules ask for, each computed once."""
@@ -75,6 +74,11 @@ def _n_dup_lines(v: View) -> np.ndarray:
     return np.bincount(doc, minlength=c.n_docs) - np.bincount(doc[at], minlength=c.n_docs)
 
 
+def _n_letters(v: View) -> np.ndarray:
+    points, begins = _text.code_points(v.chunk)
+    return _text.sums(_text.letters()[0][points], begins)
+
+
 def _n_repeat_words(v: View) -> np.ndarray:
     c = v.chunk
     starts, ends, first = v.spans
@@ -104,7 +108,7 @@ MEASURES: dict[str, Callable] = {
     "n_dup_lines": _n_dup_lines,
     "n_repeat_words": _n_repeat_words,
     "n_lines": lambda v: np.diff(v.chunk.lines()[2]),
-    "n_letters": lambda v: _per_doc(_LETTER[v.chunk.data], v),
+    "n_letters": _n_letters,
 }
 REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters")
 
@@ -119,7 +123,10 @@ class Rule:
 
 
 #: Too short, or more than a fifth of the words in repeated windows.
-BASE = Rule("base", ("n_words", "n_repeat_words"), lambda v: (v.n_words < 10) | (100 * v.n_repeat_words > 20 * v.n_words))
+BASE = (
+    Rule("too_short", ("n_words",), lambda v: v.n_words < 10),
+    Rule("repeats", ("n_words", "n_repeat_words"), lambda v: 100 * v.n_repeat_words > 20 * v.n_words),
+)
 #: Public filtering heuristics: word length, symbols, repeated lines, letters.
 RULES = (
     Rule("word_length", ("n_words", "word_chars"), lambda v: (v.word_chars < 3 * v.n_words) | (v.word_chars > 10 * v.n_words)),
@@ -133,32 +140,48 @@ def _views(texts) -> list[View]:
     return [View(c) for c in _text.chunks(texts)]
 
 
-def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
-    """The rules by rejections per cost, best first, as ``(rule, seconds a text, share rejected)``.
+def plan(docs: DataFrame, rules: tuple[Rule, ...] = (*BASE, *RULES), text_col: str = "text", sample_rows: int = SAMPLE_ROWS, made: tuple[str, ...] = ()) -> list[tuple[Rule, float, float]]:
+    """The rules in their order, as ``(rule, seconds a text, share rejected of those that come so far)``.
 
-    Measured in one task on at most ``sample_rows`` texts that the base rule lets through.
+    Measures in ``made`` are reported for every text anyhow and cost nothing. What comes to the driver are
+    seconds by measure and counts by set of rejecting rules. An empty sample leaves the rules as they are.
     """
+    needs = sorted({m for r in rules for m in r.needs})
 
     def measure(batches):
-        seconds, rejected, n = dict.fromkeys((r.name for r in rules), 0.0), dict.fromkeys((r.name for r in rules), 0), 0
+        seconds, rejected = dict.fromkeys(needs, 0.0), dict[int, int]()
         for batch in batches:
             for view in _views(batch.column(0)):
-                view = view.only(~BASE.rejects(view))
-                n += view.chunk.n_docs
-                for r in rules:
-                    fresh = View(view.chunk)
+                view.spans  # noqa: B018  what all words need
+                for m in needs:
                     began = time.perf_counter()
-                    rejected[r.name] += int(r.rejects(fresh).sum())
-                    seconds[r.name] += time.perf_counter() - began
-        yield pa.RecordBatch.from_pydict({"name": [r.name for r in rules], "seconds": [seconds[r.name] for r in rules], "rejected": [rejected[r.name] for r in rules], "n": [n] * len(rules)})
-
-    sample = docs.select(F.col(text_col).cast("string").alias("text")).limit(sample_rows).coalesce(1)
-    found: dict[str, list[float]] = {r.name: [0.0, 0.0, 0.0] for r in rules}
-    for row in sample.mapInArrow(measure, "name string, seconds double, rejected long, n long").collect():
-        for k, value in enumerate((row.seconds, row.rejected, row.n)):
-            found[row.name][k] += value
-    rated = [(r, found[r.name][0] / max(1, found[r.name][2]), found[r.name][1] / max(1, found[r.name][2])) for r in rules]
-    return sorted(rated, key=lambda x: (-x[2] / max(x[1], 1e-9), x[1], x[0].name))
+                    getattr(view, m)
+                    seconds[m] += time.perf_counter() - began
+                sets = sum((r.rejects(view).astype(np.int64) << k for k, r in enumerate(rules)), np.zeros(view.chunk.n_docs, np.int64))
+                for x, n in zip(*(v.tolist() for v in np.unique(sets, return_counts=True))):
+                    rejected[x] = rejected.get(x, 0) + n
+        yield pa.RecordBatch.from_pydict({"name": [*seconds, *map(str, rejected)], "value": [*seconds.values(), *map(float, rejected.values())]})
+
+    total = docs.count()
+    sample = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+    if total > sample_rows:
+        sample = sample.sample(sample_rows / total, seed=7)
+    found = {r.name: r.value for r in sample.mapInArrow(measure, "name string, value double").groupBy("name").agg(F.sum("value").alias("value")).collect()}
+    sets = {int(k): v for k, v in found.items() if k.isdigit()}
+    texts, known, left, out = sum(sets.values()) or 1.0, set(made), list(enumerate(rules)), []
+    while left:
+        rated = []
+        for k, r in left:
+            coming = sum(sets.values())
+            share = sum(v for x, v in sets.items() if x >> k & 1) / max(1.0, coming)
+            cost = sum(found.get(m, 0.0) for m in r.needs if m not in known) / texts
+            rated.append((-share / max(cost, 1e-9), cost, k, share))
+        _, cost, k, share = min(rated)
+        out.append((rules[k], cost, share))
+        known |= set(rules[k].needs)
+        left = [x for x in left if x[0] != k]
+        sets = {x: v for x, v in sets.items() if not x >> k & 1}
+    return out
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", report: tuple[str, ...] = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -180,24 +203,25 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str =
 
 def _cascade(docs: DataFrame, rules: tuple[Rule, ...], text_col: str, own: list[str], added: list[str], sample_rows: int) -> DataFrame:
     """The columns ``own`` of all rows with ``added`` ones; of the kept rows only if nothing is added."""
-    ordered = [r for r, _, _ in plan(docs, rules, text_col, sample_rows)]
+    made = tuple(m for m in added if m in MEASURES)
+    ordered = [r for r, _, _ in plan(docs, (*BASE, *rules), text_col, sample_rows, made)]
     text_at = len(own)
 
     def run(batches):
         for batch in batches:
             out: dict[str, list] = {a: [np.zeros(0, np.int64)] for a in added} | {"kept": [np.zeros(0, bool)]}
             for view in _views(batch.column(text_at)):
-                for m in added:
-                    if m in MEASURES:
-                        out[m].append(getattr(view, m))
-                kept = ~(failed := BASE.rejects(view))
+                for m in made:
+                    out[m].append(getattr(view, m))
+                if added:
+                    out["base_failed"].append(np.any([r.rejects(view) for r in BASE], 0))
+                kept = np.ones(view.chunk.n_docs, bool)
                 for r in ordered:
-                    if not kept.any():
+                    bad = r.rejects(view)  # of the texts that are left
+                    kept[np.flatnonzero(kept)[bad]] = False
+                    if bad.all():
                         break
-                    at = np.flatnonzero(kept)
-                    kept[at[r.rejects(view.only(kept))]] = False
-                if added:
-                    out["base_failed"].append(failed)
+                    view = view.only(~bad)
                 out["kept"].append(kept)
             if added:
                 extra = [pa.array(np.concatenate(out[a]), pa.bool_() if a in ("base_failed", "kept") else pa.int64()) for a in added]

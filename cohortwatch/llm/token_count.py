@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from cohortwatch.llm import _spark
 
 #: Bytes beyond which a text is encoded in chunks, bytes of a chunk, and of the first overlap.
-HUGE, CHUNK, OVERLAP = 1 << 16, 1 << 15, 1 << 10
+HUGE, CHUNK, OVERLAP = 1 << 14, 1 << 13, 1 << 9
 #: Tokens that must agree from a splice on (fewer only where a chunk ends).
 AGREE = 4
 SPACE, MARK = 0x20, "▁"
