@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, IntegerType, LongType, MapType, NullType, StringType, StructField, StructType, VariantType
 
 from cohortwatch.operators.transforms import moment
 
@@ -62,15 +62,20 @@ def render_text(template: str, context: Context) -> Column:
     """A template as a column.
 
     One token alone keeps its value's type; if nothing is there, the template's own text stays (in a
-    VARIANT context values are text). Inside other text, a missing value is empty. Values are not
+    VARIANT context values are text). A column of another type than text can't hold that: a row that
+    lacks the value has NULL then. Inside other text, a missing value is empty. Values are not
     rendered again.
     """
+    return _text(template, context)[0]
+
+
+def _text(template: str, context: Context) -> tuple[Column, DataType]:
     tokens = list(_TOKEN.finditer(template))
     if len(tokens) == 1 and tokens[0].span() == (0, len(template)):
         found = context.lookup(tokens[0][1])
         if found is None:
-            return F.lit(template)
-        return found[0] if context.variant is None else F.coalesce(found[0], F.lit(template))
+            return F.lit(template), StringType()
+        return (F.coalesce(found[0], F.lit(template)) if isinstance(found[1], StringType) else found[0]), found[1]
     parts, at = [], 0
     for t in tokens:
         parts.append(F.lit(template[at : t.start()]))
@@ -78,32 +83,49 @@ def render_text(template: str, context: Context) -> Column:
         if found is not None:
             parts.append(F.coalesce(text_of(*found), F.lit("")))
         at = t.end()
-    return F.concat(*parts, F.lit(template[at:])) if parts else F.lit(template)
+    return F.concat(*parts, F.lit(template[at:])) if parts else F.lit(template), StringType()
+
+
+_PLAIN = {bool: BooleanType(), int: IntegerType(), float: DoubleType(), type(None): NullType()}
 
 
 def render(value: Any, context: Context) -> Column:
-    """Settings as a column: mappings become structs (an empty one a map), lists arrays (structs of item_0, item_1, … where types differ), text is rendered, the rest is literal."""
+    """Settings as a column: mappings become structs (an empty one a map), lists arrays (of VARIANT where the rendered types differ), text is rendered, the rest is literal."""
+    return _rendered(value, context)[0]
+
+
+def _rendered(value: Any, context: Context) -> tuple[Column, DataType]:
     if isinstance(value, dict):
-        return F.struct(*[render(v, context).alias(k) for k, v in value.items()]) if value else F.create_map().cast("map<string,string>")
-    if isinstance(value, list):
         if not value:
-            return F.expr("cast(array() as array<string>)")
-        items = [render(v, context) for v in value]
-        plain = len({type(v) for v in value}) == 1 and not isinstance(value[0], (dict, list))
-        whole = any(isinstance(v, str) and _TOKEN.fullmatch(v) for v in value)
-        if plain and not whole:
-            return F.array(*items)
-        return F.struct(*[c.alias(f"item_{k}") for k, c in enumerate(items)])
+            return F.create_map().cast("map<string,string>"), MapType(StringType(), StringType())
+        parts = {k: _rendered(v, context) for k, v in value.items()}
+        return F.struct(*[c.alias(k) for k, (c, _) in parts.items()]), StructType([StructField(k, t) for k, (_, t) in parts.items()])
+    if isinstance(value, list):
+        items = [_rendered(v, context) for v in value]
+        if not items:
+            return F.expr("cast(array() as array<string>)"), ArrayType(StringType())
+        if all(t.simpleString() == items[0][1].simpleString() for _, t in items):
+            return F.array(*[c for c, _ in items]), ArrayType(items[0][1])
+        whole = (StructType, ArrayType, MapType)
+        return F.array(*[F.to_variant_object(c) if isinstance(t, whole) else c.cast("variant") for c, t in items]), ArrayType(VariantType())
     if isinstance(value, str):
-        return render_text(value, context)
-    return F.lit(value)
+        return _text(value, context)
+    kind = _PLAIN.get(type(value), StringType())
+    return F.lit(value), LongType() if isinstance(kind, IntegerType) and abs(value) >= 1 << 31 else kind
+
+
+#: Clock times, put behind the day of ``as_of``, and dates with or without a clock.
+_CLOCK = ("h:mma", "h:mm a", "ha", "h a", "H:mm", "h:mm:ssa", "h:mm:ss a", "H:mm:ss")
+_DATES = ("MMM d yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy/M/d", "M/d/yyyy")
 
 
 def action_time(when: str | timedelta | None, as_of: datetime | Column | None = None) -> Column:
     """When an action is due.
 
-    NULL for ``immediate``, None or text that is neither; a timedelta is added to ``as_of``; a clock time
-    (``8:30pm``, ``20:30``) falls on its date; ISO text is itself.
+    NULL for ``immediate``, None or text that is none of these; a timedelta is added to ``as_of``; a clock time
+    (``8:30pm``, ``20:30``, ``8:30:15``) falls on its date; a date (``Jan 5 2024``, ``5 January 2024``, ``2024/1/5``,
+    ``1/5/2024``: month first) has the clock behind it or midnight; ISO text is itself. Names of days, words such as
+    tomorrow, dates without a year and time zones outside ISO text stay out.
     """
     now = moment(as_of).cast("timestamp")
     if when is None or when == "immediate":
@@ -111,7 +133,9 @@ def action_time(when: str | timedelta | None, as_of: datetime | Column | None =
     if isinstance(when, timedelta):
         return now + F.lit(when)
     day = F.concat(F.date_format(now, "yyyy-MM-dd"), F.lit(" "))
-    text = F.lit(when.strip())
-    clock = [F.try_to_timestamp(F.concat(day, F.upper(text)), F.lit(f)) for f in ("yyyy-MM-dd h:mma", "yyyy-MM-dd h:mm a", "yyyy-MM-dd ha", "yyyy-MM-dd H:mm")]
-    iso = F.try_to_timestamp(F.when(F.length(text) >= 10, text))
-    return F.coalesce(*clock, iso)
+    text = when.strip()
+    upper = re.sub(r"(?i)(?<=\d)(\s*)([ap]m)\b", lambda m: m[1] + m[2].upper(), text)
+    clock = [F.try_to_timestamp(F.concat(day, F.lit(upper)), F.lit(f"yyyy-MM-dd {f}")) for f in _CLOCK]
+    dates = [F.try_to_timestamp(F.lit(upper), F.lit(f)) for d in _DATES for f in (d, *(f"{d} {c}" for c in _CLOCK))]
+    iso = F.try_to_timestamp(F.when(F.length(F.lit(text)) >= 10, F.lit(text)))
+    return F.coalesce(*clock, iso, *dates)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortwatch.functions.templates import Context, action_time, render
-from cohortwatch.operators.conditions import gate
+from cohortwatch.operators.conditions import condition, gate
 from cohortwatch.operators.transforms import moment
 
 
@@ -30,13 +30,23 @@ class Action:
 def gather(results: dict[str, DataFrame]) -> DataFrame:
     """The rule and template context: one row, a struct column for each named one-row result.
 
-    Results that are not made by an aggregate without groups may have other than one row; the product
-    then has none or several.
+    A result with no row or several is an error when the context is read; two rows of it are looked at.
     """
     if not results:
         raise ValueError("no results to gather")
-    packed = [r.select(F.struct(*r.columns).alias(name)) for name, r in results.items()]
-    return reduce(lambda a, b: a.crossJoin(b), packed)  # one row each
+    packed = []
+    for name, r in results.items():
+        rows = r.select(F.struct(*[F.col(f"`{c}`") for c in r.columns]).alias("row")).limit(2).agg(F.collect_list("row").alias("rows"))
+        one = F.when(F.size("rows") == 1, F.get("rows", F.lit(0))).otherwise(F.raise_error(F.concat(F.lit(f"{name} has not one row but "), F.size("rows").cast("string"))))
+        packed.append(rows.select(one.alias(name)))
+    return reduce(lambda a, b: a.crossJoin(b), packed)  # aggregates without groups: one row each
+
+
+def _report(context: DataFrame, action: Action, as_of: datetime | Column | None) -> list[Column]:
+    settings = action.settings if isinstance(action.settings, dict) else {}
+    metadata = render(settings, Context(context.schema))
+    data = F.struct(*[F.col(f"`{c}`") for c in context.columns])
+    return [F.lit(action.name).alias("name"), F.lit(action.kind).alias("type"), action_time(action.when, as_of).alias("time"), data.alias("data"), metadata.alias("metadata")]
 
 
 def report(context: DataFrame, action: Action, as_of: datetime | Column | None = None) -> DataFrame:
@@ -44,22 +54,21 @@ def report(context: DataFrame, action: Action, as_of: datetime | Column | None =
 
     Settings that are no mapping give empty metadata.
     """
-    settings = action.settings if isinstance(action.settings, dict) else {}
-    metadata = render(settings, Context(context.schema))
-    data = F.struct(*[F.col(f"`{c}`") for c in context.columns])
-    return gate(context, action.rule).select(F.lit(action.name).alias("name"), F.lit(action.kind).alias("type"), action_time(action.when, as_of).alias("time"), data.alias("data"), metadata.alias("metadata"))
+    return gate(context, action.rule).select(*_report(context, action, as_of))
 
 
 def report_messages(context: DataFrame, actions: Iterable[Action], as_of: datetime | Column | None = None) -> DataFrame:
     """The reports of several actions on one context as ``name`` and JSON ``value``; their metadata may differ in shape.
 
-    Persist the context where it is costly: each action reads it.
+    The context is read once, however many actions there are.
     """
-    rows = [report(context, a, as_of) for a in actions]
-    if not rows:
+    texts = []
+    for a in actions:
+        value = F.to_json(F.struct(*_report(context, a, as_of)), {"ignoreNullFields": "false"})
+        texts.append(F.when(condition(a.rule), F.struct(F.lit(a.name).alias("name"), value.alias("value"))))
+    if not texts:
         raise ValueError("no actions")
-    texts = [r.select("name", F.to_json(F.struct(*r.columns), {"ignoreNullFields": "false"}).alias("value")) for r in rows]
-    return reduce(lambda a, b: a.unionByName(b), texts)
+    return context.select(F.inline(F.array_compact(F.array(*texts))))
 
 
 def alert_rows(found: DataFrame, action: str, method: str, as_of: datetime | Column | None = None, endpoint: str | None = None, recipients: Iterable[str] = (), subject: str | None = None, body: str | None = None, when: str | timedelta | None = "immediate", user_col: str = "user_id") -> DataFrame:

@@ -20,11 +20,10 @@ def missing_participants(events: DataFrame, as_of: datetime | Column, window: ti
     """
     now = moment(as_of)
     events = events.where(F.col(user_col).isNotNull())
-    # One pass and one shuffle: the last event tells who is silent.
-    last = events.where(F.col(ts_col) <= now).groupBy(F.col(user_col).alias("user_id")).agg(F.max(ts_col).alias("last_seen"))
-    people = participants(roster if roster is not None else events, user_col)
-    silent = F.col("last_seen").isNull() | (F.col("last_seen") <= now - span(window))
-    return people.join(last, "user_id", "left").where(silent).select("user_id", "last_seen")
+    # One scan and one aggregate, which a roster is joined to: the last event tells who is silent.
+    last = events.groupBy(F.col(user_col).alias("user_id")).agg(F.max(F.when(F.col(ts_col) <= now, F.col(ts_col))).alias("last_seen"))
+    found = last if roster is None else participants(roster, user_col).join(last, "user_id", "left")
+    return found.where(F.col("last_seen").isNull() | (F.col("last_seen") <= now - span(window))).select("user_id", "last_seen")
 
 
 def missing_fraction(events: DataFrame, as_of: datetime | Column, window: timedelta, cadence: timedelta, threshold: float = 0.0, roster: DataFrame | None = None, user_col: str = "user_id", ts_col: str = "ts") -> DataFrame:
@@ -38,11 +37,11 @@ def missing_fraction(events: DataFrame, as_of: datetime | Column, window: timede
     now = moment(as_of)
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
     bucket = F.floor((micros(now) - micros(F.col(ts_col))) / F.lit(cadence // timedelta(microseconds=1)))
-    inside = events.where((F.col(ts_col) > now - F.lit(window)) & (F.col(ts_col) <= now) & F.col(user_col).isNotNull())
-    seen = inside.select(F.col(user_col).alias("user_id"), bucket.alias("bucket")).where(F.col("bucket") < expected).groupBy("user_id").agg(F.countDistinct("bucket").alias("n"))
-    people = participants(roster if roster is not None else events, user_col)
+    inside = (F.col(ts_col) > now - F.lit(window)) & (F.col(ts_col) <= now) & (bucket < expected)
+    seen = events.where(F.col(user_col).isNotNull()).select(F.col(user_col).alias("user_id"), F.when(inside, bucket).alias("bucket")).groupBy("user_id").agg(F.countDistinct("bucket").alias("n"))
+    found = seen if roster is None else participants(roster, user_col).join(seen, "user_id", "left")
     fraction = 1 - F.coalesce("n", F.lit(0)).cast("double") / F.lit(float(expected))
-    return people.join(seen, "user_id", "left").select("user_id", fraction.alias("missing_fraction")).where(F.col("missing_fraction") >= threshold)
+    return found.select("user_id", fraction.alias("missing_fraction")).where(F.col("missing_fraction") >= threshold)
 
 
 def without_recent_alerts(found: DataFrame, alerts: DataFrame, as_of: datetime | Column, backoff: timedelta | str, user_col: str = "user_id") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
@@ -19,26 +20,29 @@ def train(rows: DataFrame, features: Iterable[str], label: str, hidden: Iterable
     """
     features, hidden = list(features), list(hidden)
     rows = rows.na.drop(subset=[*features, label]).withColumn(label, F.col(label).cast("double"))
-    gather = VectorAssembler(inputCols=features, outputCol="features")
+    gather = VectorAssembler(inputCols=features, outputCol="_features")
+    names = {"featuresCol": "_features", "predictionCol": "_prediction", "probabilityCol": "_probability", "rawPredictionCol": "_raw", "labelCol": label}
     if hidden:
-        model = MultilayerPerceptronClassifier(labelCol=label, layers=[len(features), *hidden, 2], stepSize=learning_rate, blockSize=batch_size, maxIter=epochs, seed=seed)
+        model = MultilayerPerceptronClassifier(**names, layers=[len(features), *hidden, 2], stepSize=learning_rate, blockSize=batch_size, maxIter=epochs, seed=seed)
     else:
-        model = LogisticRegression(labelCol=label, maxIter=epochs)
+        model = LogisticRegression(**names, maxIter=epochs)
     return Pipeline(stages=[gather, model]).fit(rows)
 
 
 def score(rows: DataFrame, model: PipelineModel | str, threshold: float = 0.8) -> DataFrame:
-    """``rows`` with ``score``, the probability of class 1, and ``is_anomaly``; rows with a null feature have neither.
+    """``rows`` with ``score``, the probability of class 1, and ``is_anomaly``; rows with a null feature have neither. Columns of these names give way.
 
     ``model`` is a fitted pipeline or the path of one.
     """
     if isinstance(model, str):
         model = PipelineModel.load(model)
-    inputs = model.stages[0].getInputCols()
-    whole = rows.na.drop(subset=inputs)
-    scored = model.transform(whole).withColumn("score", vector_to_array("probability")[1]).select(*rows.columns, "score", (F.col("score") >= threshold).alias("is_anomaly"))
-    partial = rows.where(" or ".join(f"`{c}` is null" for c in inputs))
-    return scored.unionByName(partial, allowMissingColumns=True)
+    gather, last = model.stages[0].copy(), model.stages[-1]
+    gather.setHandleInvalid("keep")  # null features are NaN for the model; their score is dropped behind it
+    whole = reduce(lambda a, c: a & F.col(f"`{c}`").isNotNull(), gather.getInputCols(), F.lit(True))
+    scored = reduce(lambda df, s: s.transform(df), [gather, *model.stages[1:]], rows)
+    score = F.when(whole, vector_to_array(last.getProbabilityCol())[1])
+    own = [F.col(f"`{c}`") for c in rows.columns if c not in ("score", "is_anomaly")]
+    return scored.select(*own, score.alias("score"), (score >= threshold).alias("is_anomaly"))
 
 
 def score_with(rows: DataFrame, function: Callable, features: Iterable[str], threshold: float = 0.8) -> DataFrame:

@@ -27,8 +27,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _newest(events: DataFrame):
-    """The newest event's time: read from Parquet statistics or one column, one value."""
-    return events.agg(F.max("ts")).first()[0]
+    """The newest event's time as a scalar subquery: no job runs until the query does."""
+    return events.agg(F.max("ts")).scalar()
 
 
 def _as_messages(events: DataFrame, value: str = "props") -> DataFrame:
@@ -37,7 +37,7 @@ def _as_messages(events: DataFrame, value: str = "props") -> DataFrame:
 
 
 def _missing(events: DataFrame, window=DAY, as_of=None) -> DataFrame:
-    return checks.missing_participants(events, F.lit(as_of or _newest(events)), window)
+    return checks.missing_participants(events, _newest(events) if as_of is None else as_of, window)
 
 
 def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def missing_fraction_3d(spark, sf_dir):
 
 def recent_literal(spark, sf_dir):
     events = _events(spark, sf_dir)
-    return transforms.recent(events, "ts", F.lit(_newest(events))).groupBy("user_id").agg(F.count("*").alias("n_events"))
+    return transforms.recent(events, "ts", _newest(events) - F.lit(10 * DAY)).groupBy("user_id").agg(F.count("*").alias("n_events"))
 
 
 def spikes_200(spark, sf_dir):
@@ -79,9 +79,9 @@ def spike_flags(spark, sf_dir):
 def missing_backoff(spark, sf_dir):
     events = _events(spark, sf_dir)
     now = _newest(events)
-    before = now - DAY
-    log = checks.alert_log(_missing(events.where(F.col("ts") <= F.lit(before)), DAY, before), "notify", F.lit(before))
-    return checks.without_recent_alerts(_missing(events), log, F.lit(now), 2 * DAY).select("user_id")
+    before = now - F.lit(DAY)
+    log = checks.alert_log(_missing(events.where(F.col("ts") <= before), DAY, before), "notify", before)
+    return checks.without_recent_alerts(_missing(events), log, now, 2 * DAY).select("user_id")
 
 
 def quality_metrics(spark, sf_dir):
@@ -182,8 +182,12 @@ def score_threshold(spark, sf_dir):
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``), or a temporary one where there is none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='cohortwatch-')}"
+    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``); a temporary one for a session in one process without it."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='cohortwatch-')}"
     return f"{base.rstrip('/')}/cohortwatch/{name}-{uuid.uuid4().hex}"
 
 
@@ -232,7 +236,89 @@ def custom_check(spark, sf_dir):
     return transforms.custom(_events(spark, sf_dir), busy, least=70)
 
 
-_QUERIES = (missing_report, missing_24h, missing_from_roster, missing_fraction_3d, recent_literal, spikes_200, spike_flags, missing_backoff, quality_metrics, json_props, json_variant, schema_violations, rendered_alert, scheduled_times, gated_reports, gate_on_long_result, alert_table, event_envelope, report_envelope, message_text, cap_per_group, cleaned_events, union_sources, parsed_times, score_threshold, saved_result, csv_sources, streaming_missing, streaming_repeats, custom_check)
+def nested_report(spark, sf_dir):
+    """Settings with nested mappings and lists, one report for each user with a spike."""
+    found = transforms.spikes_by_user(_events(spark, sf_dir), "value", 200)
+    settings = {"to": ["{{ user_id }}", "{{ user_id }}"], "mixed": ["{{ user_id }}", "x", True], "parts": [{"n": "{{ n_spikes }}"}, {"n": "{{ n_spikes }}"}], "deep": {"text": "n={{ n_spikes }}"}}
+    reports = actions.report(found, actions.Action("nested", settings=settings), _newest(_events(spark, sf_dir)))
+    return reports.select("data.user_id", F.to_json("metadata").alias("metadata"))
+
+
+def unresolved_tokens(spark, sf_dir):
+    """Whole tokens whose path is not there, or whose value is NULL, keep their text."""
+    rows = _events(spark, sf_dir).select("event_id", F.when(F.col("value") <= 100, F.col("event_type")).alias("kind"), F.array("event_type").alias("kinds"))
+    text = {"kind": "{{ kind }}", "none": "{{ no.such }}", "far": "{{ kinds.3 }}", "inside": "<{{ kind }}{{ no.such }}>"}
+    return actions.report(rows, actions.Action("tokens", settings=text), _newest(_events(spark, sf_dir))).select("data.event_id", "metadata.*")
+
+
+def json_edge_cases(spark, sf_dir):
+    """Values behind white space, of no object, cut off, and with a field named like a column of the envelope."""
+    events = _events(spark, sf_dir)
+    case = F.pmod("event_id", F.lit(6))
+    value = F.when(case == 0, F.concat(F.lit("\n"), "props")).when(case == 1, F.concat(F.lit(" \t\r\n"), "props")).when(case == 2, F.lit("[1]")).when(case == 3, F.expr("left(props, length(props) - 1)")).when(case == 4, F.concat(F.lit('{"timestamp": "t'), F.col("event_id").cast("string"), F.lit('"}')))
+    decoded = readers.decode(_as_messages(events.withColumn("value_text", value), "value_text"), schemas.struct(k=schemas.INT, timestamp=schemas.TEXT), keep=("topic", "offset", "timestamp"))
+    return decoded.select("offset", "k", "timestamp", F.col("message_timestamp").cast("timestamp_ntz").alias("sent_at"), F.col(readers.CORRUPT).isNotNull().alias("corrupt"))
+
+
+def payload_schemas(spark, sf_dir):
+    """Messages of every topic, made of the events by the topic's payload schema, and decoded by it: good ones, and the sum of their set fields."""
+    events = _events(spark, sf_dir)
+
+    def value(kind):
+        if isinstance(kind, schemas.StructType):
+            return F.struct(*[value(f.dataType).alias(f.name) for f in kind.fields])
+        of = {schemas.INT: F.pmod("event_id", F.lit(1000)), schemas.DOUBLE: F.col("value"), schemas.BOOL: F.lit(True)}
+        return of.get(kind, F.col("event_id")).cast(kind)
+
+    parts = []
+    for topic, schema in schemas.TOPICS.items():
+        decoded, _ = readers.split_corrupt(readers.decode(events.select(F.to_json(value(schema)).alias("value"), F.lit(topic).alias("topic")), schema))
+        here = sum((F.col(f"`{f.name}`").isNotNull().cast("int") for f in schema.fields), F.lit(0))
+        parts.append(decoded.groupBy("topic").agg(F.count("*").alias("n"), F.sum(here).alias("n_set")))
+    return readers.unite(parts)
+
+
+def source_by_type(spark, sf_dir):
+    return readers.read_source(spark, "parquet", f"{sf_dir}/events.parquet").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+def custom_by_group(spark, sf_dir):
+    """A caller's pandas function, one participant's events at a time."""
+
+    def spread(rows):
+        return rows.groupby("user_id", as_index=False).agg(low=("value", "min"), high=("value", "max"))
+
+    return transforms.custom_by_group(_events(spark, sf_dir).select("user_id", "value"), "user_id", spread, "user_id long, low double, high double")
+
+
+def fixed_scores(spark, sf_dir):
+    """Inference with a fixed logistic model over per-participant features."""
+    per_user = _events(spark, sf_dir).groupBy("user_id").agg(F.count("*").cast("double").alias("n"), F.max("value").alias("top"))
+    logistic = lambda n, top: F.round(1 / (1 + F.exp(-(F.col(n) / 64 + F.col(top) / 128 - 3))), 6)
+    return models.score_with(per_user, logistic, ["n", "top"], 0.5).select("user_id", "score", "is_anomaly")
+
+
+def table_round_trip(spark, sf_dir):
+    """Daily counts written to a relational table in memory and read again."""
+    url, name = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "DAILY"
+    daily = _events(spark, sf_dir).groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
+    writers.write_table(daily.coalesce(1), url, name, driver="org.apache.derby.jdbc.EmbeddedDriver")
+    return readers.read_table(spark, url, name, driver="org.apache.derby.jdbc.EmbeddedDriver")
+
+
+def streaming_reports(spark, sf_dir):
+    """Alerts of each micro-batch, written once a batch."""
+    stream = spark.readStream.schema(_events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parq*")
+    base = _folder(spark, "reports")
+
+    def alerts(rows):
+        return actions.alert_rows(rows.where("value > 200"), "high", "email", F.col("ts"), subject="Value {{ event_id }}")
+
+    monitor.emit(stream, alerts, monitor.write_once(f"{base}/out"), f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("user_id", "subject", F.col("alerted_at").cast("timestamp_ntz").alias("alerted_at"))
+
+
+_QUERIES = (nested_report, unresolved_tokens, json_edge_cases, payload_schemas, source_by_type, custom_by_group, fixed_scores, table_round_trip, streaming_reports, missing_report, missing_24h, missing_from_roster, missing_fraction_3d, recent_literal, spikes_200, spike_flags, missing_backoff, quality_metrics, json_props, json_variant, schema_violations, rendered_alert, scheduled_times, gated_reports, gate_on_long_result, alert_table, event_envelope, report_envelope, message_text, cap_per_group, cleaned_events, union_sources, parsed_times, score_threshold, saved_result, csv_sources, streaming_missing, streaming_repeats, custom_check)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,12 +4,21 @@ _NOW = "(SELECT max(ts) FROM events)"
 _SILENT = f"SELECT user_id, max(ts) AS last_seen FROM events WHERE ts <= {_NOW} GROUP BY user_id HAVING max(ts) <= {_NOW} - INTERVAL 24 HOUR"
 
 ORACLES = {
+    "nested_report": """SELECT user_id, '{"to":[' || user_id || ',' || user_id || '],"mixed":[' || user_id || ',"x",true],"parts":[{"n":' || n || '},{"n":' || n || '}],"deep":{"text":"n=' || n || '"}}' AS metadata FROM (SELECT user_id, count(*) AS n FROM events WHERE value > 200 GROUP BY user_id) AS s""",
+    "unresolved_tokens": """SELECT event_id, coalesce(kind, '{{ kind }}') AS kind, '{{ no.such }}' AS none, '{{ kinds.3 }}' AS far, '<' || coalesce(kind, '') || '>' AS inside FROM (SELECT event_id, CASE WHEN value <= 100 THEN event_type END AS kind FROM events) AS e""",
+    "json_edge_cases": """SELECT event_id AS "offset", CASE WHEN event_id % 6 < 2 THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k, CASE WHEN event_id % 6 = 4 THEN 't' || event_id END AS "timestamp", ts AS sent_at, event_id % 6 IN (2, 3) AS corrupt FROM events WHERE event_id % 6 < 5""",
+    "payload_schemas": """SELECT topic, count(*) AS n, CAST(sum(f - CASE WHEN value IS NULL THEN d ELSE 0 END) AS BIGINT) AS n_set FROM events, (VALUES ('user-events', 11, 0), ('transaction-events', 10, 1), ('iot-sensor-data', 8, 1), ('wearable-device-data', 6, 1), ('web-clickstream', 12, 0), ('application-logs', 9, 0)) AS t(topic, f, d) GROUP BY topic""",
+    "source_by_type": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
+    "custom_by_group": "SELECT user_id, min(value) AS low, max(value) AS high FROM events GROUP BY user_id",
+    "fixed_scores": "SELECT user_id, score, score >= 0.5 AS is_anomaly FROM (SELECT user_id, round(1 / (1 + exp(-(CAST(count(*) AS DOUBLE) / 64 + max(value) / 128 - 3))), 6) AS score FROM events GROUP BY user_id) AS s",
+    "table_round_trip": 'SELECT CAST(ts AS DATE) AS "day", event_type, count(*) AS n FROM events GROUP BY ALL',
+    "streaming_reports": "SELECT user_id, 'Value ' || event_id AS subject, ts AS alerted_at FROM events WHERE value > 200",
     "missing_report": f"""SELECT 'notify_missing_data' AS name, 'send_notification' AS type, 'Missing data detected for participants: [' || string_agg(CAST(user_id AS VARCHAR), ', ' ORDER BY user_id) || ']' AS message, CAST(count(*) AS INTEGER) AS n_participants FROM ({_SILENT}) AS s HAVING count(*) > 0""",
     "missing_24h": _SILENT,
     "missing_from_roster": f"""SELECT c_custkey::BIGINT AS user_id, last_seen FROM customer LEFT JOIN (SELECT user_id, max(ts) AS last_seen FROM events GROUP BY user_id) AS l ON user_id = c_custkey WHERE last_seen IS NULL OR last_seen <= {_NOW} - INTERVAL 3 DAY""",
     "missing_fraction_3d": f"""WITH b AS (SELECT user_id, count(DISTINCT (epoch_us({_NOW}) - epoch_us(ts)) // 86400000000) AS n FROM events WHERE ts > {_NOW} - INTERVAL 3 DAY GROUP BY user_id)
 SELECT user_id, 1 - coalesce(n, 0)::DOUBLE / 3::DOUBLE AS missing_fraction FROM (SELECT DISTINCT user_id FROM events) AS u LEFT JOIN b USING (user_id)""",
-    "recent_literal": f"SELECT user_id, count(*) AS n_events FROM events WHERE ts < {_NOW} + INTERVAL 15 MINUTE GROUP BY user_id",
+    "recent_literal": f"SELECT user_id, count(*) AS n_events FROM events WHERE ts < {_NOW} - INTERVAL 10 DAY + INTERVAL 15 MINUTE GROUP BY user_id",
     "spikes_200": "SELECT user_id, count(*) AS n_spikes, max(value) AS max_value FROM events WHERE value > 200 GROUP BY user_id",
     "spike_flags": "SELECT event_id, coalesce(value > 200, false) AS is_anomaly FROM events",
     "missing_backoff": f"""WITH log AS (SELECT user_id FROM events WHERE ts <= {_NOW} - INTERVAL 24 HOUR GROUP BY user_id HAVING max(ts) <= {_NOW} - INTERVAL 48 HOUR)

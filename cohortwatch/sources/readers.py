@@ -23,7 +23,7 @@ def topic_names(topics: str | Iterable[str]) -> list[str]:
 
 def kafka_options(servers: str, topics: str | Iterable[str], starting: str = "earliest", ending: str | None = None, since: datetime | None = None, max_per_trigger: int | None = None, **extra: str) -> dict[str, str]:
     """The Kafka source's options; ``since`` bounds the scan by message time, which no filter would."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topic_names(topics)), "startingOffsets": starting, "failOnDataLoss": "false"}
+    options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topic_names(topics)), "startingOffsets": starting}
     if since is not None:
         del options["startingOffsets"]
         options["startingTimestamp"] = str(int(since.timestamp() * 1000))
@@ -56,8 +56,9 @@ def drop_tombstones(messages: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def decode(messages: DataFrame, schema: StructType, value_col: str = "value", keep: Iterable[str] = ("topic",)) -> DataFrame:
-    """Typed decoding of JSON values: the payload's columns, the envelope's ``keep``, and ``_corrupt``.
+    """Typed decoding of JSON values: the envelope's ``keep``, the payload's columns, and ``_corrupt``.
 
+    A kept column of the envelope with the name of a field of the payload becomes ``message_`` and its name.
     Tombstones are dropped. ``_corrupt`` holds the text of what is no JSON object of these types, else
     NULL; malformed text alone would decode to a row of NULLs.
     """
@@ -66,8 +67,10 @@ def decode(messages: DataFrame, schema: StructType, value_col: str = "value", ke
     parsed = F.from_json(text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     kept = [c for c in keep if c in messages.columns]
     rows = drop_tombstones(messages, value_col).select(*kept, text.alias("_text"), parsed.alias("_parsed"))
-    bad = F.col(f"_parsed.{CORRUPT}").isNotNull() | F.col("_parsed").isNull() | ~F.ltrim("_text").startswith("{")
-    return rows.select(*kept, *[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields if f.name not in kept], F.when(bad, F.col("_text")).alias(CORRUPT))
+    bad = F.col(f"_parsed.{CORRUPT}").isNotNull() | F.col("_parsed").isNull() | ~F.col("_text").rlike(r"^[ \t\r\n]*\{")
+    fields = {f.name.lower() for f in schema.fields}
+    envelope = [F.col(c).alias(f"message_{c}" if c.lower() in fields else c) for c in kept]
+    return rows.select(*envelope, *[F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields], F.when(bad, F.col("_text")).alias(CORRUPT))
 
 
 def split_corrupt(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

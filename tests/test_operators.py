@@ -100,10 +100,14 @@ def value(context, template):
 def test_templates(context):
     assert value(context, "{{ a.ids }}") == ["u1", "u2"]
     assert value(context, "ids: {{ a.ids }}, {{a.ns}} {{ a.ok }}") == "ids: ['u1', 'u2'], [3, None] True"
-    assert value(context, "{{ a.ids.1 }}") == "u2" and value(context, "{{ a.ids.7 }}") is None
+    assert value(context, "{{ a.ids.1 }}") == "u2" and value(context, "{{ a.ids.7 }}") == "{{ a.ids.7 }}" and value(context, "{{ a.none }}") == "{{ a.none }}"
+    assert value(context, "{{ a.ns.1 }}") is None  # no text fits an int column
     assert value(context, "x {{ a.zz }} y{{ a.none }}") == "x  y" and value(context, "{{ a.zz }}") == "{{ a.zz }}" and value(context, "plain") == "plain"
     got = context.select(render({"k": [{"m": "{{ a.ids.0 }}!"}, 5], "n": None, "l": ["x", "y {{ a.ok }}"], "e": {}, "f": []}, Context(context.schema)).alias("v")).first().v
-    assert got.k.item_0.m == "u1!" and got.k.item_1 == 5 and got.n is None and got.l == ["x", "y True"] and got.e == {} and got.f == []
+    assert [json.loads(x.toJson()) if hasattr(x, "toJson") else x for x in got.k] == [{"m": "u1!"}, 5] and got.n is None and got.l == ["x", "y True"] and got.e == {} and got.f == []
+    text = lambda v: json.loads(context.select(F.to_json(F.struct(render(v, Context(context.schema)).alias("v")))).first()[0])["v"]
+    assert text(["{{ a.ids.0 }}", "x"]) == ["u1", "x"] and text([{"k": "{{ a.ids.0 }}"}, {"k": "b"}]) == [{"k": "u1"}, {"k": "b"}]
+    assert text(["{{ a.ids }}", 1, True, {"z": [1.5]}]) == [["u1", "u2"], 1, True, {"z": [1.5]}] and text([[1, 2], [3]]) == [[1, 2], [3]]
 
 
 def test_variant_context(spark):
@@ -124,6 +128,8 @@ def test_action_times(spark):
     at = lambda w: spark.range(1).select(action_time(w, F.lit(NOW)).alias("t")).first().t
     assert at("immediate") is None and at(None) is None and at("garbage") is None
     assert at("8:30pm") == at("8:30 PM") == at("20:30") == datetime(2024, 1, 10, 20, 30)
+    assert at("8:30:15") == datetime(2024, 1, 10, 8, 30, 15) and at("8:30:15 pm") == datetime(2024, 1, 10, 20, 30, 15)
+    assert at("Jan 5 2024 8:30") == at("5 January 2024 8:30am") == at("2024/1/5 8:30") == datetime(2024, 1, 5, 8, 30) and at("1/5/2024") == datetime(2024, 1, 5)
     assert at("2024-05-01T01:02:03") == datetime(2024, 5, 1, 1, 2, 3) and at(timedelta(minutes=5)) == NOW + timedelta(minutes=5)
 
 
@@ -135,6 +141,19 @@ def test_reports(context, spark):
     assert got["later"]["metadata"] == {} and got["later"]["time"].startswith("2024-01-10T20:30")
     with pytest.raises(ValueError):
         actions.gather({})
+    for n in (0, 2):
+        with pytest.raises(Exception, match=f"users has not one row but {n}"):
+            actions.gather({"users": spark.range(n)}).collect()
+    plan = actions.report_messages(context, two, F.lit(NOW))._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan
+
+
+def test_one_scan_without_a_roster(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    now = events.agg(F.max("ts")).first()[0]
+    for found in (checks.missing_participants(events, F.lit(now), timedelta(days=1)), checks.missing_fraction(events, F.lit(now), timedelta(days=3), timedelta(days=1))):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation") == 1 and "Join" not in plan
 
 
 def test_alert_rows(spark):
@@ -151,5 +170,8 @@ def test_models(spark, tmp_path):
     got = models.score(rows.drop("label"), f"file://{tmp_path}/m", 0.5)
     assert got.count() == 101 and got.where("x is null and score is null and is_anomaly is null").count() == 1
     assert got.where("is_anomaly = (x >= 50)").count() >= 95
+    clash = rows.selectExpr("x", "y", "'f' as features", "'p' as probability", "1 as score", "2 as prediction")
+    again = models.score(clash, model, 0.5)
+    assert again.columns == ["x", "y", "features", "probability", "prediction", "score", "is_anomaly"] and again.where("score between 0 and 1").count() == 100
     udf = F.pandas_udf(lambda x: (x.fillna(0) > 50).astype(float), "double")
     assert models.score_with(rows, udf, ["x"]).where("is_anomaly").count() == 49

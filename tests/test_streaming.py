@@ -74,3 +74,14 @@ def test_stream_decoding(spark, tmp_path):
     stream = spark.readStream.schema("value binary, topic string").parquet(str(tmp_path / "m"))
     good, _ = readers.split_corrupt(readers.decode(stream, schemas.struct(k=schemas.INT)))
     assert [tuple(r) for r in run(good, "decoded", tmp_path).collect()] == [("t", 1)]
+
+
+def test_console(spark, tmp_path):
+    from cohortwatch.sources import writers
+
+    events, stream = in_time_order(spark, str(tmp_path / "in"), 1)
+    query = writers.to_console(stream.select("event_id"), rows=2)
+    query.processAllAvailable()
+    done = query.recentProgress
+    query.stop()
+    assert sum(p["numInputRows"] for p in done) == events.count() and "console" in done[0]["sink"]["description"].lower()
