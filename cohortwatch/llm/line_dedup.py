@@ -237,7 +237,7 @@ def partners(rows: DataFrame, min_words: int) -> DataFrame:
     rarest = later.groupBy("doc_id", "row").agg(F.min(F.struct("n", "lead")).alias("r")).select("doc_id", "row", F.col("r.lead").alias("lead"))
     rarest = _spark.saved(rarest, "line-rarest")
     partner = later.join(rarest.select("row", F.col("doc_id").alias("of"), F.col("lead.row").alias("partner")), "row").where("doc_id = of")
-    partner = _spark.saved(partner, "line-partners")
+    partner = _spark.saved(partner.select("doc_id", "row", "lead", "partner", "line"), "line-partners")
     has = held.select(F.col("row").alias("partner"), "line").distinct()
     lacks = partner.groupBy("partner", "line").agg(F.count("*").alias("n")).join(has, ["partner", "line"], "left_anti")
     rest = _spark.looked_up(partner, _spark.saved(lacks, "line-lacks"), ["partner", "line"], partner.count()).select("doc_id", "row", "lead")

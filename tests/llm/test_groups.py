@@ -124,6 +124,7 @@ def test_jaccard_components(spark):
 @pytest.mark.parametrize("rounds", [0, 2])
 def test_jaccard_components_with_many_pivots(spark, monkeypatch, rounds):
     # All open lists are split by a second element, and dealt in blocks.
+    monkeypatch.setattr(_spark, "HOT_KEYS", 5)
     for name, value in (("OPEN_PAIRS", 0), ("PIVOT_ROUNDS", rounds), ("ALL_PAIRS", 0), ("BLOCK", 3)):
         monkeypatch.setattr(_pivots, name, value)
     same_components(spark, planted(2))

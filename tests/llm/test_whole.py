@@ -9,7 +9,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cohortwatch.llm import line_dedup, passage_dedup
+from cohortwatch.llm import _spark, line_dedup, passage_dedup
 
 
 def words(rng, n):
@@ -69,7 +69,8 @@ def deleted(blocks):
     return gone
 
 
-def test_lines_in_another_order_go_too(spark):
+def test_lines_in_another_order_go_too(spark, monkeypatch):
+    monkeypatch.setattr(_spark, "HOT_KEYS", 3)
     line = lambda *k: ["five words of line number " + str(x) for x in k]
     gone = deleted(line_dedup.aligned_blocks(table(spark, [(1, line(30, 20, 12, 11, 10, 9, 8, 7)), (2, line(40, *range(7, 13))), (3, line(50, *range(7, 13), 51, 7))])))
     assert gone == {2: set(range(1, 7)), 3: {*range(1, 7), 8}}
@@ -160,7 +161,8 @@ def test_passages_on_whole_table(documents, texts):
     assert not brute.repeats([(r.doc_id, r.text) for r in passage_dedup.delete_passages(documents, got).collect()], 50)
 
 
-def test_passages_of_rows_with_one_id(spark):
+def test_passages_of_rows_with_one_id(spark, monkeypatch):
+    monkeypatch.setattr(_spark, "HOT_KEYS", 3)
     rng = random.Random(10)
     a, b, c = (" ".join(words(rng, 70)) for _ in range(3))
     docs = table(spark, [(1, a), (1, b), (2, a + "\nown"), (3, b), (3, b), (4, c + " " + c), (None, c)])
