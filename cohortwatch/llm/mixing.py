@@ -7,8 +7,12 @@ sample of fixed size: with ``u`` a document's uniform number (a hash of its id a
 p))`` until the source's remaining words are used up. ``p`` is the source's remaining fraction, or
 scaled by an importance column. Extra copies stop at the cap.
 
-The cut is found without ordering a source in one task: words are added up in cells of the order,
-the sums are accumulated per source, and only the cell in which the cut falls is ordered.
+A document that doesn't fit in what is left is passed over and the order followed further with the
+documents of up to half of what is left, so that each pass halves it, until it is a ``NEAR`` part of
+the target or no such document remains. The document nearest to the rest ends the sample.
+
+A pass is found without ordering a source in one task: words are added up in cells of the order, at
+most 4,096 per source and level, and only the cell in which the cut falls is split up or ordered.
 """
 
 from __future__ import annotations
@@ -20,8 +24,10 @@ from cohortwatch.llm import _spark
 
 WEIGHTS = (3, 1, 2)
 CELL_ROWS = 2_000
-#: Documents behind a source's cut that may fill what it leaves open.
-FILLS = 2
+#: The part of its target that a source's sample may leave open without another pass.
+NEAR = 0.001
+#: A level of cells splits each cell of the level above in 2 to the power of this.
+LEVEL_BITS = 12
 
 
 def word_count(text: Column) -> Column:
@@ -61,71 +67,106 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     return weighed.withColumn("target", F.least(F.col("weight") * unit, cap * F.col("source_size")).cast("double"))
 
 
+def _rank(u: Column, imp: Column, of) -> Column:
+    """From 0 to 1, in the order of the odds ratio; ``of`` names the goals' columns."""
+    part = F.least(F.greatest((of("ratio") - of("sure")) * imp / of("mean_imp"), F.lit(1e-9)), F.lit(1 - 1e-9))
+    odds = (u / (1 - u)) / (part / (1 - part))
+    return odds / (1 + odds)
+
+
+def _place(rank: Column, key: Column, bits: int) -> Column:
+    cell = F.least(F.floor(rank * (1 << bits)), F.lit((1 << bits) - 1)).cast("long")
+    return F.struct(cell.alias("cell"), rank.alias("rank"), key.alias("key"))
+
+
+def _taken(size: Column, place: Column, passes: Column) -> Column:
+    """Whether one of a source's passes takes the document."""
+    inside = lambda p: (size <= p["most"]) & (p["since"].isNull() | (place > p["since"])) & (p["upto"].isNull() | (place <= p["upto"]))
+    return F.exists(passes, inside)
+
+
+def _cuts(rows: DataFrame, bits: int, n_sources: int) -> DataFrame:
+    """For ``rows(src, size, place, gap)`` the last ``upto`` before which a source's sizes add up to ``gap`` at most, and their sum ``got``.
+
+    Sources all of whose rows fit have no row. ``upto`` is a row's place, or stands before all rows of its cell.
+    """
+    at = None
+    for shift in range((bits - 1) // LEVEL_BITS * LEVEL_BITS, -1, -LEVEL_BITS):
+        inside = rows.withColumn("before", F.lit(0).cast("long")) if at is None else rows.join(_spark.small(at, n_sources), F.col("src").eqNullSafe(F.col("cs")) & (F.shiftright("place.cell", shift + LEVEL_BITS) == F.col("cut_cell")))
+        sums = inside.groupBy("src", F.shiftright("place.cell", shift).alias("cell")).agg(F.sum("size").alias("words"), F.first("gap").alias("gap"), F.first("before").alias("before"))
+        upto = sums.withColumn("upto", F.col("before") + F.sum("words").over(Window.partitionBy("src").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)))
+        first = upto.where("upto > gap").groupBy("src").agg(F.min_by(F.struct(F.col("cell").alias("cut_cell"), (F.col("upto") - F.col("words")).alias("before")), "cell").alias("c"))
+        at = _spark.saved(first.select(F.col("src").alias("cs"), "c.*"), "mix-cells")
+    inside = rows.join(_spark.small(at, n_sources), F.col("src").eqNullSafe(F.col("cs")) & (F.col("place.cell") == F.col("cut_cell")))
+    inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("src").orderBy("place")))  # ties together
+    fits = F.col("upto") <= F.col("gap")
+    cut = inside.groupBy("src").agg(F.max(F.when(fits, F.col("place"))).alias("last"), F.max(F.when(fits, F.col("upto"))).alias("got"), F.first("before").alias("before"), F.first("cut_cell").alias("cut_cell"))
+    start = F.struct(F.col("cut_cell").alias("cell"), F.lit(-1.0).alias("rank"), F.lit(None).cast(rows.schema["place"].dataType["key"].dataType).alias("key"))
+    return cut.select(F.col("src").alias("cut_src"), F.coalesce("last", start).alias("upto"), F.coalesce("got", "before").alias("got"))
+
+
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", size: Column | None = None, text_col: str = "text", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, importance: Column | None = None, seed: int = 7) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` appended, one row per row of ``docs``.
 
-    ``copies`` is how often the mix takes the document whole. What the cut leaves of a source's
-    target goes to the document behind the cut whose size comes nearest to it, ``FILLS`` times at most.
+    ``copies`` is how often the mix takes the document whole. A source's words come as near to its
+    target as the last document allows, one very long document or not.
     ``importance`` (positive; null counts as 1) scales the inclusion odds within a source. Null
-    texts have size 0; an empty table gives an empty result; rows with the same id share its random
-    number and are taken alike. A column of ``docs`` with the name of an appended one gives way.
+    texts have size 0; an empty table gives an empty result; rows with the same id and size share a
+    random number and are taken alike. A column of ``docs`` with the name of an appended one gives way.
     """
     added = ("size", "source_size", "target", "copies")
     own = [c for c in docs.columns if c.lower() not in added]
     if size is None:
         size = word_count(F.col(f"`{text_col}`").cast("string"))
+    size = size.cast("long")
     src, key = F.col(f"`{source_col}`").cast("string"), F.col(f"`{id_col}`")
-    u = (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     weight = F.coalesce(importance.cast("double"), F.lit(1.0)) if importance is not None else F.lit(1.0)
-    narrow = _spark.saved(docs.select(key.alias("key"), src.alias("src"), size.cast("long").alias("size"), u.alias("u"), weight.alias("imp")), "mix-rows")
-    sums = narrow.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), (F.sum(F.col("size") * F.col("imp")) / F.sum("size")).alias("mean_imp")) if importance is not None else narrow.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), F.lit(1.0).alias("mean_imp"))
+    narrow = _spark.saved(docs.select(key.alias("key"), src.alias("src"), size.alias("size"), weight.alias("imp")), "mix-rows")
+    number = lambda k, n: (F.pmod(F.xxhash64(k, n, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    mean_imp = F.sum(F.col("size") * F.col("imp")) / F.sum("size") if importance is not None else F.lit(1.0)
+    sums = narrow.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), mean_imp.alias("mean_imp"))
     sums = _spark.saved(sums, "mix-sources")
     n_sources, n_rows = sums.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     goals = source_targets(sums.select("src", "source_size"), weights, share, cap).select("src", "source_size", "target").withColumnRenamed("src", "s")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goals = goals.join(sums.select("src", "mean_imp"), F.col("s").eqNullSafe(F.col("src"))).select("s", "source_size", "target", F.coalesce("mean_imp", F.lit(1.0)).alias("mean_imp"), ratio.alias("ratio"), F.floor(ratio).cast("long").alias("sure"))
-    goals = _spark.saved(goals.withColumn("want", F.col("target") - F.col("source_size") * F.col("sure")), "mix-goals")
-    part = F.least(F.greatest((F.col("ratio") - F.col("sure")) * F.col("imp") / F.col("mean_imp"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    odds = (F.col("u") / (1 - F.col("u"))) / (part / (1 - part))
-    rank = odds / (1 + odds)  # from 0 to 1, in the order of the odds ratio
-    cells = max(16, n_rows // CELL_ROWS)
-    at = F.struct(F.col("rank"), F.col("key"))
-    ranked = narrow.join(_spark.small(goals, n_sources), F.col("src").eqNullSafe(F.col("s"))).withColumn("rank", rank).withColumn("cell", F.least(F.floor(F.col("rank") * cells), F.lit(cells - 1)).cast("int")).where("want > 0 and size > 0")
-
-    sums = ranked.groupBy("src", "cell").agg(F.sum("size").alias("words"), F.first("want").alias("want"))
-    upto = sums.withColumn("upto", F.sum("words").over(Window.partitionBy("src").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)))
-    crossing = upto.where("upto > want").groupBy("src").agg(F.min_by(F.struct("cell", (F.col("upto") - F.col("words")).alias("before")), "cell").alias("c")).select(F.col("src").alias("cs"), "c.*").withColumnRenamed("cell", "cut_cell")
-    crossing = _spark.saved(crossing, "mix-cells")
-    inside = ranked.join(_spark.small(crossing, n_sources), F.col("src").eqNullSafe(F.col("cs")) & (F.col("cell") == F.col("cut_cell")))
-    inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("src", "cell").orderBy(at)))  # ties together
-    cut = inside.groupBy("src").agg(F.max(F.when(F.col("upto") <= F.col("want"), at)).alias("cut"), F.max(F.when(F.col("upto") <= F.col("want"), F.col("upto"))).alias("got"), F.first("before").alias("before"), F.first("want").alias("want"), F.first("cut_cell").alias("cut_cell"))
-    # All cells before the cut's are taken; the cut is a place in its own cell, or where that begins.
-    cut = cut.select(F.col("src").alias("cut_src"), "cut_cell", "cut", (F.col("want") - F.coalesce("got", "before")).alias("gap"))
-    here = F.struct(F.col("rank").alias("rank"), F.col("key").alias("key"))
-    cut = _spark.saved(cut.withColumn("picks", F.array().cast(f"array<struct<rank:double,key:{dict(narrow.dtypes)['key']}>>")), "mix-cuts")
-    before = (F.col("cell") < F.col("cut_cell")) | ((F.col("cell") == F.col("cut_cell")) & F.coalesce(at <= F.col("cut"), F.lit(False)))
-    for _ in range(FILLS):
-        behind = ranked.join(_spark.small(cut, n_sources), F.col("src").eqNullSafe(F.col("cut_src"))).where(~before & ~F.array_contains("picks", here))
-        off = F.abs(F.col("size") - F.col("gap"))
-        pick = behind.where(off < F.col("gap")).groupBy("src").agg(F.min(F.struct(off, "rank", "key", "size")).alias("m")).select(F.col("src").alias("pick_src"), F.struct(F.col("m.rank").alias("rank"), F.col("m.key").alias("key")).alias("pick"), F.col("m.size").alias("pick_size"))
-        cut = cut.join(pick, F.col("cut_src").eqNullSafe(F.col("pick_src")), "left")
-        cut = cut.select("cut_src", "cut_cell", "cut", (F.col("gap") - F.coalesce("pick_size", F.lit(0))).alias("gap"), F.when(F.col("pick").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array("pick"))).alias("picks"))
-        cut = _spark.saved(cut, "mix-cuts")
-    plan = goals.join(cut, F.col("s").eqNullSafe(F.col("cut_src")), "left").drop("cut_src")
+    goals = goals.withColumn("gap", F.col("target") - F.col("source_size") * F.col("sure"))
+
+    bits = max(4, (n_rows // CELL_ROWS).bit_length())
+    place_type = f"struct<cell:bigint,rank:double,key:{narrow.schema['key'].dataType.simpleString()}>"
+    nowhere = F.lit(None).cast(place_type)
+    # A pass takes the documents of at most ``most`` words behind ``since`` and up to ``upto`` (null: from the start, to the end).
+    plan = goals.select("*", F.col("gap").alias("most"), nowhere.alias("since"), (F.col("gap") > 0).alias("open"), F.array().cast(f"array<struct<most:double,since:{place_type},upto:{place_type}>>").alias("passes"))
     plan = _spark.saved(plan, "mix-plan")
 
-    spare = {n: _spark.free_name(docs, "mix_" + n) for n in ("s", "key", "size", "u", "imp")}
-    rows = docs.select(*[F.col(f"`{c}`") for c in own], src.alias(spare["s"]), key.alias(spare["key"]), size.cast("long").alias(spare["size"]), u.alias(spare["u"]), weight.alias(spare["imp"]))
+    def ranked(sources: DataFrame) -> DataFrame:
+        rows = narrow.where("size > 0").join(_spark.small(sources, n_sources), F.col("src").eqNullSafe(F.col("s")))
+        return rows.withColumn("place", _place(_rank(number(F.col("key"), F.col("size")), F.col("imp"), F.col), F.col("key"), bits))
+
+    while not plan.where("open").isEmpty():  # each pass but the first halves what is left: at most the bits of the largest target
+        rows = ranked(plan.where("open").select("s", "gap", "most", "since", "ratio", "sure", "mean_imp"))
+        rows = rows.where("size <= most and (since is null or place > since)").select("src", "size", "place", "gap")
+        cuts = _cuts(rows, bits, n_sources)
+        rest = rows.groupBy("src").agg(F.sum("size").alias("all_words")).select(F.col("src").alias("all_src"), "all_words")
+        last = plan.where("open").join(rest, F.col("s").eqNullSafe(F.col("all_src")), "left").join(cuts, F.col("s").eqNullSafe(F.col("cut_src")), "left")
+        gap = F.col("gap") - F.coalesce("got", "all_words", F.lit(0))
+        made = F.struct("most", "since", "upto")
+        last = last.withColumn("left", gap).select(*goals.drop("gap").columns, F.col("left").alias("gap"), (F.col("left") / 2).alias("most"), F.col("upto").alias("since"), (F.col("upto").isNotNull() & (F.col("left") > NEAR * F.col("target"))).alias("open"), F.concat("passes", F.array(made)).alias("passes"))
+        plan = _spark.saved(last.unionByName(plan.where("not open")), "mix-plan")
+    near = F.abs(F.col("size") - F.col("gap"))
+    behind = ranked(plan.where("gap > 0").select("s", "gap", "ratio", "sure", "mean_imp", "passes")).where(near < F.col("gap")).where(~_taken(F.col("size"), F.col("place"), F.col("passes")))
+    pick = behind.groupBy("src").agg(F.min(F.struct(near.alias("off"), "place")).alias("m")).select(F.col("src").alias("pick_src"), F.col("m.place").alias("pick"))
+    plan = _spark.saved(plan.join(pick, F.col("s").eqNullSafe(F.col("pick_src")), "left").select("s", "source_size", "target", "mean_imp", "ratio", "sure", "passes", "pick"), "mix-plan")
+
+    spare = {n: _spark.free_name(docs, "mix_" + n) for n in ("s", "key", "size", "imp")}
+    rows = docs.select(*[F.col(f"`{c}`") for c in own], src.alias(spare["s"]), key.alias(spare["key"]), size.alias(spare["size"]), weight.alias(spare["imp"]))
     plan = plan.select(F.struct(*[c for c in plan.columns if c != "s"]).alias(p_name := _spark.free_name(docs, "mix_plan")), F.col("s").alias(s_name := _spark.free_name(docs, "mix_of")))
     p = lambda c: F.col(p_name)[c]
-    part = F.least(F.greatest((p("ratio") - p("sure")) * F.col(spare["imp"]) / p("mean_imp"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    odds = (F.col(spare["u"]) / (1 - F.col(spare["u"]))) / (part / (1 - part))
-    rank = odds / (1 + odds)
-    cell = F.least(F.floor(rank * cells), F.lit(cells - 1)).cast("int")
-    here = F.struct(rank.alias("rank"), F.col(spare["key"]).alias("key"))
-    taken = (p("want") > 0) & (F.col(spare["size"]) > 0) & (p("cut_cell").isNull() | (cell < p("cut_cell")) | ((cell == p("cut_cell")) & F.coalesce(here <= p("cut"), F.lit(False))) | F.coalesce(F.array_contains(p("picks"), here), F.lit(False)))
+    words = F.col(spare["size"])
+    here = _place(_rank(number(F.col(spare["key"]), words), F.col(spare["imp"]), p), F.col(spare["key"]), bits)
+    taken = (words > 0) & (_taken(words, here, p("passes")) | F.coalesce(here == p("pick"), F.lit(False)))
     out = rows.join(_spark.small(plan, n_sources), F.col(spare["s"]).eqNullSafe(F.col(s_name)))
-    return out.select(*[F.col(f"`{c}`") for c in own], F.col(spare["size"]).alias("size"), p("source_size").alias("source_size"), p("target").alias("target"), (p("sure") + taken.cast("long")).alias("copies"))
+    return out.select(*[F.col(f"`{c}`") for c in own], words.alias("size"), p("source_size").alias("source_size"), p("target").alias("target"), (p("sure") + taken.cast("long")).alias("copies"))
 
 
 def mixed_rows(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

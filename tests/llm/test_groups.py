@@ -275,6 +275,42 @@ def test_mix(documents, messy, monkeypatch):
     assert mixing.mix(messy.limit(0)).count() == 0
 
 
+def pareto_walk(rows, goal, bits):
+    """The passes of a mix on a plain list of (size, rank, id): ids taken."""
+    left, most, since, took = goal, goal, -1.0, set()
+    while True:
+        open_ = sorted((rank, k, size) for size, rank, k in rows if size <= most and rank > since)
+        sums = np.cumsum([size for *_, size in open_])
+        n = int((sums <= left).sum())
+        took |= {k for _, k, _ in open_[:n]}
+        left -= int(sums[n - 1]) if n else 0
+        if n == len(open_) or left <= mixing.NEAR * goal:
+            break
+        # Where no document of the cut's cell fits, the next pass starts at that cell.
+        cell = int(open_[n][0] * (1 << bits))
+        since = open_[n - 1][0] if n and int(open_[n - 1][0] * (1 << bits)) == cell else np.nextafter(cell / (1 << bits), -1)
+        most = left / 2
+    near = [(abs(size - left), rank, k) for size, rank, k in rows if k not in took and abs(size - left) < left]
+    return took | ({min(near)[2]} if near else set())
+
+
+@pytest.mark.parametrize("level_bits", [2, 12])
+def test_mix_passes_over_long_documents(spark, monkeypatch, level_bits):
+    monkeypatch.setattr(mixing, "CELL_ROWS", 10)
+    monkeypatch.setattr(mixing, "LEVEL_BITS", level_bits)
+    rng = random.Random(5)
+    sizes = {k: 40_000 if k % 200 == 3 else rng.choice([1, 7, 90, 100, 110]) for k in range(600)}
+    docs = spark.createDataFrame([(k, "s", "w " * n) for k, n in sizes.items()], "doc_id long, source string, text string")
+    for seed in range(2):
+        rows = mixing.mix(docs, share=0.4, seed=seed)
+        goal = 0.4 * sum(sizes.values())
+        got = {r.doc_id for r in rows.collect() if r.copies}
+        assert abs(sum(sizes[k] for k in got) - goal) < 0.01 * goal
+        u = (F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+        ranks = [(r.size, (o := r.u / (1 - r.u) / (0.4 / 0.6)) / (1 + o), r.doc_id) for r in rows.select("doc_id", "size", u.alias("u")).collect()]
+        assert got == pareto_walk(ranks, goal, (600 // 10).bit_length())
+
+
 def test_importance_raises_the_odds(spark):
     docs = spark.range(4000).selectExpr("id as doc_id", "'a b' as text", "if(id < 2000, 'x', 'y') as source", "if(id % 2 = 0, 3, 1) as worth")
     rows = mixing.mix(docs, weights=(1.0,), share=0.3, importance=F.col("worth")).groupBy("worth").agg(F.sum("copies").alias("n")).collect()
