@@ -2,7 +2,7 @@
 
 In each list every member is first compared with one pivot, and components are formed. Members of one
 component need no further comparison. Lists that still span several components get further pivots
-while their open pairs are many; then every open pair is compared, long lists in blocks of members over
+while their open pairs are many and pivots still bring links; then every open pair is compared, long lists in blocks of members over
 many tasks. So components are exact: a pair of a list is left out only if its members are already
 connected or ``may`` rules it out.
 """
@@ -41,10 +41,13 @@ def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compa
     found = _spark.looked_up(members, pivot, "token", entries).where((F.col("x") != F.col("y")) & may("x_at", "y_at"))
     pairs = _spark.saved(one_each(found), "list-pairs")
     checked = _spark.saved(compare(pairs), "list-checked")
-    spark, labelled, mixed = lists.sparkSession, pivot, pairs
+    spark, labelled, mixed, label = lists.sparkSession, pivot, pairs, None
+    links = checked.where("linked").select("a", "b")
     for turn in range(PIVOT_ROUNDS + 1):
+        gained = label is None or not links.isEmpty()
+        if gained:
+            label = _spark.saved(_joined(label, links), "list-labels")
         _spark.drop_scratch(spark, labelled, mixed)
-        label = _spark.saved(_spark.components(checked.where("linked").select("a", "b")), "list-labels")
         labelled = _spark.saved(lists.join(label, "id", "left").select("token", "id", "at", F.coalesce("component", "id").alias("label")), "list-labelled")
         classes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "at")).alias("p"))
         mixed = classes.groupBy("token").agg(F.count("*").alias("k"), F.sum("size").alias("n"), F.max(F.struct("size", "label", "p")).alias("top")).where("k > 1")
@@ -52,7 +55,7 @@ def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compa
         still_open = mixed.agg(F.sum(F.expr("n * (n - top_n)"))).first()[0] or 0
         if not still_open:
             return label
-        last = still_open <= max(ALL_PAIRS, OPEN_PAIRS * entries) or turn == PIVOT_ROUNDS
+        last = still_open <= max(ALL_PAIRS, OPEN_PAIRS * entries) or turn == PIVOT_ROUNDS or not gained
         if not last:
             minor = _spark.looked_up(labelled, mixed, "token", entries).where("label <> top").select(F.col("id").alias("x"), F.col("at").alias("x_at"), "y", "y_at")
             found = minor.where(may("x_at", "y_at"))
@@ -66,13 +69,19 @@ def linked_components(lists: DataFrame, may: Callable[[str, str], Column], compa
                 entries = max(entries, whole.count())
             found = _open_pairs(_spark.looked_up(whole, mixed.select("token", "n", "top"), "token", entries), may if once is None else lambda x, y: may(x, y) & once(x, y))
         fresh = _spark.saved(one_each(found).join(checked.select("a", "b"), ["a", "b"], "left_anti"), "list-pairs")
-        checked = _spark.saved(checked.unionByName(compare(fresh)), "list-checked")
+        compared = _spark.saved(compare(fresh), "list-checked")
+        checked, links = checked.unionByName(compared), compared.where("linked").select("a", "b")
         if last:
             _spark.drop_scratch(spark, labelled, mixed)
-            return _spark.components(checked.where("linked").select("a", "b"))
+            return label if links.isEmpty() else _joined(label, links)
     raise AssertionError
 
 
+def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of the links and of what is connected already; its edges lead to the least id, so few rounds are left."""
+    return _spark.components(links if label is None else links.unionAll(label.select("id", "component")))
+
+
 def _open_pairs(labelled: DataFrame, may: Callable[[str, str], Column]) -> DataFrame:
     """Pairs ``(x, y)`` of different labels in one list that ``may`` allows; ``top`` is the list's largest label and ``n`` its length."""
     labelled = _spark.saved(labelled.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")), "list-open")
