@@ -56,3 +56,17 @@ SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, p
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
 QUALIFY rank <= 5
 """
+
+COLLOCATIONS = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+f AS MATERIALIZED (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS g, count(*) AS f FROM w, (VALUES (1), (2), (3)) AS s(k), unnest(range(1, len(ws) - k + 2)) AS u(i) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cut AS MATERIALIZED (SELECT lang, g, f AS a, j, array_to_string(ws[:j], ' ') AS one, array_to_string(ws[j + 1:], ' ') AS two FROM (SELECT *, string_split(g, ' ') AS ws FROM f WHERE k >= 2 AND f >= 10) AS q, (VALUES (1), (2)) AS s(j) WHERE j < k),
+cuts AS (SELECT cut.lang, cut.g, a, x.f AS l, y.f AS r, CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score, j
+  FROM cut JOIN f AS x ON x.lang = cut.lang AND x.g = one JOIN f AS y ON y.lang = cut.lang AND y.g = two),
+c AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+longer AS (SELECT lang, part, max(f) AS f FROM (SELECT lang, unnest([array_to_string(string_split(g, ' ')[1:2], ' '), array_to_string(string_split(g, ' ')[2:3], ' ')]) AS part, f FROM f WHERE k = 3 AND f >= 10) AS q GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN longer ON longer.lang = c.lang AND part = g WHERE longer.f IS NULL OR 100 * longer.f < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
