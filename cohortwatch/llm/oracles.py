@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cohortwatch.llm.license_scan import DRIFT, NOTICES, PHRASES, SHARE
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -70,3 +72,22 @@ longer AS (SELECT lang, part, max(f) AS f FROM (SELECT lang, unnest([array_to_st
 kept AS (SELECT c.* FROM c LEFT JOIN longer ON longer.lang = c.lang AND part = g WHERE longer.f IS NULL OR 100 * longer.f < 50 * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
 """
+
+
+def license_scan() -> str:
+    """SQL for the license scan, by grams of three words as text."""
+    values = ", ".join(f"({i}, '{t.label}', {t.exact}, '{t.text}')" for i, t in enumerate([*PHRASES, *NOTICES]))
+    return rf"""
+WITH t AS (SELECT id, label, exact, regexp_extract_all(lower(text), '{_ALNUM}') AS ws FROM (VALUES {values}) AS v(id, label, exact, text)),
+tg AS (SELECT id, p, array_to_string(ws[p:p + 2], ' ') AS g FROM t, unnest(range(1, len(ws) - 1)) AS u(p)),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS ws FROM documents),
+h AS (SELECT doc_id, id, i - p AS diagonal, p, i FROM (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g FROM d, unnest(range(1, len(ws) - 1)) AS u(i)) AS q JOIN tg USING (g)),
+n AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= CASE WHEN exact THEN 0 ELSE {DRIFT} END THEN 0 ELSE 1 END AS new FROM h JOIN t USING (id) WINDOW w AS (PARTITION BY doc_id, id ORDER BY diagonal, p)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, id ORDER BY diagonal, p) AS span FROM n),
+v AS (SELECT doc_id, label, exact, min(i) - 1 AS first, CAST(count(DISTINCT p) AS DOUBLE) / (len(any_value(ws)) - 2) AS score FROM s GROUP BY doc_id, id, label, exact, span
+  HAVING CASE WHEN exact THEN count(DISTINCT p) = len(any_value(ws)) - 2 ELSE 100 * count(DISTINCT p) >= {SHARE} * (len(any_value(ws)) - 2) AND max(i) - min(i) + 3 <= 2 * len(any_value(ws)) END),
+a AS (SELECT doc_id, count(*) FILTER (WHERE exact) AS n_base, min(first) FILTER (WHERE exact) AS first_word, max(first) FILTER (WHERE exact) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM v GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN a USING (doc_id)
+"""

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _spark, collocations, decontaminate, hard_negatives, language_id, line_dedup, mixing, ngram_join, oracles, passage_dedup, quality, sharding, token_count, token_output
+from cohortwatch.llm import _spark, collocations, decontaminate, hard_negatives, language_id, license_scan, line_dedup, mixing, ngram_join, oracles, passage_dedup, quality, sharding, token_count, token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
@@ -79,9 +83,9 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op1_quality_rules, op2_token_counts, op3_token_output, op4_sharding, op5_ngram_jaccard_join, op6_passage_dedup, op7_mixing, op8_line_dedup, op9_language_id, op10_decontamination, op12_collocations, op13_hard_negatives)
+    found = (op1_quality_rules, op2_token_counts, op3_token_output, op4_sharding, op5_ngram_jaccard_join, op6_passage_dedup, op7_mixing, op8_line_dedup, op9_language_id, op10_decontamination, op11_license_scan, op12_collocations, op13_hard_negatives)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": oracles.QUALITY, "op5_ngram_jaccard_join": oracles.NGRAM_JOIN, "op10_decontamination": oracles.DECONTAMINATION, "op12_collocations": oracles.COLLOCATIONS, "op13_hard_negatives": oracles.HARD_NEGATIVES}
+    return {"op1_quality_rules": oracles.QUALITY, "op5_ngram_jaccard_join": oracles.NGRAM_JOIN, "op10_decontamination": oracles.DECONTAMINATION, "op11_license_scan": oracles.license_scan(), "op12_collocations": oracles.COLLOCATIONS, "op13_hard_negatives": oracles.HARD_NEGATIVES}
