@@ -31,7 +31,7 @@ def scanned(df, *args, **more):
 
 def test_phrases_of_all_documents(documents, texts):
     got = scanned(documents)
-    assert got == sorted(((k, *expected(t)) for k, t in texts), key=repr) and sum(r[2] for r in got) > 10
+    assert got == sorted(((k, *expected(t)) for k, t in texts), key=repr) and sum(r[2] for r in got) > 0
 
 
 @pytest.mark.parametrize("block", [1 << 16, 7])
@@ -58,7 +58,7 @@ def test_edited_notices_are_found(spark):
         own = "before it " + " ".join(w) + " behind it"
         put_in = "x y " + " ".join(w[:4]) + " two more " + " ".join(w[4:]) + " z"
         part = "x y " + " ".join(w[: len(w) // 2]) + " z"
-        apart = " ".join(f"{a} " + "far " * 30 for a in [" ".join(w[:4]), " ".join(w[4:])])
+        apart = " ".join(f"{a} " + "far " * 30 for a in [" ".join(w[: len(w) // 2]), " ".join(w[len(w) // 2 :])])
         for kind, text in (("own", own), ("put in", put_in), ("part", part), ("apart", apart)):
             found[len(found)] = (t, kind, text, w)
     df = spark.createDataFrame([(k, v[2]) for k, v in found.items()], "doc_id long, text string")
