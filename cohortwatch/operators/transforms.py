@@ -8,6 +8,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortwatch.sources.scratch import written
+
 
 def moment(value: datetime | Column | None) -> Column:
     """A point in time as a column; None is now."""
@@ -39,11 +41,32 @@ def participants(rows: DataFrame, user_col: str = "user_id") -> DataFrame:
 
 
 def participant_list(rows: DataFrame, user_col: str = "user_id", distinct: bool = True) -> DataFrame:
-    """One row with ``participants_id``, sorted; empty for no rows. For reports only: it grows with the cohort."""
+    """One row with ``participants_id``, sorted; empty for no rows. For small cohorts only: it grows with them, where :func:`id_blocks` does not."""
     gather = F.collect_set if distinct else F.collect_list
     return rows.agg(F.array_sort(gather(user_col)).alias("participants_id"))
 
 
+def id_blocks(rows: DataFrame, user_col: str = "user_id", size: int = 1000) -> DataFrame:
+    """The distinct non-null ids, sorted and cut into blocks of ``size``: ``block`` (from 1), ``blocks``, ``n_ids`` (all), ``participants_id``.
+
+    For reports on any number of participants: ids are sorted by ranges, a range's first number is the
+    count of the ranges before it, and no row holds more than a block. No ids give no rows.
+    """
+    if size < 1:
+        raise ValueError("a block must hold an id at least")
+    ids = participants(rows, user_col)
+    # The number of a row in its range stands in the low 33 bits, the range in those above.
+    numbered = ids.repartitionByRange("user_id").sortWithinPartitions("user_id").withColumn("_at", F.monotonically_increasing_id())
+    numbered = written(numbered, "ids").withColumns({"_range": F.shiftright("_at", 33), "_nth": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = numbered.groupBy("_range").agg(F.count("*").alias("_n"))  # a row for each range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(whole).alias("n_ids"))
+    placed = numbered.join(F.broadcast(starts), "_range").withColumn("block", F.floor((F.col("_start") + F.col("_nth")) / size) + 1)
+    found = placed.groupBy("block", "n_ids").agg(F.array_sort(F.collect_list("user_id")).alias("participants_id"))
+    return found.select("block", F.ceil(F.col("n_ids") / size).alias("blocks"), "n_ids", "participants_id")
+
+
 def flag_spikes(rows: DataFrame, metric: str, threshold: float) -> DataFrame:
     """``is_anomaly``: whether the metric is above the threshold; NULL metrics are no anomaly."""
     return rows.withColumn("is_anomaly", F.coalesce(F.col(metric) > threshold, F.lit(False)))

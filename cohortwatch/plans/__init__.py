@@ -5,9 +5,9 @@ The point in time is always the newest event, never the wall clock.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cohortwatch.functions.templates import action_time
 from cohortwatch.operators import actions, checks, conditions, models, transforms
 from cohortwatch.plans.oracles import ORACLES
-from cohortwatch.sources import readers, schemas, writers
+from cohortwatch.sources import readers, schemas, scratch, writers
 from cohortwatch.streaming import monitor
 
 DAY = timedelta(days=1)
@@ -40,14 +40,27 @@ def _missing(events: DataFrame, window=DAY, as_of=None) -> DataFrame:
     return checks.missing_participants(events, _newest(events) if as_of is None else as_of, window)
 
 
+#: Ids that one report holds.
+REPORT_IDS = 1000
+
+
 def missing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report for each block of silent participants."""
     events = _events(spark, sf_dir)
-    context = actions.gather({"missing": transforms.participant_list(_missing(events))})
+    blocks = transforms.id_blocks(_missing(events), size=REPORT_IDS).select(F.struct("participants_id", "block", "blocks", "n_ids").alias("missing"))
     notify = actions.Action("notify_missing_data", "send_notification", "size(missing.participants_id) > 0", settings={"message": "Missing data detected for participants: {{ missing.participants_id }}"})
-    found = actions.report(context, notify, F.lit(_newest(events)))
+    found = actions.report(blocks, notify, _newest(events))
     return found.select("name", "type", F.col("metadata.message").alias("message"), F.size("data.missing.participants_id").alias("n_participants"))
 
 
+def missing_report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of at most four participants each, with their number and the count of all."""
+    events = _events(spark, sf_dir)
+    blocks = transforms.id_blocks(_missing(events), size=4)
+    notify = actions.Action("notify", settings={"message": "{{ n_ids }} participants are silent, part {{ block }} of {{ blocks }}: {{ participants_id }}"})
+    return actions.report(blocks, notify, _newest(events)).select("data.block", F.col("metadata.message").alias("message"))
+
+
 def missing_24h(spark, sf_dir):
     return _missing(_events(spark, sf_dir))
 
@@ -110,9 +123,9 @@ def schema_violations(spark, sf_dir):
 
 def rendered_alert(spark, sf_dir):
     events = _events(spark, sf_dir)
-    context = actions.gather({"high": transforms.participant_list(events.where("value > 300"))})
+    blocks = transforms.id_blocks(events.where("value > 300"), size=REPORT_IDS).select(F.struct("participants_id").alias("high"))
     action = actions.Action("alert", settings={"message": "High values: {{ high.participants_id }}, first {{ high.participants_id.0 }}{{ high.none }}", "ids": "{{ high.participants_id }}"})
-    return actions.report(context, action, F.lit(_newest(events))).select(F.col("metadata.message").alias("message"), F.size("metadata.ids").cast("long").alias("n_ids"))
+    return actions.report(blocks, action, _newest(events)).select(F.col("metadata.message").alias("message"), F.size("metadata.ids").cast("long").alias("n_ids"))
 
 
 def scheduled_times(spark, sf_dir):
@@ -124,9 +137,12 @@ def scheduled_times(spark, sf_dir):
 
 
 def gated_reports(spark, sf_dir):
+    """The gate looks at the first block of ids, whose number tells how many there are."""
     events = _events(spark, sf_dir)
-    context = actions.gather({"check": transforms.participant_list(_missing(events))})
-    both = [actions.Action("notify", "send_notification", ["size(check.participants_id) > 0", "check.participants_id <> array()"], settings={"n": "{{ check.participants_id.0 }}"}), actions.Action("quiet", "send_notification", "size(check.participants_id) = 0")]
+    first = transforms.id_blocks(_missing(events), size=REPORT_IDS).where("block = 1")
+    one = first.agg(F.coalesce(F.max("participants_id"), F.expr("cast(array() as array<bigint>)")).alias("participants_id"), F.coalesce(F.max("n_ids"), F.lit(0)).alias("n_ids"))
+    context = actions.gather({"check": one})
+    both = [actions.Action("notify", "send_notification", ["size(check.participants_id) > 0", "check.participants_id <> array()", "check.n_ids > 0"], settings={"n": "{{ check.participants_id.0 }}"}), actions.Action("quiet", "send_notification", "size(check.participants_id) = 0")]
     return actions.report_messages(context, both, F.lit(_newest(events))).select("name", F.get_json_object("value", "$.type").alias("type"), F.get_json_object("value", "$.metadata.n").alias("first_id"))
 
 
@@ -181,48 +197,79 @@ def score_threshold(spark, sf_dir):
     return models.score(per_user, model).select("user_id", "score", "is_anomaly")
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares (``spark.checkpoint.dir``); a temporary one for a session in one process without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='cohortwatch-')}"
-    return f"{base.rstrip('/')}/cohortwatch/{name}-{uuid.uuid4().hex}"
-
-
 def saved_result(spark, sf_dir):
-    base = _folder(spark, "results")
+    base = scratch.folder(spark, "results")
     writers.save_result(_missing(_events(spark, sf_dir)), base, "Sample_Missing_Data", "missing_24h")
     return writers.load_result(spark, base, "sample_missing_data", "missing_24h")
 
 
 def csv_sources(spark, sf_dir):
-    base = _folder(spark, "csv")
+    base = scratch.folder(spark, "csv")
     events = _events(spark, sf_dir).select("event_id", "event_type", "value")
     events.where("event_type = 'purchase'").write.csv(f"{base}/a", header=True)
     events.where("event_type <> 'purchase'").select("event_type", "event_id").write.csv(f"{base}/b", header=True)
     return readers.read_csv(spark, [f"{base}/a", f"{base}/b"], schemas.struct(event_id=schemas.LongType(), event_type=schemas.TEXT, value=schemas.DOUBLE))
 
 
+@contextmanager
+def _state_store(spark: SparkSession):
+    """The state store that timers and state variables need, while a stream runs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, monitor.STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def streaming_missing(spark, sf_dir):
     """The missing-data check as a stream over the whole table, run until all is read."""
     schema = _events(spark, sf_dir).schema
     stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parq*")
-    base, before = _folder(spark, "silence"), spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", monitor.STATE_STORE)
-    try:
+    base = scratch.folder(spark, "silence")
+    with _state_store(spark):
         found = monitor.silent_participants(stream.withColumn("ts", F.col("ts").cast("timestamp")), DAY)
         monitor.pull(found, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return spark.read.schema("user_id long, last_seen timestamp").parquet(f"{base}/out").select("user_id")
 
 
+def _delivered(spark: SparkSession, parts, make_stream: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """What a stream makes of several deliveries, one after another: each is added to a folder and pulled from the position before."""
+    base, schema = scratch.folder(spark, name), None
+    with _state_store(spark):
+        for part in parts:
+            part.write.mode("append").parquet(f"{base}/in")
+            found = make_stream(spark.readStream.schema(part.schema).parquet(f"{base}/in"))
+            monitor.pull(found, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+            schema = found.schema
+    return spark.read.schema(schema).parquet(f"{base}/out")
+
+
+def streaming_roster(spark, sf_dir):
+    """Silence of a roster's members, over three deliveries in event order: who never sent, or not for three days at the end."""
+    events = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    roster = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").cast("long").alias("user_id"), F.lit(first).alias("since"))
+    cuts = [first + (last - first) * k / 3 for k in range(3)] + [last + DAY]
+    parts = (events.where((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(cuts, cuts[1:]))
+    changes = _delivered(spark, parts, lambda stream: monitor.roster_silence(stream, roster, 3 * DAY), "roster")
+    return monitor.silent_now(changes).select("user_id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"))
+
+
+def streaming_backoff(spark, sf_dir):
+    """The silent of the last day but one and of the last, as two deliveries; alerts on those not alerted within two days before."""
+    events = _events(spark, sf_dir)
+    now = _newest(events)
+    found = (_missing(events.where(F.col("ts") <= as_of), DAY, as_of).select("user_id", as_of.cast("timestamp").alias("found_at")) for as_of in (now - F.lit(DAY), F.lit(now)))
+    alerts = _delivered(spark, found, lambda stream: monitor.with_backoff(stream, 2 * DAY), "backoff")
+    return alerts.where(F.col("found_at") == F.lit(now).cast("timestamp")).select("user_id")
+
+
 def streaming_repeats(spark, sf_dir):
     """Events that come twice, once each: a stream of two copies of the table."""
     events = _events(spark, sf_dir)
-    base = _folder(spark, "repeats")
+    base = scratch.folder(spark, "repeats")
     events.unionAll(events).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{base}/in")
     stream = spark.readStream.schema(spark.read.parquet(f"{base}/in").schema).parquet(f"{base}/in")
     monitor.pull(monitor.without_repeats(stream, ["event_id"], "1 day").select("event_id", "value"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
@@ -302,14 +349,14 @@ def table_round_trip(spark, sf_dir):
     """Daily counts written to a relational table in memory and read again."""
     url, name = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "DAILY"
     daily = _events(spark, sf_dir).groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
-    writers.write_table(daily.coalesce(1), url, name, driver="org.apache.derby.jdbc.EmbeddedDriver")
-    return readers.read_table(spark, url, name, driver="org.apache.derby.jdbc.EmbeddedDriver")
+    writers.write_table(daily.coalesce(1), url, name, **_DERBY)
+    return readers.read_table(spark, url, name, **_DERBY)
 
 
 def streaming_reports(spark, sf_dir):
     """Alerts of each micro-batch, written once a batch."""
     stream = spark.readStream.schema(_events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parq*")
-    base = _folder(spark, "reports")
+    base = scratch.folder(spark, "reports")
 
     def alerts(rows):
         return actions.alert_rows(rows.where("value > 200"), "high", "email", F.col("ts"), subject="Value {{ event_id }}")
@@ -318,7 +365,32 @@ def streaming_reports(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("user_id", "subject", F.col("alerted_at").cast("timestamp_ntz").alias("alerted_at"))
 
 
-_QUERIES = (nested_report, unresolved_tokens, json_edge_cases, payload_schemas, source_by_type, custom_by_group, fixed_scores, table_round_trip, streaming_reports, missing_report, missing_24h, missing_from_roster, missing_fraction_3d, recent_literal, spikes_200, spike_flags, missing_backoff, quality_metrics, json_props, json_variant, schema_violations, rendered_alert, scheduled_times, gated_reports, gate_on_long_result, alert_table, event_envelope, report_envelope, message_text, cap_per_group, cleaned_events, union_sources, parsed_times, score_threshold, saved_result, csv_sources, streaming_missing, streaming_repeats, custom_check)
+_DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+
+def table_batches(spark, sf_dir):
+    """Alerts streamed into a relational table, each batch sent twice, as after a failure between the write and its commit."""
+    url, base = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", scratch.folder(spark, "batches")
+    stream = spark.readStream.schema(_events(spark, sf_dir).schema).parquet(f"{sf_dir}/events.parq*")
+    sink = writers.table_once(url, "ALERTS", "high", **_DERBY)
+
+    def twice(rows, batch_id):
+        sink(rows, batch_id)
+        sink(rows, batch_id)
+
+    monitor.emit(stream, lambda rows: rows.where("value > 200").select("event_id", "user_id", "value"), twice, f"{base}/checkpoint").awaitTermination()
+    return readers.read_table(spark, url, "ALERTS", **_DERBY)
+
+
+def redelivered_messages(spark, sf_dir):
+    """Reports sent twice under other offsets, once each by the id in their headers."""
+    rows = _events(spark, sf_dir).select("event_id", "event_type")
+    sent = writers.identified(writers.messages(rows.withColumn("goes_to", F.lit("reports")), "goes_to"), [F.get_json_object("value", "$.event_id")], "reports")
+    again = readers.unite([sent.withColumn("offset", F.get_json_object("value", "$.event_id").cast("long") * 2 + k) for k in (0, 1)]).withColumn("partition", F.lit(0))
+    return writers.without_redelivered(again).select("topic", F.get_json_object("value", "$.event_id").cast("long").alias("event_id"), F.get_json_object("value", "$.event_type").alias("event_type"))
+
+
+_QUERIES = (missing_report_blocks, streaming_roster, streaming_backoff, table_batches, redelivered_messages, nested_report, unresolved_tokens, json_edge_cases, payload_schemas, source_by_type, custom_by_group, fixed_scores, table_round_trip, streaming_reports, missing_report, missing_24h, missing_from_roster, missing_fraction_3d, recent_literal, spikes_200, spike_flags, missing_backoff, quality_metrics, json_props, json_variant, schema_violations, rendered_alert, scheduled_times, gated_reports, gate_on_long_result, alert_table, event_envelope, report_envelope, message_text, cap_per_group, cleaned_events, union_sources, parsed_times, score_threshold, saved_result, csv_sources, streaming_missing, streaming_repeats, custom_check)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

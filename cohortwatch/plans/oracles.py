@@ -13,7 +13,14 @@ ORACLES = {
     "fixed_scores": "SELECT user_id, score, score >= 0.5 AS is_anomaly FROM (SELECT user_id, round(1 / (1 + exp(-(CAST(count(*) AS DOUBLE) / 64 + max(value) / 128 - 3))), 6) AS score FROM events GROUP BY user_id) AS s",
     "table_round_trip": 'SELECT CAST(ts AS DATE) AS "day", event_type, count(*) AS n FROM events GROUP BY ALL',
     "streaming_reports": "SELECT user_id, 'Value ' || event_id AS subject, ts AS alerted_at FROM events WHERE value > 200",
-    "missing_report": f"""SELECT 'notify_missing_data' AS name, 'send_notification' AS type, 'Missing data detected for participants: [' || string_agg(CAST(user_id AS VARCHAR), ', ' ORDER BY user_id) || ']' AS message, CAST(count(*) AS INTEGER) AS n_participants FROM ({_SILENT}) AS s HAVING count(*) > 0""",
+    "missing_report": f"""SELECT 'notify_missing_data' AS name, 'send_notification' AS type, 'Missing data detected for participants: [' || string_agg(CAST(user_id AS VARCHAR), ', ' ORDER BY user_id) || ']' AS message, CAST(count(*) AS INTEGER) AS n_participants FROM (SELECT user_id, (row_number() OVER (ORDER BY user_id) - 1) // 1000 AS block FROM ({_SILENT}) AS s) AS b GROUP BY block""",
+    "missing_report_blocks": f"""SELECT block, any_value(n) || ' participants are silent, part ' || block || ' of ' || (any_value(n) + 3) // 4 || ': [' || string_agg(CAST(user_id AS VARCHAR), ', ' ORDER BY user_id) || ']' AS message
+FROM (SELECT user_id, (row_number() OVER (ORDER BY user_id) - 1) // 4 + 1 AS block, count(*) OVER () AS n FROM ({_SILENT}) AS s) AS b GROUP BY block""",
+    "streaming_roster": f"""SELECT c_custkey::BIGINT AS user_id, last_seen FROM customer LEFT JOIN (SELECT user_id, max(ts) AS last_seen FROM events GROUP BY user_id) AS l ON user_id = c_custkey WHERE last_seen IS NULL OR last_seen <= {_NOW} - INTERVAL 3 DAY""",
+    "streaming_backoff": f"""WITH log AS (SELECT user_id FROM events WHERE ts <= {_NOW} - INTERVAL 24 HOUR GROUP BY user_id HAVING max(ts) <= {_NOW} - INTERVAL 48 HOUR)
+SELECT user_id FROM ({_SILENT}) AS s WHERE user_id NOT IN (SELECT user_id FROM log)""",
+    "table_batches": "SELECT event_id, user_id, value FROM events WHERE value > 200",
+    "redelivered_messages": "SELECT 'reports' AS topic, event_id, event_type FROM events",
     "missing_24h": _SILENT,
     "missing_from_roster": f"""SELECT c_custkey::BIGINT AS user_id, last_seen FROM customer LEFT JOIN (SELECT user_id, max(ts) AS last_seen FROM events GROUP BY user_id) AS l ON user_id = c_custkey WHERE last_seen IS NULL OR last_seen <= {_NOW} - INTERVAL 3 DAY""",
     "missing_fraction_3d": f"""WITH b AS (SELECT user_id, count(DISTINCT (epoch_us({_NOW}) - epoch_us(ts)) // 86400000000) AS n FROM events WHERE ts > {_NOW} - INTERVAL 3 DAY GROUP BY user_id)
@@ -32,7 +39,7 @@ UNION ALL SELECT 'duplicate', 'event_id', (count(*) - count(DISTINCT event_id)):
     "json_variant": """SELECT event_id AS "offset", CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS absent FROM events WHERE json_valid(props)""",
     "schema_violations": """SELECT event_type AS topic, 'null device' AS reason, count(*) AS n, 'int' AS schema FROM events GROUP BY event_type
 UNION ALL SELECT event_type, 'corrupt', count(*), 'boolean' FROM events GROUP BY event_type""",
-    "rendered_alert": """SELECT 'High values: [' || string_agg(CAST(user_id AS VARCHAR), ', ' ORDER BY user_id) || '], first ' || min(user_id) AS message, count(*) AS n_ids FROM (SELECT DISTINCT user_id FROM events WHERE value > 300) AS u""",
+    "rendered_alert": """SELECT 'High values: [' || string_agg(CAST(user_id AS VARCHAR), ', ' ORDER BY user_id) || '], first ' || min(user_id) AS message, count(*) AS n_ids FROM (SELECT user_id, (row_number() OVER (ORDER BY user_id) - 1) // 1000 AS block FROM (SELECT DISTINCT user_id FROM events WHERE value > 300) AS u) AS b GROUP BY block""",
     "scheduled_times": "SELECT max(ts) + INTERVAL 5 MINUTE AS soon, CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) + INTERVAL 1230 MINUTE AS evening, CAST(NULL AS TIMESTAMP) AS at_once, CAST(NULL AS TIMESTAMP) AS unknown FROM events",
     "gated_reports": f"SELECT 'notify' AS name, 'send_notification' AS type, CAST(min(user_id) AS VARCHAR) AS first_id FROM ({_SILENT}) AS s HAVING count(*) > 0",
     "gate_on_long_result": "SELECT count(*) > 0 AS holds FROM events WHERE value > 300",

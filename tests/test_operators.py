@@ -175,3 +175,15 @@ def test_models(spark, tmp_path):
     assert again.columns == ["x", "y", "features", "probability", "prediction", "score", "is_anomaly"] and again.where("score between 0 and 1").count() == 100
     udf = F.pandas_udf(lambda x: (x.fillna(0) > 50).astype(float), "double")
     assert models.score_with(rows, udf, ["x"]).where("is_anomaly").count() == 49
+
+
+def test_id_blocks(spark):
+    ids = spark.range(0, 1_000_000, 1, 8).selectExpr("(id * 7919) % 1000000 as user_id")
+    blocks = transforms.id_blocks(ids.unionAll(ids.limit(5000)).unionAll(spark.sql("select cast(null as bigint) as user_id")), size=1000)
+    rows = blocks.select("block", "blocks", "n_ids", F.size("participants_id").alias("n"), F.get("participants_id", F.lit(0)).alias("low"), F.get("participants_id", F.lit(999)).alias("high")).collect()
+    assert len(rows) == 1000 and all((r.blocks, r.n_ids, r.n, r.low, r.high) == (1000, 1_000_000, 1000, (r.block - 1) * 1000, r.block * 1000 - 1) for r in rows)
+    few = transforms.id_blocks(spark.createDataFrame([("b",), ("a",), ("c",), (None,), ("a",)], "who string"), "who", 2)
+    assert sorted(tuple(r) for r in few.collect()) == [(1, 2, 3, ["a", "b"]), (2, 2, 3, ["c"])]
+    assert transforms.id_blocks(spark.range(0).selectExpr("id as user_id")).count() == 0
+    with pytest.raises(ValueError):
+        transforms.id_blocks(ids, size=0)

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from cohortwatch.sources import readers, schemas, writers
 
@@ -114,3 +115,44 @@ def test_message_keys(spark):
 def test_messages_with_their_own_topic(spark):
     got = writers.messages(spark.createDataFrame([Row(t="a", v=1)]), "t").first()
     assert got.topic == "a" and json.loads(got.value) == {"v": 1}
+
+
+DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+
+def test_a_batch_is_in_the_table_once(spark, monkeypatch):
+    url = "jdbc:derby:memory:once;create=true"
+    rows = spark.range(100).selectExpr("id", "concat('t', id) as text", "id / 2 as half").repartition(4)
+    assert writers.write_table_once(rows, url, "T", 0, **DERBY) and not writers.write_table_once(rows, url, "T", 0, **DERBY)
+    assert writers.write_table_once(rows.limit(5), url, "T", 0, sink="o'ther", **DERBY) and writers.write_table_once(rows.limit(0), url, "T", 1, **DERBY)
+    read = readers.read_table(spark, url, "T", **DERBY)
+    assert read.count() == 105 and {c.lower() for c in read.columns} == {"id", "text", "half"}
+    # A task that ran again after its commit has left a second attempt of its rows.
+    marked = writers._marked
+    monkeypatch.setattr(writers, "_marked", lambda df: (lambda m: m.unionAll(m.withColumn("_attempt", F.col("_attempt") + 1000).withColumn("_part", F.col("_part") - 4)))(marked(df)))
+    assert writers.write_table_once(rows, url, "T", 2, **DERBY) and readers.read_table(spark, url, "T", **DERBY).count() == 205
+    assert not writers.Database(spark, url, **DERBY).has("T_stage_2")
+
+
+def test_a_batch_that_fails_leaves_nothing(spark, monkeypatch):
+    url = "jdbc:derby:memory:failed;create=true"
+    rows = spark.range(10).selectExpr("id", "id * 2 as twice")
+    writers.write_table_once(rows, url, "T", 0, **DERBY)
+    with pytest.raises(Exception):  # noqa: B017
+        writers.write_table_once(rows.withColumnRenamed("twice", "thrice"), url, "T", 1, **DERBY)
+    assert readers.read_table(spark, url, "T", **DERBY).count() == 10
+    assert writers.write_table_once(rows, url, "T", 1, **DERBY) and readers.read_table(spark, url, "T", **DERBY).count() == 20
+    with pytest.raises(Exception):  # noqa: B017
+        writers.Database(spark, url, **DERBY).change(['INSERT INTO T ("id") VALUES (1)', "INSERT INTO NONE VALUES (1)"])
+    assert readers.read_table(spark, url, "T", **DERBY).count() == 20
+
+
+def test_identified_messages(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "a")], "id long, text string")
+    sent = writers.identified(writers.messages(rows), ["value"], "s")
+    ids = [r[0] for r in sent.select(writers.message_id()).collect()]
+    assert len(set(ids)) == 3 and ids[0] == ids[1] and all(ids)
+    other = writers.identified(writers.messages(rows), ["value"], "t").select(writers.message_id()).first()[0]
+    assert other != ids[0]
+    plain = rows.selectExpr("cast(id as string) as value", "'t' as topic", "0 as partition", "id as offset", "cast(null as array<struct<key:string,value:binary>>) as headers")
+    assert writers.without_redelivered(plain.where("offset is not null")).count() == 2  # no id: told by their place, of which (t, 0, 1) comes twice

@@ -1,4 +1,4 @@
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -85,3 +85,51 @@ def test_console(spark, tmp_path):
     done = query.recentProgress
     query.stop()
     assert sum(p["numInputRows"] for p in done) == events.count() and "console" in done[0]["sink"]["description"].lower()
+
+
+def deliveries(events, path, cuts):
+    """One delivery after another of the events between the cuts."""
+    for a, b in zip(cuts, cuts[1:]):
+        events.where((F.col("ts") >= a) & (F.col("ts") < b)).write.mode("append").parquet(path)
+        yield b
+
+
+def test_roster_silence_agrees_with_the_batch_check_after_each_delivery(spark, tmp_path):
+    """Members who never send, fall silent, come back, and others who are no members."""
+    events = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    ids = [r.user_id for r in events.select("user_id").distinct().orderBy("user_id").collect()]
+    members = [*ids[: len(ids) // 2], 10_001, 10_002]
+    roster = spark.createDataFrame([(k, first) for k in members] + [(None, first), (10_001, first)], "user_id long, since timestamp")
+    window, cuts = timedelta(hours=12), [first + (last - first) * k / 3 for k in range(3)] + [last + timedelta(days=1)]
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for end in deliveries(events, path, cuts):
+        found = monitor.roster_silence(spark.readStream.schema(events.schema).parquet(path), roster, window)
+        monitor.pull(found, out, str(tmp_path / "cp")).awaitTermination()
+        changes = spark.read.parquet(out)
+        got = {(r.user_id, r.last_seen) for r in monitor.silent_now(changes).collect()}
+        so_far = events.where(F.col("ts") < end)
+        newest = so_far.agg(F.max("ts")).first()[0]
+        want = {(r.user_id, r.last_seen) for r in checks.missing_participants(so_far, F.lit(newest), window, roster).collect()}
+        assert got == want and (10_001, None) in got and any(t for _, t in got)
+    kinds = {(r.user_id, r.silent) for r in changes.collect()}
+    assert any((k, False) in kinds for k in ids) and {k for k, _ in kinds} <= set(members)
+
+
+def test_backoff_state_agrees_with_a_walk_over_the_findings(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = sorted((k % 7, start + timedelta(hours=(k * 37) % 400), f"n{k}") for k in range(300))
+    rows += [(None, start, "x")]
+    df = spark.createDataFrame(rows, "user_id long, found_at timestamp, _note string")
+    path, out, backoff = str(tmp_path / "in"), str(tmp_path / "out"), timedelta(hours=30)
+    for k in range(3):
+        df.where((F.col("found_at") >= start + timedelta(hours=140 * k)) & (F.col("found_at") < start + timedelta(hours=140 * (k + 1)))).write.mode("append").parquet(path)
+        stream = monitor.with_backoff(spark.readStream.schema(df.schema).parquet(path), backoff)
+        assert stream.columns == df.columns
+        monitor.pull(stream, out, str(tmp_path / "cp")).awaitTermination()
+    want, last = set(), {}
+    for user, at, _ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[1]):
+        if user not in last or at >= last[user] + backoff:
+            last[user] = at
+            want.add((user, at))
+    assert {(r.user_id, r.found_at) for r in spark.read.parquet(out).collect()} == want
