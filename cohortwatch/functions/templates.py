@@ -18,23 +18,28 @@ _TOKEN = re.compile(r"{{([^{}]+)}}")
 class Context:
     """Where paths lead: the columns of a typed DataFrame, by its schema, or one VARIANT column.
 
-    In a typed context a path that the schema lacks is missing, in a VARIANT one what a row lacks.
+    In a typed context a path that the schema lacks is missing, in a VARIANT one, or behind a typed
+    context's VARIANT column, what a row lacks. With ``keep_text`` a token alone is a VARIANT, of its value's
+    own type or, where a row has NULL, of the token's text; without it values of a VARIANT context are text,
+    and only text columns can hold the token's text.
     """
 
-    def __init__(self, schema: StructType | None = None, variant: str | None = None):
+    def __init__(self, schema: StructType | None = None, variant: str | None = None, keep_text: bool = False):
         if (schema is None) == (variant is None):
             raise ValueError("a context is either a schema or a variant column")
-        self.schema, self.variant = schema, variant
+        self.schema, self.variant, self.keep_text = schema, variant, keep_text
 
     def lookup(self, path: str) -> tuple[Column, DataType] | None:
         """The column at a dotted path and its type, or None if it cannot be there. All-digit steps index lists from 0."""
         steps = path.strip().split(".")
         if self.variant is not None:
-            json = "$" + "".join(f"[{s}]" if s.isdigit() else f"['{s}']" for s in steps)
-            return F.try_variant_get(F.col(self.variant), json, "string"), StringType()
+            value = _within(F.col(self.variant), steps)
+            return (value, VariantType()) if self.keep_text else (F.try_variant_get(value, "$", "string"), StringType())
         found: Column | None = None
         kind: DataType = self.schema
-        for s in steps:
+        for k, s in enumerate(steps):
+            if isinstance(kind, VariantType):
+                return _within(found, steps[k:]), kind
             if isinstance(kind, StructType) and s in kind.names:
                 found = F.col(f"`{s}`") if found is None else found.getField(s)
                 kind = kind[s].dataType
@@ -45,6 +50,17 @@ class Context:
         return found, kind
 
 
+def _within(variant: Column, steps: list[str]) -> Column:
+    """The value inside a VARIANT, itself a VARIANT; NULL where a row lacks it."""
+    json = "$" + "".join(f"[{s}]" if s.isdigit() else f"['{s}']" for s in steps)
+    return F.try_variant_get(variant, json, "variant")
+
+
+def _as_variant(column: Column, kind: DataType) -> Column:
+    whole = (StructType, ArrayType, MapType)
+    return F.to_variant_object(column) if isinstance(kind, whole) else column.cast("variant")
+
+
 def text_of(column: Column, kind: DataType) -> Column:
     """A value as it stands in a message; lists as ``['a', 'b']``, numbers in them unquoted, truth as True and False."""
     if isinstance(kind, ArrayType):
@@ -55,16 +71,18 @@ def text_of(column: Column, kind: DataType) -> Column:
         return F.initcap(column.cast("string"))
     if isinstance(kind, StructType):
         return F.to_json(column)
+    if isinstance(kind, VariantType):
+        return F.try_variant_get(column, "$", "string")
     return column.cast("string")
 
 
 def render_text(template: str, context: Context) -> Column:
     """A template as a column.
 
-    One token alone keeps its value's type; if nothing is there, the template's own text stays (in a
-    VARIANT context values are text). A column of another type than text can't hold that: a row that
-    lacks the value has NULL then. Inside other text, a missing value is empty. Values are not
-    rendered again.
+    One token alone keeps its value's type; if nothing is there, the template's own text stays. Values
+    of a VARIANT column stay VARIANT, so each row has its own type, or the text. A typed column of another type than
+    text can't hold that: a row that lacks the value has NULL then, unless the context's ``keep_text`` makes it a
+    VARIANT. Inside other text, a missing value is empty. Values are not rendered again.
     """
     return _text(template, context)[0]
 
@@ -75,7 +93,12 @@ def _text(template: str, context: Context) -> tuple[Column, DataType]:
         found = context.lookup(tokens[0][1])
         if found is None:
             return F.lit(template), StringType()
-        return (F.coalesce(found[0], F.lit(template)) if isinstance(found[1], StringType) else found[0]), found[1]
+        value, kind = found
+        if isinstance(kind, StringType):
+            return F.coalesce(value, F.lit(template)), kind
+        if isinstance(kind, VariantType) or context.keep_text:
+            return F.coalesce(value if isinstance(kind, VariantType) else _as_variant(value, kind), F.lit(template).cast("variant")), VariantType()
+        return value, kind
     parts, at = [], 0
     for t in tokens:
         parts.append(F.lit(template[at : t.start()]))
@@ -106,8 +129,7 @@ def _rendered(value: Any, context: Context) -> tuple[Column, DataType]:
             return F.expr("cast(array() as array<string>)"), ArrayType(StringType())
         if all(t.simpleString() == items[0][1].simpleString() for _, t in items):
             return F.array(*[c for c, _ in items]), ArrayType(items[0][1])
-        whole = (StructType, ArrayType, MapType)
-        return F.array(*[F.to_variant_object(c) if isinstance(t, whole) else c.cast("variant") for c, t in items]), ArrayType(VariantType())
+        return F.array(*[c if isinstance(t, VariantType) else _as_variant(c, t) for c, t in items]), ArrayType(VariantType())
     if isinstance(value, str):
         return _text(value, context)
     kind = _PLAIN.get(type(value), StringType())

@@ -18,13 +18,14 @@ from cohortwatch.operators.transforms import moment
 
 @dataclass(frozen=True)
 class Action:
-    """What to report: a name, a type, a gate (None: always), a time, and settings with templates."""
+    """What to report: a name, a type, a gate (None: always), a time, and settings with templates, whose lone tokens may keep their text (see ``Context``)."""
 
     name: str
     kind: str = "default_type"
     rule: str | Column | Iterable | None = None
     when: str | timedelta | None = "immediate"
     settings: Any = field(default_factory=dict)
+    keep_text: bool = False
 
 
 def gather(results: dict[str, DataFrame]) -> DataFrame:
@@ -44,7 +45,7 @@ def gather(results: dict[str, DataFrame]) -> DataFrame:
 
 def _report(context: DataFrame, action: Action, as_of: datetime | Column | None) -> list[Column]:
     settings = action.settings if isinstance(action.settings, dict) else {}
-    metadata = render(settings, Context(context.schema))
+    metadata = render(settings, Context(context.schema, keep_text=action.keep_text))
     data = F.struct(*[F.col(f"`{c}`") for c in context.columns])
     return [F.lit(action.name).alias("name"), F.lit(action.kind).alias("type"), action_time(action.when, as_of).alias("time"), data.alias("data"), metadata.alias("metadata")]
 

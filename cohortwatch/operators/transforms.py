@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,3 +101,16 @@ def custom(rows: DataFrame, check: Callable[..., DataFrame], **params) -> DataFr
 def custom_by_group(rows: DataFrame, group: str, function: Callable, schema: str) -> DataFrame:
     """A caller's pandas function for each group; a group is one task's memory, so keys must stay small."""
     return rows.groupBy(group).applyInPandas(function, schema)
+
+
+def custom_by_batches(rows: DataFrame, group: str, function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """A caller's function over the batches of each group, for groups of any size: a task holds one batch, not the group.
+
+    Batches are as large as ``spark.sql.execution.arrow.maxRecordsPerBatch`` says; what must outlast one is the caller's state.
+    """
+
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return function(parts)
+
+    batches.__annotations__ = {"parts": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}  # types, not their text: they choose the form
+    return rows.groupBy(group).applyInPandas(batches, schema)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,9 +110,76 @@ def read_table(spark: SparkSession, url: str, table: str, column: str | None = N
     return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=partitions, **properties).load()
 
 
-def read_tables(spark: SparkSession, url: str, tables: Iterable[str], **properties: str) -> dict[str, DataFrame]:
-    """Several tables by name."""
-    return {t: read_table(spark, url, t, **properties) for t in tables}
+def _literal(value: Decimal | int | float | date | datetime) -> str:
+    """A value in SQL text; times as JDBC escapes, which every driver puts into its own form."""
+    if isinstance(value, datetime):
+        return f"{{ts '{value.strftime('%Y-%m-%d %H:%M:%S.%f')}'}}"
+    return f"{{d '{value}'}}" if isinstance(value, date) else str(value)
+
+
+def _between(low, high, parts: int) -> list:
+    """Values that cut the space from ``low`` to ``high`` evenly, without repeats and ends."""
+    if isinstance(low, date) and not isinstance(low, datetime):
+        cuts = [low + timedelta(days=(high - low).days * k // parts) for k in range(1, parts)]
+    elif isinstance(low, int):
+        cuts = [low + (high - low) * k // parts for k in range(1, parts)]
+    else:
+        cuts = [low + (high - low) * k / parts for k in range(1, parts)]
+    return sorted({c for c in cuts if low < c < high})
+
+
+def balanced_predicates(spark: SparkSession, url: str, table: str, column: str, partitions: int = 8, fine: int = 8, rounds: int = 24, **properties: str) -> list[str]:
+    """Predicates that cut a table into parts of near equal row counts by the values of a number, date or time column.
+
+    The database counts its rows in ``fine * partitions`` even intervals; an interval with more than its share is
+    cut again, until it is within it, holds one value, or ``rounds`` are over. Neighbouring intervals are then joined. Only
+    counts come to the driver. Nulls are a part of their own, and so is a value with more than a part's rows.
+    """
+    read = lambda query: spark.read.format("jdbc").options(url=url, query=query, **properties).load()
+    low, high, n = read(f"SELECT MIN({column}) AS low, MAX({column}) AS high, COUNT({column}) AS n FROM {table}").first()
+    nulls = [f"{column} IS NULL"]
+    if not n:
+        return nulls
+    # Intervals [a, b): start, end, rows; the end of the last is None.
+    known, todo = [], [(low, None, n)]
+    for _ in range(rounds):
+        cut, steps = [], []
+        for a, b, rows in todo:
+            cuts = _between(a, high if b is None else b, fine * partitions)
+            if b is None and high not in cuts and a < high:
+                cuts.append(high)
+            if rows * fine <= n / partitions or not cuts:
+                known.append((a, b, rows))
+            else:
+                ends = [*cuts, b]
+                case = " ".join(f"WHEN {column} < {_literal(c)} THEN {k}" for k, c in enumerate(cuts)) + f" ELSE {len(cuts)}"
+                where = f"{column} >= {_literal(a)}" + ("" if b is None else f" AND {column} < {_literal(b)}")
+                cut += zip([a, *cuts], ends)
+                steps.append((len(cut) - len(ends), f"SELECT piece, COUNT(*) AS n FROM (SELECT CASE {case} END AS piece FROM {table} WHERE {where}) counted GROUP BY piece"))
+        todo = []
+        for at, query in steps:
+            todo += [(*cut[at + piece], rows) for piece, rows in read(query).collect()]  # a row for each interval
+        if not todo:
+            break
+    parts, held = [], 0
+    for a, b, rows in sorted(known + todo, key=lambda x: x[0]):
+        if not parts or held and held + rows / 2 > n / partitions:
+            parts.append(a)
+            held = 0
+        held += rows
+    ends = [f" AND {column} < {_literal(b)}" for b in parts[1:]] + [""]
+    return [f"{column} >= {_literal(a)}{end}" for a, end in zip(parts, ends)] + nulls
+
+
+def read_table_balanced(spark: SparkSession, url: str, table: str, column: str, partitions: int = 8, **properties: str) -> DataFrame:
+    """A relational table read in parallel parts of near equal size, whatever the spread of ``column``."""
+    return spark.read.jdbc(url, table, predicates=balanced_predicates(spark, url, table, column, partitions, **properties), properties=properties)
+
+
+def read_tables(spark: SparkSession, url: str, tables: Iterable[str] | dict[str, str | None], partitions: int = 8, **properties: str) -> dict[str, DataFrame]:
+    """Several tables by name; a mapping gives the column that a table is read in balanced parts by (None: in one)."""
+    columns = tables if isinstance(tables, dict) else dict.fromkeys(tables)
+    return {t: read_table_balanced(spark, url, t, c, partitions, **properties) if c else read_table(spark, url, t, **properties) for t, c in columns.items()}
 
 
 def read_source(spark: SparkSession, kind: str, path: str | None = None, **options: str) -> DataFrame:
