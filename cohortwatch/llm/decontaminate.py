@@ -3,12 +3,13 @@
 Of the k-word grams in every window of ``w`` consecutive grams the one with the smallest hash is
 kept (the rightmost on ties), ``k = 7`` and ``w = 7`` by default: two texts that share a run of
 ``k + w - 1 = 13`` words have a kept gram of that run in common, as the choice depends on
-nothing outside the run. Kept grams of documents and benchmark items are joined; each hit is
-extended word by word to the longest common run; a run of ``window`` words or more marks its
-words in the document. Items shorter than ``window`` words are one gram of their own length.
+nothing outside the run. Kept grams of documents are joined with those of benchmark items; a hit is
+extended to the windows of ``window`` words around it, and those that an item holds mark their
+words in the document. A window is looked at once a document, however many hits it holds, so texts that repeat a word
+or a passage cost no more than others. Items shorter than ``window`` words are one gram of their own length.
 
-The benchmark's word hashes go to every task if their count is within a checked bound; beyond it
-the same extension runs on pairs found by a shuffled join of the two fingerprint tables.
+The benchmark's index goes to every task if its words are within a checked bound; beyond it
+filters of a fixed size stand for the grams, and documents' windows are joined with the items' by their hashes.
 
 Null and empty texts have no words; documents that are repeated rows give repeated results; other
 columns of the inputs are ignored, whatever their names.
@@ -21,15 +22,15 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortwatch.llm import _spark, _text
+from cohortwatch.llm import _bloom, _spark, _text
 
 WINDOW, K = 13, 7
 #: A word, of which A-Z are then lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Benchmark words that may be sent to every task (8 bytes each, and as much for the index).
+#: Benchmark words that may be sent to every task (16 bytes each, with the index).
 BROADCAST_WORDS = 4_000_000
 
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, spans array<struct<first:int,last:int>>"
@@ -79,47 +80,74 @@ def winnow_many(grams: np.ndarray, at: np.ndarray, first: np.ndarray, k: int, w:
 
 
 class Items:
-    """Benchmark items as word hashes, with an index of their kept grams."""
+    """Benchmark items as an index: the kept grams of long items, and every window (short items: themselves) with the items that hold it.
+
+    Items of equal words are one entry. A window that an item repeats is one entry too, so that neither a
+    periodic text nor a common item makes more of the index than it has words.
+    """
 
     def __init__(self, ids: list, words: list[np.ndarray], window: int, k: int):
-        self.ids, self.words, self.window, self.k = ids, words, window, k
-        self.w = window - k + 1
-        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-        keys, items, places = [], [], []
-        for i, x in enumerate(words):
-            if 0 < len(x) < window:
-                self.short[len(x)][int(_text.sequence_hash(x))].append(i)
-            elif len(x):
-                grams, at = _text.ngrams(x, np.array([0, len(x)]), k)
-                kept = winnow(grams, self.w)
-                keys.append(grams[kept])
-                items.append(np.full(len(kept), i))
-                places.append(at[kept])
-        key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.item = (np.concatenate(items) if items else np.zeros(0, np.int64))[order]
-        self.place = (np.concatenate(places) if places else np.zeros(0, np.int64))[order]
-
-    def match(self, words: np.ndarray, hits: list[tuple[int, int]]) -> tuple[np.ndarray, set[int]]:
-        """Extend ``hits`` (word number in the document, number in the index): marked words and items found."""
-        marked, found, seen = np.zeros(len(words), bool), set(), defaultdict(list)
-        for p, k in hits:
-            i, q = int(self.item[k]), int(self.place[k])
-            if any(a <= p < b for a, b in seen[i, p - q]):
-                continue
-            item = self.words[i]
-            back = min(p, q)
-            same = words[p - back : p] == item[q - back : q]
-            a = p - (back if same.all() else back - 1 - int(np.flatnonzero(~same)[-1]))
-            ahead = min(len(words) - p, len(item) - q)
-            same = words[p : p + ahead] == item[q : q + ahead]
-            b = p + (ahead if same.all() else int(np.flatnonzero(~same)[0]))
-            seen[i, p - q].append((a, b))
-            if b - a >= self.window:
-                marked[a:b] = True
-                found.add(i)
-        return marked, found
+        self.window, self.k, self.w = window, k, window - k + 1
+        by_text: dict[bytes, list] = defaultdict(list)
+        for i, x in zip(ids, words):
+            if len(x):
+                by_text[x.tobytes()].append(str(i))
+        self.names = list(by_text.values())
+        kept, windows = [np.zeros(0, np.uint64)], defaultdict(list)
+        for t, x in enumerate(np.frombuffer(b, np.uint64) for b in by_text):
+            n = min(len(x), window)
+            windows[n].append((np.unique(_text.ngrams(x, np.array([0, len(x)]), n)[0]), t))
+            if len(x) >= window:
+                grams, _ = _text.ngrams(x, np.array([0, len(x)]), k)
+                kept.append(grams[winnow(grams, self.w)])
+        self.kept = np.unique(np.concatenate(kept))
+        #: By length: window hashes in order, and each one's item.
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n, found in windows.items():
+            key, item = np.concatenate([g for g, _ in found]), np.repeat([t for _, t in found], [len(g) for g, _ in found])
+            order = np.argsort(key, kind="stable")
+            self.windows[n] = key[order], item[order]
+
+    def match(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the words of some texts: those inside a window of an item, and the pairs of text and item."""
+        edge = np.zeros(len(words) + 1, np.int64)
+        pairs = [np.zeros((2, 0), np.int64)]
+        for n, (known, item) in self.windows.items():
+            grams, at = _text.ngrams(words, first, n)
+            if n == self.window:
+                near = extended(words, first, self.kept, self.k, n, at)
+                grams, at = grams[near], at[near]
+            low = np.searchsorted(known, grams)
+            there = known[np.minimum(low, len(known) - 1)] == grams
+            at, low, grams = at[there], low[there], grams[there]
+            np.add.at(edge, at, 1)
+            np.add.at(edge, at + n, -1)
+            if len(at):
+                doc = np.searchsorted(first, at, "right") - 1
+                _, one = np.unique(np.stack([doc, low]), axis=1, return_index=True)  # a window once a text
+                doc, low = doc[one], low[one]
+                many = np.searchsorted(known, grams[one], "right") - low
+                index = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                pairs.append(np.unique(np.stack([np.repeat(doc, many), item[index]]), axis=1))
+        found = np.unique(np.concatenate(pairs, axis=1), axis=1)
+        return np.cumsum(edge[:-1]) > 0, found[0], found[1]
+
+
+def extended(words: np.ndarray, first: np.ndarray, known: np.ndarray, k: int, window: int, at: np.ndarray) -> np.ndarray:
+    """Which of the windows that begin at the words ``at`` hold a hit: a kept gram of the texts that is one of ``known``.
+
+    A hit reaches to the windows around it, each of which is taken once, however many hits it holds.
+    """
+    if not len(known) or not len(at):
+        return np.zeros(0, np.int64)
+    grams, place = _text.ngrams(words, first, k)
+    kept = winnow_many(grams, place, first, k, window - k + 1)
+    low = np.minimum(np.searchsorted(known, grams[kept]), len(known) - 1)
+    hit = place[kept[known[low] == grams[kept]]]
+    reach = np.zeros(len(words) + 1, np.int64)
+    np.add.at(reach, np.maximum(hit - (window - k), 0), 1)
+    np.add.at(reach, hit + 1, -1)
+    return np.flatnonzero(np.cumsum(reach[:-1])[at] > 0)
 
 
 def _words(chunk: _text.Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -146,34 +174,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def scan_chunk(chunk: _text.Chunk, docs: list, items: Items) -> list[tuple]:
     """One result row for each document of the chunk."""
     words, first = _words(chunk)
-    grams, at = _text.ngrams(words, first, items.k)
-    hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    if len(items.key) and len(grams):
-        kept = winnow_many(grams, at, first, items.k, items.w)
-        low = np.searchsorted(items.key, grams[kept])
-        there = items.key[np.minimum(low, len(items.key) - 1)] == grams[kept]
-        for g, k in zip(kept[there], low[there]):
-            d = int(np.searchsorted(first, at[g], "right")) - 1
-            while k < len(items.key) and items.key[k] == grams[g]:
-                hits[d].append((int(at[g] - first[d]), int(k)))
-                k += 1
-    exact: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-    for n, known in items.short.items():
-        grams, at = _text.ngrams(words, first, n)
-        for g in np.flatnonzero(np.isin(grams, np.fromiter(known, np.uint64, len(known)))):
-            d = int(np.searchsorted(first, at[g], "right")) - 1
-            exact[d] += [(int(at[g] - first[d]), n, i) for i in known[int(grams[g])]]
+    marked, owner, found = items.match(words, first)
+    begins = np.searchsorted(owner, np.arange(chunk.n_docs + 1))
     rows = []
     for d in range(chunk.n_docs):
-        own = words[first[d] : first[d + 1]]
-        if d not in hits and d not in exact:
-            rows.append(_row(docs[d], own, None, []))
-            continue
-        marked, found = items.match(own, hits.get(d, []))
-        for p, n, i in exact.get(d, []):
-            marked[p : p + n] = True
-            found.add(i)
-        rows.append(_row(docs[d], own, marked, [str(items.ids[i]) for i in found]))
+        own = found[begins[d] : begins[d + 1]]
+        names = [i for t in own.tolist() for i in items.names[t]]
+        rows.append(_row(docs[d], words[first[d] : first[d + 1]], marked[first[d] : first[d + 1]] if len(own) else None, names))
     return rows
 
 
@@ -193,7 +200,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return _joined(left, right, window, k)
 
     def scan(batches):
-        items = Items(*shared.value, window, k)
+        items = shared.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for chunk in _text.chunks(batch.column("text")):
@@ -215,7 +222,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     names = docs.columns
 
     def scan(batches):
-        items = Items(*shared.value, window, k)
+        items = shared.value
         for batch in batches:
             keep = []
             for chunk in _text.chunks(batch.column(len(names))):
@@ -231,7 +238,7 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
 
 
 def _shared(items: DataFrame, window: int, k: int, broadcast_words: int):
-    """The items' word hashes as a broadcast, or None if they have more than ``broadcast_words`` words."""
+    """The items' index as a broadcast, or None if they have more than ``broadcast_words`` words."""
     if not 0 < k <= window:
         raise ValueError("k must be between 1 and the window")
     words = items.agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n")).first()[0] or 0
@@ -242,73 +249,82 @@ def _shared(items: DataFrame, window: int, k: int, broadcast_words: int):
     for chunk in _text.chunks(pa.array([r.text for r in rows], pa.string())):
         h, first = _words(chunk)
         own += [h[first[d] : first[d + 1]] for d in range(chunk.n_docs)]
-    return items.sparkSession.sparkContext.broadcast(([r.item for r in rows], own))
+    return items.sparkSession.sparkContext.broadcast(Items([r.item for r in rows], own, window, k))
+
 
+def _windows(window: int, k: int, lengths: list[int], kept=None, known=None, all_of: bool = False):
+    """Rows (row, key, at, n): the windows of texts; of items (``all_of``) those of ``window`` or, if they are shorter, of their own length.
 
-def _fingerprints(window: int, k: int):
-    """Rows ``(key, length, row)``: kept grams (length 0), and for items below the window their own gram."""
+    Of documents only windows that hold a hit on a gram of the filter ``kept`` (of ``window`` words) and that the filter ``known`` may hold.
+    """
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("row").to_pylist()
             for chunk in _text.chunks(batch.column("text")):
                 words, first = _words(chunk)
-                grams, at = _text.ngrams(words, first, k)
-                kept = winnow_many(grams, at, first, k, window - k + 1)
-                keys, owners, lengths = [grams[kept]], [np.searchsorted(first, at[kept], "right") - 1], [np.zeros(len(kept), np.int32)]
-                for n in run.lengths:
+                row = batch.column("row").slice(chunk.first, chunk.n_docs)
+                size = np.diff(first)
+                for n in lengths:
                     grams, at = _text.ngrams(words, first, n)
-                    keys.append(grams)
-                    owners.append(np.searchsorted(first, at, "right") - 1)
-                    lengths.append(np.full(len(grams), n, np.int32))
-                rows = pa.array(ids[chunk.first : chunk.first + chunk.n_docs], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(lengths)), rows.take(pa.array(np.concatenate(owners)))], ["key", "length", "row"])
+                    doc = np.searchsorted(first, at, "right") - 1
+                    key = _text.mix(grams + np.uint64(n))
+                    if all_of:
+                        keep = np.flatnonzero((size[doc] == n) | (n == window))
+                    else:
+                        near = _near(words, first, kept, k, n, at) if n == window else np.arange(len(at))
+                        keep = near[_bloom.may_hold(known.value, key[near])]
+                    yield pa.RecordBatch.from_arrays([row.take(pa.array(doc[keep])), pa.array(key[keep].view(np.int64)), pa.array(at[keep] - first[doc[keep]]), pa.array(np.full(len(keep), n))], ["row", "key", "at", "n"])
+
+    return run
+
+
+def _near(words: np.ndarray, first: np.ndarray, kept, k: int, window: int, at: np.ndarray) -> np.ndarray:
+    """As :func:`extended`, with a filter that may hold the items' kept grams."""
+    grams, place = _text.ngrams(words, first, k)
+    own = grams[winnow_many(grams, place, first, k, window - k + 1)]
+    return extended(words, first, np.unique(own[_bloom.may_hold(kept.value, own)]), k, window, at)
+
+
+def _kept_grams(window: int, k: int):
+    """Rows (key): the kept grams of texts of ``window`` words or more."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk in _text.chunks(batch.column("text")):
+                words, first = _words(chunk)
+                grams, at = _text.ngrams(words, first, k)
+                yield pa.RecordBatch.from_arrays([pa.array(grams[winnow_many(grams, at, first, k, window - k + 1)].view(np.int64))], ["key"])
 
     return run
 
 
 def _joined(left: DataFrame, right: DataFrame, window: int, k: int) -> DataFrame:
-    """For a benchmark beyond the broadcast bound: join fingerprints, then extend on the pairs found."""
+    """For a benchmark beyond the broadcast bound: filters of a fixed size for the items' grams and windows, then a join on the windows' hashes. No pair of texts is made."""
     left = _spark.saved(left.withColumn("row", F.monotonically_increasing_id()), "decontaminate-docs")
     right = _spark.saved(right.withColumn("row", F.monotonically_increasing_id()), "decontaminate-items")
     size = F.regexp_count("text", F.lit(WORD))
-    short = right.where(size.between(1, window - 1))
-    lengths = [r.n for r in short.select(size.alias("n")).distinct().collect()]  # window - 1 values at most
-    find, find_long = _fingerprints(window, k), _fingerprints(window, k)
-    find.lengths, find_long.lengths = lengths, []
-    schema = "key long, length int, row long"
-    a = left.select("row", "text").mapInArrow(find, schema)
-    b = right.where(size >= window).select("row", "text").mapInArrow(find_long, schema)
-    one = _fingerprints(window, k)
-    one.lengths = lengths
-    sized = short.select("row", size.alias("length"))
-    c = short.select("row", "text").mapInArrow(one, schema).join(sized, ["row", "length"]).select("key", "length", "row")
-    grams = b.unionAll(c).distinct().withColumnRenamed("row", "item_row")
-    pairs = a.distinct().join(grams, ["key", "length"]).select("row", "item_row").distinct()
-
-    found = pairs.join(left.select("row", "text"), "row").join(right.select(F.col("row").alias("item_row"), "item", F.col("text").alias("item_text")), "item_row")
-
-    def extend(batches):
-        for batch in batches:
-            for i, (row, item, text, item_text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("row", "item", "text", "item_text")))):
-                (chunk,) = _text.chunks(pa.array([item_text], pa.string()))
-                items = Items([item], [_words(chunk)[0]], window, k)
-                (chunk,) = _text.chunks(pa.array([text], pa.string()))
-                (got,) = scan_chunk(chunk, [row], items)
-                if got[2]:
-                    yield pa.RecordBatch.from_arrays([pa.array([row], pa.int64()), pa.array([item]), pa.array([got[5]], _SCHEMA.field("spans").type)], ["row", "item", "spans"])
-
-    hits = found.select("row", "item", "text", "item_text").mapInArrow(extend, "row long, item string, spans array<struct<first:int,last:int>>")
-    runs = hits.select("row", F.explode("spans").alias("s")).select("row", "s.first", "s.last").distinct()
-    runs = runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))  # within one document
-    items = hits.groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    merged = F.aggregate(
-        "runs",
-        F.expr("cast(array() as array<struct<first:int,last:int>>)"),
-        lambda acc, x: F.when((F.size(acc) > 0) & (x["first"] <= F.element_at(acc, -1)["last"] + 1), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], x["last"]).alias("last"))))).otherwise(F.concat(acc, F.array(x))),
-    )
+    lengths = [r.n for r in right.select(F.least(size, F.lit(window)).alias("n")).where("n > 0").distinct().collect()]  # window values at most
+    schema = "row long, key long, at long, n long"
+    held = right.select("row", "text").mapInArrow(_windows(window, k, lengths, all_of=True), schema).select("key", "row").distinct()
+    held = _spark.saved(held.join(right.select("row", "item"), "row").select("key", "item").distinct(), "decontaminate-windows")
+    counts = _spark.saved(held.groupBy("key").agg(F.count("*").alias("n_held")), "decontaminate-keys")
+    grams = _spark.saved(right.where(size >= window).select("text").mapInArrow(_kept_grams(window, k), "key long").distinct(), "decontaminate-grams")
+    find = _windows(window, k, lengths, _bloom.build(grams, "key"), _bloom.build(counts, "key"))
+    places = left.select("row", "text").mapInArrow(find, schema)
+    places = _spark.saved(places.join(_spark.small(counts.select("key")), "key", "left_semi"), "decontaminate-hits")
+
+    once = places.groupBy("key").agg(F.count("*").alias("n"))
+    named = _spark.looked_up(places.select("key", "row").distinct(), once.join(held, "key"), "key", places.count())
+    # Windows of a document that touch or overlap are one run.
+    order = Window.partitionBy("row").orderBy("first", "last")
+    runs = places.select("row", F.col("at").cast("int").alias("first"), (F.col("at") + F.col("n") - 1).cast("int").alias("last")).distinct()
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("new", F.when(F.col("first") <= reached + 1, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
+    runs = runs.groupBy("row", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    runs = runs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))  # within one document
+    items = named.groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
     sized = left.select("row", "doc_id", F.coalesce(size, F.lit(0)).cast("long").alias("n_words"))
-    out = sized.join(runs.select("row", merged.alias("spans")), "row", "left").join(items, "row", "left")
+    out = sized.join(runs, "row", "left").join(items, "row", "left")
     none = F.expr("cast(array() as array<struct<first:int,last:int>>)")
     spans = F.coalesce("spans", none)
     return out.select("doc_id", "n_words", F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1).alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", F.coalesce("items", F.expr("cast(array() as array<string>)"))), 256).alias("items_sha256"), spans.alias("spans"))

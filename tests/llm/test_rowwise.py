@@ -1,6 +1,7 @@
 """Quality rules, token counts, token files, language, decontamination."""
 
 import hashlib
+import time
 import zlib
 
 import brute
@@ -209,3 +210,22 @@ def test_winnowing_finds_every_long_shared_span(before, behind, span):
         assert list(one) == list(decontaminate.winnow_many(grams, at, np.array([0, len(t)]), 7, 7))
         kept.append(set(grams[one]))
     assert kept[0] & kept[1]
+
+
+@pytest.mark.parametrize("bound", [decontaminate.BROADCAST_WORDS, 10])
+def test_decontamination_of_periodic_texts(spark, bound):
+    """Repeated words and passages in documents and items, equal items, and an item inside others."""
+    cycle = " ".join(f"c{k}" for k in range(9))
+    items = [(1, "a " * 40), (2, "A " * 40), (3, f"{cycle} " * 6), (4, "a a a"), (5, "x " + "a " * 14), (6, "b " * 13), ("7,8", "a " * 40)]
+    texts = ["a " * 60, "a " * 12, "a a", f"{cycle} " * 3, "y " + f"{cycle} " * 2 + "a a a y", "b " * 12 + "a " + "b " * 14, "x " + "a " * 13, None, "a b " * 30]
+    docs, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(str(k), t) for k, t in items], "item_id string, text string")
+    rows = {r.doc_id: r for r in decontaminate.decontaminate(docs, bench, broadcast_words=bound).collect()}
+    check_contamination(rows, list(enumerate(texts)), items)
+
+
+def test_decontamination_of_one_word_thirty_thousand_times(spark):
+    docs, bench = spark.createDataFrame([(1, "w " * 30_000), (2, "v " * 30_000)], "doc_id long, text string"), spark.createDataFrame([(1, "w " * 30_000)], "item_id long, text string")
+    for bound in (decontaminate.BROADCAST_WORDS, 10):
+        began = time.perf_counter()
+        rows = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.decontaminate(docs, bench, broadcast_words=bound).collect()}
+        assert rows == {1: (30_000, 30_000, 1), 2: (30_000, 0, 0)} and time.perf_counter() - began < 60
