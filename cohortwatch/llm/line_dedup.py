@@ -11,9 +11,10 @@ Each pair is aligned by patience diff: equal heads and tails are matched, then t
 once in both are matched along their longest increasing run, and the gaps between are treated in
 the same way; a gap without such a line is split at the longest run of lines that both sides hold.
 Blocks of consecutive aligned lines with ``min_words`` words or more are deleted from the later
-document. Runs that an alignment in order leaves out though both hold them (moved or repeated ones) are blocks too. So
-what is deleted holds all that the alignments of all pairs would delete, and
-nothing that no earlier document holds.
+document. An alignment keeps the order, so moved and repeated passages are left by it; the lines that
+stay are therefore aligned with the kept document again, and last, stretch by stretch, with the places of it
+that begin like them. Only aligned blocks are deleted. What is deleted holds all that the alignments of
+all pairs would delete, and nothing that no earlier document holds.
 
 Lines are compared as 64-bit hashes of their whole text; lines without a word are aligned but
 nominate nothing.
@@ -183,29 +184,55 @@ def _sequences(wanted):
     return run
 
 
+def _stays(blocks: list[tuple[int, int, int, int]], n: int) -> np.ndarray:
+    """Which of ``n`` lines no block covers."""
+    edge = np.zeros(n + 1, np.int64)
+    for p, _, lines, _ in blocks:
+        edge[p] += 1
+        edge[p + lines] -= 1
+    return np.cumsum(edge[:-1]) == 0
+
+
 def common_blocks(h: np.ndarray, words: np.ndarray, kept: np.ndarray, kept_words: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int]]:
-    """Blocks ``(start, start in the kept document, lines, words)`` of two line sequences: aligned ones, then moved or repeated ones."""
-    out = [(p, q, n, w) for p, q, n in patience(h.tolist(), kept.tolist()) if (w := int(words[p : p + n].sum())) >= min_words]
-    gone = np.zeros(len(h) + 1, np.int64)
-    for p, _, n, _ in out:
-        gone[p] += 1
-        gone[p + n] -= 1
-    stays = np.concatenate([[0], np.cumsum(np.cumsum(gone[:-1]) == 0)])
+    """Blocks ``(start, start in the kept document, lines, words)`` of two line sequences, all of them from alignments.
+
+    The first alignment is of the whole sequences. What it leaves is aligned again: the remaining lines with the
+    whole kept document, then each stretch of them that goes on like a stretch of the kept document with that one.
+    """
+    own, other = h.tolist(), kept.tolist()
+    out: list[tuple[int, int, int, int]] = []
+
+    def align(start: int, end: int, low: int, high: int, free: np.ndarray | None = None) -> None:
+        # Lines that are gone match nothing, each being of its own kind.
+        left = own[start:end] if free is None else [x if f else -1 - p for p, (x, f) in enumerate(zip(own[start:end], free[start:end]))]
+        out.extend((start + p, low + q, n, w) for p, q, n in patience(left, other[low:high]) if (w := int(words[start + p : start + p + n].sum())) >= min_words)
+
+    align(0, len(own), 0, len(other))
     keys, start, end = _runs(h, words, np.array([0, len(h)]), min_words)
-    at = np.flatnonzero(stays[end] > stays[start])  # runs with a line that no block covers
     known, known_start, _ = _runs(kept, kept_words, np.array([0, len(kept)]), min_words)
     found, index = np.unique(known, return_index=True)
-    if not len(at) or not len(found):
+    if not len(keys) or not len(found):
         return out
-    where = np.minimum(np.searchsorted(found, keys[at]), len(found) - 1)
-    at, where = at[found[where] == keys[at]], where[found[where] == keys[at]]
+    where = np.minimum(np.searchsorted(found, keys), len(found) - 1)
+    held = found[where] == keys
+    start, end, source = start[held], end[held], known_start[index[where[held]]]
+
+    def open_runs() -> np.ndarray:
+        stays = np.concatenate([[0], np.cumsum(_stays(out, len(own)))])
+        return np.flatnonzero(stays[end] > stays[start])  # runs with a line that no block covers
+
+    if len(open_runs()):
+        align(0, len(own), 0, len(other), _stays(out, len(own)))
     moved: list[list[int]] = []
-    for p, e, q in sorted(zip(start[at].tolist(), end[at].tolist(), known_start[index[where]].tolist())):
+    at = open_runs()
+    for p, e, q in sorted(zip(start[at].tolist(), end[at].tolist(), source[at].tolist())):
         if moved and p <= moved[-1][1] and p - moved[-1][0] == q - moved[-1][2]:  # goes on in both
             moved[-1][1] = max(e, moved[-1][1])
         else:
             moved.append([p, e, q])
-    return out + [(p, q, e - p, int(words[p:e].sum())) for p, e, q in moved]
+    for p, e, q in moved:
+        align(p, e, q, q + e - p)
+    return out
 
 
 def _align(min_words: int):

@@ -168,3 +168,45 @@ def test_passages_of_rows_with_one_id(spark, monkeypatch):
     docs = table(spark, [(1, a), (1, b), (2, a + "\nown"), (3, b), (3, b), (4, c + " " + c), (None, c)])
     cut = passage_dedup.delete_passages(docs, passage_dedup.repeated_passages(docs))
     assert sorted((r.doc_id or 0, r.text) for r in cut.collect()) == sorted([(1, a), (1, b), (2, "own"), (3, ""), (3, ""), (4, c + " " + c), (0, c)])
+
+
+def _sequence(lines):
+    return np.array([x + 1 for x in lines], np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.array([x % 4 for x in lines], np.int32)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 9), max_size=40), st.lists(st.integers(0, 9), max_size=40))
+def test_alignments_reach_every_common_run(a, b):
+    """Blocks are common and long enough, and every run that the kept document holds is covered by them."""
+    (h, words), (kept, kept_words) = _sequence(a), _sequence(b)
+    gone = set()
+    for p, q, n, w in line_dedup.common_blocks(h, words, kept, kept_words):
+        assert (h[p : p + n] == kept[q : q + n]).all() and w == words[p : p + n].sum() >= line_dedup.MIN_WORDS
+        gone |= set(range(p, p + n))
+    keys, start, end = line_dedup._runs(h, words, np.array([0, len(h)]), line_dedup.MIN_WORDS)
+    known = set(line_dedup._runs(kept, kept_words, np.array([0, len(kept)]), line_dedup.MIN_WORDS)[0].tolist())
+    for k, s, e in zip(keys.tolist(), start.tolist(), end.tolist()):
+        assert k not in known or set(range(s, e)) <= gone
+
+
+def test_the_alignment_decides_what_is_deleted(documents, monkeypatch):
+    """Without it nothing is deleted; with one that only looks at equal heads, less is."""
+    def gone():
+        blocks = line_dedup.aligned_blocks(documents)
+        return {(r.doc_id, k) for r in blocks.collect() for k in range(r.first_line, r.last_line + 1)}
+
+    def heads(a, b):
+        n = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        return [(0, 0, n)] if n else []
+
+    whole, real = gone(), line_dedup.patience
+    assert whole
+    a, b = _sequence([3, 3, 1, 7, 7, 2, 3, 3]), _sequence([9, 7, 7, 2, 5, 3, 3])
+    assert line_dedup.common_blocks(*a, *b)
+    calls = []
+    monkeypatch.setattr(line_dedup, "patience", lambda x, y: calls.append((len(x), len(y))) or real(x, y))
+    assert line_dedup.common_blocks(*a, *b) and calls[0] == (8, 7)
+    monkeypatch.setattr(line_dedup, "patience", lambda x, y: [])
+    assert line_dedup.common_blocks(*a, *b) == []
+    monkeypatch.setattr(line_dedup, "patience", heads)
+    assert sum(n for _, _, n, _ in line_dedup.common_blocks(*a, *b)) >= 1
