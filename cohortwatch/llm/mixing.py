@@ -89,6 +89,7 @@ def _cuts(rows: DataFrame, bits: int, n_sources: int) -> DataFrame:
     """For ``rows(src, size, place, gap)`` the last ``upto`` before which a source's sizes add up to ``gap`` at most, and their sum ``got``.
 
     Sources all of whose rows fit have no row. ``upto`` is a row's place, or stands before all rows of its cell.
+    Of rows at one place some may fit where all do not: ``part`` is that place, how many fit, and of how many.
     """
     at = None
     for shift in range((bits - 1) // LEVEL_BITS * LEVEL_BITS, -1, -LEVEL_BITS):
@@ -98,11 +99,13 @@ def _cuts(rows: DataFrame, bits: int, n_sources: int) -> DataFrame:
         first = upto.where("upto > gap").groupBy("src").agg(F.min_by(F.struct(F.col("cell").alias("cut_cell"), (F.col("upto") - F.col("words")).alias("before")), "cell").alias("c"))
         at = _spark.saved(first.select(F.col("src").alias("cs"), "c.*"), "mix-cells")
     inside = rows.join(_spark.small(at, n_sources), F.col("src").eqNullSafe(F.col("cs")) & (F.col("place.cell") == F.col("cut_cell")))
-    inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("src").orderBy("place")))  # ties together
+    tied = inside.groupBy("src", "place").agg(F.sum("size").alias("words"), F.count("*").alias("n"), F.first("size").alias("size"), *[F.first(c).alias(c) for c in ("gap", "before", "cut_cell")])
+    tied = tied.withColumn("upto", F.col("before") + F.sum("words").over(Window.partitionBy("src").orderBy("place")))
     fits = F.col("upto") <= F.col("gap")
-    cut = inside.groupBy("src").agg(F.max(F.when(fits, F.col("place"))).alias("last"), F.max(F.when(fits, F.col("upto"))).alias("got"), F.first("before").alias("before"), F.first("cut_cell").alias("cut_cell"))
-    start = F.struct(F.col("cut_cell").alias("cell"), F.lit(-1.0).alias("rank"), F.lit(None).cast(rows.schema["place"].dataType["key"].dataType).alias("key"))
-    return cut.select(F.col("src").alias("cut_src"), F.coalesce("last", start).alias("upto"), F.coalesce("got", "before").alias("got"))
+    some = F.struct("place", F.floor((F.col("gap") - F.col("upto") + F.col("words")) / F.col("size")).cast("long").alias("k"), "n", "size")
+    cut = tied.groupBy("src").agg(F.max(F.when(fits, F.col("place"))).alias("last"), F.max(F.when(fits, F.col("upto"))).alias("got"), F.min_by(some, F.when(~fits, F.col("place"))).alias("some"), F.first("before").alias("before"), F.first("cut_cell").alias("cut_cell"))
+    start = F.struct(F.col("cut_cell").alias("cell"), F.lit(-1.0).alias("rank"), F.lit(None).cast("long").alias("key"))
+    return cut.select(F.col("src").alias("cut_src"), F.coalesce("last", start).alias("upto"), (F.coalesce("got", "before") + F.coalesce(F.col("some.k") * F.col("some.size"), F.lit(0))).alias("got"), F.when(F.col("some.k") > 0, F.struct("some.place", "some.k", "some.n")).alias("part"))
 
 
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", size: Column | None = None, text_col: str = "text", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, importance: Column | None = None, seed: int = 7) -> DataFrame:
@@ -111,8 +114,9 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
     ``copies`` is how often the mix takes the document whole. A source's words come as near to its
     target as the last document allows, one very long document or not.
     ``importance`` (positive; null counts as 1) scales the inclusion odds within a source. Null
-    texts have size 0; an empty table gives an empty result; rows with the same id and size share a
-    random number and are taken alike. A column of ``docs`` with the name of an appended one gives way.
+    texts have size 0; an empty table gives an empty result. Rows with the same id and size share a random
+    number and are told apart by their texts, as are rows with null ids; of rows that are equal in all three
+    as many are taken as the target asks for. A column of ``docs`` with the name of an appended one gives way.
     """
     added = ("size", "source_size", "target", "copies")
     own = [c for c in docs.columns if c.lower() not in added]
@@ -121,8 +125,11 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
     size = size.cast("long")
     src, key = F.col(f"`{source_col}`").cast("string"), F.col(f"`{id_col}`")
     weight = F.coalesce(importance.cast("double"), F.lit(1.0)) if importance is not None else F.lit(1.0)
-    narrow = _spark.saved(docs.select(key.alias("key"), src.alias("src"), size.alias("size"), weight.alias("imp")), "mix-rows")
-    number = lambda k, n: (F.pmod(F.xxhash64(k, n, F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    content = F.xxhash64(F.col(f"`{text_col}`").cast("string")) if text_col in docs.columns else F.lit(0).cast("long")
+    drawn = F.when(key.isNull(), F.xxhash64(content, size, F.lit(seed))).otherwise(F.xxhash64(key, size, F.lit(seed)))
+    number = (F.pmod(drawn, F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    own_key = F.xxhash64(key, size, content)
+    narrow = _spark.saved(docs.select(own_key.alias("key"), number.alias("u"), src.alias("src"), size.alias("size"), weight.alias("imp")), "mix-rows")
     mean_imp = F.sum(F.col("size") * F.col("imp")) / F.sum("size") if importance is not None else F.lit(1.0)
     sums = narrow.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), mean_imp.alias("mean_imp"))
     sums = _spark.saved(sums, "mix-sources")
@@ -133,15 +140,15 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
     goals = goals.withColumn("gap", F.col("target") - F.col("source_size") * F.col("sure"))
 
     bits = max(4, (n_rows // CELL_ROWS).bit_length())
-    place_type = f"struct<cell:bigint,rank:double,key:{narrow.schema['key'].dataType.simpleString()}>"
+    place_type = "struct<cell:bigint,rank:double,key:bigint>"
     nowhere = F.lit(None).cast(place_type)
     # A pass takes the documents of at most ``most`` words behind ``since`` and up to ``upto`` (null: from the start, to the end).
-    plan = goals.select("*", F.col("gap").alias("most"), nowhere.alias("since"), (F.col("gap") > 0).alias("open"), F.array().cast(f"array<struct<most:double,since:{place_type},upto:{place_type}>>").alias("passes"))
+    plan = goals.select("*", F.col("gap").alias("most"), nowhere.alias("since"), (F.col("gap") > 0).alias("open"), F.array().cast(f"array<struct<most:double,since:{place_type},upto:{place_type}>>").alias("passes"), F.array().cast(f"array<struct<place:{place_type},k:bigint,n:bigint>>").alias("parts"))
     plan = _spark.saved(plan, "mix-plan")
 
     def ranked(sources: DataFrame) -> DataFrame:
         rows = narrow.where("size > 0").join(_spark.small(sources, n_sources), F.col("src").eqNullSafe(F.col("s")))
-        return rows.withColumn("place", _place(_rank(number(F.col("key"), F.col("size")), F.col("imp"), F.col), F.col("key"), bits))
+        return rows.withColumn("place", _place(_rank(F.col("u"), F.col("imp"), F.col), F.col("key"), bits))
 
     while not plan.where("open").isEmpty():  # each pass but the first halves what is left: at most the bits of the largest target
         rows = ranked(plan.where("open").select("s", "gap", "most", "since", "ratio", "sure", "mean_imp"))
@@ -151,22 +158,48 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", siz
         last = plan.where("open").join(rest, F.col("s").eqNullSafe(F.col("all_src")), "left").join(cuts, F.col("s").eqNullSafe(F.col("cut_src")), "left")
         gap = F.col("gap") - F.coalesce("got", "all_words", F.lit(0))
         made = F.struct("most", "since", "upto")
-        last = last.withColumn("left", gap).select(*goals.drop("gap").columns, F.col("left").alias("gap"), (F.col("left") / 2).alias("most"), F.col("upto").alias("since"), (F.col("upto").isNotNull() & (F.col("left") > NEAR * F.col("target"))).alias("open"), F.concat("passes", F.array(made)).alias("passes"))
+        last = last.withColumn("left", gap).select(*goals.drop("gap").columns, F.col("left").alias("gap"), (F.col("left") / 2).alias("most"), F.col("upto").alias("since"), (F.col("upto").isNotNull() & (F.col("left") > NEAR * F.col("target"))).alias("open"), F.concat("passes", F.array(made)).alias("passes"), F.when(F.col("part").isNull(), F.col("parts")).otherwise(F.concat("parts", F.array("part"))).alias("parts"))
         plan = _spark.saved(last.unionByName(plan.where("not open")), "mix-plan")
     near = F.abs(F.col("size") - F.col("gap"))
     behind = ranked(plan.where("gap > 0").select("s", "gap", "ratio", "sure", "mean_imp", "passes")).where(near < F.col("gap")).where(~_taken(F.col("size"), F.col("place"), F.col("passes")))
     pick = behind.groupBy("src").agg(F.min(F.struct(near.alias("off"), "place")).alias("m")).select(F.col("src").alias("pick_src"), F.col("m.place").alias("pick"))
-    plan = _spark.saved(plan.join(pick, F.col("s").eqNullSafe(F.col("pick_src")), "left").select("s", "source_size", "target", "mean_imp", "ratio", "sure", "passes", "pick"), "mix-plan")
-
-    spare = {n: _spark.free_name(docs, "mix_" + n) for n in ("s", "key", "size", "imp")}
-    rows = docs.select(*[F.col(f"`{c}`") for c in own], src.alias(spare["s"]), key.alias(spare["key"]), size.alias(spare["size"]), weight.alias(spare["imp"]))
-    plan = plan.select(F.struct(*[c for c in plan.columns if c != "s"]).alias(p_name := _spark.free_name(docs, "mix_plan")), F.col("s").alias(s_name := _spark.free_name(docs, "mix_of")))
+    pick = _spark.saved(pick, "mix-pick")
+    there = behind.join(_spark.small(pick, n_sources), F.col("src").eqNullSafe(F.col("pick_src")) & (F.col("place") == F.col("pick"))).groupBy("src").agg(F.first("place").alias("place"), F.count("*").alias("n"))
+    one = there.select(F.col("src").alias("pick_src"), F.array(F.struct("place", F.lit(1).cast("long").alias("k"), "n")).alias("one"))
+    plan = plan.join(one, F.col("s").eqNullSafe(F.col("pick_src")), "left")
+    plan = _spark.saved(plan.select("s", "source_size", "target", "mean_imp", "ratio", "sure", "passes", F.when(F.col("one").isNull(), F.col("parts")).otherwise(F.concat("parts", "one")).alias("parts")), "mix-plan")
+
+    spare = {n: _spark.free_name(docs, "mix_" + n) for n in ("s", "key", "size", "imp", "u")}
+    rows = docs.select(*[F.col(f"`{c}`") for c in own], src.alias(spare["s"]), own_key.alias(spare["key"]), size.alias(spare["size"]), weight.alias(spare["imp"]), number.alias(spare["u"]))
+    plan_row = plan.select(F.struct(*[c for c in plan.columns if c != "s"]).alias(p_name := _spark.free_name(docs, "mix_plan")), F.col("s").alias(s_name := _spark.free_name(docs, "mix_of")))
     p = lambda c: F.col(p_name)[c]
     words = F.col(spare["size"])
-    here = _place(_rank(number(F.col(spare["key"]), words), F.col(spare["imp"]), p), F.col(spare["key"]), bits)
-    taken = (words > 0) & (_taken(words, here, p("passes")) | F.coalesce(here == p("pick"), F.lit(False)))
-    out = rows.join(_spark.small(plan, n_sources), F.col(spare["s"]).eqNullSafe(F.col(s_name)))
-    return out.select(*[F.col(f"`{c}`") for c in own], words.alias("size"), p("source_size").alias("source_size"), p("target").alias("target"), (p("sure") + taken.cast("long")).alias("copies"))
+    here = _place(_rank(F.col(spare["u"]), F.col(spare["imp"]), p), F.col(spare["key"]), bits)
+    mine = F.filter(p("parts"), lambda x: x["place"] == here)
+    k, n = F.aggregate(mine, F.lit(0).cast("long"), lambda had, x: had + x["k"]), F.coalesce(F.array_max(F.transform(mine, lambda x: x["n"])), F.lit(0))
+    taken = (words > 0) & (_taken(words, here, p("passes")) | ((k > 0) & (k >= n)))
+    joined = rows.join(_spark.small(plan_row, n_sources), F.col(spare["s"]).eqNullSafe(F.col(s_name)))
+    result = lambda more: [*[F.col(f"`{c}`") for c in own], words.alias("size"), p("source_size").alias("source_size"), p("target").alias("target"), (p("sure") + more.cast("long")).alias("copies")]
+    some = plan.select("s", F.explode("parts").alias("x")).groupBy("s", "x.place").agg(F.sum("x.k").alias("k"), F.max("x.n").alias("n")).where("k < n")
+    if some.isEmpty():
+        return joined.select(*result(taken))
+    split = (words > 0) & (k > 0) & (k < n)
+    tied = joined.where(split).select(F.struct(*result(F.lit(False))).alias("row"), F.struct(s_name, here.alias("place")).alias("at"), k.alias("k"))
+    return joined.where(~split).select(*result(taken)).unionAll(_some_of(tied))
+
+
+def _some_of(tied: DataFrame) -> DataFrame:
+    """Of ``tied(row, at, k)`` ``k`` rows of each place with a copy more: whole parts of the saved table in their order, and of one part the first ones."""
+    tied = _spark.saved(tied.withColumn("part", F.spark_partition_id()), "mix-tied")
+    counts = tied.groupBy("at", "part").agg(F.count("*").alias("c"), F.first("k").alias("wanted"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy("at").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    quota = counts.select("at", "part", "c", F.greatest(F.least(F.col("wanted") - before, F.col("c")), F.lit(0)).alias("quota"))
+    dealt = tied.join(_spark.small(_spark.saved(quota, "mix-quota")), ["at", "part"])
+    cut = (F.col("quota") > 0) & (F.col("quota") < F.col("c"))
+    nth = F.row_number().over(Window.partitionBy("at", "part").orderBy(F.lit(0)))  # rows of one part that are equal here
+    chosen = dealt.where(~cut).withColumn("more", F.col("quota") > 0).unionByName(dealt.where(cut).withColumn("nth", nth).withColumn("more", F.col("nth") <= F.col("quota")).drop("nth"))
+    fields = tied.schema["row"].dataType.names
+    return chosen.select(*[(F.col("row.copies") + F.col("more").cast("long")).alias(c) if i == len(fields) - 1 else F.col("row")[c].alias(c) for i, c in enumerate(fields)])
 
 
 def mixed_rows(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
