@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 from cohortwatch.llm import _spark, _text
 
 DIMENSIONS = 2048
-#: Languages that may be learned; their prototypes go to every task.
+#: Languages whose prototypes are sent to the tasks together; more are taken in blocks, one pass over the texts for each.
 MAX_LANGUAGES = 5000
 #: Distinct trigrams that a task holds at once while it learns, and vectors that one keeps while it predicts.
 HELD, KEPT = 200_000, 16_384
@@ -106,19 +106,22 @@ def _add(batches):
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["lang", "vector"])
 
 
-def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
+def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", dimensions: int = DIMENSIONS) -> dict[str, np.ndarray] | DataFrame:
     """Prototype by language, from all rows with a label; what tasks send are sums of vectors, a language each.
 
-    More than ``MAX_LANGUAGES`` labels raise ValueError.
+    More than ``MAX_LANGUAGES`` stay a table (``lang``, ``vector``), which :func:`identify` takes as well.
     """
     rows = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")).where("lang is not null")
     schema = "lang string, vector binary"
     partial = _spark.saved(rows.mapInArrow(_learn(dimensions), schema), "language-sums")
-    n = partial.select("lang").distinct().count()
-    if n > MAX_LANGUAGES:
-        raise ValueError(f"{n} languages; at most {MAX_LANGUAGES} prototypes are sent to the tasks")
     summed = partial.mapInArrow(_add, schema).repartition("lang").mapInArrow(_add, schema)
-    return {r.lang: np.frombuffer(bytes(r.vector)) for r in sorted(summed.collect(), key=lambda r: r.lang)}
+    if partial.select("lang").distinct().count() > MAX_LANGUAGES:
+        return _spark.saved(summed, "language-prototypes")
+    return _collected(summed)
+
+
+def _collected(prototypes: DataFrame) -> dict[str, np.ndarray]:
+    return {r.lang: np.frombuffer(bytes(r.vector)) for r in sorted(prototypes.collect(), key=lambda r: r.lang)}
 
 
 class Classifier:
@@ -143,10 +146,15 @@ class Classifier:
         return self.held[np.searchsorted(self.known, codes)]
 
     def predict(self, chunk: _text.Chunk) -> tuple[list[str], np.ndarray]:
-        """Language and score of each text of a chunk."""
+        """Language and score of each text of a chunk, the cosine from 0 on."""
+        names, cosines = self.nearest(chunk)
+        return ["und" if n is None else n for n in names], np.clip(np.nan_to_num(cosines), 0, 1)
+
+    def nearest(self, chunk: _text.Chunk) -> tuple[list[str | None], np.ndarray]:
+        """Language and cosine of each text; none and NaN for a text without letters, and if there is no prototype."""
         codes, doc, has = trigrams(chunk)
         if not self.names or not len(codes):
-            return ["und"] * chunk.n_docs, np.zeros(chunk.n_docs)
+            return [None] * chunk.n_docs, np.full(chunk.n_docs, np.nan)
         distinct, code = np.unique(codes, return_inverse=True)
         bundles = np.zeros((chunk.n_docs, self.dimensions), np.float32)
         step = max(64, (1 << 22) // max(self.dimensions, chunk.n_docs))  # trigrams at a time: neither matrix is large
@@ -158,15 +166,18 @@ class Classifier:
         near = bundles @ self.matrix.T
         best = near.argmax(1)
         score = near[np.arange(chunk.n_docs), best] / np.maximum(np.linalg.norm(bundles, axis=1), 1e-9)
-        return [self.names[b] if h else "und" for b, h in zip(best, has)], np.where(has, np.clip(score, 0, 1), 0.0).astype(float)
+        return [self.names[b] if h else None for b, h in zip(best, has)], np.where(has, score, np.nan).astype(float)
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
+def identify(docs: DataFrame, prototypes: dict[str, np.ndarray] | DataFrame, text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the cosine, from 0 to 1) appended.
 
     Without prototypes everything is ``und``. A column of ``docs`` with the name of an appended one
-    gives way.
+    gives way. A table of prototypes is taken in blocks: each pass keeps the nearer language so far, the
+    first by name of equally near ones.
     """
+    if isinstance(prototypes, DataFrame):
+        return _in_blocks(docs, prototypes, text_col, dimensions)
     own = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     at = len(own)
     shared = docs.sparkSession.sparkContext.broadcast(prototypes)
@@ -185,6 +196,35 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     return rows.mapInArrow(run, StructType(rows.schema.fields[:at]).add("lang_pred", "string").add("score", "double"))
 
 
+def _in_blocks(docs: DataFrame, prototypes: DataFrame, text_col: str, dimensions: int) -> DataFrame:
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    text, lang, near = (_spark.free_name(docs, n) for n in ("whole_text", "near_lang", "near_cosine"))
+    blocks = -(-prototypes.count() // max(1, MAX_LANGUAGES // 2))
+    rows = docs.select(*own, F.col(f"`{text_col}`").cast("string").alias(text), F.lit(None).cast("string").alias(lang), F.lit(None).cast("double").alias(near))
+    schema, spark = rows.schema, docs.sparkSession
+
+    def nearer(shared):
+        def run(batches):
+            classifier = Classifier(shared.value, dimensions)
+            for batch in batches:
+                names, cosines = batch.column(lang).to_pylist(), batch.column(near).to_pylist()
+                at = 0
+                for chunk in _text.chunks(batch.column(text)):
+                    for n, c in zip(*classifier.nearest(chunk)):
+                        if n is not None and (names[at] is None or (-c, n) < (-cosines[at], names[at])):
+                            names[at], cosines[at] = n, float(c)
+                        at += 1
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(names, pa.string()), pa.array(cosines, pa.float64())], names=batch.schema.names)
+
+        return run
+
+    for b in range(blocks):
+        block = _collected(prototypes.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == b))  # about half of MAX_LANGUAGES
+        rows = _spark.saved(rows.mapInArrow(nearer(spark.sparkContext.broadcast(block)), schema), "language-near")
+    score = F.least(F.greatest(F.coalesce(F.col(near), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    return rows.select(*own, F.coalesce(F.col(lang), F.lit("und")).alias("lang_pred"), score.alias("score"))
+
+
 def held_out(id_: Column) -> Column:
     """Whether a document is kept from learning: the checksum of its id as text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(F.encode(id_.cast("string"), "utf-8")) % 3 == 1, F.lit(False))

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cohortwatch.llm import _text, decontaminate, language_id, quality, token_count, token_output
 
@@ -229,3 +230,47 @@ def test_decontamination_of_one_word_thirty_thousand_times(spark):
         began = time.perf_counter()
         rows = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.decontaminate(docs, bench, broadcast_words=bound).collect()}
         assert rows == {1: (30_000, 30_000, 1), 2: (30_000, 0, 0)} and time.perf_counter() - began < 60
+
+
+def plain_vector(gram, dimensions):
+    """A trigram's vector from its letters' signs, in whole numbers of Python alone."""
+    mask = (1 << 64) - 1
+
+    def mixed(x):
+        for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            x = (x ^ (x >> shift)) * times & mask
+        return x
+
+    def sign(letter, j):
+        return 1 if mixed(mixed(ord(letter) + 1) ^ (j * 0x9E3779B97F4A7C15 & mask)) >> 63 else -1
+
+    return [sign(gram[0], (j - 2) % dimensions) * sign(gram[1], (j - 1) % dimensions) * sign(gram[2], j) for j in range(dimensions)]
+
+
+def test_languages_against_plain_vectors(spark, monkeypatch):
+    """Predictions and scores, with all prototypes at once and in blocks, against sums of vectors made letter by letter."""
+    dimensions, known = 128, {}
+    learnt = [("de", "der Hund und die Katze"), ("de", "das Haus"), ("en", "the dog and the cat"), ("fr", "le chien et le chat"), ("es", "el perro y el gato"), ("xx", "zzz"), (None, "no label")]
+    texts = ["die Katze", "the CAT, the dog", "chat", "gato 12", "Zz", "q", "", None, "12 -", "é漢"]
+
+    def profile(text):
+        total = np.zeros(dimensions)
+        line = " " + " ".join("".join(c.lower() if c.isalpha() else " " for c in text).split()) + " "
+        for k in range(len(line) - 2):
+            if line[k + 1] != " ":
+                total += known.setdefault(line[k : k + 3], np.array(plain_vector(line[k : k + 3], dimensions)))
+        return total
+
+    prototypes = {k: sum(profile(t) for lang, t in learnt if lang == k) for k in sorted({lang for lang, _ in learnt if lang})}
+    want = []
+    for t in texts:
+        v = profile(t or "")
+        near = {k: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for k, p in prototypes.items()} if v.any() else {}
+        want.append((max(near, key=near.get), min(1.0, max(0.0, max(near.values())))) if near else ("und", 0.0))
+    train, docs = spark.createDataFrame(learnt, "lang string, text string"), spark.createDataFrame(list(enumerate(texts)), "n long, text string").withColumn("score", F.lit("own"))
+    for most in (language_id.MAX_LANGUAGES, 4):
+        monkeypatch.setattr(language_id, "MAX_LANGUAGES", most)
+        found = language_id.learn(train, dimensions=dimensions)
+        assert isinstance(found, dict) == (most > 4)
+        got = sorted(language_id.identify(docs, found, dimensions=dimensions).collect())
+        assert [r.lang_pred for r in got] == [k for k, _ in want] and all(abs(r.score - s) < 1e-5 for r, (_, s) in zip(got, want))
