@@ -1,7 +1,7 @@
 """Substring dedup by MinHash banding of paragraphs.
 
-**Paragraphs.** Lines of ``min_words`` words or more are paragraphs; one of more than twice as many is cut inside, at words
-whose 5-gram has the least hash of ``min_words`` words on either side. Shorter lines are paragraphs together: a new one begins at
+**Paragraphs.** Lines of ``min_words`` words or more are paragraphs, of whatever length. One of more than twice as many is
+also cut inside, at words whose 5-gram has the least hash of ``min_words`` words on either side, for what only a part of it shares. Shorter lines are paragraphs together: a new one begins at
 the line whose first 5-gram has the least hash of the beginnings as near as that. Pieces of fewer words are no passage.
 
 **Banding.** A paragraph's MinHash values of word shingles make band keys; :func:`tune` finds the bands that
@@ -116,7 +116,10 @@ class Paragraphs:
         keep[line_first[:-1][whole]] = keep[line_first[1:][whole]] = True
         bound = np.flatnonzero(keep)
         ok = np.diff(bound) >= min_words
-        self.start, self.stop = bound[:-1][ok], bound[1:][ok]
+        cut = line_words > 2 * min_words  # these are whole paragraphs too
+        self.start, self.stop = np.concatenate([bound[:-1][ok], line_first[:-1][cut]]), np.concatenate([bound[1:][ok], line_first[1:][cut]])
+        if cut.any():  # in order, each once
+            self.start, self.stop = np.unique(np.stack([self.start, self.stop]), axis=1)
         self.doc = np.searchsorted(first, self.start, "right") - 1
         shingles = np.maximum(self.stop - self.start - n + 1, 0)
         self.at = np.cumsum(shingles) - shingles
