@@ -356,3 +356,35 @@ def test_pipeline(spark):
 
 def test_registered_queries(spark):
     assert sorted(int(k[2:].split("_")[0]) for k in queries.queries()) == list(range(1, 14)) and set(queries.oracle_sql()) <= set(queries.queries())
+
+
+def run_stages(spark, tmp_path, docs):
+    """All stages over a folder with these documents, each stage's rows read back."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    benchmark.unionByName(spark.createDataFrame([(None, None), (None, "")], benchmark.schema)).write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows, found = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, stage in corpus_pipeline.STAGES:
+        rows = _spark.saved(stage(spark, rows, str(tmp_path)), name)
+        assert name == "shards" or rows.columns == docs.columns
+        found[name] = rows.collect()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(found["shards"])
+    return found
+
+
+def test_pipeline_over_messy_rows(spark, tmp_path, messy):
+    """Nulls in every column, repeated rows, a very long text, clashing names: what is clean stays, once a group of copies."""
+    prose = "a clean document about rivers and hills with plenty of different plain words that nothing else in this table repeats at all"
+    more = spark.createDataFrame([(100, prose, "en", "s9"), (101, None, "en", None)], "doc_id long, text string, lang string, source string")
+    docs = messy.unionByName(more, allowMissingColumns=True)
+    found = run_stages(spark, tmp_path, docs)
+    texts = lambda name: Counter(r.text for r in found[name])
+    assert None not in texts("quality_rules") and prose in texts("quality_rules")
+    assert max(texts("near_duplicates").values()) == 1 and set(texts("near_duplicates")) <= set(texts("quality_rules"))
+    assert texts("decontamination") == texts("near_duplicates") and prose in texts("decontamination")
+    assert max(texts("source_mix").values()) <= 2 and texts("shards") == texts("source_mix")
+
+
+def test_pipeline_over_an_empty_table(spark, tmp_path, messy):
+    assert all(rows == [] for rows in run_stages(spark, tmp_path, messy.limit(0)).values())
