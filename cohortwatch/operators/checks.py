@@ -58,27 +58,23 @@ def alert_log(found: DataFrame, action: str, as_of: datetime | Column, user_col:
 def quality_metrics(rows: DataFrame, columns: Iterable[str], ranges: dict[str, tuple[float, float]] | None = None, keys: Iterable[str] | None = None, threshold: float = 0.0) -> DataFrame:
     """Our data-quality check: ``metric``, ``column``, ``fraction`` where that is at least ``threshold``.
 
-    Null and out-of-range fractions come from one pass; the duplicate fraction is the share of rows
-    beyond the first of their key. No rows have fraction 0.
+    All in one scan: with ``keys`` counts are added up by key first, so that the duplicate fraction, the share of
+    rows beyond the first of their key, comes from the same rows. No rows have fraction 0.
     """
-    columns, ranges = list(columns), ranges or {}
-    n = F.count("*")
-    share = lambda c: F.coalesce(F.sum(c.cast("double")) / F.nullif(n, F.lit(0)), F.lit(0.0))
-    kinds = [("null", c, share(F.col(c).isNull().cast("int"))) for c in columns]
-    kinds += [("out_of_range", c, share(F.coalesce((~F.col(c).between(low, high)).cast("int"), F.lit(0)))) for c, (low, high) in ranges.items()]
-    out = None
-    if kinds:
-        wide = rows.agg(*[k[2].alias(f"m{i}") for i, k in enumerate(kinds)])
-        entries = F.array(*[F.struct(F.lit(kind).alias("metric"), F.lit(c).alias("column"), F.col(f"m{i}").alias("fraction")) for i, (kind, c, _) in enumerate(kinds)])
-        out = wide.select(F.inline(entries))
-    if keys:
-        keys = list(keys)
-        counted = rows.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.coalesce((F.sum("n") - F.count("*")).cast("double") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.0)).alias("fraction"))
-        double = counted.select(F.lit("duplicate").alias("metric"), F.lit(",".join(keys)).alias("column"), "fraction")
-        out = double if out is None else out.unionByName(double)
-    if out is None:
+    columns, ranges, keys = list(columns), ranges or {}, list(keys or ())
+    kinds = [("null", c, F.count_if(F.col(c).isNull())) for c in columns]
+    kinds += [("out_of_range", c, F.count_if(~F.col(c).between(low, high))) for c, (low, high) in ranges.items()]
+    if not kinds and not keys:
         raise ValueError("nothing to measure")
-    return out.where(F.col("fraction") >= threshold)
+    counts = [count.alias(f"_m{i}") for i, (_, _, count) in enumerate(kinds)]
+    wide = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("_n"), *counts)
+    if keys:
+        wide = wide.agg(F.sum("_n").alias("_n"), *[F.sum(f"_m{i}").alias(f"_m{i}") for i in range(len(kinds))], (F.sum("_n") - F.count("*")).alias("_again"))
+    share = lambda c: F.coalesce(F.col(c).cast("double") / F.nullif(F.col("_n"), F.lit(0)), F.lit(0.0))
+    entries = [F.struct(F.lit(kind).alias("metric"), F.lit(c).alias("column"), share(f"_m{i}").alias("fraction")) for i, (kind, c, _) in enumerate(kinds)]
+    if keys:
+        entries.append(F.struct(F.lit("duplicate").alias("metric"), F.lit(",".join(keys)).alias("column"), share("_again").alias("fraction")))
+    return wide.select(F.inline(F.array(*entries))).where(F.col("fraction") >= threshold)
 
 
 def schema_violations(decoded: DataFrame, required: Iterable[str] = (), topic_col: str = "topic") -> DataFrame:
