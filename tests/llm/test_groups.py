@@ -1,5 +1,6 @@
 """Sharding, Jaccard join, passage and line dedup, mixing, components, the pipeline."""
 
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -388,3 +389,27 @@ def test_pipeline_over_messy_rows(spark, tmp_path, messy):
 
 def test_pipeline_over_an_empty_table(spark, tmp_path, messy):
     assert all(rows == [] for rows in run_stages(spark, tmp_path, messy.limit(0)).values())
+
+
+@pytest.mark.parametrize("shards", [3, 16])
+def test_shards_are_those_of_a_plain_best_fit(documents, shards):
+    """Groups that enter one by one, against best fit decreasing by looking at every bin."""
+    size = {r.text: 0 for r in documents.select("text").collect()}
+    for r in documents.select("text").collect():
+        size[r.text] += len((r.text or "").encode()) + 1
+    total = sum(size.values())
+    while True:  # what is gathered into parcels is left out
+        large = {t: n for t, n in size.items() if n > max(1, total // (shards * sharding.FINE))}
+        if len(large) == len(size):
+            break
+        size, total = large, sum(large.values())
+    room, where = [-(-total // shards)] * shards, {}
+    key = {t: "null" if t is None else hashlib.md5(t.encode()).hexdigest() for t in size}
+    for t, n in sorted(size.items(), key=lambda x: (-x[1], key[x[0]])):
+        fits = [(r, b) for b, r in enumerate(room) if r >= n]
+        b = min(fits)[1] if fits else max((r, b) for b, r in enumerate(room))[1]
+        room[b] -= n
+        where[t] = b
+    wanted = documents.sparkSession.createDataFrame([(t,) for t in size], "text string")
+    got = sharding.assign_shards(documents.join(wanted, "text", "left_semi"), shards).select("text", "shard").collect()
+    assert len(size) > 100 and all(r.shard == where[r.text] for r in got) and {r.text for r in got} == set(size)
