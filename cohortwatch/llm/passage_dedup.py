@@ -182,7 +182,8 @@ def _keys(plan: Plan):
     return run
 
 
-_PLACE = "key long, doc_id long, row long, start int, stop int, before long, behind long, bands array<long>, shingles binary, n int, map_0 long, map_1 long, map_2 long, map_3 long"
+_PLACE = "key long, doc_id long, row long, start int, stop int, before long, behind long, paragraph boolean"
+_CONTENT = "content long, bands array<long>, shingles binary, n int, map_0 long, map_1 long, map_2 long, map_3 long"
 
 
 def _beside(words: np.ndarray, first: np.ndarray, at: np.ndarray, doc: np.ndarray, step: int, slack: int) -> np.ndarray:
@@ -215,22 +216,10 @@ def _places(plan: Plan, bloom):
                 keys = p.band_keys(plan.bands, plan.rows)
                 hit = _bloom.may_hold(bloom.value, keys.reshape(-1)).reshape(keys.shape)
                 para = np.flatnonzero(hit.any(1))
-                maps = np.zeros((len(para), 4), np.uint64)
-                sets, sizes = [], np.zeros(len(para), np.int32)
-                end = np.append(p.at, len(p.shingles))
-                for k, x in enumerate(para):
-                    own = np.unique((p.shingles[end[x] : end[x + 1]] >> np.uint64(32)).astype(np.uint32))
-                    sets.append(own.tobytes())
-                    sizes[k] = len(own)
-                    np.bitwise_or.at(maps[k], own >> 6 & 3, np.uint64(1) << (own & 63).astype(np.uint64))
                 both = np.concatenate([doc, p.doc[para]])
                 base = p.first[both]
                 own = [batch.column(c).slice(chunk.first, chunk.n_docs).take(pa.array(both)) for c in ("doc_id", "row")]
-                none = pa.nulls(len(start), pa.int64())
-                pad = lambda x, kind: pa.concat_arrays([pa.nulls(len(start), kind), x])
                 beside = [pa.array(_beside(p.words, p.first, start + o, doc, s, plan.slack)) for o, s in ((-1, -1), (plan.run, 1))]
-                offsets = np.concatenate([[0], np.cumsum(hit[para].sum(1))]).astype(np.int32)
-                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[para][hit[para]].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([grams[start], p.content[para]]).view(np.int64)),
@@ -238,10 +227,7 @@ def _places(plan: Plan, bloom):
                         pa.array((np.concatenate([start, p.start[para]]) - base).astype(np.int32)),
                         pa.array((np.concatenate([start + plan.run, p.stop[para]]) - base).astype(np.int32)),
                         *(pa.concat_arrays([x, pa.nulls(len(para), pa.int64())]) for x in beside),
-                        pad(bands, bands.type),
-                        pad(pa.array(sets, pa.binary()), pa.binary()),
-                        pad(pa.array(sizes), pa.int32()),
-                        *(pa.concat_arrays([none, pa.array(np.ascontiguousarray(maps[:, k]).view(np.int64))]) for k in range(4)),
+                        pa.array(np.arange(len(both)) >= len(start)),
                     ],
                     [x.split()[0] for x in _PLACE.split(", ")],
                 )
@@ -249,6 +235,33 @@ def _places(plan: Plan, bloom):
     return run
 
 
+def _contents(plan: Plan, bloom):
+    """The contents of paragraphs that have a shared band key, each once a chunk: those keys, the shingles, and a map of them."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk in _text.chunks(batch.column("text")):
+                p = Paragraphs(chunk, plan.min_words, plan.words)
+                keys = p.band_keys(plan.bands, plan.rows)
+                hit = _bloom.may_hold(bloom.value, keys.reshape(-1)).reshape(keys.shape)
+                para = np.flatnonzero(hit.any(1))
+                para = para[np.unique(p.content[para], return_index=True)[1]]
+                maps = np.zeros((len(para), 4), np.uint64)
+                sets, sizes = [], np.zeros(len(para), np.int32)
+                end = np.append(p.at, len(p.shingles))
+                for k, x in enumerate(para):
+                    own = np.unique((p.shingles[end[x] : end[x + 1]] >> np.uint64(32)).astype(np.uint32))
+                    sets.append(own.tobytes())
+                    sizes[k] = len(own)
+                    np.bitwise_or.at(maps[k], own >> 6 & 3, np.uint64(1) << (own & 63).astype(np.uint64))
+                offsets = np.concatenate([[0], np.cumsum(hit[para].sum(1))]).astype(np.int32)
+                bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[para][hit[para]].view(np.int64)))
+                columns = [pa.array(p.content[para].view(np.int64)), bands, pa.array(sets, pa.binary()), pa.array(sizes), *(pa.array(np.ascontiguousarray(maps[:, k]).view(np.int64)) for k in range(4))]
+                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _CONTENT.split(", ")])
+
+    return run
+
+
 def _verify(percent: int):
     def run(batches):
         for batch in batches:
@@ -275,11 +288,10 @@ def _matching(a: str, b: str, slack: int) -> Column:
     return out
 
 
-def similar_paragraphs(places: DataFrame, percent: int = PERCENT) -> DataFrame | None:
+def similar_paragraphs(contents: DataFrame, percent: int = PERCENT) -> DataFrame | None:
     """``(content, label)`` of the paragraph contents that are linked with a different one; None if there is none."""
-    paragraphs = places.where("bands is not null")
     at = F.struct("n", "map_0", "map_1", "map_2", "map_3", "bands")
-    contents = paragraphs.groupBy(F.col("key").alias("content")).agg(F.first(F.struct(at.alias("at"), "shingles")).alias("p"))  # map-side first
+    contents = contents.groupBy("content").agg(F.first(F.struct(at.alias("at"), "shingles")).alias("p"))  # map-side first
     contents = _spark.saved(contents.select("content", "p.*"), "passage-contents")
     lists = contents.select(F.explode("at.bands").alias("token"), F.col("content").alias("id"), "at")
     often = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
@@ -313,21 +325,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text")
     shared = rows.mapInArrow(_keys(plan), "key long, value long").groupBy("key").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     shared = _spark.saved(shared.where("low < high").select("key"), "passage-keys")
-    places = _spark.saved(rows.mapInArrow(_places(plan, _bloom.build(shared, "key")), _PLACE), "passage-places")
+    held = _bloom.build(shared, "key")
+    places = _spark.saved(rows.mapInArrow(_places(plan, held), _PLACE), "passage-places")  # narrow; the contents' sets are made in a pass of their own
 
     # Equal runs: the first holder is kept.
     at, text = F.struct("doc_id", "row", "start"), F.struct("doc_id", "row")
     elsewhere = lambda lead: text != F.struct(f"{lead}.doc_id", f"{lead}.row")
-    runs = places.where("bands is null")
+    runs = places.where("not paragraph")
     lead = runs.groupBy("key").agg(F.min(F.struct("doc_id", "row", "start", "before", "behind")).alias("lead"), F.max(text).alias("last"), F.count("*").alias("n"))
     lead = _spark.saved(lead.where(F.col("last") != F.struct("lead.doc_id", "lead.row")).select("key", "lead", "n"), "passage-leads")
     found = _spark.looked_up(runs.select("key", "doc_id", "row", "start", "stop", "before", "behind"), lead, "key", runs.count())
     back, ahead = _matching("before", "lead.before", plan.slack), _matching("behind", "lead.behind", plan.slack)
     spans = found.select("doc_id", "row", (F.col("start") - back).alias("start"), (F.col("stop") + ahead).alias("stop"), F.col("lead.doc_id").alias("kept_doc_id"), (F.col("lead.start") - back).alias("kept_start"), elsewhere("lead").alias("removed"))
 
-    label = similar_paragraphs(places, percent)
+    label = similar_paragraphs(rows.mapInArrow(_contents(plan, held), _CONTENT), percent)
     if label is not None:
-        paragraphs = places.where("bands is not null").select(F.col("key").alias("content"), "doc_id", "row", "start", "stop")
+        paragraphs = places.where("paragraph").select(F.col("key").alias("content"), "doc_id", "row", "start", "stop")
         known = paragraphs.groupBy("content").agg(F.min(at).alias("lead"), F.max(text).alias("last"), F.count("*").alias("rows")).join(label, "content")
         known = _spark.saved(known, "passage-labels")
         first = known.groupBy("label").agg(F.min("lead").alias("lead"), F.max("last").alias("last"), F.count("*").alias("n"))
