@@ -1,7 +1,7 @@
 """Presence bitmaps: who sent in which bucket of time, kept as a table that answers any window without the events.
 
 Time is cut into buckets of one cadence, each open on the left and closed on the right, with ``origin``
-as one of the ends. A row holds a bit for each of 32,768 buckets of one participant; rows of several
+as one of the ends. A row holds a bit for each of 64 buckets of one participant, as a long; rows of several
 tables, or of later days, are merged by bitwise or, so a table grows with participants and time, not with events.
 """
 
@@ -16,38 +16,35 @@ from pyspark.sql import functions as F
 
 from cohortwatch.operators.transforms import moment, participants
 
-#: Bits of a bitmap, and what is added to bucket numbers so that those before 1970 are positive too.
-BITS = 1 << 15
-_SHIFT = BITS << 24
+#: Bits of a bitmap.
+BITS = 64
 
 
 def _bucket(at: Column, origin: datetime | Column, cadence: timedelta) -> Column:
     """The number of the bucket that ends at or first ends behind a time."""
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    return F.ceil((micros(at) - micros(moment(origin))) / F.lit(cadence // timedelta(microseconds=1))) + _SHIFT
+    return F.ceil((micros(at) - micros(moment(origin))) / F.lit(cadence // timedelta(microseconds=1)))
 
 
 def presence(events: DataFrame, cadence: timedelta, origin: datetime | Column, user_col: str = "user_id", ts_col: str = "ts") -> DataFrame:
-    """``user_id``, ``bucket`` (a block of 32,768 buckets), ``bitmap``. Null ids and times are left out.
+    """``user_id``, ``bucket`` (the number of a block of 64 buckets), ``bitmap``. Null ids and times are left out.
 
-    Events are made distinct by participant and bucket first, so that only one number for each is dealt out.
+    A bitmap is eight bytes, so tasks merge them by hash as they go, and nothing is sorted.
     """
-    rows = events.where(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).select(F.col(user_col).alias("user_id"), _bucket(F.col(ts_col), origin, cadence).alias("n")).distinct()
-    return rows.groupBy("user_id", F.bitmap_bucket_number("n").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bitmap"))
+    rows = events.where(F.col(user_col).isNotNull() & F.col(ts_col).isNotNull()).select(F.col(user_col).alias("user_id"), _bucket(F.col(ts_col), origin, cadence).alias("n"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("n", F.lit(BITS)).cast("int"))
+    return rows.groupBy("user_id", F.floor(F.col("n") / BITS).alias("bucket")).agg(F.bit_or(bit).alias("bitmap"))
 
 
 def merge_presence(tables: Iterable[DataFrame]) -> DataFrame:
     """One table of several with the same cadence and origin."""
-    return reduce(DataFrame.unionByName, tables).groupBy("user_id", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return reduce(DataFrame.unionByName, tables).groupBy("user_id", "bucket").agg(F.bit_or("bitmap").alias("bitmap"))
 
 
 def _set_between(bitmap: Column, low: Column, high: Column) -> Column:
-    """Bits set from position ``low`` to ``high``, counted by whole bytes and the two at the ends."""
-    first, last = F.floor(low / 8), F.floor(high / 8)
-    byte = lambda k: F.conv(F.hex(F.substring(bitmap, k.cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    before = F.bit_count(byte(first).bitwiseAND(F.call_function("shiftleft", F.lit(1), (low % 8).cast("int")) - 1))
-    behind = F.bit_count(F.call_function("shiftright", byte(last), (high % 8).cast("int") + 1))
-    return F.bitmap_count(F.substring(bitmap, first.cast("int") + 1, (last - first + 1).cast("int"))) - before - behind
+    """Bits set from position ``low`` to ``high``."""
+    width = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (BITS - 1 - (high - low)).cast("int"))
+    return F.bit_count(F.call_function("shiftrightunsigned", bitmap, low.cast("int")).bitwiseAND(width))
 
 
 def missing_fraction(table: DataFrame, as_of: datetime | Column, window: timedelta, cadence: timedelta, origin: datetime | Column, threshold: float = 0.0, roster: DataFrame | None = None, user_col: str = "user_id") -> DataFrame:
@@ -60,7 +57,7 @@ def missing_fraction(table: DataFrame, as_of: datetime | Column, window: timedel
     expected = int(window / cadence)
     end = _bucket(moment(as_of), origin, cadence)
     # Buckets end - expected + 1 to end, as bit positions of each block.
-    base = (F.col("bucket") - 1) * BITS + 1
+    base = F.col("bucket") * BITS
     low, high = F.greatest(end - expected + 1 - base, F.lit(0)), F.least(end - base, F.lit(BITS - 1))
     inside = F.when(low <= high, _set_between(F.col("bitmap"), low, high)).otherwise(0)
     seen = table.groupBy("user_id").agg(F.sum(inside).alias("n"))

@@ -45,6 +45,15 @@ def test_presence_before_1970_and_over_bitmap_ends(spark):
         assert abs(got - (1 - n / length)) < 1e-12
 
 
+def test_presence_rows_are_narrow_and_merged_by_hash(spark, events):
+    """No wide bitmap is sorted or sent: a row is a few longs, whatever the spread of the times."""
+    now = events.agg(F.max("ts")).first()[0]
+    table = presence.merge_presence([presence.presence(events.where(half), timedelta(days=1), now) for half in ("event_id % 2 = 0", "event_id % 2 = 1")])
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    assert dict(table.dtypes)["bitmap"] == "bigint"
+
+
 def test_merged_profiles_equal_direct_ones(events):
     direct = profiles.merge_profiles(profiles.daily_profiles(events.withColumn("ts", F.lit("2024-01-01")), ["value"], ["user_id", "event_id"], {"value": (0, 100)}, "event_type"))
     merged = profiles.merge_profiles(profiles.daily_profiles(events, ["value"], ["user_id", "event_id"], {"value": (0, 100)}, "event_type"))
