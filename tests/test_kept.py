@@ -54,6 +54,19 @@ def test_presence_rows_are_narrow_and_merged_by_hash(spark, events):
     assert dict(table.dtypes)["bitmap"] == "bigint"
 
 
+def test_presence_windows_over_the_ends_of_a_bitmap(spark):
+    """Windows that end two buckets and more before the origin, over whole bitmaps and their first and last bits; with a threshold."""
+    second, start = timedelta(seconds=1), datetime(2024, 1, 1)
+    here = {-129, -128, -65, -64, -63, -2, -1, 0}
+    table = presence.presence(spark.createDataFrame([(1, start + k * second) for k in here], "user_id long, ts timestamp"), second, start)
+    assert table.count() == 4
+    for last, length in ((-2, 5), (-2, 126), (-1, 64), (-2, 63), (-63, 3), (-64, 65), (-65, 64), (-128, 1), (0, 130), (-129, 64), (-10, 20)):
+        n = sum(last - length < k <= last for k in here)
+        got = presence.missing_fraction(table, start + last * second, length * second, second, start).first().missing_fraction
+        assert abs(got - (1 - n / length)) < 1e-12, (last, length)
+    assert presence.missing_fraction(table, start - 2 * second, 5 * second, second, start, threshold=0.9).count() == 0
+
+
 def test_merged_profiles_equal_direct_ones(events):
     direct = profiles.merge_profiles(profiles.daily_profiles(events.withColumn("ts", F.lit("2024-01-01")), ["value"], ["user_id", "event_id"], {"value": (0, 100)}, "event_type"))
     merged = profiles.merge_profiles(profiles.daily_profiles(events, ["value"], ["user_id", "event_id"], {"value": (0, 100)}, "event_type"))
