@@ -158,3 +158,16 @@ def test_roster_state_is_a_value_for_each_block(spark, tmp_path):
     events = spark.read.schema(kinds).parquet(path)
     want = {tuple(r) for r in checks.missing_participants(events, F.lit(start + 3 * day), day, roster).collect()}
     assert {tuple(r) for r in monitor.silent_now(changes).collect()} == want and len(want) == 24_998
+
+
+def test_silence_state_is_a_value_for_each_block(spark, tmp_path):
+    start, day, kinds = datetime(2024, 1, 1), timedelta(days=1), "user_id string, ts timestamp"
+    path, out, states = str(tmp_path / "in"), str(tmp_path / "out"), []
+    spark.range(500).select(F.concat(F.lit("m"), "id").alias("user_id"), F.lit(start).alias("ts")).write.parquet(path)
+    for rows in ([], [("m1", start + 0.5 * day)], [("m2", start + 1 * day)]):
+        spark.createDataFrame(rows, kinds).write.mode("append").parquet(path)
+        query = monitor.pull(monitor.silent_participants(spark.readStream.schema(kinds).parquet(path), day, blocks=2), out, str(tmp_path / "cp"))
+        query.awaitTermination()
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r.user_id, r.last_seen) for r in spark.read.parquet(out).collect())
+    assert got == sorted((f"m{k}", start) for k in range(500) if k not in (1, 2)) and max(states) <= 2
