@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortwatch.functions.templates import Context, render, render_text
 from cohortwatch.operators import checks, drift, models, presence, profiles, transforms
+from cohortwatch.plans import kept
 from cohortwatch.sources import archive, readers, writers
 
 SF = "/root/testdata/sf0.001"
@@ -128,6 +129,17 @@ def test_balanced_reads_of_skewed_times(spark):
     assert both["EMPTY_ONE"].count() == 0 and both["SKEWED"].count() == 4001 and readers.read_tables(spark, url, ["SKEWED"], **DERBY)["SKEWED"].count() == 4001
 
 
+def test_balanced_table_of_large_and_absent_ids(spark, tmp_path):
+    ids = [3 * 10**15 * k for k in range(3001)] + [None]
+    rows = spark.createDataFrame([(n, k / 2) for k, n in enumerate(ids)], "event_id long, value double")
+    rows.withColumn("ts", F.lit(datetime(2024, 1, 1))).write.parquet(f"{tmp_path}/events.parquet")
+    got = kept.balanced_table(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [(n, k / 2) for k, n in enumerate(ids)]
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    full = sorted(s for s in sizes if s > 1)
+    assert 3 <= len(full) <= 6 and max(full) <= 2 * full[len(full) // 2], sizes
+
+
 def test_pulls_by_offset_ranges(spark, tmp_path, monkeypatch):
     def add(rows):
         spark.createDataFrame(rows, "topic string, partition int, offset long, value string").write.mode("append").partitionBy("topic").parquet(str(tmp_path / "in"))
