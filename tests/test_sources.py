@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -134,6 +135,26 @@ def test_a_batch_is_in_the_table_once(spark, monkeypatch):
     assert not writers.Database(spark, url, **DERBY).has("T_stage_2")
 
 
+def test_a_batch_is_copied_in_time_by_its_rows(spark, monkeypatch):
+    url, took, change = "jdbc:derby:memory:linear;create=true", [], writers.Database.change
+
+    def timed(database, statements):
+        start = time.monotonic()
+        change(database, statements)
+        took.append(time.monotonic() - start)
+
+    monkeypatch.setattr(writers.Database, "change", timed)
+    writers.Database(spark, url, **DERBY).change(["CREATE TABLE T_kept_0 (left_by_a_crash INTEGER)"])
+    rows = spark.range(0, 20_000, 1, 40).selectExpr("id", "id as attempt", "id as part")
+    marked = writers._marked
+    monkeypatch.setattr(writers, "_marked", lambda df: (lambda m: m.unionAll(m.withColumn("_attempt", F.col("_attempt") + 1000).withColumn("_part", F.col("_part") - 40)))(marked(df)))
+    assert writers.write_table_once(rows, url, "T", 0, **DERBY)
+    assert max(took) < 8, took
+    got = readers.read_table(spark, url, "T", **DERBY)
+    assert got.count() == got.distinct().count() == 20_000 and got.where("id = attempt and id = part").count() == 20_000
+    assert not writers.Database(spark, url, **DERBY).has("T_kept_0")
+
+
 def test_a_batch_that_fails_leaves_nothing(spark, monkeypatch):
     url = "jdbc:derby:memory:failed;create=true"
     rows = spark.range(10).selectExpr("id", "id * 2 as twice")
